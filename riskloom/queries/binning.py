@@ -270,9 +270,11 @@ long AS (UNPIVOT wide ON {features} INTO NAME feature VALUE x),
 per_class AS (SELECT feature, target, count(*) AS n, avg(x) AS m, var_pop(x) AS v FROM long GROUP BY ALL),
 centred AS (SELECT *, sum(n * m) OVER (PARTITION BY feature) / sum(n) OVER (PARTITION BY feature) AS c
             FROM per_class),
-scores AS (SELECT feature, (sum(n * (m - c) * (m - c)) / (count(*) - 1))
-                         / (sum(n * v) / (sum(n) - count(*))) AS f_score
-           FROM centred GROUP BY feature)"""
+sums AS (SELECT feature, sum(n * (m - c) * (m - c)) AS outer_ss, sum(n * v) AS inner_ss, sum(n) AS n, count(*) AS k
+         FROM centred GROUP BY feature),
+scores AS (SELECT feature, CASE WHEN inner_ss > 0 THEN (outer_ss / (k - 1)) / (inner_ss / (n - k))
+                                WHEN outer_ss > 0 THEN 'inf'::DOUBLE END AS f_score
+           FROM sums)"""
 
 
 @query(

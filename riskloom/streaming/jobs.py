@@ -2,7 +2,8 @@
 
 Each job shares its column logic with the batch operator of the same name and
 differs only in what time does to it: a watermark, and rows handed on once
-their window has closed.
+their window has closed. Rows later than the watermark are dropped, and
+counted in the query's progress.
 """
 
 from __future__ import annotations
@@ -15,19 +16,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from riskloom.operators.alerts import RESOLVE_TIMEOUT_S, gauge_rule_match
+from riskloom.operators.alerts import RESOLVE_TIMEOUT_S
 from riskloom.operators.binning import BinMap
 from riskloom.operators.gauges import CONFIDENCE_GAUGE, ENTROPY_GAUGE, windowed_means
 from riskloom.plans.scoring import batch_score
 from riskloom.session import fresh_dir
 
 WATERMARK = "1 minute"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def read_stream(
     spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """A growing folder (or glob) of Parquet files."""
+    """A growing folder of Parquet files, or a glob of folders and files."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -39,22 +42,35 @@ def event_time(df: DataFrame, ts: str) -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp"))
 
 
-def write_available(df: DataFrame, tag: str) -> DataFrame:
-    """Run over all input there is, into files of the shared folder; returns them as a table."""
-    spark = df.sparkSession
-    base = fresh_dir(spark, tag)
-    query = start(df, os.path.join(base, "rows"), os.path.join(base, "progress"), available_now=True)
-    query.awaitTermination()
-    return spark.read.schema(df.schema).parquet(os.path.join(base, "rows"))
-
-
 def start(
     df: DataFrame, path: str, progress: str, available_now: bool = False, every: str = "15 seconds"
 ) -> StreamingQuery:
-    """Append to Parquet files; ``progress`` must be a folder all machines reach."""
+    """Append to Parquet files; ``progress`` must be a folder all machines reach.
+
+    State lives in RocksDB, outside the JVM heap. A query keeps the settings
+    it was started with, so the session's own are put back at once.
+    """
     writer = df.writeStream.format("parquet").option("checkpointLocation", progress)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
-    return writer.outputMode("append").start(path)
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
+    conf = df.sparkSession.conf
+    before = conf.get(STATE_STORE, None)
+    conf.set(STATE_STORE, ROCKSDB)
+    try:
+        return writer.trigger(**trigger).outputMode("append").start(path)
+    finally:
+        if before is None:
+            conf.unset(STATE_STORE)
+        else:
+            conf.set(STATE_STORE, before)
+
+
+def write_available(df: DataFrame, tag: str) -> DataFrame:
+    """Run over all input there is, into files of the shared folder; the files as a table."""
+    spark = df.sparkSession
+    base = fresh_dir(spark, tag)
+    rows = os.path.join(base, "rows")
+    start(df, rows, os.path.join(base, "progress"), available_now=True).awaitTermination()
+    return spark.read.schema(df.schema).parquet(rows)
 
 
 def stream_score(
@@ -71,6 +87,16 @@ def stream_gauges(
     return windowed_means(event_time(scored, ts).withWatermark(ts, delay), ts, width, keys)
 
 
+def gauge_readings(windows: DataFrame, keys: list[str]) -> DataFrame:
+    """Gauge windows as readings (ts, keys, metric, value)."""
+
+    def reading(metric: str, column: str):
+        return F.struct(F.lit(metric).alias("metric"), F.col(column).alias("value"))
+
+    both = F.array(reading(ENTROPY_GAUGE, "avg_entropy"), reading(CONFIDENCE_GAUGE, "avg_confidence"))
+    return windows.select(F.col("window_start").alias("ts"), *keys, F.inline(both))
+
+
 def stream_incidents(
     firing: DataFrame,
     keys: list[str],
@@ -86,24 +112,3 @@ def stream_incidents(
         .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), F.count("*").alias("readings"))
         .select(*keys, "first_ts", "last_ts", "readings")
     )
-
-
-def gauge_readings(windows: DataFrame, keys: list[str]) -> DataFrame:
-    """Closed gauge windows as readings (ts, keys, metric, value)."""
-    reading = lambda metric, column: F.struct(
-        F.lit(metric).alias("metric"), F.col(column).alias("value")
-    )
-    return windows.select(
-        F.col("window_start").alias("ts"),
-        *keys,
-        F.inline(
-            F.array(reading(ENTROPY_GAUGE, "avg_entropy"), reading(CONFIDENCE_GAUGE, "avg_confidence"))
-        ),
-    )
-
-
-def rule_readings(windows: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
-    """Readings joined with the rules on their metric."""
-    matched = gauge_rule_match(gauge_readings(windows, keys), rules)
-    return matched.select("alert", "severity", *keys, "ts", "value", "breach", "for_s")
-
