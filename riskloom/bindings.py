@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.scores import argmax_class, confidence, entropy
 from riskloom.operators.gauges import as_gauges
+from riskloom.session import settle
 
 DOC_CAT = ["lang", "source"]
 DOC_NUM = ["n_chars", "space_ratio", "digit_ratio", "uniq_ratio", "upper_ratio", "dot_ratio"]
@@ -29,22 +30,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def text_features(documents: DataFrame) -> DataFrame:
     """Ratios describing each whole text; the text itself goes no further."""
-    size = F.length("text")
     words = F.split("text", " ", -1)
 
-    def share_without(characters: str):
-        return (size - F.length(F.translate("text", characters, ""))) / F.col("n_chars")
+    def share_of(pattern: str) -> Column:
+        return F.regexp_count("text", F.lit(pattern)) / F.col("n_chars")
 
     return documents.select(
         "doc_id",
         "lang",
         "source",
         "n_chars",
-        share_without(" ").alias("space_ratio"),
-        share_without("0123456789").alias("digit_ratio"),
+        share_of(" ").alias("space_ratio"),
+        share_of("[0-9]").alias("digit_ratio"),
         (F.size(F.array_distinct(words)) / F.size(words)).alias("uniq_ratio"),
-        share_without("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("upper_ratio"),
-        share_without(".").alias("dot_ratio"),
+        share_of("[A-Z]").alias("upper_ratio"),
+        share_of("[.]").alias("dot_ratio"),
     )
 
 
@@ -52,11 +52,13 @@ def labelled_documents(spark: SparkSession, sf_dir: str, target: str) -> DataFra
     """Documents with a label; TARGET is ``toxic``, or not ``quality``.
 
     Features are taken before the join, so numbers are shuffled, not texts.
+    Fitting reads its input several times, so they are written out once rather
+    than taken from the texts again and again.
     """
     labels = table(spark, sf_dir, "labels")
     bad = F.col("toxic") if target == "toxic" else F.lit(1) - F.col("quality")
     features = text_features(table(spark, sf_dir, "documents"))
-    return features.join(labels.select("doc_id", bad.alias("TARGET")), "doc_id")
+    return settle(features.join(labels.select("doc_id", bad.alias("TARGET")), "doc_id"), "documents")
 
 
 def lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,16 +84,17 @@ def lineitems_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders with their customer; ``is_current`` tells the later period."""
+    """Orders with their customer; ``is_current`` tells the later period.
+
+    Joined once and written out, as fitting reads its input several times.
+    """
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    return orders.join(customer, orders.o_custkey == customer.c_custkey).select(
-        "o_orderkey",
-        *ORDER_CAT,
-        *ORDER_NUM,
-        (F.col("o_orderstatus") == "F").cast("int").alias("TARGET"),
-        (F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")).cast("int").alias("is_current"),
+    later = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    rows = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        "o_orderkey", *ORDER_CAT, *ORDER_NUM, later.cast("int").alias("is_current")
     )
+    return settle(rows, "orders")
 
 
 def score_log(events: DataFrame) -> DataFrame:

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.ordered import running_totals
+from riskloom.operators.profile import class_totals
 from riskloom.operators.quantiles import balanced_edges
 
-CURVE_PARTS = 256
+# Distinct scores are ranked in parts cut to about this many rows.
+CURVE_ROWS = 1_000_000
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -81,38 +83,39 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     )
 
 
-def _ranked(df: DataFrame, label: str, score: str, decimals: int | None, descending: bool) -> DataFrame:
-    """Distinct scores with running counts of positives and negatives, and class totals.
-
-    ``decimals`` rounds scores first, which bounds the number of thresholds.
-    """
+def _scored(df: DataFrame, label: str, score: str, decimals: int | None) -> DataFrame:
+    """(y, score) of the rows that have both; ``decimals`` bounds the number of thresholds."""
     value = F.col(score) if decimals is None else F.round(F.col(score), decimals)
-    rows = df.select(F.col(label).alias("y"), value.cast("double").alias("score")).where(
+    return df.select(F.col(label).alias("y"), value.cast("double").alias("score")).where(
         F.col("score").isNotNull() & ~F.isnan("score") & F.col("y").isNotNull()
     )
-    edges = balanced_edges(rows, "score", CURVE_PARTS)
+
+
+def _ranked(rows: DataFrame, descending: bool) -> DataFrame:
+    """Distinct scores with their counts by class and the running counts up to each."""
+    edges = balanced_edges(rows, "score", CURVE_ROWS)
     counts = score_counts(rows, "y", "score")
     return running_totals(counts, "score", {"cum_pos": "pos", "cum_neg": "neg"}, edges, descending)
 
 
 def roc_curve(df: DataFrame, label: str, score: str, decimals: int | None = None) -> DataFrame:
-    """(threshold, fpr, tpr) at every distinct score; the rates are NULL with one class only."""
-    ranked = _ranked(df, label, score, decimals, descending=True)
-    totals = ranked.agg(F.max("cum_pos").alias("p"), F.max("cum_neg").alias("n")).first()
-    return ranked.select(
+    """(threshold, fpr, tpr) at every distinct score; a rate without its class is NULL."""
+    rows = _scored(df, label, score, decimals)
+    totals = class_totals(rows, "y").first()
+    return _ranked(rows, descending=True).select(
         F.col("score").alias("threshold"),
-        _share(F.col("cum_neg"), totals["n"]).alias("fpr"),
-        _share(F.col("cum_pos"), totals["p"]).alias("tpr"),
+        _share(F.col("cum_neg"), totals["goods"]).alias("fpr"),
+        _share(F.col("cum_pos"), totals["bads"]).alias("tpr"),
     )
 
 
-def _share(count: Column, total: int | None) -> Column:
-    return F.try_divide(count.cast("double"), F.lit(float(total or 0)))
+def _share(count: Column, total: int) -> Column:
+    return F.try_divide(count.cast("double"), F.lit(float(total)))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, decimals: int | None = None) -> DataFrame:
     """Rank form: how often a positive outscores a negative, ties counting half."""
-    ranked = _ranked(df, label, score, decimals, descending=False)
+    ranked = _ranked(_scored(df, label, score, decimals), descending=False)
     below = F.col("cum_neg") - F.col("neg")
     wins = F.sum(F.col("pos").cast("double") * (below + F.col("neg") / F.lit(2.0)))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
@@ -124,7 +127,7 @@ def roc_auc_trapezoid(
 ) -> DataFrame:
     """Area under the curve by trapezoids. A threshold's own counts are the step
     from the point before it, so no further ordering is needed."""
-    ranked = _ranked(df, label, score, decimals, descending=True)
+    ranked = _ranked(_scored(df, label, score, decimals), descending=True)
     area = F.sum(F.col("neg").cast("double") * (2 * F.col("cum_pos") - F.col("pos")) / F.lit(2.0))
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return ranked.agg(F.try_divide(area, pairs).alias("roc_auc_trapezoid"))

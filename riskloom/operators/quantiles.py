@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.trees import interval_case, number, quoted
@@ -72,6 +72,11 @@ def _sketched(long: DataFrame, keys: list[str], k: int) -> DataFrame:
     )
 
 
+def _grid() -> Column:
+    """0 to 1 in even steps; one text literal instead of hundreds of JVM calls."""
+    return F.expr("array(" + ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1)) + ")")
+
+
 def sketch_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float], k: int = SKETCH_K
 ) -> dict[str, list[float]]:
@@ -86,10 +91,20 @@ def sketch_quantiles(
     return {c: found.get(c, []) for c in columns}
 
 
-def balanced_edges(values: DataFrame, column: str, parts: int, k: int = SKETCH_K) -> list[float]:
-    """Cut points splitting a column into about equal row counts; ties collapse."""
-    probs = [i / parts for i in range(1, parts)]
-    return sorted(set(sketch_quantiles(values, [column], probs, k)[column]))
+def balanced_edges(values: DataFrame, column: str, rows_per_part: int, k: int = SKETCH_K) -> list[float]:
+    """Cut points giving parts of about ``rows_per_part`` rows, at most ``GRID`` of them.
+
+    A value filling several parts gets one cut point, so parts never split ties.
+    """
+    found = (
+        _sketched(long_numeric(values, [column]), ["feature"], k)
+        .select("n", F.kll_sketch_get_quantile_double("sketch", _grid()).alias("q"))
+        .first()
+    )
+    if found is None:
+        return []
+    parts = min(GRID, math.ceil(found["n"] / rows_per_part))
+    return sorted({found["q"][round(i * GRID / parts)] for i in range(1, parts)})
 
 
 def exact_quantiles(
@@ -140,46 +155,40 @@ def _after(value: float) -> float:
     return math.nextafter(value, math.inf)
 
 
-def _segments(df: DataFrame, edges: dict[str, list[float]]) -> DataFrame:
-    """(feature, segment, value), the segment being the number of edges at or below."""
-    tagged = df.select(
-        *[
-            F.struct(F.expr(_segment_sql(c, edges[c])).alias("segment"), F.col(c).cast("double").alias("value"))
-            .alias(c)
-            for c in edges
-        ]
-    )
+def _segments(
+    df: DataFrame, edges: dict[str, list[float]], numbers: dict[str, list[int | None]] | None = None
+) -> DataFrame:
+    """(feature, segment, value), the segment being the number of edges at or below,
+    or what ``numbers`` says for it; rows without a segment are left out."""
+    tagged = []
+    for c, cuts in edges.items():
+        value = f"CAST({quoted(c)} AS DOUBLE)"
+        found = range(len(cuts) + 1) if numbers is None else numbers[c]
+        leaves = ["CAST(NULL AS INT)" if n is None else number(n) for n in found]
+        segment = F.expr(interval_case(value, cuts, leaves)).alias("segment")
+        tagged.append(F.struct(segment, F.expr(value).alias("value")).alias(c))
+    present = F.col("value").isNotNull() & ~F.isnan("value") & F.col("segment").isNotNull()
     return (
-        tagged.unpivot([], list(edges), "feature", "at")
+        df.select(*tagged)
+        .unpivot([], list(edges), "feature", "at")
         .select("feature", "at.segment", "at.value")
-        .where(F.col("value").isNotNull() & ~F.isnan("value"))
+        .where(present)
     )
 
 
-def _segment_sql(column: str, edges: list[float]) -> str:
-    value = f"CAST({quoted(column)} AS DOUBLE)"
-    return interval_case(value, edges, [number(i) for i in range(len(edges) + 1)])
-
-
 def _inside(df: DataFrame, brackets: dict[str, list[_Bracket]]) -> DataFrame:
     """(feature, bracket, value) for the rows within any bracket.
 
-    Brackets of a column are apart or touching, so the odd segments between
-    their ends are the brackets themselves.
+    Brackets of a column are apart or touching, so between their ends each
+    stretch is one bracket or none.
     """
-    edges = {}
-    number = F.lit(None).cast("int")
+    edges: dict[str, list[float]] = {}
+    numbers: dict[str, list[int | None]] = {}
     for c, bs in brackets.items():
-        ends = sorted({e for b in bs for e in (b.lo, _after(b.hi))})
-        edges[c] = ends
-        for i, b in enumerate(bs):
-            here = (F.col("feature") == F.lit(c)) & (F.col("segment") == ends.index(b.lo) + 1)
-            number = F.when(here, F.lit(i)).otherwise(number)
-    return (
-        _segments(df, edges)
-        .select("feature", number.alias("bracket"), "value")
-        .where(F.col("bracket").isNotNull())
-    )
+        edges[c] = sorted({e for b in bs for e in (b.lo, _after(b.hi))})
+        starts = {b.lo: i for i, b in enumerate(bs)}
+        numbers[c] = [None, *[starts.get(e) for e in edges[c]]]
+    return _segments(df, edges, numbers).withColumnRenamed("segment", "bracket")
 
 
 def _propose(
@@ -190,13 +199,12 @@ def _propose(
         rows = long_numeric(df, list(brackets)).withColumn("bracket", F.lit(0))
     else:
         rows = _inside(df, brackets)
-    grid = F.expr("array(" + ", ".join(f"{i / GRID!r}D" for i in range(GRID + 1)) + ")")
     grids: dict[str, dict[int, list[float]]] = {}
     sizes: dict[str, int] = {}
     for r in (
         _sketched(rows, ["feature", "bracket"], k)
         .select(
-            "feature", "bracket", "n", F.kll_sketch_get_quantile_double("sketch", grid).alias("q")
+            "feature", "bracket", "n", F.kll_sketch_get_quantile_double("sketch", _grid()).alias("q")
         )
         .collect()
     ):
@@ -254,17 +262,17 @@ def _read_ranks(df: DataFrame, brackets: dict[str, list[_Bracket]]) -> dict[tupl
     counts = (
         _inside(df, open_ones).groupBy("feature", "bracket", "value").agg(F.count("*").alias("n"))
     )
+    # One row per wanted rank: as small as the lists of columns and probabilities.
+    wanted = df.sparkSession.createDataFrame(
+        [(c, i, r - b.below) for c, bs in open_ones.items() for i, b in enumerate(bs) for r in b.ranks],
+        "feature string, bracket int, rank bigint",
+    )
     running = Window.partitionBy("feature", "bracket").orderBy("value")
-    wanted = F.lit(None).cast("array<bigint>")
-    for c, bs in open_ones.items():
-        for i, b in enumerate(bs):
-            here = (F.col("feature") == F.lit(c)) & (F.col("bracket") == F.lit(i))
-            local = F.array(*[F.lit(r - b.below).cast("bigint") for r in sorted(b.ranks)])
-            wanted = F.when(here, local).otherwise(wanted)
     found = (
         counts.withColumn("through", F.sum("n").over(running))
-        .withColumn("rank", F.explode(wanted))
+        .join(F.broadcast(wanted), ["feature", "bracket"])
         .where((F.col("rank") < F.col("through")) & (F.col("rank") >= F.col("through") - F.col("n")))
+        .select("feature", "bracket", "rank", "value")
         .collect()
     )
     for r in found:

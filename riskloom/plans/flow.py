@@ -19,7 +19,6 @@ from riskloom.operators.evidence import (
     select_k_best,
     woe_transform,
 )
-from riskloom.operators.profile import missing_rate
 from riskloom.operators.shaping import KEY, LABEL, feature_lists
 from riskloom.plans.scoring import predicted_class, score_features
 from riskloom.plans.store import save_scorer
@@ -76,10 +75,13 @@ def prepare(
     cat, num = feature_lists(train, keys, label)
     bins = fit_bins(train, label, cat, num, bins=prebins, method=method)
 
-    spark = train.sparkSession
-    iv = bins.to_table(spark).groupBy("feature").agg(F.sum("iv").alias("iv"))
+    # Counted while binning, so the gate costs no further pass.
+    rows = F.col("good") + F.col("bad")
+    absent = F.sum(F.when(F.col("kind") == "missing", rows).otherwise(0))
     gate = (
-        iv.join(missing_rate(train, bins.features), "feature")
+        bins.to_table(train.sparkSession)
+        .groupBy("feature")
+        .agg(F.sum("iv").alias("iv"), F.try_divide(absent, F.sum(rows)).alias("missing_rate"))
         .where(F.col("iv").between(*iv_band) & (F.col("missing_rate") <= max_missing))
         .select("feature")
         .collect()

@@ -28,15 +28,17 @@ def scored():
     return rows
 
 
-@pytest.mark.parametrize("parts", [1, 17])
-def test_areas_match_brute_force(spark, scored, parts):
+@pytest.mark.parametrize("parts,rows", [(1, 1_000_000), (17, 30)])
+def test_areas_match_brute_force(spark, scored, parts, rows, monkeypatch):
+    monkeypatch.setattr(V, "CURVE_ROWS", rows)
     df = spark.createDataFrame(scored, "y int, s double").repartition(parts)
     expected = _pairs(scored)
     assert V.roc_auc(df, "y", "s").first()[0] == pytest.approx(expected, abs=1e-12)
     assert V.roc_auc_trapezoid(df, "y", "s").first()[0] == pytest.approx(expected, abs=1e-12)
 
 
-def test_curve(spark, scored):
+def test_curve(spark, scored, monkeypatch):
+    monkeypatch.setattr(V, "CURVE_ROWS", 25)
     df = spark.createDataFrame(scored, "y int, s double")
     p = sum(y for y, _ in scored)
     n = len(scored) - p
@@ -55,7 +57,8 @@ def test_one_class_has_no_area(spark):
     df = spark.createDataFrame([(1, 0.2), (1, 0.3)], "y int, s double")
     assert V.roc_auc(df, "y", "s").first()[0] is None
     assert V.roc_auc_trapezoid(df, "y", "s").first()[0] is None
-    assert [r["fpr"] for r in V.roc_curve(df, "y", "s").collect()] == [None, None]
+    curve = V.roc_curve(df, "y", "s").orderBy("threshold").collect()
+    assert [(r["fpr"], r["tpr"]) for r in curve] == [(None, 1.0), (None, 0.5)]
 
 
 def test_report(spark):
