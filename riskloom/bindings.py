@@ -33,7 +33,7 @@ def text_features(documents: DataFrame) -> DataFrame:
     words = F.split("text", " ", -1)
 
     def share_of(pattern: str) -> Column:
-        return F.regexp_count("text", F.lit(pattern)) / F.col("n_chars")
+        return F.try_divide(F.regexp_count("text", F.lit(pattern)), "n_chars")
 
     return documents.select(
         "doc_id",
@@ -42,7 +42,7 @@ def text_features(documents: DataFrame) -> DataFrame:
         "n_chars",
         share_of(" ").alias("space_ratio"),
         share_of("[0-9]").alias("digit_ratio"),
-        (F.size(F.array_distinct(words)) / F.size(words)).alias("uniq_ratio"),
+        F.try_divide(F.size(F.array_distinct(words)), F.size(words)).alias("uniq_ratio"),
         share_of("[A-Z]").alias("upper_ratio"),
         share_of("[.]").alias("dot_ratio"),
     )

@@ -132,20 +132,19 @@ def prebin_categorical(
     The pooled row has a NULL category and ``pooled`` set; missing values have
     a NULL category without it. At most ``1 / min_share + 2`` rows per feature.
     """
-    counts = category_counts(df, columns)
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("total"))
-    # One row per feature, so the broadcast is as small as the column list.
-    shares = counts.join(F.broadcast(totals), "feature").withColumn(
-        "rare", F.col("category").isNotNull() & (F.col("n") < min_share * F.col("total"))
+    # Every feature has the table's row count, which Parquet knows without a scan.
+    total = F.lit(df.count())
+    counts = category_counts(df, columns).withColumn(
+        "rare", F.col("category").isNotNull() & (F.col("n") < min_share * total)
     )
     return (
-        shares.groupBy(
+        counts.groupBy(
             "feature",
             F.when(~F.col("rare"), F.col("category")).alias("category"),
             F.col("rare").alias("pooled"),
         )
-        .agg(F.sum("n").alias("n"), F.max("total").alias("total"))
-        .select("feature", "category", "n", (F.col("n") / F.col("total")).alias("share"), "pooled")
+        .agg(F.sum("n").alias("n"))
+        .select("feature", "category", "n", F.try_divide("n", total).alias("share"), "pooled")
     )
 
 

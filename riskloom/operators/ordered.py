@@ -155,7 +155,7 @@ def sessions(
             | ((F.col("_bucket") + 1) * (bucket_s * _US) - epoch_us(F.col("last_ts")) <= gap),
         )
     )
-    over_time = Window.partitionBy(*keys, "_edge").orderBy("first_ts")
+    over_time = Window.partitionBy(*keys).orderBy("first_ts")
     apart = epoch_us(F.col("first_ts")) - epoch_us(F.lag("last_ts").over(over_time)) > gap
     edge_id = F.sum(F.coalesce(apart, F.lit(True)).cast("bigint")).over(over_time)
     columns = [*keys, "first_ts", "last_ts", "readings"]

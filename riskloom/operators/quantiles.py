@@ -111,17 +111,23 @@ def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     probabilities: list[float],
-    limit: int = 50_000,
+    limit: int | None = None,
     k: int = SKETCH_K,
     slack: float = SKETCH_SLACK,
 ) -> dict[str, list[float]]:
     """Continuous quantiles with linear interpolation between the two ranks around each.
 
-    A column without values maps to an empty list. ``df`` is read three times,
-    and twice more for every further round of narrowing.
+    A column without values maps to an empty list. ``df`` must be the same on
+    every read; it is read three times, and twice more for every further round
+    of narrowing. ``limit`` is how many rows of a bracket may be ranked in one
+    task; by default it grows with the table up to five million, which takes
+    one round up to about half a billion rows and two up to eighty billion.
     """
     whole = {c: [_Bracket(-math.inf, math.inf, 0, 0)] for c in columns}
     grids, sizes = _propose(df, whole, k)
+    if limit is None:
+        rows = max(sizes.values(), default=0)
+        limit = max(50_000, min(5_000_000, rows // 100))
     ranks = {c: _ranks(n, probabilities) for c, n in sizes.items()}
     for c, n in sizes.items():
         whole[c][0].rows, whole[c][0].ranks = n, ranks[c]
