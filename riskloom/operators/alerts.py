@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions.scores import epoch_us
 from riskloom.operators.gauges import CONFIDENCE_GAUGE, DRIFT_GAUGE, ENTROPY_GAUGE
-from riskloom.operators.ordered import breach_runs, sessions
+from riskloom.operators.ordered import BUCKET_S, breach_runs, sessions
 
 # Fixed values: (alert, metric, comparison, threshold, seconds held, severity).
 ALERT_RULES = [
@@ -41,6 +41,8 @@ GROUP_INTERVAL_S = 5 * 60
 REPEAT_INTERVAL_S = 3 * 3600
 RESOLVE_TIMEOUT_S = 5 * 60
 
+MAX_BROADCAST_RULES = 10_000
+
 RULES_SCHEMA = (
     "alert string, metric string, op string, threshold double, for_s int, severity string"
 )
@@ -59,9 +61,11 @@ def breached(value: Column, op: Column, threshold: Column) -> Column:
 def gauge_rule_match(samples: DataFrame, rules: DataFrame) -> DataFrame:
     """Every reading with every rule on its metric, and whether it breaches.
 
-    Rules are a handful of rows written by hand, hence the broadcast.
+    Rules are written by hand, so they are counted and sent to every task
+    rather than shuffling all readings of a metric together.
     """
-    return samples.join(F.broadcast(rules), "metric").withColumn(
+    few = rules.limit(MAX_BROADCAST_RULES + 1).count() <= MAX_BROADCAST_RULES
+    return samples.join(F.broadcast(rules) if few else rules, "metric").withColumn(
         "breach", breached(F.col("value"), F.col("op"), F.col("threshold"))
     )
 
@@ -72,7 +76,7 @@ def threshold_alerts(
     keys: list[str],
     ts: str = "ts",
     max_gap_s: int | None = None,
-    bucket_s: int = 86_400,
+    bucket_s: int = BUCKET_S,
 ) -> DataFrame:
     """Breaching readings with the start of their run and whether the alert fires yet.
 
@@ -99,7 +103,7 @@ def ratio_threshold_rule(
     for_s: int,
     ts: str = "ts",
     scale: float = 100.0,
-    bucket_s: int = 86_400,
+    bucket_s: int = BUCKET_S,
 ) -> DataFrame:
     """The same for a rule on ``part / whole * scale``; no ratio, no breach."""
     pick = lambda name: F.max(F.when(F.col("metric") == name, F.col("value")))
@@ -177,7 +181,7 @@ def alert_incidents(
     keys: list[str],
     ts: str = "ts",
     timeout_s: int = RESOLVE_TIMEOUT_S,
-    bucket_s: int = 86_400,
+    bucket_s: int | None = None,
 ) -> DataFrame:
     """(alert, keys, first_ts, last_ts, readings): silence for the timeout closes an incident."""
     return sessions(firing, ["alert", *keys], ts, timeout_s, bucket_s)

@@ -16,6 +16,9 @@ from riskloom.functions.scores import epoch_us
 from riskloom.functions.trees import interval_case, number, quoted
 
 _US = 1_000_000
+# A key's rows are worked on hour by hour: even one key holding much of a table
+# is hundreds of tasks a month, and its carry a few thousand rows a year.
+BUCKET_S = 3600
 
 
 def running_totals(
@@ -60,7 +63,7 @@ def breach_runs(
     ts: str,
     breach: str,
     max_gap_s: int | None = None,
-    bucket_s: int = 86_400,
+    bucket_s: int = BUCKET_S,
 ) -> DataFrame:
     """Adds ``run_start``: when the unbroken run of breaches holding the row began.
 
@@ -131,13 +134,14 @@ def breach_runs(
 
 
 def sessions(
-    df: DataFrame, keys: list[str], ts: str, gap_s: int, bucket_s: int = 86_400
+    df: DataFrame, keys: list[str], ts: str, gap_s: int, bucket_s: int | None = None
 ) -> DataFrame:
     """(keys, first_ts, last_ts, readings): readings at most ``gap_s`` apart form a session.
 
     Sessions are formed inside time buckets; only those within a gap of a
     bucket's edge, at most two per bucket, are then joined across buckets.
     """
+    bucket_s = max(BUCKET_S, 4 * gap_s) if bucket_s is None else bucket_s
     if bucket_s <= gap_s:
         raise ValueError("buckets must be wider than the gap")
     place = [*keys, "_bucket"]

@@ -88,7 +88,9 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = B.score_log(_stream(spark, sf_dir, "events"))
     windows = jobs.stream_gauges(log, "ts", "15 minutes", ["job"])
     sent = jobs.write_available(
-        alert_stream(windows, alerts.alert_rules(spark, HOLD_S), ["job"]), "stream-alerts"
+        alert_stream(windows, alerts.alert_rules(spark, HOLD_S), ["job"]),
+        "stream-alerts",
+        rocksdb=True,
     )
     return sent.withColumns(
         {c: F.col(c).cast("timestamp_ntz") for c in ("run_start", "sent_at")}

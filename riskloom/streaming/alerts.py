@@ -68,8 +68,8 @@ def stream_alerts(
 
     ``windows`` are the closed windows of ``stream_gauges``: one row per
     interval and series whatever the traffic, so the state and work of a
-    series are bounded by the clock. The state needs the RocksDB store, which
-    ``jobs.start`` turns on.
+    series are bounded by the clock. The state needs the RocksDB store:
+    ``jobs.start(..., rocksdb=True)``.
     """
     readings = gauge_rule_match(gauge_readings(windows, keys), rules).select(
         "alert",

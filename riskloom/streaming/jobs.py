@@ -43,18 +43,25 @@ def event_time(df: DataFrame, ts: str) -> DataFrame:
 
 
 def start(
-    df: DataFrame, path: str, progress: str, available_now: bool = False, every: str = "15 seconds"
+    df: DataFrame,
+    path: str,
+    progress: str,
+    available_now: bool = False,
+    every: str = "15 seconds",
+    rocksdb: bool = False,
 ) -> StreamingQuery:
     """Append to Parquet files; ``progress`` must be a folder all machines reach.
 
-    State lives in RocksDB, outside the JVM heap. A query keeps the settings
-    it was started with, so the session's own are put back at once.
+    The state store is the session's, as window and session state is small;
+    ``rocksdb`` is for jobs that keep state of their own, which need it. A query
+    keeps the settings it was started with, so the session's are put back at once.
     """
     writer = df.writeStream.format("parquet").option("checkpointLocation", progress)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
     conf = df.sparkSession.conf
     before = conf.get(STATE_STORE, None)
-    conf.set(STATE_STORE, ROCKSDB)
+    if rocksdb:
+        conf.set(STATE_STORE, ROCKSDB)
     try:
         return writer.trigger(**trigger).outputMode("append").start(path)
     finally:
@@ -64,12 +71,14 @@ def start(
             conf.set(STATE_STORE, before)
 
 
-def write_available(df: DataFrame, tag: str) -> DataFrame:
+def write_available(df: DataFrame, tag: str, rocksdb: bool = False) -> DataFrame:
     """Run over all input there is, into files of the shared folder; the files as a table."""
     spark = df.sparkSession
     base = fresh_dir(spark, tag)
     rows = os.path.join(base, "rows")
-    start(df, rows, os.path.join(base, "progress"), available_now=True).awaitTermination()
+    start(
+        df, rows, os.path.join(base, "progress"), available_now=True, rocksdb=rocksdb
+    ).awaitTermination()
     return spark.read.schema(df.schema).parquet(rows)
 
 

@@ -75,7 +75,7 @@ def test_alerts_keep_state_across_batches(spark):
     stream = _files(spark, [first, second, third, end])
     windows = jobs.stream_gauges(stream, "ts", "15 seconds", ["job"], delay="0 seconds")
     sent = jobs.write_available(
-        stream_alerts(windows, A.alert_rules(spark), ["job"], repeat_s=120), "alerts"
+        stream_alerts(windows, A.alert_rules(spark), ["job"], repeat_s=120), "alerts", rocksdb=True
     )
     found = sorted(
         (r["alert"], r["repeat_no"], int((r["run_start"] - T0).total_seconds()), int((r["sent_at"] - T0).total_seconds()))
@@ -110,5 +110,6 @@ def test_incidents_close_after_silence(spark):
 
 def test_session_settings_are_left_alone(spark):
     before = spark.conf.get(jobs.STATE_STORE, None)
-    jobs.write_available(jobs.stream_gauges(_files(spark, [[_at(0)]]), "ts", "1 minute"), "gauges")
+    windows = jobs.stream_gauges(_files(spark, [[_at(0)]]), "ts", "1 minute")
+    jobs.write_available(windows, "gauges", rocksdb=True)
     assert spark.conf.get(jobs.STATE_STORE, None) == before
