@@ -58,8 +58,12 @@ def gauge_resample(
     tie: list[str] | None = None,
     width: str = SCRAPE_INTERVAL,
 ) -> DataFrame:
-    """One value per scrape: the last write in the interval, ``tie`` settling equal times."""
-    order = F.struct(ts, *(tie or []))
+    """One value per scrape: the last write in the interval, ``tie`` settling equal times.
+
+    Leave ``tie`` out where times are distinct: a single time is compared in a
+    hash aggregate, several columns in one that sorts.
+    """
+    order = F.struct(ts, *tie) if tie else F.col(ts)
     return (
         samples.groupBy(F.window(ts, width).alias("_w"), *keys)
         .agg(F.max_by(value, order).alias("value"))
@@ -71,7 +75,7 @@ def gauge_last_value(
     samples: DataFrame, ts: str, keys: list[str], value: str = "value", tie: list[str] | None = None
 ) -> DataFrame:
     """Last reading per key that is not NULL."""
-    order = F.struct(ts, *(tie or []))
+    order = F.struct(ts, *tie) if tie else F.col(ts)
     return (
         samples.where(F.col(value).isNotNull())
         .groupBy(*keys)

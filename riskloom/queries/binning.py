@@ -290,24 +290,24 @@ def anova_f(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _DOC_FEATURES = B.DOC_CAT + B.DOC_NUM
-_DOC_WIDE_SQL = f"""{contingency_sql(DOCS_SQL, B.DOC_NUM, B.DOC_CAT)}, {WOE_SQL},
+DOC_WIDE_SQL = f"""{contingency_sql(DOCS_SQL, B.DOC_NUM, B.DOC_CAT)}, {WOE_SQL},
 {_transformed_sql(B.DOC_NUM, B.DOC_CAT, "doc_id, target")}"""
 
 
-def _doc_bins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, binning.BinMap]:
+def doc_bins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, binning.BinMap]:
     docs = B.labelled_documents(spark, sf_dir, "toxic")
     return docs, binning.fit_bins(docs, "TARGET", B.DOC_CAT, B.DOC_NUM, BINS, merge=False)
 
 
 @query(
     "select_k_best",
-    f"""WITH {_DOC_WIDE_SQL}, {_ANOVA_SQL.format(features=", ".join(_DOC_FEATURES))}, {_ordinals(_DOC_FEATURES)},
+    f"""WITH {DOC_WIDE_SQL}, {_ANOVA_SQL.format(features=", ".join(_DOC_FEATURES))}, {_ordinals(_DOC_FEATURES)},
         best AS (SELECT * FROM places JOIN scores USING (feature)
                  ORDER BY f_score DESC NULLS LAST, ordinal DESC LIMIT 4)
         SELECT ordinal, feature, round(f_score, 6) AS f_score FROM best""",
 )
 def select_k_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, bins = _doc_bins(spark, sf_dir)
+    docs, bins = doc_bins(spark, sf_dir)
     scores = evidence.anova_f(
         evidence.woe_transform(docs, bins, ["TARGET"]), "TARGET", bins.features
     )
@@ -315,17 +315,17 @@ def select_k_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best.withColumn("f_score", rounded(F.col("f_score")))
 
 
-_WEIGHTS = {f: round(-1.0 + 0.25 * i, 2) for i, f in enumerate(_DOC_FEATURES)}
+SCORE_WEIGHTS = {f: round(-1.0 + 0.25 * i, 2) for i, f in enumerate(_DOC_FEATURES)}
 
 
 @query(
     "contribution_summary",
-    f"""WITH {_DOC_WIDE_SQL}, means AS (SELECT {", ".join(f"avg({f}) AS m_{f}" for f in _DOC_FEATURES)} FROM wide)
+    f"""WITH {DOC_WIDE_SQL}, means AS (SELECT {", ".join(f"avg({f}) AS m_{f}" for f in _DOC_FEATURES)} FROM wide)
         {" UNION ALL ".join(
             f"SELECT '{f}' AS feature, round(avg(abs({w} * ({f} - m_{f}))), 6) + 0.0 AS mean_abs_contribution "
-            "FROM wide, means" for f, w in _WEIGHTS.items())}""",
+            "FROM wide, means" for f, w in SCORE_WEIGHTS.items())}""",
 )
 def contribution_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, bins = _doc_bins(spark, sf_dir)
-    summary = evidence.contribution_summary(evidence.woe_transform(docs, bins, []), _WEIGHTS)
+    docs, bins = doc_bins(spark, sf_dir)
+    summary = evidence.contribution_summary(evidence.woe_transform(docs, bins, []), SCORE_WEIGHTS)
     return summary.withColumn("mean_abs_contribution", rounded(F.col("mean_abs_contribution")))

@@ -12,7 +12,7 @@ from riskloom.operators.evidence import woe_transform
 from riskloom.plans import scoring, training
 from riskloom.plans.flow import underwriting_flow as run_flow
 from riskloom.queries import query
-from riskloom.queries.binning import _DOC_WIDE_SQL, _WEIGHTS, BINS, _doc_bins
+from riskloom.queries.binning import DOC_WIDE_SQL, SCORE_WEIGHTS, BINS, doc_bins
 from riskloom.session import fresh_dir, settle
 
 # The signal in this table is stronger than the default gate lets through.
@@ -87,12 +87,12 @@ def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.response_rows(scored, ["doc_id"])
 
 
-_LOGIT = " + ".join(["-2.0", *[f"({w}) * {f}" for f, w in _WEIGHTS.items()]])
+_LOGIT = " + ".join(["-2.0", *[f"({w}) * {f}" for f, w in SCORE_WEIGHTS.items()]])
 
 
 @query(
     "scorecard_score",
-    f"""WITH {_DOC_WIDE_SQL}, p AS (SELECT doc_id, 1 / (1 + exp(-({_LOGIT}))) AS p1 FROM wide)
+    f"""WITH {DOC_WIDE_SQL}, p AS (SELECT doc_id, 1 / (1 + exp(-({_LOGIT}))) AS p1 FROM wide)
         SELECT doc_id, round(1 - p1, 6) AS prob_accept, round(p1, 6) AS prob_decline,
                CASE WHEN p1 > 1 - p1 THEN 'Decline' ELSE 'Accept' END AS result,
                round(-((1 - p1) * log2(1 - p1 + 1e-10) + p1 * log2(p1 + 1e-10)), 6) + 0.0 AS entropy,
@@ -100,8 +100,8 @@ _LOGIT = " + ".join(["-2.0", *[f"({w}) * {f}" for f, w in _WEIGHTS.items()]])
         FROM p""",
 )
 def scorecard_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, bins = _doc_bins(spark, sf_dir)
-    scored = scoring.scorecard_score(docs, bins, _WEIGHTS, -2.0, ["doc_id"])
+    docs, bins = doc_bins(spark, sf_dir)
+    scored = scoring.scorecard_score(docs, bins, SCORE_WEIGHTS, -2.0, ["doc_id"])
     numbers = ("prob_accept", "prob_decline", "entropy", "confidence")
     return scored.withColumns({c: rounded(F.col(c)) for c in numbers})
 

@@ -95,7 +95,7 @@ def gauge_last_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.withColumn("value", rounded(F.col("value")))
 
 
-_RULES_SQL = f"""
+RULES_SQL = f"""
 rules(alert, metric, op, threshold, for_s, severity) AS (VALUES
   ('DataDriftWarning', 'app_data_drift_score', '>', 0.1, {HOLD_S}, 'warning'),
   ('DataDriftCritical', 'app_data_drift_score', '>', 0.3, {HOLD_S}, 'critical'),
@@ -115,7 +115,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 _READINGS_SQL = f"""{_SAMPLES_SQL},
 readings AS (SELECT time_bucket(INTERVAL 15 MINUTES, ts, TIMESTAMP '1970-01-01') AS ts, metric, job,
                     arg_max(value, (ts, event_id)) AS value
-             FROM samples GROUP BY ALL), {_RULES_SQL},
+             FROM samples GROUP BY ALL), {RULES_SQL},
 matched AS (SELECT r.ts, r.metric, r.job, r.value, a.alert, a.severity, a.for_s,
                    CASE a.op WHEN '>' THEN r.value > a.threshold ELSE r.value < a.threshold END AS breach
             FROM readings r JOIN rules a USING (metric))"""

@@ -16,8 +16,9 @@ from riskloom.functions.scores import rounded
 from riskloom.operators import alerts
 from riskloom.plans import scoring, training
 from riskloom.queries import query
+from riskloom.queries.binning import SCORE_WEIGHTS, DOCS_SQL, WOE_SQL, doc_bins, contingency_sql
 from riskloom.queries.models import fitted
-from riskloom.queries.monitoring import _RULES_SQL, HOLD_S
+from riskloom.queries.monitoring import RULES_SQL, HOLD_S
 from riskloom.queries.quality import SCORED_SQL
 from riskloom.streaming import jobs
 from riskloom.streaming.alerts import stream_alerts as alert_stream
@@ -40,6 +41,48 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.response_rows(scored, ["doc_id"])
 
 
+SCORE_WEIGHTS_SQL = ", ".join(f"('{f}', {w})" for f, w in SCORE_WEIGHTS.items())
+_ALL_NUM_SQL = " UNION ALL ".join(
+    f"SELECT doc_id, '{c}' AS feature, {c}::DOUBLE AS v FROM features" for c in B.DOC_NUM
+)
+_ALL_CAT_SQL = " UNION ALL ".join(
+    f"SELECT doc_id, '{c}' AS feature, {c} AS v FROM features" for c in B.DOC_CAT
+)
+
+
+@query(
+    "stream_scorecard",
+    f"""WITH {contingency_sql(DOCS_SQL, B.DOC_NUM, B.DOC_CAT)}, {WOE_SQL},
+        weights(feature, w) AS (VALUES {SCORE_WEIGHTS_SQL}),
+        placed AS (
+          SELECT a.doc_id, a.feature, len(list_filter(m.cuts, lambda e: e <= a.v)) AS bin_id
+          FROM ({_ALL_NUM_SQL}) a JOIN marks m USING (feature)
+          UNION ALL
+          SELECT a.doc_id, a.feature, coalesce(k.bin_id, -2) FROM ({_ALL_CAT_SQL}) a
+          LEFT JOIN kept k ON k.feature = a.feature AND k.v = a.v),
+        logits AS (SELECT doc_id, -2.0 + sum(weights.w * coalesce(woe.woe, 0)) AS z
+                   FROM placed JOIN weights USING (feature)
+                   LEFT JOIN woe ON woe.feature = placed.feature AND woe.bin_id = placed.bin_id
+                   GROUP BY doc_id),
+        p AS (SELECT doc_id, 1 / (1 + exp(-z)) AS p1 FROM logits)
+        SELECT doc_id, CASE WHEN p1 > 1 - p1 THEN 'Decline' ELSE 'Accept' END AS result,
+               round(1 - p1, 6) AS prob_accept, round(p1, 6) AS prob_decline FROM p""",
+)
+def stream_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins fitted on the labelled documents, scores for all documents as they arrive."""
+    _, bins = doc_bins(spark, sf_dir)
+    arriving = B.text_features(_stream(spark, sf_dir, "documents"))
+    scored = jobs.write_available(
+        jobs.stream_scorecard(arriving, bins, SCORE_WEIGHTS, -2.0, ["doc_id"]), "stream-scorecard"
+    )
+    return scored.select(
+        "doc_id",
+        "result",
+        rounded(F.col("prob_accept")).alias("prob_accept"),
+        rounded(F.col("prob_decline")).alias("prob_decline"),
+    )
+
+
 _CLOSED_SQL = "(SELECT max(ts) - INTERVAL 1 MINUTE FROM events)"
 
 
@@ -69,7 +112,7 @@ def stream_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "stream_alerts",
-    f"""WITH {SCORED_SQL}, {_RULES_SQL},
+    f"""WITH {SCORED_SQL}, {RULES_SQL},
         windows AS (SELECT time_bucket(INTERVAL 15 MINUTES, ts, TIMESTAMP '1970-01-01') AS ts, job,
                            avg(entropy) AS e, avg(confidence) AS c FROM scored GROUP BY ALL),
         closed AS (SELECT * FROM windows WHERE ts + INTERVAL 15 MINUTES <= {_CLOSED_SQL}),

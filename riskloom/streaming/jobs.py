@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from riskloom.operators.alerts import RESOLVE_TIMEOUT_S
 from riskloom.operators.binning import BinMap
 from riskloom.operators.gauges import CONFIDENCE_GAUGE, ENTROPY_GAUGE, windowed_means
-from riskloom.plans.scoring import batch_score
+from riskloom.plans.scoring import batch_score, scorecard_score
 from riskloom.session import fresh_dir
 
 WATERMARK = "1 minute"
@@ -89,6 +89,17 @@ def stream_score(
     return batch_score(applications, bins, model, keep)
 
 
+def stream_scorecard(
+    applications: DataFrame,
+    bins: BinMap,
+    weights: dict[str, float],
+    intercept: float,
+    keep: list[str],
+) -> DataFrame:
+    """The same for a linear scorecard as plain column arithmetic."""
+    return scorecard_score(applications, bins, weights, intercept, keep)
+
+
 def stream_gauges(
     scored: DataFrame, ts: str, width: str, keys: list[str] | None = None, delay: str = WATERMARK
 ) -> DataFrame:
