@@ -151,7 +151,10 @@ def alert_group(
     # sorted in one task.
     width = F.expr(f"INTERVAL {interval_s} SECONDS")
     quiet_end = grouped.select(
-        "alert", *keys, (F.col("window_start") + width).alias("window_start"), F.lit(True).alias("_busy")
+        "alert",
+        *keys,
+        (F.col("window_start") + width).alias("window_start"),
+        F.lit(True).alias("_busy"),
     )
     notify_at = F.when(F.col("_busy"), F.col("window_start") + width).otherwise(
         F.col("first_ts") + F.expr(f"INTERVAL {wait_s} SECONDS")

@@ -56,11 +56,11 @@ class Prebins:
         if feature in self.edges:
             edges = self.edges[feature]
             leaves = [number(i) for i in range(len(edges) + 1)]
-            return _guarded(feature, True, interval_case(_as_double(feature), edges, leaves), MISSING_BIN)
+            inner = interval_case(_as_double(feature), edges, leaves)
+            return _guarded(feature, True, inner, MISSING_BIN)
         known = {c: number(i) for i, c in enumerate(self.categories[feature])}
-        return _guarded(
-            feature, False, choice_case(quoted(feature), known, number(OTHER_BIN)), MISSING_BIN
-        )
+        inner = choice_case(quoted(feature), known, number(OTHER_BIN))
+        return _guarded(feature, False, inner, MISSING_BIN)
 
     def definitions(self, spark: SparkSession) -> DataFrame:
         """One row per possible prebin: (feature, ordinal, kind, bin_id, lo, hi, category)."""

@@ -50,7 +50,8 @@ def screening(iv: DataFrame, missing: DataFrame, order: list[str]) -> DataFrame:
     return (
         places.join(iv.select("feature", "iv"), "feature", "left")
         .join(missing, "feature", "left")
-        .select("ordinal", "feature", "iv", "missing_rate", F.coalesce(kept, F.lit(False)).alias("kept"))
+        .withColumn("kept", F.coalesce(kept, F.lit(False)))
+        .select("ordinal", "feature", "iv", "missing_rate", "kept")
     )
 
 
@@ -110,7 +111,9 @@ def anova_f(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     """
     moments = df.groupBy(label).agg(
         *[
-            F.struct(F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var")).alias(f)
+            F.struct(
+                F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var")
+            ).alias(f)
             for f in features
             for x in [F.coalesce(F.col(f).cast("double"), F.lit(0.0))]
         ]
@@ -161,10 +164,8 @@ def contribution_summary(df: DataFrame, weights: dict[str, float]) -> DataFrame:
     """
     features = list(weights)
     means = df.agg(*[F.avg(f).alias(f) for f in features]).first()
-    wide = df.agg(
-        *[
-            F.avg(F.abs(F.lit(float(weights[f])) * (F.col(f) - F.lit(means[f]).cast("double")))).alias(f)
-            for f in features
-        ]
-    )
+    effect = {
+        f: F.lit(float(w)) * (F.col(f) - F.lit(means[f]).cast("double")) for f, w in weights.items()
+    }
+    wide = df.agg(*[F.avg(F.abs(effect[f])).alias(f) for f in features])
     return wide.unpivot([], features, "feature", "mean_abs_contribution")

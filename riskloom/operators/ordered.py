@@ -150,7 +150,9 @@ def sessions(
         df.select(*keys, F.col(ts).alias("_ts"), _bucket_of(F.col(ts), bucket_s).alias("_bucket"))
         .groupBy(*place, F.session_window("_ts", f"{gap_s} seconds").alias("_session"))
         .agg(
-            F.min("_ts").alias("first_ts"), F.max("_ts").alias("last_ts"), F.count("*").alias("readings")
+            F.min("_ts").alias("first_ts"),
+            F.max("_ts").alias("last_ts"),
+            F.count("*").alias("readings"),
         )
         .drop("_session")
         .withColumn(

@@ -91,7 +91,9 @@ def sketch_quantiles(
     return {c: found.get(c, []) for c in columns}
 
 
-def balanced_edges(values: DataFrame, column: str, rows_per_part: int, k: int = SKETCH_K) -> list[float]:
+def balanced_edges(
+    values: DataFrame, column: str, rows_per_part: int, k: int = SKETCH_K
+) -> list[float]:
     """Cut points giving parts of about ``rows_per_part`` rows, at most ``GRID`` of them.
 
     A value filling several parts gets one cut point, so parts never split ties.

@@ -38,7 +38,7 @@ from riskloom.sources.writers import append_run, write_versioned
 
 @dataclass
 class Preparation:
-    """What preprocessing leaves behind."""
+    """What preprocessing leaves behind; the tables are transformed as they are read."""
 
     bins: BinMap
     selected: list[str]
@@ -89,13 +89,12 @@ def prepare(
     passed = {r["feature"] for r in gate}
     survivors = [f for f in bins.features if f in passed]
 
-    transformed = settle(woe_transform(train, bins.only(survivors), [*keys, label]), "woe")
     selected = survivors
     if survivors and k != "auto":
-        scores = anova_f(transformed, label, survivors)
+        scores = anova_f(woe_transform(train, bins.only(survivors), [label]), label, survivors)
         selected = [r["feature"] for r in select_k_best(scores, survivors, k).collect()]
     bins = bins.only(selected)
-    out_train = transformed.select(*keys, label, *selected)
+    out_train = woe_transform(train, bins, [*keys, label])
     out_test = None if test is None else woe_transform(test, bins, keys)
     return Preparation(bins, selected, out_train, out_test)
 
@@ -143,7 +142,9 @@ def underwriting_flow(
     prepared = prepare(train, test, keys, label, k, iv_band)
     if not prepared.selected:
         raise ValueError("no feature passed the gate")
-    write_versioned(prepared.train, os.path.join(dest, "train.parquet"), data_version)
+    written = write_versioned(prepared.train, os.path.join(dest, "train.parquet"), data_version)
+    # Trials, training and evaluation read the written table, not the raw one again.
+    prepared.train = spark.read.schema(prepared.train.schema).parquet(written)
     if prepared.test is not None:
         write_versioned(prepared.test, os.path.join(dest, "test.parquet"), data_version)
 
