@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FALLBACK: dict[str, str] = {}
-
 
 def build_session(cpus: str = "*", app: str = "riskloom", **conf: str) -> SparkSession:
     """Local session for tests and bench; a cluster supplies its own."""
@@ -31,26 +27,19 @@ def build_session(cpus: str = "*", app: str = "riskloom", **conf: str) -> SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one beside the warehouse's tables.
 
-    Only a local master may go without the setting; it then gets one
-    temporary folder per application. On a cluster a machine-local folder
-    would be lost with its machine, so a missing setting is an error.
+    Both are shared by all executors; a machine-local folder would be lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _LOCAL_FALLBACK:
-        _LOCAL_FALLBACK[app] = tempfile.mkdtemp(prefix="riskloom-")
-    return _LOCAL_FALLBACK[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/riskloom-scratch"
 
 
 def fresh_dir(spark: SparkSession, tag: str) -> str:
     """A path under the shared folder that nobody has used before."""
-    return os.path.join(shared_dir(spark), f"{tag}-{uuid.uuid4().hex}")
+    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
