@@ -7,7 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.bindings import table
-from riskloom.llm import bpe, decontaminate, line_dedup, near_dedup, pretokens, token_counts, topk
+from riskloom.llm import (
+    bpe,
+    decontaminate,
+    language,
+    line_dedup,
+    near_dedup,
+    pretokens,
+    token_counts,
+    topk,
+    toxicity,
+    url_filter,
+)
+from riskloom.llm.common import in_fold
 from riskloom.queries import query
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -83,3 +95,36 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of near copies of every document."""
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+RULES = [
+    ("com/", "allow"),
+    ("example.com/en/", "block"),
+    ("www.example.com/en/", "allow"),
+    ("net/es/", "block"),
+    ("net/fr/", "block"),
+]
+
+
+@query("op1_url_filter")
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the urls of all pages."""
+    return url_filter.url_filter(table(spark, sf_dir, "pages"), RULES)
+
+
+@query("op2_language")
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those outside the fold."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = in_fold(F.col("doc_id"), 3, 1)
+    model = language.fit(docs.where(~held_out))
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from labels outside the fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = in_fold(F.col("doc_id"), 4, 2)
+    model = toxicity.fit(docs, labels.where(~held_out))
+    return toxicity.toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
