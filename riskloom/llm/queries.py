@@ -12,6 +12,7 @@ from riskloom.llm import (
     decontaminate,
     language,
     line_dedup,
+    maxent,
     near_dedup,
     pretokens,
     token_counts,
@@ -128,3 +129,11 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = in_fold(F.col("doc_id"), 4, 2)
     model = toxicity.fit(docs, labels.where(~held_out))
     return toxicity.toxicity(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
+@query("op6_lm_scores")
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents, learned from those outside the fold."""
+    held_out = in_fold(F.col("doc_id"), 7, 2)
+    scores = maxent.lm_scores(table(spark, sf_dir, "documents"), ~held_out)
+    return scores.withColumn("held_out", held_out)
