@@ -121,35 +121,64 @@ def contamination(
     pass each table in turn; with several tables the parts of a document are put together by a
     key made of its id and text.
     """
-    windows = settle(item_windows(items, item_id, item_text), "windows")
-    total = windows.count()
-    tables = max(1, -(-total // TABLE_WINDOWS))
+    tables = _tables(items, item_id, item_text)
     own = pick(docs, doc_id=doc_id, text=text).select("doc_id", F.col("text").cast("binary").alias("text"))
-    if tables == 1:
-        found = _hits(own, windows.collect(), merge=False)
-    else:
-        keyed = own.withColumn("key", F.xxhash64("text"))
-        split = windows.withColumn("table", F.pmod(F.xxhash64("words"), F.lit(tables)))
-        found = None
-        for k in range(tables):
-            part = _hits(keyed, split.where(F.col("table") == k).select("words", "items").collect(), merge=True)
-            part = settle(part, "hits")
-            found = part if found is None else found.unionByName(part)
-        found = _together(found, tables)
-    return found
+    if len(tables) == 1:
+        return _hits(own, tables[0].collect(), merge=False)
+    keyed = own.withColumn("key", F.xxhash64("text"))
+    found = None
+    for windows in tables:
+        part = settle(_hits(keyed, windows.collect(), merge=True), "hits")
+        found = part if found is None else found.unionByName(part)
+    return _together(found, len(tables))
+
+
+def decontaminate(
+    docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, in whose text no window of ``items`` occurs.
 
+    Texts, items and windows are those of ``contamination``; null and empty texts stay.
+    """
+    at = docs.columns.index(text)
+    for windows in _tables(items, item_id, item_text):
+        shared = _shared(docs, windows.collect())
 
-_OUT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
+        def keep(it: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            searches = [Search(x) for x in shared.value]
+            for b in it:
+                clean = [not _search((t.as_py() or "").encode(), searches)[1] for t in b.column(at)]
+                yield b.filter(pa.array(clean, pa.bool_()))
 
+        docs = docs.mapInArrow(keep, docs.schema)
+    return docs
 
-def _hits(docs: DataFrame, windows: list, merge: bool) -> DataFrame:
-    """What one table of windows finds; the words hit as spans if they are to be merged."""
-    spark = docs.sparkSession
+
+def _tables(items: DataFrame, item_id: str, text: str) -> list[DataFrame]:
+    """The distinct windows, in tables of about TABLE_WINDOWS at most."""
+    windows = settle(item_windows(items, item_id, text), "windows")
+    n = max(1, -(-windows.count() // TABLE_WINDOWS))
+    if n == 1:
+        return [windows]
+    table = F.pmod(F.xxhash64("words"), F.lit(n))
+    return [windows.where(table == k) for k in range(n)]
+
+
+def _shared(docs: DataFrame, windows: list):
+    """One table's windows by length, for all tasks."""
     by_length: dict[int, dict[tuple[bytes, ...], tuple[str, ...]]] = {}
     for w, ids in windows:
         w = tuple(bytes(x) for x in w)
         by_length.setdefault(len(w), {})[w] = tuple(ids)
-    shared = spark.sparkContext.broadcast(list(by_length.values()))
+    return docs.sparkSession.sparkContext.broadcast(list(by_length.values()))
+
+
+_OUT = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, items array<string>"
+
+
+def _hits(docs: DataFrame, windows: list, merge: bool) -> DataFrame:
+    """What one table of windows finds; the words hit as spans if they are to be merged."""
+    shared = _shared(docs, windows)
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, " + ("key long, n_words long, spans array<long>, items array<string>" if merge else _OUT)
 
@@ -249,12 +278,3 @@ def _together(parts: DataFrame, tables: int) -> DataFrame:
         .drop("copy")
     )
 
-
-def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, with all their columns, in which no window of the benchmark occurs.
-
-    Documents are matched by id and text, so equal rows share their fate; null ids too.
-    """
-    found = contamination(docs, items, doc_id, text).where("contaminated").select(F.col("doc_id").alias("bad"))
-    found = found.distinct()
-    return docs.join(found, docs[doc_id].eqNullSafe(found["bad"]), "left_anti")

@@ -1,7 +1,7 @@
 """Fuzzy line dedup: one occurrence of each group of near-equal lines stays.
 
-Lines are normalised and get a SimHash over their pairs of neighbouring characters, counted as
-often as they occur. Fingerprints within LINK_BITS bits share at least two of five blocks
+Lines are normalised and get a SimHash over their runs of GRAM characters, each counted as often
+as it occurs. Fingerprints within LINK_BITS bits share at least two of five blocks
 (pigeonhole), so they are compared where a pair of blocks is equal. Groups of fingerprints then
 get their normalised texts, and two lines are linked if also their edit similarity is at least
 MIN_SIMILARITY. Of each connected group the first occurrence, by doc_id and line number, stays.
@@ -29,7 +29,10 @@ LINK_BITS = 3
 MIN_SIMILARITY = 0.8
 #: Widths of the blocks; of five, at most three hold a differing bit.
 BLOCKS = (13, 13, 13, 13, 12)
-#: Characters whose bits are added up at a time: as many as a byte can count.
+#: Characters of a run, and the factor that hashes them.
+GRAM = 4
+MIX = np.uint32(0x9E3779B1)
+#: Runs whose bits are added up at a time: as many as a byte can count.
 ADD = 255
 #: Such pieces of lines added up at a time.
 TOGETHER = 64
@@ -47,17 +50,17 @@ def normalised(text: str) -> list[str]:
     return as_text(single_spaces(folded)).split("\n")
 
 
-def _pair_bits() -> np.ndarray:
-    """For each of 2^16 hashed pairs, its 64 random bits as 64 bytes of 0 or 1 in 8 words."""
+def _run_bits() -> np.ndarray:
+    """For each of 2^16 hashed runs, its 64 random bits as 64 bytes of 0 or 1 in 8 words."""
     bits = np.random.default_rng(42).integers(0, 2, (1 << 16, 64), dtype=np.uint8)
     return bits.view(np.uint64)
 
 
 class LinePrints:
-    """SimHash of lines over pairs of neighbouring characters, each as often as it occurs."""
+    """SimHash of lines over runs of GRAM characters, each as often as it occurs."""
 
     def __init__(self) -> None:
-        self.table = _pair_bits()
+        self.table = _run_bits()
 
     def of(self, lines: list[str]) -> np.ndarray:
         """Unsigned 64 bits for each line; an empty line gives zero."""
@@ -66,19 +69,23 @@ class LinePrints:
         while k < len(lines):
             size, n = 0, k
             while n < len(lines) and (n == k or size + len(lines[n]) < CHUNK):
-                size += len(lines[n]) + 1
+                size += len(lines[n]) + GRAM
                 n += 1
             out[k:n] = self._some(lines[k:n])
             k = n
         return out
 
     def _some(self, lines: list[str]) -> np.ndarray:
-        # each line is closed by a line feed, so that its characters make as many pairs
-        codes = np.frombuffer(("\n".join(lines) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
-        pairs = (codes[:-1] * np.uint32(0x9E3779B1) + codes[1:] * np.uint32(0x85EBCA6B)) >> np.uint32(16)
+        # each line is closed by line feeds, so that it has as many runs as characters
+        close = "\n" * (GRAM - 1)
+        points = codes(close.join(lines) + close)
+        runs = np.zeros(points.size - GRAM + 1, np.uint32)
+        for k in range(GRAM):
+            runs = runs * MIX + points[k : k + runs.size]
+        runs = (runs * MIX) >> np.uint32(16)
         size = np.fromiter(map(len, lines), np.int64, len(lines))
-        start = np.cumsum(size + 1) - size - 1
-        # pieces of at most ADD pairs, each of one line
+        start = np.cumsum(size + GRAM - 1) - size - GRAM + 1
+        # pieces of at most ADD runs, each of one line
         per = -(-size // ADD)
         owner = np.repeat(np.arange(len(lines)), per)
         votes = np.zeros((len(lines), 64), np.int64)
@@ -90,7 +97,7 @@ class LinePrints:
         sums = np.empty((owner.size, 8), np.uint64)
         for i in range(0, owner.size, TOGETHER):
             lo, hi = begin[i], stop[min(i + TOGETHER, owner.size) - 1]
-            rows = np.take(self.table, pairs[lo:hi], axis=0)
+            rows = np.take(self.table, runs[lo:hi], axis=0)
             # what lies between two lines, if anything, is added up by itself and left out
             edges = np.stack([begin[i : i + TOGETHER], stop[i : i + TOGETHER]], axis=1).ravel()[:-1] - lo
             keep = np.ones(edges.size, bool)
@@ -269,8 +276,10 @@ def line_groups(lines: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text, n_lines, n_removed, removed): one row per row of ``docs``.
+def line_dedup(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """(doc_id, text, carry..., n_lines, n_removed, removed): one row per row of ``docs``.
 
     Lines end at line feeds and are compared normalised (see ``normalised``). Lines that are
     blank then are never removed. Of each connected group of lines the one with the lowest doc_id
@@ -278,9 +287,11 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     that go, ``text`` is the rest. A null text stays null with no lines; an empty text is one blank
     line. Rows that repeat both id and text count as one document, and each gets its result; of
     rows with equal id and unlike text the one with the lower text hash comes first. Null ids
-    come first. Other columns stay out of it. An empty table gives no rows.
+    come first. Columns named in ``carry`` come along; others stay out of it. An empty table gives no rows.
     """
-    own = pick(docs, doc_id=doc_id, text=text).withColumn("text_hash", F.xxhash64("text"))
+    own = pick(docs, doc_id=doc_id, text=text, **{f"_{c}": c for c in carry})
+    own = own.withColumn("text_hash", F.xxhash64("text"))
+    carried = [F.col(f"_{c}").alias(c) for c in carry]
     lines = settle(lines_of(own.select("doc_id", "text_hash", "text")), "lines")
     place = F.struct("doc_id", "text_hash", "line_no")
     groups = line_groups(lines, own)
@@ -302,15 +313,15 @@ def line_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     )
     none = F.array().cast("array<int>")
     parts = F.split(F.col("text"), "\n", -1)
-    kept = F.filter(parts, lambda x, i: ~F.array_contains(F.col("removed"), i))
-    return found.select("d.doc_id", "d.text", F.coalesce("g.removed", none).alias("removed")).select(
+    numbers = F.sequence(F.lit(0), F.array_size(parts) - 1)
+    kept = F.transform(F.array_except(numbers, "removed"), lambda i: F.get(parts, i))
+    found = found.select("d.*", F.coalesce("g.removed", none).alias("removed"))
+    return found.select(
         "doc_id",
-        F.when(F.size("removed") == 0, F.col("text")).otherwise(_without(kept)).alias("text"),
-        F.coalesce(F.size(parts), F.lit(0)).cast("long").alias("n_lines"),
+        F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        *carried,
+        F.coalesce(F.array_size(parts), F.lit(0)).cast("long").alias("n_lines"),
         F.size("removed").cast("long").alias("n_removed"),
         "removed",
     )
 
-
-def _without(kept: Column) -> Column:
-    return F.array_join(kept, "\n")

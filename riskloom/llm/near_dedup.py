@@ -123,6 +123,15 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     return spanning_links(settle(_visits(fps), "visits"), ["half", "anchor"], LINK_BITS)
 
 
+def fingerprint_groups(prints: DataFrame) -> DataFrame:
+    """(fp, component): each distinct fingerprint of ``prints`` and a label of its group."""
+    distinct = settle(prints.select("fp").distinct(), "distinct")
+    groups = components(fingerprint_links(distinct))
+    return distinct.join(groups, distinct["fp"] == groups["node"], "left").select(
+        "fp", F.coalesce("component", "fp").alias("component")
+    )
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id): one row per row of ``docs``.
 
@@ -133,13 +142,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     other. An empty table gives no rows.
     """
     prints = settle(fingerprints(docs, doc_id, text), "prints")
-    distinct = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    groups = components(fingerprint_links(distinct.select("fp")))
-    named = distinct.join(groups, distinct["fp"] == groups["node"], "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("component")
-    )
-    lowest = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    classes = named.join(lowest, "component").select("fp", "component_id")
+    groups = settle(fingerprint_groups(prints), "groups")
+    # the lowest id of a fingerprint, then of a group: a large group is one row per fingerprint
+    low = prints.groupBy("fp").agg(F.min("doc_id").alias("low")).join(groups, "fp")
+    lowest = low.groupBy("component").agg(F.min("low").alias("component_id"))
+    classes = groups.join(lowest, "component").select("fp", "component_id")
     return prints.join(classes, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, with all their columns, but of each group only the row with the lowest id.
+
+    Of several rows with that id one stays; a null id only where the group has no other.
+    """
+    # written out, so that a number can tell rows apart
+    rows = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    prints = settle(fingerprints(rows, "_row", text).withColumnRenamed("doc_id", "_row"), "prints")
+    groups = fingerprint_groups(prints)
+    first = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("_row").alias("row"))
+    per_print = prints.join(rows.select("_row", doc_id), "_row").groupBy("fp").agg(F.min(first).alias("first"))
+    kept = per_print.join(groups, "fp").groupBy("component").agg(F.min("first").alias("first"))
+    return rows.join(kept.select(F.col("first.row").alias("_row")), "_row", "left_semi").drop("_row")
