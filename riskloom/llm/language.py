@@ -81,6 +81,7 @@ class Model:
     languages: list[str]
     tables: list[Table]
     floor: float
+    root: np.ndarray
     slope: float = 1.0
     offset: float = 0.0
     limit: float = np.inf
@@ -100,6 +101,8 @@ class Model:
             context = self.tables[order - 2]
             where, known = context.find(_lower(keys[miss] >> np.uint64(16), order - 1))
             rest = rest + np.where(known[:, None], context.bow[where], 0.0)
+        else:
+            rest = rest + self.root
         out[miss] = rest
         return out
 
@@ -192,9 +195,12 @@ def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarra
         seen.append(here)
     for order in range(1, ORDER + 1):
         parts = [h[order][0] for h in seen]
+        if order < ORDER:
+            # contexts too, as the padding of a text's first gram closes none itself
+            parts += [h[order + 1][0] >> np.uint64(16) for h in seen]
         every.append(np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64))
     letters = max(2, every[0].size + 1)
-    model = Model(languages, [], float(-np.log(letters)))
+    model = Model(languages, [], float(-np.log(letters)), np.zeros(len(languages)))
     for order in range(1, ORDER + 1):
         keys = every[order - 1]
         by_hash = np.argsort(keys * _HASH)
@@ -219,6 +225,8 @@ def build(languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarra
                 table = model.tables[order - 2]
                 place, there = table.find(contexts)
                 table.bow[place[there], k] = np.log(np.maximum(left[there], 1e-30))
+            elif left.size:
+                model.root[k] = np.log(np.maximum(left[0], 1e-30))
         model.tables.append(Table(keys * _HASH, logp, np.zeros_like(logp)))
     return model
 

@@ -219,7 +219,7 @@ def fit(
     )
     training = settle(rows.select("x", sides.alias("s")).select("x", "s.label", "s.weight"), "posterior")
     training = training.withColumn("features", array_to_vector("x"))
-    linear = LogisticRegression(weightCol="weight", regParam=1e-4, maxIter=50, standardization=False).fit(training)
+    linear = LogisticRegression(weightCol="weight", regParam=1e-6, maxIter=100, standardization=False).fit(training)
     return Model(lexicon, linear.coefficients.toArray(), float(linear.intercept))
 
 
