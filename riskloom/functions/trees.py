@@ -6,6 +6,8 @@ objects costs one JVM call per node.
 
 from __future__ import annotations
 
+import math
+
 
 def quoted(name: str) -> str:
     """Column name for SQL text."""
@@ -16,6 +18,8 @@ def number(value: float | int | None) -> str:
     """Literal for SQL text; doubles keep every digit."""
     if value is None:
         return "CAST(NULL AS DOUBLE)"
+    if isinstance(value, float) and math.isinf(value):
+        return f"CAST('{'' if value > 0 else '-'}Infinity' AS DOUBLE)"
     return f"{value!r}D" if isinstance(value, float) else str(value)
 
 

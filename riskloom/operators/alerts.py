@@ -41,7 +41,7 @@ GROUP_INTERVAL_S = 5 * 60
 REPEAT_INTERVAL_S = 3 * 3600
 RESOLVE_TIMEOUT_S = 5 * 60
 
-MAX_BROADCAST_RULES = 10_000
+RULE_COPIES = 64
 
 RULES_SCHEMA = (
     "alert string, metric string, op string, threshold double, for_s int, severity string"
@@ -55,18 +55,32 @@ def alert_rules(spark: SparkSession, for_s: int | None = None) -> DataFrame:
 
 
 def breached(value: Column, op: Column, threshold: Column) -> Column:
-    return F.when(op == ">", value > threshold).when(op == "<", value < threshold)
+    """Whether the comparison holds; an operator that is none of the six is an error."""
+    return (
+        F.when(op == ">", value > threshold)
+        .when(op == "<", value < threshold)
+        .when(op == ">=", value >= threshold)
+        .when(op == "<=", value <= threshold)
+        .when(op == "==", value == threshold)
+        .when(op == "!=", value != threshold)
+        .otherwise(F.raise_error(F.concat(F.lit("unknown comparison "), op)).cast("boolean"))
+    )
 
 
 def gauge_rule_match(samples: DataFrame, rules: DataFrame) -> DataFrame:
     """Every reading with every rule on its metric, and whether it breaches.
 
-    Rules are written by hand, so they are counted and sent to every task
-    rather than shuffling all readings of a metric together.
+    There are few metrics with very many readings each, so every rule stands RULE_COPIES times
+    and the readings of a metric are dealt to the copies. Small rule tables are sent to the
+    readings by the optimizer instead.
     """
-    few = rules.limit(MAX_BROADCAST_RULES + 1).count() <= MAX_BROADCAST_RULES
-    return samples.join(F.broadcast(rules) if few else rules, "metric").withColumn(
-        "breach", breached(F.col("value"), F.col("op"), F.col("threshold"))
+    copy = F.explode(F.sequence(F.lit(0), F.lit(RULE_COPIES - 1))).alias("_copy")
+    dealt = F.pmod(F.xxhash64(*samples.columns), F.lit(RULE_COPIES)).cast("int")
+    return (
+        samples.withColumn("_copy", dealt)
+        .join(rules.select("*", copy), ["metric", "_copy"])
+        .drop("_copy")
+        .withColumn("breach", breached(F.col("value"), F.col("op"), F.col("threshold")))
     )
 
 

@@ -46,5 +46,8 @@ def drift_between(
 
 
 def distribution_shift(drift: DataFrame) -> DataFrame:
-    """One reading for the whole table on the gauge's scale of 0 to 5."""
-    return drift.agg(F.least(F.sum("psi"), F.lit(SHIFT_MAX)).alias("distribution_shift"))
+    """(distribution_shift, shown): one reading for the whole table, and what the gauge's scale shows."""
+    whole = F.sum("psi")
+    return drift.agg(
+        whole.alias("distribution_shift"), F.least(whole, F.lit(SHIFT_MAX)).alias("shown")
+    )

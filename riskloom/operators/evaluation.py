@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.ordered import running_totals
-from riskloom.operators.profile import class_totals
-from riskloom.operators.quantiles import balanced_edges
+from riskloom.session import settle
 
 # Distinct scores are ranked in parts cut to about this many rows.
 CURVE_ROWS = 1_000_000
@@ -93,19 +94,20 @@ def _scored(df: DataFrame, label: str, score: str, decimals: int | None) -> Data
 
 def _ranked(rows: DataFrame, descending: bool) -> DataFrame:
     """Distinct scores with their counts by class and the running counts up to each."""
-    edges = balanced_edges(rows, "score", CURVE_ROWS)
-    counts = score_counts(rows, "y", "score")
-    return running_totals(counts, "score", {"cum_pos": "pos", "cum_neg": "neg"}, edges, descending)
+    counts = settle(score_counts(rows, "y", "score"), "scores")
+    parts = max(1, math.ceil(counts.count() / CURVE_ROWS))
+    return running_totals(counts, "score", {"cum_pos": "pos", "cum_neg": "neg"}, parts, descending)
 
 
 def roc_curve(df: DataFrame, label: str, score: str, decimals: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score; a rate without its class is NULL."""
     rows = _scored(df, label, score, decimals)
-    totals = class_totals(rows, "y").first()
-    return _ranked(rows, descending=True).select(
+    ranked = _ranked(rows, descending=True)
+    totals = ranked.agg(F.sum("pos").alias("bads"), F.sum("neg").alias("goods")).first()
+    return ranked.select(
         F.col("score").alias("threshold"),
-        _share(F.col("cum_neg"), totals["goods"]).alias("fpr"),
-        _share(F.col("cum_pos"), totals["bads"]).alias("tpr"),
+        _share(F.col("cum_neg"), totals["goods"] or 0).alias("fpr"),
+        _share(F.col("cum_pos"), totals["bads"] or 0).alias("tpr"),
     )
 
 

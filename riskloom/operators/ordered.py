@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.scores import epoch_us
-from riskloom.functions.trees import interval_case, number, quoted
+from riskloom.session import settle
 
 _US = 1_000_000
 # A key's rows are worked on hour by hour: even one key holding much of a table
@@ -22,19 +22,19 @@ BUCKET_S = 3600
 
 
 def running_totals(
-    df: DataFrame, order: str, totals: dict[str, str], edges: list[float], descending: bool = False
+    df: DataFrame, order: str, totals: dict[str, str], parts: int, descending: bool = False
 ) -> DataFrame:
     """Adds running sums over distinct ``order`` values: ``{new column: summed column}``.
 
-    ``edges`` cut the order column into buckets; any edges give the same
-    result, balanced ones give equal tasks.
+    Rows are dealt by ranges of the order column to ``parts`` buckets, and written out so that a
+    row keeps its bucket; any number gives the same result.
     """
-    bucket = interval_case(quoted(order), edges, [number(i) for i in range(len(edges) + 1)])
-    rows = df.withColumn("_bucket", F.expr(bucket))
+    ranged = df.repartitionByRange(parts, order)
+    rows = settle(ranged.withColumn("_bucket", F.spark_partition_id()), "ranges")
     direction = F.col(order).desc() if descending else F.col(order).asc()
     local = Window.partitionBy("_bucket").orderBy(direction)
     place = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
-    # As many rows as there are edges: one task is the right size for this window.
+    # As many rows as there are buckets: one task is the right size for this window.
     earlier = Window.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         rows.groupBy("_bucket")
@@ -69,12 +69,13 @@ def breach_runs(
 
     NULL on rows without a breach. A run ends at the first reading without
     one, and also at a silence longer than ``max_gap_s`` if that is given.
-    Timestamps must be distinct within a key. A key's rows are spread over
-    time buckets of ``bucket_s`` seconds.
+    Readings of a key at one time are one reading, a breach if any of them is. A key's
+    rows are spread over time buckets of ``bucket_s`` seconds.
     """
     place = [*keys, "_bucket"]
     local = Window.partitionBy(*place).orderBy(ts)
     hit = F.coalesce(F.col(breach), F.lit(False))
+    together = local.rangeBetween(Window.currentRow, Window.currentRow)
 
     def begins(previous: Column, ts_col: Column) -> Column:
         """Whether a breaching row begins a run, given the reading before it."""
@@ -84,7 +85,7 @@ def breach_runs(
             new = new | (silence > F.lit(max_gap_s * _US))
         return new
 
-    reading = F.struct(F.col(ts).alias("ts"), hit.alias("hit"))
+    reading = F.struct(F.col(ts).alias("ts"), F.max(hit).over(together).alias("hit"))
     rows = (
         df.withColumn("_bucket", _bucket_of(F.col(ts), bucket_s))
         .withColumn("_now", reading)
@@ -92,7 +93,7 @@ def breach_runs(
         .withColumn(
             "_start",
             F.when(
-                hit & F.col("_previous").isNotNull() & begins(F.col("_previous"), F.col(ts)),
+                F.col("_now.hit") & F.col("_previous").isNotNull() & begins(F.col("_previous"), F.col(ts)),
                 F.col(ts),
             ),
         )

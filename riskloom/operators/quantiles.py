@@ -16,6 +16,7 @@ A wrong sketch costs a further round, never a wrong answer.
 from __future__ import annotations
 
 import math
+import sys
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +28,9 @@ SKETCH_K = 4096
 SKETCH_SLACK = 0.002
 SALT = 64
 GRID = 512
+#: Rows of a bracket that may be ranked in one task.
+RANK_ROWS = 1_000_000
+_LARGEST = sys.float_info.max
 
 
 @dataclass
@@ -40,9 +44,28 @@ class _Bracket:
     ranks: set[int] = field(default_factory=set)
 
 
+def finite(value: str) -> str:
+    """SQL for a double with the infinities moved to the ends of the range, where they can be ranked."""
+    within = f"greatest(least({value}, {number(_LARGEST)}), {number(-_LARGEST)})"
+    # both skip NULL, and NaN is above all numbers to them
+    return f"CASE WHEN {value} IS NULL OR isnan({value}) THEN NULL ELSE {within} END"
+
+
+def _interpolated(low: float, high: float, share: float) -> float:
+    """Between two ranked values; the ends of the range stand for the infinities."""
+    low, high = (math.copysign(math.inf, v) if abs(v) == _LARGEST else v for v in (low, high))
+    if low == high or share == 0:
+        return low
+    if math.isinf(low) and math.isinf(high):
+        return low if share < 0.5 else high
+    return low + (high - low) * share
+
+
 def long_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(feature, value) rows, missing values left out."""
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    """(feature, value) rows, missing values left out and infinities at the ends of the range."""
+    doubles = df.select(
+        *[F.expr(finite(f"CAST({quoted(c)} AS DOUBLE)")).alias(c) for c in columns]
+    )
     present = F.col("value").isNotNull() & ~F.isnan("value")
     return doubles.unpivot([], columns, "feature", "value").where(present)
 
@@ -88,32 +111,14 @@ def sketch_quantiles(
         .collect()
     )
     found = {r["feature"]: list(r["q"]) for r in rows}
-    return {c: found.get(c, []) for c in columns}
-
-
-def balanced_edges(
-    values: DataFrame, column: str, rows_per_part: int, k: int = SKETCH_K
-) -> list[float]:
-    """Cut points giving parts of about ``rows_per_part`` rows, at most ``GRID`` of them.
-
-    A value filling several parts gets one cut point, so parts never split ties.
-    """
-    found = (
-        _sketched(long_numeric(values, [column]), ["feature"], k)
-        .select("n", F.kll_sketch_get_quantile_double("sketch", _grid()).alias("q"))
-        .first()
-    )
-    if found is None:
-        return []
-    parts = min(GRID, math.ceil(found["n"] / rows_per_part))
-    return sorted({found["q"][round(i * GRID / parts)] for i in range(1, parts)})
+    return {c: [_interpolated(q, q, 0) for q in found.get(c, [])] for c in columns}
 
 
 def exact_quantiles(
     df: DataFrame,
     columns: list[str],
     probabilities: list[float],
-    limit: int | None = None,
+    limit: int = RANK_ROWS,
     k: int = SKETCH_K,
     slack: float = SKETCH_SLACK,
 ) -> dict[str, list[float]]:
@@ -122,14 +127,11 @@ def exact_quantiles(
     A column without values maps to an empty list. ``df`` must be the same on
     every read; it is read three times, and twice more for every further round
     of narrowing. ``limit`` is how many rows of a bracket may be ranked in one
-    task; by default it grows with the table up to five million, which takes
-    one round up to about half a billion rows and two up to eighty billion.
+    task: a million takes one round up to about a hundred million rows, and two up to
+    ten billion. Infinite values are ranked as the outermost ones.
     """
     whole = {c: [_Bracket(-math.inf, math.inf, 0, 0)] for c in columns}
     grids, sizes = _propose(df, whole, k)
-    if limit is None:
-        rows = max(sizes.values(), default=0)
-        limit = max(50_000, min(5_000_000, rows // 100))
     ranks = {c: _ranks(n, probabilities) for c, n in sizes.items()}
     for c, n in sizes.items():
         whole[c][0].rows, whole[c][0].ranks = n, ranks[c]
@@ -150,7 +152,7 @@ def exact_quantiles(
         for p in probabilities:
             position = p * (n - 1)
             low, high = at_rank[c, math.floor(position)], at_rank[c, math.ceil(position)]
-            out[c].append(low + (high - low) * (position - math.floor(position)))
+            out[c].append(_interpolated(low, high, position - math.floor(position)))
     return out
 
 
@@ -170,7 +172,7 @@ def _segments(
     or what ``numbers`` says for it; rows without a segment are left out."""
     tagged = []
     for c, cuts in edges.items():
-        value = f"CAST({quoted(c)} AS DOUBLE)"
+        value = finite(f"CAST({quoted(c)} AS DOUBLE)")
         found = range(len(cuts) + 1) if numbers is None else numbers[c]
         leaves = ["CAST(NULL AS INT)" if n is None else number(n) for n in found]
         segment = F.expr(interval_case(value, cuts, leaves)).alias("segment")

@@ -13,7 +13,14 @@ from riskloom.functions.scores import rounded
 from riskloom.operators import profile, shaping
 from riskloom.queries import query
 from riskloom.session import fresh_dir
-from riskloom.sources import parse_records, read_applications, read_object, write_versioned
+from riskloom.sources import (
+    parse_records,
+    read_applications,
+    read_object,
+    rejected_records,
+    rejected_rows,
+    write_versioned,
+)
 
 _ORDERS = T.StructType(
     [
@@ -21,17 +28,44 @@ _ORDERS = T.StructType(
         T.StructField("o_custkey", T.LongType()),
         T.StructField("o_orderstatus", T.StringType()),
         T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()),
         T.StructField("o_orderpriority", T.StringType()),
     ]
 )
-_ORDER_SQL = "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
+_ORDER_SQL = f"SELECT {', '.join(_ORDERS.names)} FROM orders"
+_DAMAGED_ORDER = "o_orderkey % 9 = 4"
+
+
+def _orders_csv(spark: SparkSession, sf_dir: str, damaged: bool) -> str:
+    """Orders as CSV, columns in another order and one more; every ninth price no number if damaged."""
+    orders = B.table(spark, sf_dir, "orders").select(*reversed(_ORDERS.names), F.lit("x").alias("extra"))
+    if damaged:
+        price = F.when(F.expr(_DAMAGED_ORDER), "none").otherwise(F.col("o_totalprice").cast("string"))
+        orders = orders.withColumn("o_totalprice", price)
+    path = fresh_dir(spark, "orders") + ".csv"
+    orders.write.option("header", True).csv(path)
+    return path
 
 
 @query("csv_scan", _ORDER_SQL)
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_dir(spark, "orders") + ".csv"
-    B.table(spark, sf_dir, "orders").select(_ORDERS.names).write.option("header", True).csv(path)
-    return read_applications(spark, path, _ORDERS)
+    return read_applications(spark, _orders_csv(spark, sf_dir, damaged=False), _ORDERS)
+
+
+@query(
+    "csv_rejects",
+    f"""SELECT o_orderkey, {_DAMAGED_ORDER} AS rejected,
+               CASE WHEN NOT ({_DAMAGED_ORDER}) THEN o_totalprice END AS o_totalprice FROM orders""",
+)
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a damaged file, the rows that can be read and the keys of the others."""
+    path = _orders_csv(spark, sf_dir, damaged=True)
+    good = read_applications(spark, path, _ORDERS, bad="drop")
+    key = F.get_json_object("rejected", "$.o_orderkey").cast("bigint")
+    lost = rejected_rows(spark, path, _ORDERS).select(
+        key.alias("o_orderkey"), F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("o_totalprice")
+    )
+    return good.select("o_orderkey", F.lit(False).alias("rejected"), "o_totalprice").unionByName(lost)
 
 
 @query("object_store_source", "SELECT * FROM customer")
@@ -44,18 +78,35 @@ def object_store_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_object(spark, os.path.abspath(sf_dir), "customer.parquet", "file")
 
 
+_RECORD = T.StructType([T.StructField("k", T.LongType()), T.StructField("absent", T.StringType())])
+# A text that breaks off, one with a value of another type, and a NULL one.
+_DAMAGED_TEXT = """CASE WHEN event_id % 13 = 0 THEN substring(props, 1, length(props) - 1)
+    WHEN event_id % 13 = 1 THEN '{"k":"many"}' WHEN event_id % 13 = 2 THEN NULL ELSE props END"""
+
+
+def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = B.table(spark, sf_dir, "events")
+    return events.select("event_id", "event_type", F.expr(_DAMAGED_TEXT).alias("body"))
+
+
 @query(
     "json_records_scan",
     """SELECT event_id, event_type, json_extract(props, '$.k')::BIGINT AS k,
               CAST(NULL AS VARCHAR) AS absent
-       FROM events""",
+       FROM events WHERE event_id % 13 > 2""",
 )
 def json_records_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = T.StructType(
-        [T.StructField("k", T.LongType()), T.StructField("absent", T.StringType())]
-    )
-    events = B.table(spark, sf_dir, "events").select("event_id", "event_type", "props")
-    return parse_records(events, "props", record)
+    return parse_records(_bodies(spark, sf_dir), "body", _RECORD, bad="drop")
+
+
+@query(
+    "json_rejects",
+    f"""SELECT event_id, event_type, rejected
+        FROM (SELECT event_id, event_type, {_DAMAGED_TEXT} AS rejected FROM events) WHERE event_id % 13 <= 2""",
+)
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts and records that cannot be read, as they came."""
+    return rejected_records(_bodies(spark, sf_dir), "body", _RECORD)
 
 
 @query("versioned_dataset_write", _ORDER_SQL)

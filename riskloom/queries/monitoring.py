@@ -58,11 +58,11 @@ def drift_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "distribution_shift",
-    f"WITH {_DRIFT_SQL} SELECT round(least(sum(psi), 5.0), 6) + 0.0 AS distribution_shift FROM drift",
+    f"WITH {_DRIFT_SQL} SELECT round(sum(psi), 6) + 0.0 AS distribution_shift, round(least(sum(psi), 5.0), 6) + 0.0 AS shown FROM drift",
 )
 def distribution_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     shift = drift.distribution_shift(_drift(spark, sf_dir))
-    return shift.select(rounded(F.col("distribution_shift")).alias("distribution_shift"))
+    return shift.select(*[rounded(F.col(c)).alias(c) for c in ("distribution_shift", "shown")])
 
 
 _SAMPLES_SQL = f"""{SCORED_SQL},

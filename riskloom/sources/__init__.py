@@ -5,6 +5,8 @@ from riskloom.sources.readers import (
     read_applications,
     read_object,
     read_records,
+    rejected_records,
+    rejected_rows,
 )
 from riskloom.sources.writers import append_run, read_runs, versioned_name, write_versioned
 
@@ -17,6 +19,8 @@ __all__ = [
     "read_object",
     "read_records",
     "read_runs",
+    "rejected_records",
+    "rejected_rows",
     "versioned_name",
     "write_versioned",
 ]

@@ -2,44 +2,131 @@
 
 from pyspark.sql import types as T
 
-# Field names of the record in their natural order, each with its
-# type letter (i = long, f = double, s = string).
-_FIELDS = """
-SK_ID_CURR:i NAME_CONTRACT_TYPE:s CODE_GENDER:s FLAG_OWN_CAR:s FLAG_OWN_REALTY:s CNT_CHILDREN:i
-AMT_INCOME_TOTAL:f AMT_CREDIT:f AMT_ANNUITY:f AMT_GOODS_PRICE:f NAME_TYPE_SUITE:s
-NAME_INCOME_TYPE:s NAME_EDUCATION_TYPE:s NAME_FAMILY_STATUS:s NAME_HOUSING_TYPE:s
-REGION_POPULATION_RELATIVE:f DAYS_BIRTH:i DAYS_EMPLOYED:f DAYS_REGISTRATION:f DAYS_ID_PUBLISH:i
-OWN_CAR_AGE:i FLAG_MOBIL:i FLAG_EMP_PHONE:i FLAG_WORK_PHONE:i FLAG_CONT_MOBILE:i FLAG_PHONE:i
-FLAG_EMAIL:i OCCUPATION_TYPE:s CNT_FAM_MEMBERS:f REGION_RATING_CLIENT:i
-REGION_RATING_CLIENT_W_CITY:i WEEKDAY_APPR_PROCESS_START:s HOUR_APPR_PROCESS_START:i
-REG_REGION_NOT_LIVE_REGION:i REG_REGION_NOT_WORK_REGION:i LIVE_REGION_NOT_WORK_REGION:i
-REG_CITY_NOT_LIVE_CITY:i REG_CITY_NOT_WORK_CITY:i LIVE_CITY_NOT_WORK_CITY:i ORGANIZATION_TYPE:s
-EXT_SOURCE_1:f EXT_SOURCE_2:f EXT_SOURCE_3:f APARTMENTS_AVG:f BASEMENTAREA_AVG:f
-YEARS_BEGINEXPLUATATION_AVG:f YEARS_BUILD_AVG:f COMMONAREA_AVG:f ELEVATORS_AVG:f ENTRANCES_AVG:f
-FLOORSMAX_AVG:f FLOORSMIN_AVG:f LANDAREA_AVG:f LIVINGAPARTMENTS_AVG:f LIVINGAREA_AVG:f
-NONLIVINGAPARTMENTS_AVG:f NONLIVINGAREA_AVG:f APARTMENTS_MODE:f BASEMENTAREA_MODE:f
-YEARS_BEGINEXPLUATATION_MODE:f YEARS_BUILD_MODE:f COMMONAREA_MODE:f ELEVATORS_MODE:f
-ENTRANCES_MODE:f FLOORSMAX_MODE:f FLOORSMIN_MODE:f LANDAREA_MODE:f LIVINGAPARTMENTS_MODE:f
-LIVINGAREA_MODE:f NONLIVINGAPARTMENTS_MODE:f NONLIVINGAREA_MODE:f APARTMENTS_MEDI:f
-BASEMENTAREA_MEDI:f YEARS_BEGINEXPLUATATION_MEDI:f YEARS_BUILD_MEDI:f COMMONAREA_MEDI:f
-ELEVATORS_MEDI:f ENTRANCES_MEDI:f FLOORSMAX_MEDI:f FLOORSMIN_MEDI:f LANDAREA_MEDI:f
-LIVINGAPARTMENTS_MEDI:f LIVINGAREA_MEDI:f NONLIVINGAPARTMENTS_MEDI:f NONLIVINGAREA_MEDI:f
-FONDKAPREMONT_MODE:s HOUSETYPE_MODE:f TOTALAREA_MODE:s WALLSMATERIAL_MODE:s
-EMERGENCYSTATE_MODE:f OBS_30_CNT_SOCIAL_CIRCLE:f DEF_30_CNT_SOCIAL_CIRCLE:f
-OBS_60_CNT_SOCIAL_CIRCLE:f DEF_60_CNT_SOCIAL_CIRCLE:f DAYS_LAST_PHONE_CHANGE:f FLAG_DOCUMENT_2:i
-FLAG_DOCUMENT_3:i FLAG_DOCUMENT_4:i FLAG_DOCUMENT_5:i FLAG_DOCUMENT_6:i FLAG_DOCUMENT_7:i
-FLAG_DOCUMENT_8:i FLAG_DOCUMENT_9:i FLAG_DOCUMENT_10:i FLAG_DOCUMENT_11:i FLAG_DOCUMENT_12:i
-FLAG_DOCUMENT_13:i FLAG_DOCUMENT_14:i FLAG_DOCUMENT_15:i FLAG_DOCUMENT_16:i FLAG_DOCUMENT_17:i
-FLAG_DOCUMENT_18:i FLAG_DOCUMENT_19:i FLAG_DOCUMENT_20:i FLAG_DOCUMENT_21:i
-AMT_REQ_CREDIT_BUREAU_HOUR:f AMT_REQ_CREDIT_BUREAU_DAY:f AMT_REQ_CREDIT_BUREAU_WEEK:f
-AMT_REQ_CREDIT_BUREAU_MON:f AMT_REQ_CREDIT_BUREAU_QRT:f AMT_REQ_CREDIT_BUREAU_YEAR:f
-"""
-
-_TYPES = {"i": T.LongType(), "f": T.DoubleType(), "s": T.StringType()}
+LONG, DOUBLE, TEXT = T.LongType(), T.DoubleType(), T.StringType()
 
+# Field names and types of the record, in their natural order.
 APPLICANT_SCHEMA = T.StructType(
     [
-        T.StructField(name, _TYPES[letter], True)
-        for name, letter in (field.split(":") for field in _FIELDS.split())
+        T.StructField("SK_ID_CURR", LONG),
+        T.StructField("NAME_CONTRACT_TYPE", TEXT),
+        T.StructField("CODE_GENDER", TEXT),
+        T.StructField("FLAG_OWN_CAR", TEXT),
+        T.StructField("FLAG_OWN_REALTY", TEXT),
+        T.StructField("CNT_CHILDREN", LONG),
+        T.StructField("AMT_INCOME_TOTAL", DOUBLE),
+        T.StructField("AMT_CREDIT", DOUBLE),
+        T.StructField("AMT_ANNUITY", DOUBLE),
+        T.StructField("AMT_GOODS_PRICE", DOUBLE),
+        T.StructField("NAME_TYPE_SUITE", TEXT),
+        T.StructField("NAME_INCOME_TYPE", TEXT),
+        T.StructField("NAME_EDUCATION_TYPE", TEXT),
+        T.StructField("NAME_FAMILY_STATUS", TEXT),
+        T.StructField("NAME_HOUSING_TYPE", TEXT),
+        T.StructField("REGION_POPULATION_RELATIVE", DOUBLE),
+        T.StructField("DAYS_BIRTH", LONG),
+        T.StructField("DAYS_EMPLOYED", DOUBLE),
+        T.StructField("DAYS_REGISTRATION", DOUBLE),
+        T.StructField("DAYS_ID_PUBLISH", LONG),
+        T.StructField("OWN_CAR_AGE", LONG),
+        T.StructField("FLAG_MOBIL", LONG),
+        T.StructField("FLAG_EMP_PHONE", LONG),
+        T.StructField("FLAG_WORK_PHONE", LONG),
+        T.StructField("FLAG_CONT_MOBILE", LONG),
+        T.StructField("FLAG_PHONE", LONG),
+        T.StructField("FLAG_EMAIL", LONG),
+        T.StructField("OCCUPATION_TYPE", TEXT),
+        T.StructField("CNT_FAM_MEMBERS", DOUBLE),
+        T.StructField("REGION_RATING_CLIENT", LONG),
+        T.StructField("REGION_RATING_CLIENT_W_CITY", LONG),
+        T.StructField("WEEKDAY_APPR_PROCESS_START", TEXT),
+        T.StructField("HOUR_APPR_PROCESS_START", LONG),
+        T.StructField("REG_REGION_NOT_LIVE_REGION", LONG),
+        T.StructField("REG_REGION_NOT_WORK_REGION", LONG),
+        T.StructField("LIVE_REGION_NOT_WORK_REGION", LONG),
+        T.StructField("REG_CITY_NOT_LIVE_CITY", LONG),
+        T.StructField("REG_CITY_NOT_WORK_CITY", LONG),
+        T.StructField("LIVE_CITY_NOT_WORK_CITY", LONG),
+        T.StructField("ORGANIZATION_TYPE", TEXT),
+        T.StructField("EXT_SOURCE_1", DOUBLE),
+        T.StructField("EXT_SOURCE_2", DOUBLE),
+        T.StructField("EXT_SOURCE_3", DOUBLE),
+        T.StructField("APARTMENTS_AVG", DOUBLE),
+        T.StructField("BASEMENTAREA_AVG", DOUBLE),
+        T.StructField("YEARS_BEGINEXPLUATATION_AVG", DOUBLE),
+        T.StructField("YEARS_BUILD_AVG", DOUBLE),
+        T.StructField("COMMONAREA_AVG", DOUBLE),
+        T.StructField("ELEVATORS_AVG", DOUBLE),
+        T.StructField("ENTRANCES_AVG", DOUBLE),
+        T.StructField("FLOORSMAX_AVG", DOUBLE),
+        T.StructField("FLOORSMIN_AVG", DOUBLE),
+        T.StructField("LANDAREA_AVG", DOUBLE),
+        T.StructField("LIVINGAPARTMENTS_AVG", DOUBLE),
+        T.StructField("LIVINGAREA_AVG", DOUBLE),
+        T.StructField("NONLIVINGAPARTMENTS_AVG", DOUBLE),
+        T.StructField("NONLIVINGAREA_AVG", DOUBLE),
+        T.StructField("APARTMENTS_MODE", DOUBLE),
+        T.StructField("BASEMENTAREA_MODE", DOUBLE),
+        T.StructField("YEARS_BEGINEXPLUATATION_MODE", DOUBLE),
+        T.StructField("YEARS_BUILD_MODE", DOUBLE),
+        T.StructField("COMMONAREA_MODE", DOUBLE),
+        T.StructField("ELEVATORS_MODE", DOUBLE),
+        T.StructField("ENTRANCES_MODE", DOUBLE),
+        T.StructField("FLOORSMAX_MODE", DOUBLE),
+        T.StructField("FLOORSMIN_MODE", DOUBLE),
+        T.StructField("LANDAREA_MODE", DOUBLE),
+        T.StructField("LIVINGAPARTMENTS_MODE", DOUBLE),
+        T.StructField("LIVINGAREA_MODE", DOUBLE),
+        T.StructField("NONLIVINGAPARTMENTS_MODE", DOUBLE),
+        T.StructField("NONLIVINGAREA_MODE", DOUBLE),
+        T.StructField("APARTMENTS_MEDI", DOUBLE),
+        T.StructField("BASEMENTAREA_MEDI", DOUBLE),
+        T.StructField("YEARS_BEGINEXPLUATATION_MEDI", DOUBLE),
+        T.StructField("YEARS_BUILD_MEDI", DOUBLE),
+        T.StructField("COMMONAREA_MEDI", DOUBLE),
+        T.StructField("ELEVATORS_MEDI", DOUBLE),
+        T.StructField("ENTRANCES_MEDI", DOUBLE),
+        T.StructField("FLOORSMAX_MEDI", DOUBLE),
+        T.StructField("FLOORSMIN_MEDI", DOUBLE),
+        T.StructField("LANDAREA_MEDI", DOUBLE),
+        T.StructField("LIVINGAPARTMENTS_MEDI", DOUBLE),
+        T.StructField("LIVINGAREA_MEDI", DOUBLE),
+        T.StructField("NONLIVINGAPARTMENTS_MEDI", DOUBLE),
+        T.StructField("NONLIVINGAREA_MEDI", DOUBLE),
+        T.StructField("FONDKAPREMONT_MODE", TEXT),
+        T.StructField("HOUSETYPE_MODE", DOUBLE),
+        T.StructField("TOTALAREA_MODE", TEXT),
+        T.StructField("WALLSMATERIAL_MODE", TEXT),
+        T.StructField("EMERGENCYSTATE_MODE", DOUBLE),
+        T.StructField("OBS_30_CNT_SOCIAL_CIRCLE", DOUBLE),
+        T.StructField("DEF_30_CNT_SOCIAL_CIRCLE", DOUBLE),
+        T.StructField("OBS_60_CNT_SOCIAL_CIRCLE", DOUBLE),
+        T.StructField("DEF_60_CNT_SOCIAL_CIRCLE", DOUBLE),
+        T.StructField("DAYS_LAST_PHONE_CHANGE", DOUBLE),
+        T.StructField("FLAG_DOCUMENT_2", LONG),
+        T.StructField("FLAG_DOCUMENT_3", LONG),
+        T.StructField("FLAG_DOCUMENT_4", LONG),
+        T.StructField("FLAG_DOCUMENT_5", LONG),
+        T.StructField("FLAG_DOCUMENT_6", LONG),
+        T.StructField("FLAG_DOCUMENT_7", LONG),
+        T.StructField("FLAG_DOCUMENT_8", LONG),
+        T.StructField("FLAG_DOCUMENT_9", LONG),
+        T.StructField("FLAG_DOCUMENT_10", LONG),
+        T.StructField("FLAG_DOCUMENT_11", LONG),
+        T.StructField("FLAG_DOCUMENT_12", LONG),
+        T.StructField("FLAG_DOCUMENT_13", LONG),
+        T.StructField("FLAG_DOCUMENT_14", LONG),
+        T.StructField("FLAG_DOCUMENT_15", LONG),
+        T.StructField("FLAG_DOCUMENT_16", LONG),
+        T.StructField("FLAG_DOCUMENT_17", LONG),
+        T.StructField("FLAG_DOCUMENT_18", LONG),
+        T.StructField("FLAG_DOCUMENT_19", LONG),
+        T.StructField("FLAG_DOCUMENT_20", LONG),
+        T.StructField("FLAG_DOCUMENT_21", LONG),
+        T.StructField("AMT_REQ_CREDIT_BUREAU_HOUR", DOUBLE),
+        T.StructField("AMT_REQ_CREDIT_BUREAU_DAY", DOUBLE),
+        T.StructField("AMT_REQ_CREDIT_BUREAU_WEEK", DOUBLE),
+        T.StructField("AMT_REQ_CREDIT_BUREAU_MON", DOUBLE),
+        T.StructField("AMT_REQ_CREDIT_BUREAU_QRT", DOUBLE),
+        T.StructField("AMT_REQ_CREDIT_BUREAU_YEAR", DOUBLE),
     ]
 )

@@ -2,18 +2,19 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.operators.ordered import breach_runs, running_totals, sessions
 
 T0 = datetime(2024, 1, 1)
 
 
-@pytest.mark.parametrize("edges", [[], [3.0], [1.0, 4.0, 9.5, 40.0]])
+@pytest.mark.parametrize("parts", [1, 2, 5])
 @pytest.mark.parametrize("descending", [False, True])
-def test_running_totals(spark, edges, descending):
+def test_running_totals(spark, parts, descending):
     values = [(float(v), v * 10) for v in range(12)]
     df = spark.createDataFrame(values, "s double, n long").repartition(3)
-    out = running_totals(df, "s", {"through": "n"}, edges, descending)
+    out = running_totals(df, "s", {"through": "n"}, parts, descending)
     total = 0
     for s, n in sorted(values, reverse=descending):
         total += n
@@ -82,3 +83,12 @@ def test_buckets_must_be_wider_than_the_gap(spark):
     df = spark.createDataFrame([("a", T0)], "k string, ts timestamp_ntz")
     with pytest.raises(ValueError):
         sessions(df, ["k"], "ts", 60, 60)
+
+
+def test_readings_at_one_time_are_one(spark):
+    rows = [("a", 0, True), ("a", 10, False), ("a", 10, True), ("a", 20, True), ("a", 30, False), ("a", 40, True)]
+    want = {(0, True): 0, (10, True): 0, (10, False): None, (20, True): 0, (30, False): None, (40, True): 40}
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "k string, t long, hit boolean").withColumn("ts", F.timestamp_seconds("t"))
+        out = breach_runs(df, ["k"], "ts", "hit", bucket_s=15).withColumn("s", F.unix_timestamp("run_start")).collect()
+        assert {(r.t, r.hit): r.s for r in out} == want

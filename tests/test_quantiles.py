@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import quantiles as Q
+from riskloom.operators.binning import bin_contingency, fit_prebins
+from riskloom.operators.quantiles import exact_quantiles
 
 PROBS = [0.0, 0.05, 0.1, 0.25, 0.5, 0.731, 0.9, 0.95, 1.0]
 
@@ -53,3 +55,14 @@ def test_sketch_is_close(spark):
     df = spark.range(100_000).select(F.rand(1).alias("x"))
     found = Q.sketch_quantiles(df, ["x"], [0.1, 0.5, 0.9])["x"]
     np.testing.assert_allclose(found, [0.1, 0.5, 0.9], atol=0.01)
+
+
+def test_infinite_values(spark):
+    inf = float("inf")
+    values = [-inf] * 3 + [float(i) for i in range(20)] + [inf] * 30 + [None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for limit in (5, 1_000_000):
+        found = exact_quantiles(df, ["x"], [0.0, 0.2, 0.5, 1.0], limit=limit)["x"]
+        assert found[0] == -inf and 0 < found[1] < 19 and found[2:] == [inf, inf]
+    bins = fit_prebins(df, [], ["x"], 10)
+    assert bin_contingency(df.withColumn("y", F.lit(1)), "y", bins).agg(F.sum("bad")).first()[0] > 0

@@ -15,6 +15,8 @@ from riskloom.sources import (
     read_object,
     read_records,
     read_runs,
+    rejected_records,
+    rejected_rows,
     versioned_name,
     write_versioned,
 )
@@ -150,3 +152,27 @@ def test_type_conformance(spark):
     found = {r["column_name"]: (r["n_values"], r["n_bad"]) for r in P.type_conformance(df, schema).collect()}
     assert found == {"a": (3, 2), "b": (4, 2)}
     assert P.conforming_rows(df, schema).collect() == [(1, 0.5)]
+
+
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("k,TARGET,b,a\n1,9,x,2\n2,9,,3\nzz,9,y,4\n4,9\n")
+    path = str(tmp_path / "t.csv")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("k", T.LongType()), T.StructField("b", T.StringType())])
+    rows = read_applications(spark, path, schema, bad="drop").collect()
+    assert {tuple(r) for r in rows} == {(2, 1, "x"), (3, 2, None)}, "a row cut short is rejected too"
+    assert rejected_rows(spark, path, schema).count() == 2
+    with pytest.raises(Exception, match="cannot be read"):
+        read_applications(spark, path, schema).collect()
+    with pytest.raises(ValueError, match="nowhere"):
+        read_applications(spark, path, T.StructType([T.StructField("nowhere", T.LongType())]))
+
+
+def test_damaged_records_are_kept_apart(spark):
+    texts = [('[{"k": 1}, {"k": "x"}]',), ('[{"k": 2}',), (None,), ("[]",), ('{"k": 3}',), ("7",)]
+    df = spark.createDataFrame(texts, "body string")
+    schema = T.StructType([T.StructField("k", T.LongType())])
+    assert sorted(r["k"] for r in parse_records(df, "body", schema, bad="drop").collect()) == [1, 3]
+    lost = {r["rejected"] for r in rejected_records(df, "body", schema).collect()}
+    assert lost == {'{"k":"x"}', '[{"k": 2}', None, "7"}
+    with pytest.raises(Exception, match="cannot be read"):
+        parse_records(df, "body", schema).collect()
