@@ -91,6 +91,7 @@ def entity_lookup(ids: DataFrame, table: DataFrame, id_column: str, key: str) ->
     wanted = ids.select(F.col(id_column).alias("requested_id")).distinct()
     found = table.withColumn("_hit", F.lit(True))
     joined = wanted.join(found, wanted["requested_id"] == found[key], "left")
+    # Fixed value: the text of the answer.
     error = F.when(
         F.col("_hit").isNull(),
         F.concat(F.lit("ID "), F.col("requested_id").cast("string"), F.lit(" not found")),

@@ -6,6 +6,7 @@ import os
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,12 +17,14 @@ from riskloom.operators.evidence import (
     MAX_MISSING_RATE,
     MIN_IV,
     anova_f,
+    contribution_summary,
     select_k_best,
     woe_transform,
 )
+from riskloom.operators.profile import table_profile
 from riskloom.operators.shaping import KEY, LABEL, feature_lists
 from riskloom.plans.scoring import predicted_class, score_features
-from riskloom.plans.store import save_scorer
+from riskloom.plans.store import register_scorer
 from riskloom.plans.training import (
     N_ESTIMATORS,
     TRIALS,
@@ -29,11 +32,13 @@ from riskloom.plans.training import (
     best_trial,
     hyper_search,
     params_dict,
+    scorecard_weights,
     train_boosted_trees,
     train_scorecard,
+    tree_importances,
 )
 from riskloom.session import settle
-from riskloom.sources.writers import append_run, write_versioned
+from riskloom.sources.writers import append_run, run_name, write_versioned
 
 
 @dataclass
@@ -49,6 +54,7 @@ class Preparation:
 @dataclass
 class FlowResult:
     run_name: str
+    version: int
     preparation: Preparation
     model: PipelineModel
     metrics: dict[str, float | None]
@@ -112,7 +118,7 @@ def evaluate(
     metrics = {
         "accuracy": accuracy(scored, label, "prediction").first()[0],
         "roc_auc": roc_auc(scored, label, "prob_decline").first()[0],
-        "roc_auc_manual": roc_auc_trapezoid(scored, label, "prob_decline").first()[0],
+        "roc_auc_trapezoid": roc_auc_trapezoid(scored, label, "prob_decline").first()[0],
     }
     return metrics, classification_report(scored, label, "prediction")
 
@@ -161,6 +167,20 @@ def underwriting_flow(
         model = train_boosted_trees(prepared.train, label, prepared.selected, tuned, model_name)
     metrics, report = evaluate(model, prepared.train, keys, label)
 
-    save_scorer(spark, prepared.bins, model, os.path.join(dest, "scorer"))
-    name = append_run(spark, os.path.join(dest, "runs"), version, model_name, params, metrics)
-    return FlowResult(name, prepared, model, metrics, report)
+    name = run_name(version, model_name)
+    number = register_scorer(spark, prepared.bins, model, dest, name)
+    # what a run leaves beside its scorer: class report, contributions and the columns it saw
+    left = os.path.join(dest, "outputs", name, str(number))
+    report.write.parquet(os.path.join(left, "report"))
+    contributions(model, prepared.train).write.parquet(os.path.join(left, "contributions"))
+    table_profile(train).write.parquet(os.path.join(left, "profile"))
+    append_run(spark, os.path.join(dest, "runs"), version, model_name, params, metrics)
+    return FlowResult(name, number, prepared, model, metrics, report)
+
+
+def contributions(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """(feature, mean_abs_contribution): of a scorecard its effects, of trees their gain shares."""
+    if isinstance(model.stages[-1], LogisticRegressionModel):
+        return contribution_summary(features, scorecard_weights(model)[0])
+    rows = list(tree_importances(model).items())
+    return features.sparkSession.createDataFrame(rows, "feature string, mean_abs_contribution double")

@@ -16,7 +16,7 @@ from riskloom.functions.scores import (
 )
 from riskloom.operators.binning import BinMap
 from riskloom.operators.evidence import woe_transform
-from riskloom.operators.shaping import model_input
+from riskloom.operators.shaping import entity_lookup, model_input
 
 
 def with_scores(df: DataFrame, p_accept: Column, p_decline: Column) -> DataFrame:
@@ -62,9 +62,15 @@ def scorecard_score(
 def score_by_id(
     ids: DataFrame, table: DataFrame, bins: BinMap, model: PipelineModel, key: str
 ) -> DataFrame:
-    """Scores of the asked-for rows; unknown ids are left out here and reported by ``entity_lookup``."""
+    """Scores of the asked-for rows; an unknown id gives one row that says so in ``error``."""
     wanted = table.join(ids.select(key).distinct(), key, "left_semi")
-    return batch_score(wanted, bins, model, [key])
+    return answer_by_id(ids, batch_score(wanted, bins, model, [key]), key)
+
+
+def answer_by_id(ids: DataFrame, scored: DataFrame, key: str) -> DataFrame:
+    """``scored`` rows of the distinct ``ids``, with ``error`` for ids that have none."""
+    # requested_id is the same as the key, which is NULL where nothing was found
+    return entity_lookup(ids, scored, key, key).drop(key).withColumnRenamed("requested_id", key)
 
 
 def response_rows(scored: DataFrame, keep: list[str]) -> DataFrame:

@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.operators.binning import BINS_SCHEMA, BinMap
+from riskloom.operators.shaping import latest_with_fallback
 
 
 def save_transformer(spark: SparkSession, bins: BinMap, path: str) -> None:
@@ -24,6 +28,49 @@ def save_scorer(spark: SparkSession, bins: BinMap, model: PipelineModel, path: s
     model.write().overwrite().save(os.path.join(path, "model"))
 
 
+VERSIONS_SCHEMA = "name string, version bigint, stage string, ts timestamp, path string"
+
+
+def model_versions(spark: SparkSession, root: str) -> DataFrame:
+    """(name, version, stage, ts, path) of all models registered under ``root``."""
+    return spark.read.schema(VERSIONS_SCHEMA).parquet(f"{root}/model_versions")
+
+
+def register_scorer(
+    spark: SparkSession, bins: BinMap, model: PipelineModel, root: str, name: str, stage: str = "None"
+) -> int:
+    """Save a scorer under its own path and append it to the table as the name's next version.
+
+    Earlier versions stay as they are. One run at a time registers a name.
+    """
+    try:
+        last = model_versions(spark, root).where(F.col("name") == name).agg(F.max("version")).first()[0]
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        last = None
+    version = (last or 0) + 1
+    path = f"{root}/scorers/{name}/{version}"
+    save_scorer(spark, bins, model, path)
+    row = [(name, version, stage, datetime.now(timezone.utc), path)]
+    table = spark.createDataFrame(row, VERSIONS_SCHEMA).coalesce(1)
+    table.write.mode("append").parquet(f"{root}/model_versions")
+    return version
+
+
+def current_version(versions: DataFrame) -> DataFrame:
+    """Per name the newest version in production, else the newest in no stage."""
+    return latest_with_fallback(versions, "name", "stage", ["version"])
+
+
+def load_registered(spark: SparkSession, root: str, name: str) -> tuple[BinMap, PipelineModel]:
+    """The scorer that ``current_version`` chooses."""
+    found = current_version(model_versions(spark, root).where(F.col("name") == name)).first()
+    if found is None:
+        raise ValueError(f"no version of {name} can be used")
+    return load_scorer(spark, found["path"])
+
+
 def load_scorer(spark: SparkSession, path: str) -> tuple[BinMap, PipelineModel]:
     bins = load_transformer(spark, os.path.join(path, "bins"))
     return bins, PipelineModel.load(os.path.join(path, "model"))

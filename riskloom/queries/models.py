@@ -9,7 +9,7 @@ from riskloom import bindings as B
 from riskloom.functions.scores import rounded
 from riskloom.operators.binning import BinMap, fit_bins
 from riskloom.operators.evidence import woe_transform
-from riskloom.plans import scoring, training
+from riskloom.plans import scoring, store, training
 from riskloom.plans.flow import underwriting_flow as run_flow
 from riskloom.queries import query
 from riskloom.queries.binning import DOC_WIDE_SQL, SCORE_WEIGHTS, BINS, doc_bins
@@ -125,3 +125,60 @@ def underwriting_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "run_name string, metric string, value double")
 
 
+
+
+_CARD_COLUMNS = "round(1 - p1, 6) AS prob_accept, round(p1, 6) AS prob_decline"
+
+
+@query(
+    "score_by_id",
+    f"""WITH {DOC_WIDE_SQL}, p AS (SELECT doc_id, 1 / (1 + exp(-({_LOGIT}))) AS p1 FROM wide),
+        ids AS (SELECT DISTINCT c_custkey * 2 AS id FROM customer)
+        SELECT ids.id AS doc_id, {_CARD_COLUMNS},
+               CASE WHEN p1 > 1 - p1 THEN 'Decline' WHEN p1 IS NOT NULL THEN 'Accept' END AS result,
+               CASE WHEN p1 IS NULL THEN 'ID ' || ids.id || ' not found' END AS error
+        FROM ids LEFT JOIN p ON p.doc_id = ids.id""",
+)
+def score_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers for a list of ids, of which some have no row."""
+    docs, bins = doc_bins(spark, sf_dir)
+    ids = B.table(spark, sf_dir, "customer").select((F.col("c_custkey") * 2).alias("doc_id"))
+    wanted = docs.join(ids.distinct(), "doc_id", "left_semi")
+    scored = scoring.scorecard_score(wanted, bins, SCORE_WEIGHTS, -2.0, ["doc_id"])
+    answers = scoring.answer_by_id(ids, scored, "doc_id")
+    numbers = ("prob_accept", "prob_decline")
+    return answers.select("doc_id", *[rounded(F.col(c)).alias(c) for c in numbers], "result", "error")
+
+
+@query(
+    "save_load_transformer",
+    f"""WITH {DOC_WIDE_SQL}
+        SELECT doc_id, {", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in B.DOC_CAT + B.DOC_NUM)} FROM wide""",
+)
+def save_load_transformer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as the transformer makes it after it was saved and loaded."""
+    docs, bins = doc_bins(spark, sf_dir)
+    path = fresh_dir(spark, "transformer")
+    store.save_transformer(spark, bins, path)
+    loaded = store.load_transformer(spark, path)
+    return woe_transform(docs, loaded, ["doc_id"]).select(
+        "doc_id", *[rounded(F.col(c)).alias(c) for c in B.DOC_CAT + B.DOC_NUM]
+    )
+
+
+@query(
+    "model_versions",
+    """SELECT 'ci_XGB' AS name, v AS version, stage, v = 2 AS chosen
+       FROM (VALUES (1::BIGINT, 'Production'), (2::BIGINT, 'Production'), (3::BIGINT, 'None')) t(v, stage)
+       WHERE (SELECT count(*) FROM labels) > 0""",
+)
+def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs that register a scorer each, and which of them scores."""
+    _, bins, woe = fitted(spark, sf_dir)
+    model = training.train_scorecard(woe, "TARGET", bins.features)
+    root = fresh_dir(spark, "registry")
+    for stage in ("Production", "Production", "None"):
+        store.register_scorer(spark, bins, model, root, "ci_XGB", stage)
+    versions = store.model_versions(spark, root)
+    chosen = store.current_version(versions).select("name", F.col("version").alias("_chosen"))
+    return versions.join(chosen, "name").select("name", "version", "stage", (F.col("version") == F.col("_chosen")).alias("chosen"))

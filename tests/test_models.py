@@ -56,7 +56,23 @@ def test_scoring_by_id(spark, fitted):
     some = [r["doc_id"] for r in docs.orderBy("doc_id").limit(2).collect()]
     ids = spark.createDataFrame([(i,) for i in [*some, -1]], "doc_id bigint")
     found = scoring.score_by_id(ids, docs, bins, model, "doc_id")
-    assert sorted(r["doc_id"] for r in found.collect()) == sorted(some)
+    rows = {r["doc_id"]: r for r in found.collect()}
+    assert set(rows) == {*some, -1}
+    assert rows[-1]["error"] == "ID -1 not found" and rows[-1]["result"] is None
+    assert all(rows[i]["error"] is None and rows[i]["result"] for i in some)
+
+
+def test_registered_versions(spark, fitted):
+    _, bins, _, model = fitted
+    root = fresh_dir(spark, "registry")
+    stages = ["None", "Production", "Archived", "None"]
+    assert [store.register_scorer(spark, bins, model, root, "m", s) for s in stages] == [1, 2, 3, 4]
+    assert store.register_scorer(spark, bins, model, root, "other") == 1
+    chosen = store.current_version(store.model_versions(spark, root)).collect()
+    assert {(r["name"], r["version"]) for r in chosen} == {("m", 2), ("other", 1)}
+    assert store.load_registered(spark, root, "m")[0].rows == bins.rows
+    with pytest.raises(ValueError):
+        store.load_registered(spark, root, "unknown")
 
 
 def test_scoring_does_not_shuffle(fitted):
@@ -120,10 +136,10 @@ def test_whole_flow(spark, fitted, name):
     assert result.run_name == f"ci_{name.upper()}"
     logged = read_runs(spark, f"{dest}/runs").first()
     assert logged["metrics"] == pytest.approx(result.metrics)
-    assert result.metrics["roc_auc"] == pytest.approx(result.metrics["roc_auc_manual"])
+    assert result.metrics["roc_auc"] == pytest.approx(result.metrics["roc_auc_trapezoid"])
     test = spark.read.parquet(versioned_name(f"{dest}/test.parquet", "v1"))
     assert test.count() == docs.count()
-    bins, model = store.load_scorer(spark, f"{dest}/scorer")
+    bins, model = store.load_registered(spark, dest, result.run_name)
     assert bins.features == result.preparation.selected
     assert result.report.where(F.col("row") == "accuracy").first()["f1"] == pytest.approx(result.metrics["accuracy"])
 
