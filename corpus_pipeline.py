@@ -44,7 +44,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, checked by what they decode to."""
     ranks = pretokens.load_ranks(queries.RANKS)
-    return bpe.digests(bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks))
+    return bpe.digests(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
 
 
 STAGES = [

@@ -8,18 +8,23 @@ whose size is the vocabulary's, inside the tasks.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
-from riskloom.llm.exchange import Exchange, packed, unpack_words, unpacked
+from riskloom.llm.common import sha256_hex
+from riskloom.llm.exchange import Exchange, packed, unpack_places, unpack_words, unpacked
 from riskloom.llm.pretokens import Splitter
 
 
+#: Pre-tokens put back in their places at a time.
+STEP = 1 << 18
+
+
 def encode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -62,7 +67,7 @@ def encode(
 
     def assemble(key: tuple, documents: pa.Table, answers: pa.Table) -> pa.Table:
         parts = [
-            (unpacked(p.as_py(), "<u4").reshape(2, -1)[0], unpacked(s.as_py(), "<u4"), unpacked(f.as_py(), "<u4"))
+            (unpack_places(p.as_py()), unpacked(s.as_py(), "<u4"), unpacked(f.as_py(), "<u4"))
             for p, s, f in zip(answers["places"], answers["sizes"], answers["flat"])
         ]
         size = np.zeros(sum(len(p) for p, _, _ in parts), np.int64)
@@ -72,17 +77,21 @@ def encode(
             start[place] = at + np.cumsum(sizes, dtype=np.int64) - sizes
             at += len(flat)
         pool = np.concatenate([f for _, _, f in parts]) if parts else np.empty(0, np.uint32)
+        del parts
         ids, tokens, ends = [], [], [np.zeros(1, np.int64)]
         for r in range(documents.num_rows):
             sequence = unpacked(documents["a"][r].as_py(), "<u4")
             counts = documents["counts"][r].values.to_numpy().astype(np.int64)
-            each = size[sequence]
-            first = np.cumsum(each) - each
-            tokens.append(pool[np.repeat(start[sequence] - first, each) + np.arange(each.sum())])
-            until = np.r_[0, np.cumsum(each)][np.cumsum(counts)]
+            for k in range(0, sequence.size, STEP):
+                some = sequence[k : k + STEP]
+                each = size[some]
+                first = np.cumsum(each) - each
+                tokens.append(pool[np.repeat(start[some] - first, each) + np.arange(each.sum())].astype(np.int32))
+            until = np.r_[0, np.cumsum(size[sequence])][np.cumsum(counts)]
             ends.append(until + ends[-1][-1])
             ids.append(documents["ids"][r].values)
-        flat = np.concatenate(tokens).astype(np.int32) if tokens else np.empty(0, np.int32)
+        flat = np.concatenate(tokens) if tokens else np.empty(0, np.int32)
+        del tokens
         offsets = pa.array(np.concatenate(ends).astype(np.int32))
         lists = pa.ListArray.from_arrays(offsets, pa.array(flat))
         return pa.table([pa.concat_arrays(ids) if ids else pa.array([], documents.schema.field("ids").type.value_type), lists], names=["doc_id", "ids"])
@@ -95,47 +104,48 @@ def encode(
     )
 
 
+def _joiner(table: dict[int, bytes]):
+    """The bytes of a list of ids, by the table of token bytes."""
+    return lambda ids: b"".join(map(table.__getitem__, ids))
+
+
 def decode(tokens: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
     """``tokens`` with a column ``decoded``: the bytes of each list of ids, joined; null stays null."""
     table = tokens.sparkSession.sparkContext.broadcast({i: b for b, i in ranks.items()})
     rows = tokens.drop("decoded")
-    schema = f"{rows._jdf.schema().toDDL()}, decoded binary" if rows.columns else "decoded binary"
     at = rows.columns.index(ids)
 
     def batch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = table.value
+        join = _joiner(table.value)
         for b in it:
-            texts = [
-                b"".join(map(token_bytes.__getitem__, x.values.to_numpy().tolist())) if x.is_valid else None
-                for x in b.column(at)
-            ]
+            texts = [join(x.values.to_numpy().tolist()) if x.is_valid else None for x in b.column(at)]
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(texts, pa.binary())], names=[*b.schema.names, "decoded"]
             )
 
-    return rows.mapInArrow(batch, schema)
+    return rows.mapInArrow(batch, T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())]))
 
 
-def digests(tokens: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of decoded tokens."""
+def digests(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids): the ids, and what they decode to."""
     kind = tokens.schema["doc_id"].dataType.simpleString()
+    table = tokens.sparkSession.sparkContext.broadcast({i: b for b, i in ranks.items()})
 
     def batch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name: list[str] = []
+        join = _joiner(table.value)
+        name = {i: str(i) for i in table.value}
         for b in it:
             counts, marks, texts = [], [], []
-            for x, raw in zip(b.column(1), b.column(2)):
-                some = x.values.to_numpy()
-                if some.size and some.max() >= len(name):
-                    name.extend(map(str, range(len(name), int(some.max()) + 1)))
-                counts.append(some.size)
-                marks.append(hashlib.sha256(" ".join(map(name.__getitem__, some.tolist())).encode()).hexdigest())
-                texts.append(hashlib.sha256(raw.as_py()).hexdigest())
+            for x in b.column(1):
+                some = x.values.to_numpy().tolist()
+                counts.append(len(some))
+                marks.append(sha256_hex(" ".join(map(name.__getitem__, some)).encode()))
+                texts.append(sha256_hex(join(some)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(counts, pa.int64()), pa.array(marks), pa.array(texts)],
+                [b.column(0), pa.array(counts, pa.int64()), pa.array(marks, pa.string()), pa.array(texts, pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
 
-    return tokens.select("doc_id", "ids", "decoded").mapInArrow(
+    return tokens.select("doc_id", "ids").mapInArrow(
         batch, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )

@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import gc
 import hashlib
-from collections.abc import Iterator
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.session import settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: One partition is made for about so many bytes of text.
-PARTITION_BYTES = 16 << 20
+#: Bytes of rows that are handed to Python at a time.
+BATCH_BYTES = 4 << 20
 
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
@@ -33,46 +30,21 @@ def in_fold(doc_id: Column, folds: int, fold: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == fold, F.lit(False))
 
 
-def spread(df: DataFrame, rows_per_task: int, *keys: Column) -> DataFrame:
-    """Rows dealt out evenly, with so many to a task."""
-    n = max(1, -(-df.count() // rows_per_task))
-    return df.repartition(n, *keys)
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of at most about BATCH_BYTES, whatever their length."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def out_batches(rows: Iterator[tuple], schema: pa.Schema, size: int = 2000) -> Iterator[pa.RecordBatch]:
-    """Tuples as Arrow batches."""
-    pile: list[tuple] = []
-    for row in rows:
-        pile.append(row)
-        if len(pile) >= size:
-            yield _batch(pile, schema)
-            pile = []
-    if pile:
-        yield _batch(pile, schema)
-
-
-def _batch(pile: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = [pa.array(c, f.type) for c, f in zip(zip(*pile), schema)]
-    return pa.RecordBatch.from_arrays(columns, schema=schema)
-
-
-def release() -> None:
-    """Let go of driver-side handles, so that Spark can clean up what nobody reads any more."""
-    gc.collect()
-
-
 __all__ = [
-    "PARTITION_BYTES",
+    "BATCH_BYTES",
     "ascii_lower",
     "in_fold",
-    "out_batches",
     "pick",
-    "release",
     "settle",
     "sha256_hex",
-    "spread",
+    "small_batches",
 ]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import out_batches, pick, settle, sha256_hex
+from riskloom.llm.common import pick, settle, sha256_hex, small_batches
 
 #: Words of a window.
 WINDOW = 10
@@ -156,6 +156,7 @@ def decontaminate(
 
 def _tables(items: DataFrame, item_id: str, text: str) -> list[DataFrame]:
     """The distinct windows, in tables of about TABLE_WINDOWS at most."""
+    small_batches(items.sparkSession)
     windows = settle(item_windows(items, item_id, text), "windows")
     n = max(1, -(-windows.count() // TABLE_WINDOWS))
     if n == 1:

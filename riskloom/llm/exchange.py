@@ -9,6 +9,7 @@ it occurs, so a very common token is no hot key.
 
 from __future__ import annotations
 
+import uuid
 from array import array
 from collections.abc import Callable, Iterator
 
@@ -20,7 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import pick, settle
+from riskloom.llm.common import pick, small_batches
+from riskloom.session import fresh_dir
 
 #: Bytes of text in a batch, unless one document has more.
 BATCH_BYTES = 16 << 20
@@ -31,11 +33,23 @@ DOCUMENTS = -1
 
 
 def packed(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+    """Whole numbers, byte by byte of their width, as the upper bytes are mostly alike."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def pack_places(places: np.ndarray) -> bytes:
+    """Ascending places, by their steps."""
+    return packed(np.diff(places, prepend=places.dtype.type(0)))
+
+
+def unpack_places(data: bytes) -> np.ndarray:
+    return np.cumsum(unpacked(data, "<u4"), dtype=np.uint32)
 
 
 def pack_words(words: list[bytes]) -> tuple[bytes, bytes]:
@@ -52,11 +66,14 @@ def unpack_words(sizes: bytes, joined: bytes) -> list[bytes]:
 class Exchange:
     """The written batches of ``docs``; ``flag`` names a boolean that is carried with a document.
 
-    ``tokens_of`` gives the tokens of a text as bytes. With ``counted``, tokens carry how often
-    they occur in the batch's flagged documents.
+    ``tokens_of`` gives the tokens of a text as bytes. The columns of ``table`` hold, for a batch's
+    documents, their ids, flags and numbers of tokens, and in a the tokens' places; for a shard of
+    its tokens, in a their places, in b and c their sizes and bytes, and in d how often they occur
+    in flagged documents. The table is bucketed by batch, so what comes back joins without another
+    shuffle of the documents.
     """
 
-    SCHEMA = "batch long, shard int, ids array<{}>, flags array<boolean>, counts array<int>, a binary, b binary, c binary"
+    SCHEMA = "batch long, shard int, ids array<{}>, flags array<boolean>, counts array<int>, a binary, b binary, c binary, d binary"
 
     def __init__(
         self,
@@ -66,6 +83,7 @@ class Exchange:
         tokens_of: Callable[[], Callable[[bytes], list[bytes]]],
         flag=None,
     ):
+        small_batches(docs.sparkSession)
         own = pick(docs, doc_id=doc_id, text=text)
         self.id_type = own.schema["doc_id"].dataType.simpleString()
         total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -86,7 +104,12 @@ class Exchange:
             if pile.ids:
                 yield from pile.rows((part << 32) + nth, shards, b.schema.field(0).type)
 
-        self.table = settle(own.mapInArrow(batches, schema), "batches")
+        spark = docs.sparkSession
+        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BATCH_BYTES)
+        name = f"batches_{uuid.uuid4().hex}"
+        written = own.mapInArrow(batches, schema).write.bucketBy(min(buckets, 100_000), "batch")
+        written.option("path", fresh_dir(spark, "batches")).saveAsTable(name)
+        self.table = spark.table(name)
         self.documents = self.table.where(F.col("shard") == DOCUMENTS)
         self.tokens = self.table.where(F.col("shard") != DOCUMENTS)
 
@@ -121,20 +144,26 @@ class _Pile:
                 ("a", pa.binary()),
                 ("b", pa.binary()),
                 ("c", pa.binary()),
+                ("d", pa.binary()),
             ]
         )
         sequence = np.frombuffer(self.sequence, np.uint32) if len(self.sequence) else np.empty(0, np.uint32)
         seats = np.repeat(np.array(self.flags, bool), np.frombuffer(self.counts, np.int32))
-        often = np.bincount(sequence[seats], minlength=len(self.places)).astype(np.uint32)
+        # the most frequent tokens get the lowest places
+        order = np.argsort(-np.bincount(sequence, minlength=len(self.places)), kind="stable")
+        rank = np.empty(order.size, np.uint32)
+        rank[order] = np.arange(order.size, dtype=np.uint32)
+        sequence = rank[sequence]
+        often = np.bincount(sequence[seats], minlength=order.size).astype(np.uint32)
         ids = [x.as_py() for x in self.ids]
-        rows = [(batch, DOCUMENTS, ids, self.flags, list(self.counts), packed(sequence), None, None)]
+        rows = [(batch, DOCUMENTS, ids, self.flags, list(self.counts), packed(sequence), None, None, None)]
         words = list(self.places)
+        words = [words[i] for i in order.tolist()]
         shard = np.fromiter((xxhash.xxh64_intdigest(w) % shards for w in words), np.int64, len(words))
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.diff(shard[order])) + 1
         for at in np.split(order, cuts) if len(words) else []:
             sizes, joined = pack_words([words[i] for i in at])
-            # places, then how often the token occurs in flagged documents
-            place = packed(np.stack([at.astype(np.uint32), often[at]]))
-            rows.append((batch, int(shard[at[0]]), None, None, None, place, sizes, joined))
+            place, here = pack_places(at.astype(np.uint32)), packed(often[at])
+            rows.append((batch, int(shard[at[0]]), None, None, None, place, sizes, joined, here))
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kind)], schema=kind)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import pick, settle
+from riskloom.llm.common import pick, settle, small_batches
 from riskloom.llm.letters import codes, fold_table, single_spaces
 
 ORDER = 4
@@ -284,6 +284,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
     Null texts and texts without a letter get ``und`` with score 0, and so does everything if no
     language was learned. Null ids and repeated rows each get their row; an empty table gives none.
     """
+    small_batches(docs.sparkSession)
     own = pick(docs, doc_id=doc_id, text=text)
     kind = own.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # n-grams of the bounded sample

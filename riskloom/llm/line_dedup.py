@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import pick, settle
+from riskloom.llm.common import pick, settle, small_batches
 from riskloom.llm.components import components
 from riskloom.llm.letters import FEED, as_text, codes, fold_table, single_spaces
 from riskloom.llm.meeting import STEP, dealt, spanning_links, squares
@@ -290,6 +290,7 @@ def line_dedup(
     come first. Columns named in ``carry`` come along; others stay out of it. An empty table gives no rows.
     """
     own = pick(docs, doc_id=doc_id, text=text, **{f"_{c}": c for c in carry})
+    small_batches(docs.sparkSession)
     own = own.withColumn("text_hash", F.xxhash64("text"))
     carried = [F.col(f"_{c}").alias(c) for c in carry]
     lines = settle(lines_of(own.select("doc_id", "text_hash", "text")), "lines")

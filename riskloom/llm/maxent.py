@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import settle
-from riskloom.llm.exchange import Exchange, packed, unpack_words, unpacked
+from riskloom.llm.exchange import Exchange, packed, unpack_places, unpack_words, unpacked
 from riskloom.llm.simhash import FOLD
 
 #: No word is empty, so this can stand for the end of a text.
@@ -89,7 +89,7 @@ def _counted(made: Exchange) -> DataFrame:
         parts = []
         for r in range(rows.num_rows):
             words = unpack_words(rows["b"][r].as_py(), rows["c"][r].as_py())
-            place, often = unpacked(rows["a"][r].as_py(), "<u4").reshape(2, -1)
+            place, often = rows["a"][r].as_py(), unpacked(rows["d"][r].as_py(), "<u4")
             for w, n in zip(words, often.tolist()):
                 total[w] = total.get(w, 0) + n
             parts.append((rows["batch"][r].as_py(), place, words))
@@ -97,7 +97,7 @@ def _counted(made: Exchange) -> DataFrame:
         for batch, place, words in parts:
             counts = np.array([total[w] for w in words], np.uint64)
             hashes = np.array([xxhash.xxh32_intdigest(w) for w in words], np.uint32)
-            out.append((batch, packed(place), packed(counts), packed(hashes), None, None, None))
+            out.append((batch, place, packed(counts), packed(hashes), None, None, None))
         counts = np.array([n for w, n in total.items() if w != END and n], np.int64)
         mass = np.bincount(classes_of(counts), counts + 1.0, CLASSES)
         seen = counts.sum() + total.get(END, 0)
@@ -126,7 +126,7 @@ def _corpus(made: Exchange, counted: DataFrame) -> DataFrame:
 
     def assemble(key: tuple, documents: pa.Table, answers: pa.Table) -> pa.Table:
         parts = [
-            (unpacked(p.as_py(), "<u4"), unpacked(c.as_py(), "<u8"), unpacked(h.as_py(), "<u4"))
+            (unpack_places(p.as_py()), unpacked(c.as_py(), "<u8"), unpacked(h.as_py(), "<u4"))
             for p, c, h in zip(answers["places"], answers["counts"], answers["hashes"])
         ]
         n = sum(len(p) for p, _, _ in parts)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import pick, settle
+from riskloom.llm.common import pick, settle, small_batches
 from riskloom.llm.components import components
 from riskloom.llm.meeting import spanning_links
 from riskloom.llm.simhash import FOLD, fingerprint, shingle_hashes
@@ -37,6 +37,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     Words are runs without white space (space, \\t to \\r), A-Z lower-cased; shingles are three
     words, repeats included. Fewer words make one shingle; none, or a null text, gives zero.
     """
+    small_batches(docs.sparkSession)
     rows = pick(docs, doc_id=doc_id, text=text).select("doc_id", F.col("text").cast("binary").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
 

@@ -58,7 +58,7 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of all documents and what they decode to, as digests."""
     ranks = pretokens.load_ranks(RANKS)
     tokens = bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    return bpe.digests(bpe.decode(tokens, ranks))
+    return bpe.digests(tokens, ranks)
 
 
 @query(

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from riskloom.llm.common import pick, settle
+from riskloom.llm.common import pick, settle, small_batches
 
 #: Labelled rows that are fitted on, at most.
 SAMPLE = 20_000
@@ -265,6 +265,7 @@ def _lexicon(texts: DataFrame, n: int, toxic: int) -> list[bytes]:
 
 def with_score(docs: DataFrame, model: Model, name: str, text: str = "text") -> DataFrame:
     """All of ``docs`` and a column ``name``, from 0 to 1, higher for likelier toxic; null texts count as empty."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 

@@ -49,8 +49,8 @@ def test_encode_and_decode(rows, monkeypatch, batch):
 
 def test_digests(rows):
     data = [(1, "Hello  wörld"), (2, None)]
-    coded = bpe.decode(bpe.encode(rows(data, "doc_id long, text string"), RANKS, P.PATTERN), RANKS)
-    got = {r.doc_id: r for r in bpe.digests(coded).collect()}
+    coded = bpe.encode(rows(data, "doc_id long, text string"), RANKS, P.PATTERN)
+    got = {r.doc_id: r for r in bpe.digests(coded, RANKS).collect()}
     ids = ENCODER.encode_ordinary("Hello  wörld")
     assert got[1].n_tokens == len(ids)
     assert got[1].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
