@@ -36,6 +36,13 @@ ITEMS_SQL = """
 rows AS (SELECT *, (l_returnflag = 'R')::INT AS target FROM lineitem)"""
 
 
+GAPS_NUM = ["l_quantity", "l_tax", "discount_few_gaps", "discount_many_gaps"]
+GAPS_SQL = """
+rows AS (SELECT *, CASE WHEN l_discount <> 0.0 THEN l_discount END AS discount_few_gaps,
+                CASE WHEN l_discount > 0.01 THEN l_discount END AS discount_many_gaps,
+                (l_returnflag = 'R')::INT AS target FROM lineitem)"""
+
+
 def _long_num(columns: list[str], keep: str = "target") -> str:
     parts = [f"SELECT {keep}, '{c}' AS feature, {c}::DOUBLE AS v FROM rows" for c in columns]
     return "nums AS (" + " UNION ALL ".join(parts) + ")"
@@ -48,19 +55,25 @@ def _long_cat(columns: list[str], keep: str = "target") -> str:
 
 EDGES_SQL = f"""
 edges AS (SELECT DISTINCT feature, unnest(quantile_cont(v, {_DECILES})) AS edge
-          FROM nums WHERE v IS NOT NULL GROUP BY feature)"""
+          FROM nums WHERE v IS NOT NULL AND {{fitted_on}} GROUP BY feature)"""
 
 KEPT_SQL = """
-sizes AS (SELECT feature, v, count(*) AS n FROM cats GROUP BY feature, v),
+sizes AS (SELECT feature, v, count(*) AS n FROM cats WHERE {fitted_on} GROUP BY feature, v),
 kept AS (SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY v) - 1 AS bin_id
          FROM (SELECT *, sum(n) OVER (PARTITION BY feature) AS total FROM sizes)
          WHERE v IS NOT NULL AND n >= 0.05 * total)"""
 
 
-def contingency_sql(rows: str, num: list[str], cat: list[str], label: str = "target") -> str:
-    """Common table expressions ending in contingency(feature, bin_id, good, bad)."""
+def contingency_sql(
+    rows: str, num: list[str], cat: list[str], label: str = "target", fitted_on: str = "true"
+) -> str:
+    """Common table expressions ending in contingency(feature, bin_id, good, bad).
+
+    Bins come from the rows for which ``fitted_on`` holds, counts from all.
+    """
+    edges, kept = EDGES_SQL.format(fitted_on=fitted_on), KEPT_SQL.format(fitted_on=fitted_on)
     # Per distinct value, so that edges are compared once per value.
-    return f"""{rows}, {_long_num(num, label)}, {_long_cat(cat, label)}, {EDGES_SQL}, {KEPT_SQL},
+    return f"""{rows}, {_long_num(num, label)}, {_long_cat(cat, label)}, {edges}, {kept},
 values_n AS (SELECT feature, v, count(*) FILTER ({label} = 0) AS good, count(*) FILTER ({label} = 1) AS bad
              FROM nums GROUP BY feature, v),
 marks AS (SELECT feature, list(edge) AS cuts FROM edges GROUP BY feature),
@@ -110,7 +123,7 @@ def class_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "prebin_numeric",
-    f"""WITH {ITEMS_SQL}, {_long_num(B.ITEM_NUM)}, {EDGES_SQL}
+    f"""WITH {ITEMS_SQL}, {_long_num(B.ITEM_NUM)}, {EDGES_SQL.format(fitted_on="true")}
         SELECT feature, (row_number() OVER (PARTITION BY feature ORDER BY edge))::INT AS edge_no,
                round(edge, 6) AS edge FROM edges""",
 )
@@ -149,6 +162,31 @@ def bin_contingency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _item_contingency(spark, sf_dir)
 
 
+def _gaps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Items with missing values, and their contingency."""
+    items = B.lineitems_with_gaps(spark, sf_dir)
+    prebins = binning.fit_prebins(items, B.ITEM_CAT, GAPS_NUM, BINS)
+    return items, binning.bin_contingency(items, "TARGET", prebins)
+
+
+@query(
+    "bin_contingency_gaps",
+    f"WITH {contingency_sql(GAPS_SQL, GAPS_NUM, B.ITEM_CAT)} SELECT * FROM contingency",
+)
+def bin_contingency_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gaps(spark, sf_dir)[1]
+
+
+@query(
+    "woe_table_gaps",
+    f"""WITH {contingency_sql(GAPS_SQL, GAPS_NUM, B.ITEM_CAT)}, {WOE_SQL}
+        SELECT feature, bin_id, good, bad, round(woe, 6) + 0.0 AS woe, round(iv, 6) + 0.0 AS iv FROM woe""",
+)
+def woe_table_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = evidence.woe_table(_gaps(spark, sf_dir)[1])
+    return table.withColumns({"woe": rounded(F.col("woe")), "iv": rounded(F.col("iv"))})
+
+
 @query("merge_bins")
 def merge_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = B.labelled_documents(spark, sf_dir, "quality")
@@ -289,6 +327,26 @@ def anova_f(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.withColumn("f_score", rounded(F.col("f_score")))
 
 
+@query(
+    "feature_gate_gaps",
+    f"""WITH {contingency_sql(GAPS_SQL, GAPS_NUM, B.ITEM_CAT)}, {WOE_SQL}, {_ordinals(B.ITEM_CAT + GAPS_NUM)},
+        ivs AS (SELECT feature, sum(iv) AS iv FROM woe GROUP BY feature),
+        absent AS (UNPIVOT (SELECT avg((l_linestatus IS NULL)::INT) AS l_linestatus,
+                                   {", ".join(f"avg(({c} IS NULL)::INT) AS {c}" for c in GAPS_NUM)} FROM rows)
+                   ON COLUMNS(*) INTO NAME feature VALUE missing_rate)
+        SELECT ordinal, feature, round(iv, 6) + 0.0 AS iv, round(missing_rate, 6) + 0.0 AS missing_rate
+        FROM places JOIN ivs USING (feature) JOIN absent USING (feature)
+        WHERE iv BETWEEN 0.0 AND 0.5 AND missing_rate <= 0.1""",
+)
+def feature_gate_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A wide band, so that the missing rates decide."""
+    items, contingency = _gaps(spark, sf_dir)
+    order = B.ITEM_CAT + GAPS_NUM
+    iv, missing = evidence.iv_by_feature(contingency), profile.missing_rate(items, order)
+    gate = evidence.feature_gate(iv, missing, order, min_iv=0.0)
+    return gate.select("ordinal", "feature", *[rounded(F.col(c)).alias(c) for c in ("iv", "missing_rate")])
+
+
 _DOC_FEATURES = B.DOC_CAT + B.DOC_NUM
 DOC_WIDE_SQL = f"""{contingency_sql(DOCS_SQL, B.DOC_NUM, B.DOC_CAT)}, {WOE_SQL},
 {_transformed_sql(B.DOC_NUM, B.DOC_CAT, "doc_id, target")}"""

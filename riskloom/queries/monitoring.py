@@ -27,9 +27,7 @@ rows AS (SELECT o.o_orderpriority, c.c_mktsegment, o.o_totalprice, c.c_acctbal,
 
 # Bins come from the reference period only; the counts from both.
 _DRIFT_SQL = (
-    contingency_sql(_ORDERS_SQL, B.ORDER_NUM, B.ORDER_CAT, "is_current")
-    .replace("FROM nums WHERE v IS NOT NULL GROUP BY feature", "FROM nums WHERE v IS NOT NULL AND is_current = 0 GROUP BY feature")
-    .replace("FROM cats GROUP BY feature, v", "FROM cats WHERE is_current = 0 GROUP BY feature, v")
+    contingency_sql(_ORDERS_SQL, B.ORDER_NUM, B.ORDER_CAT, "is_current", fitted_on="is_current = 0")
     + """,
 shares AS (SELECT feature, (CASE WHEN good = 0 THEN 0.5 ELSE good END) / sum(good) OVER (PARTITION BY feature) AS q,
                   (CASE WHEN bad = 0 THEN 0.5 ELSE bad END) / sum(bad) OVER (PARTITION BY feature) AS p
