@@ -18,11 +18,9 @@ from riskloom.session import fresh_dir, settle
 # The signal in this table is stronger than the default gate lets through.
 WIDE_BAND = (0.02, 100.0)
 
-# Trees per trial and their depth are cut here, as boosting on one machine takes
-# seconds per ten trees; the library's defaults are the full search space.
+# Trees per trial are cut here, as boosting on one machine takes seconds per ten trees;
+# the library's defaults are the full search space.
 FEW_TREES = (3, 8)
-SHALLOW = (2, 4)
-TREES = training.TreeParams(max_depth=3, learning_rate=0.2, n_estimators=10)
 
 
 def fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, BinMap, DataFrame]:
@@ -35,7 +33,7 @@ def fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, BinMap, DataFra
 @query("train_boosted_trees")
 def train_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bins, woe = fitted(spark, sf_dir)
-    model = training.train_boosted_trees(woe, "TARGET", bins.features, TREES)
+    model = training.train_boosted_trees(woe, "TARGET", bins.features)
     rows = list(training.tree_importances(model).items())
     return spark.createDataFrame(rows, "feature string, importance double")
 
@@ -54,7 +52,7 @@ def train_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def hyper_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bins, woe = fitted(spark, sf_dir)
     trials = training.hyper_search(
-        woe, "doc_id", "TARGET", bins.features, trees=FEW_TREES, depth=SHALLOW
+        woe, "doc_id", "TARGET", bins.features, trees=FEW_TREES
     )
     best = training.best_trial(trials)
     rows = [
@@ -117,9 +115,7 @@ def underwriting_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
         key="doc_id",
         iv_band=WIDE_BAND,
         k=5,
-        trials=2,
         trees=FEW_TREES,
-        depth=SHALLOW,
     )
     rows = [(result.run_name, name, value) for name, value in result.metrics.items()]
     return spark.createDataFrame(rows, "run_name string, metric string, value double")
