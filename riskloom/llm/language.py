@@ -139,10 +139,13 @@ def _lead(cost: np.ndarray, n: int) -> float:
 def _sample(docs: DataFrame, per_language: int) -> DataFrame:
     """(lang, text, calibrate): at most ``per_language`` rows of each language, by hash of the id."""
     ids = docs.select("doc_id", "lang").where("lang IS NOT NULL AND doc_id IS NOT NULL").distinct()
-    often = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    # the window keeps the first few rows of a language in each task before it shuffles
-    some = ids.join(F.broadcast(often), "lang").withColumn("nth", nth).where(F.col("nth") <= per_language)
+    often = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    place = F.xxhash64("doc_id")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(place, "doc_id"))
+    # the lowest hashes of a language are among those below a bound that twice as many fall under
+    share = F.least(F.lit(1.0), (2.0 * per_language + 100) / F.col("count"))
+    low = place.cast("double") <= share * 2.0**64 - 2.0**63
+    some = ids.join(F.broadcast(often), "lang").where(low).withColumn("nth", nth).where(F.col("nth") <= per_language)
     some = settle(some.select("doc_id", "lang", (F.col("nth") % 5 == 0).alias("calibrate")), "sample")
     # at most LANGUAGES * per_language rows of an id and a language
     texts = docs.where("text IS NOT NULL").select("doc_id", "lang", "text").join(F.broadcast(some), ["doc_id", "lang"])
