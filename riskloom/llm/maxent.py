@@ -9,7 +9,7 @@ texts, chunks of these sums are added up, and each weight is moved by its scaled
 works on whole batches of texts with numpy, touching only the rows of features that occur.
 
 Words are counted over all training texts by one global exchange (see ``exchange``). Tables sent to
-all tasks have BUCKETS * CLASSES weights per kind of feature, whatever the data.
+all tasks have at most BUCKETS * CLASSES weights per kind of feature, whatever the data.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ RATE = 1.0
 #: Weight of no change, in occurrences of a feature.
 DAMPING = 2.0
 #: Tokens worked on at a time.
-STEP = 1 << 15
+STEP = 1 << 14
 #: Rows of weights that are added up together.
 CHUNK = 1 << 9
 
@@ -151,9 +151,9 @@ def _corpus(made: Exchange, counted: DataFrame) -> DataFrame:
 
 
 class Batch:
-    """The tokens of one batch of texts, with their features."""
+    """The tokens of one batch of texts, with their features and the columns of their classes."""
 
-    def __init__(self, row: dict):
+    def __init__(self, row: dict, columns: np.ndarray):
         self.flags = np.array(row["flags"], bool)
         self.sizes = np.array(row["counts"], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
@@ -163,6 +163,7 @@ class Batch:
         self.cls = classes_of(self.counts)
         if self.sequence.size:
             self.cls[self.sequence[self.starts + self.sizes - 1]] = END_CLASS
+        self.column = columns[self.cls]
         self.hashes = unpacked(row["h"], "<u4").astype(np.uint64)
 
     def features(self) -> np.ndarray:
@@ -183,91 +184,119 @@ class Batch:
             ]
         ).astype(np.uint16)
 
+    def learned(self) -> tuple[np.ndarray, np.ndarray]:
+        """Features and columns of the tokens of flagged texts."""
+        learn = np.repeat(self.flags, self.sizes)
+        return self.features()[:, learn], self.column[self.sequence][learn]
+
+
+def columns_of(mass: np.ndarray) -> np.ndarray:
+    """Column of each class in the weights: classes up to the highest that occurs, then the end."""
+    top = int(np.flatnonzero(mass[:END_CLASS]).max(initial=1))
+    columns = np.minimum(np.arange(CLASSES), top)
+    columns[END_CLASS] = top + 1
+    return columns
+
 
 @dataclass
 class Weights:
-    """By kind of feature, bucket and class; and one of each class for all."""
+    """By kind of feature, bucket and column; and one of each column for all."""
 
     table: np.ndarray
     bias: np.ndarray
+    columns: np.ndarray
 
-    def logits(self, features: np.ndarray) -> np.ndarray:
-        out = np.take(self.table[0], features[0], axis=0)
+    def softmax(self, features: np.ndarray) -> np.ndarray:
+        """Probability of each column, for tokens that have one bucket of each kind."""
+        p = np.take(self.table[0], features[0], axis=0)
         for k in range(1, KINDS):
-            out += np.take(self.table[k], features[k], axis=0)
-        out += self.bias
-        return out
-
+            p += np.take(self.table[k], features[k], axis=0)
+        p += self.bias
+        p -= p.max(axis=1, keepdims=True)
+        np.exp(p, out=p)
+        p /= p.sum(axis=1, keepdims=True)
+        return p
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
+def _observed(rows: Iterator[dict], columns: np.ndarray) -> np.ndarray:
+    """How often each feature stands before each column; the last row, the bias, counts all.
 
-def _sums(rows: Iterator[dict], weights: Weights) -> tuple[np.ndarray, np.ndarray]:
-    """Observed and expected occurrences of each weight's feature and class; the last row of buckets
-    is the bias. A word seen once counts half as the unseen word, which it was before it came."""
-    observed = np.zeros((KINDS * BUCKETS + 1, CLASSES))
-    expected = np.zeros_like(observed)
+    A word seen once counts half as the unseen word, which it was before it came.
+    """
+    width = int(columns.max()) + 1
+    out = np.zeros((KINDS * BUCKETS + 1) * width)
+    for row in rows:
+        features, column = Batch(row, columns).learned()
+        for kind in range(KINDS):
+            at = (kind * BUCKETS + features[kind].astype(np.int64)) * width + column
+            out += np.bincount(at, minlength=out.size)
+        out[-width:] += np.bincount(column, minlength=width)
+    out = out.reshape(-1, width)
+    once = out[:, 1] / 2
+    out[:, 0], out[:, 1] = once, once
+    return out
+
+
+def _expected(rows: Iterator[dict], weights: Weights) -> np.ndarray:
+    """The same, as the weights would have it."""
+    out = np.zeros((KINDS * BUCKETS + 1, weights.bias.size))
     for row in rows:
-        batch = Batch(row)
-        learn = np.repeat(batch.flags, batch.sizes)
-        features, cls = batch.features()[:, learn], batch.cls[batch.sequence][learn]
-        for k in range(0, cls.size, STEP):
-            some, target = features[:, k : k + STEP], cls[k : k + STEP]
-            at = np.arange(target.size)
-            y = np.zeros((target.size, CLASSES), np.float32)
-            y[at, target] = 1
-            once = np.flatnonzero(target == 1)
-            y[once, 1] = y[once, 0] = 0.5
-            p = np.exp(log_softmax(weights.logits(some)))
-            observed[-1] += y.sum(axis=0, dtype=np.float64)
-            expected[-1] += p.sum(axis=0, dtype=np.float64)
-            both = np.concatenate([y, p], axis=1)
+        features, column = Batch(row, weights.columns).learned()
+        for k in range(0, column.size, STEP):
+            some = features[:, k : k + STEP]
+            p = weights.softmax(some)
+            out[-1] += p.sum(axis=0, dtype=np.float64)
             for kind in range(KINDS):
                 order = np.argsort(some[kind], kind="stable")
                 buckets = some[kind][order]
                 first = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
-                sums = np.add.reduceat(np.take(both, order, axis=0), first, axis=0)
                 seats = kind * BUCKETS + buckets[first].astype(np.int64)
-                observed[seats] += sums[:, :CLASSES]
-                expected[seats] += sums[:, CLASSES:]
-    return observed, expected
+                out[seats] += np.add.reduceat(np.take(p, order, axis=0), first, axis=0)
+    return out
 
 
-def train(corpus: DataFrame, rounds: int = ROUNDS) -> Weights:
-    """Weights after so many full gradient updates over all flagged documents."""
-    weights = Weights(np.zeros((KINDS, BUCKETS, CLASSES), np.float32), np.zeros(CLASSES, np.float32))
-    seats = KINDS * BUCKETS + 1
-    sc = corpus.sparkSession.sparkContext
+def _summed(texts: DataFrame, sums_of, width: int) -> np.ndarray:
+    """What ``sums_of`` makes of each task's rows, added up by chunks of weights."""
 
     def parts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for b in it for row in b.to_pylist())
-        sums = np.stack(_sums(rows, shared.value)).astype(np.float32)
-        for k in range(0, seats, CHUNK):
-            part = sums[:, k : k + CHUNK]
-            if part.any():
+        sums = sums_of(row for b in it for row in b.to_pylist()).astype(np.float32)
+        for k in range(0, len(sums), CHUNK):
+            if sums[k : k + CHUNK].any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["chunk", "sums"]
+                    [pa.array([k], pa.int32()), pa.array([sums[k : k + CHUNK].tobytes()], pa.binary())],
+                    names=["chunk", "sums"],
                 )
 
     def add(rows: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in rows["sums"])
         return pa.table({"chunk": rows["chunk"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
+    out = np.zeros((KINDS * BUCKETS + 1, width))
+    chunks = texts.mapInArrow(parts, "chunk int, sums binary").groupBy("chunk")
+    for r in chunks.applyInArrow(add, "chunk int, sums binary").collect():
+        part = np.frombuffer(r.sums, np.float64).reshape(-1, width)
+        out[r.chunk : r.chunk + len(part)] = part
+    return out
+
+
+def train(corpus: DataFrame, mass: np.ndarray, rounds: int = ROUNDS) -> Weights:
+    """Weights after so many full gradient updates over all flagged documents."""
+    columns = columns_of(mass)
+    width = int(columns.max()) + 1
+    weights = Weights(
+        np.zeros((KINDS, BUCKETS, width), np.float32), np.zeros(width, np.float32), columns
+    )
+    sc = corpus.sparkSession.sparkContext
     texts = corpus.select("flags", "counts", "a", "c", "h")
+    observed = _summed(texts, lambda rows: _observed(rows, columns), width)
     for _ in range(rounds):
         shared = sc.broadcast(weights)
-        sums = texts.mapInArrow(parts, "chunk int, sums binary").groupBy("chunk")
-        observed, expected = np.zeros((seats, CLASSES)), np.zeros((seats, CLASSES))
-        for r in sums.applyInArrow(add, "chunk int, sums binary").collect():
-            part = np.frombuffer(r.sums, np.float64).reshape(2, -1, CLASSES)
-            observed[r.chunk : r.chunk + part.shape[1]] = part[0]
-            expected[r.chunk : r.chunk + part.shape[1]] = part[1]
+        expected = _summed(texts, lambda rows, shared=shared: _expected(rows, shared.value), width)
         step = RATE / (KINDS + 1) * (observed - expected) / ((observed + expected) / 2 + DAMPING)
         weights = Weights(
-            weights.table + step[:-1].reshape(KINDS, BUCKETS, CLASSES).astype(np.float32),
+            weights.table + step[:-1].reshape(weights.table.shape).astype(np.float32),
             weights.bias + (step[-1] * (KINDS + 1)).astype(np.float32),
+            columns,
         )
     return weights
 
@@ -285,7 +314,7 @@ def lm_scores(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: s
     totals = _totals(counted)
     corpus = _corpus(made, counted)
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((train(corpus), totals))
+    shared = sc.broadcast((train(corpus, totals.mass), totals))
     kind = made.id_type
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,16 +322,17 @@ def lm_scores(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: s
         for b in it:
             for r in range(b.num_rows):
                 row = {n: b.column(n)[r].as_py() for n in ("flags", "counts", "a", "c", "h")}
-                batch = Batch(row)
+                batch = Batch(row, weights.columns)
                 features, sequence = batch.features(), batch.sequence
                 base = totals.base(batch.counts)[sequence]
                 within = totals.within(batch.counts, batch.cls)[sequence]
-                cls, model = batch.cls[sequence], np.empty(sequence.size)
+                column, model = batch.column[sequence], np.empty(sequence.size)
                 for k in range(0, sequence.size, STEP):
-                    logp = log_softmax(weights.logits(features[:, k : k + STEP]))
-                    part = cls[k : k + STEP]
-                    model[k : k + STEP] = logp[np.arange(part.size), part]
-                model = model / math.log(10) + within
+                    p = weights.softmax(features[:, k : k + STEP])
+                    part = column[k : k + STEP]
+                    model[k : k + STEP] = p[np.arange(part.size), part]
+                # far below what training can reach, so that no text is impossible
+                model = np.log10(np.maximum(model, 1e-30)) + within
                 known = (batch.counts > 0)[sequence].astype(np.int64)
                 sums = [np.add.reduceat(x, batch.starts) for x in (known, base, model)]
                 yield pa.RecordBatch.from_arrays(

@@ -240,19 +240,21 @@ def test_lm_gradient():
         "c": exchange.packed(counts), "h": exchange.packed(np.arange(len(words), dtype=np.uint32) + 5),
     }
     r = np.random.default_rng(13)
-    shape = (maxent.KINDS, maxent.BUCKETS, maxent.CLASSES)
-    weights = maxent.Weights(r.normal(size=shape).astype(np.float32), r.normal(size=maxent.CLASSES).astype(np.float32))
-    observed, expected = maxent._sums(iter([row]), weights)
-    batch = maxent.Batch(row)
-    features, cls = batch.features(), batch.cls[batch.sequence]
-    assert cls.tolist() == [2, 1, 2, 1, 32, 32, 1, 1, 32]
+    columns = maxent.columns_of(np.bincount([1, 2], [4.0, 3.0], maxent.CLASSES))
+    assert columns[[0, 1, 2, maxent.END_CLASS]].tolist() == [0, 1, 2, 3]
+    shape = (maxent.KINDS, maxent.BUCKETS, 4)
+    weights = maxent.Weights(r.normal(size=shape).astype(np.float32), r.normal(size=4).astype(np.float32), columns)
+    observed, expected = maxent._observed(iter([row]), columns), maxent._expected(iter([row]), weights)
+    batch = maxent.Batch(row, columns)
+    features, cls = batch.features(), batch.column[batch.sequence]
+    assert cls.tolist() == [2, 1, 2, 1, 3, 3, 1, 1, 3]
     want, slow = np.zeros_like(observed), np.zeros_like(observed)
     for t in range(6):  # tokens of the flagged texts
         seats = [k * maxent.BUCKETS + int(features[k, t]) for k in range(maxent.KINDS)]
-        x = weights.bias + sum(weights.table.reshape(-1, maxent.CLASSES)[s] for s in seats)
+        x = weights.bias + sum(weights.table.reshape(-1, 4)[s] for s in seats)
         p = np.exp(x) / np.exp(x).sum()
         for s in [*seats, -1]:
-            for k, share in {1: ((0, 0.5), (1, 0.5))}.get(int(cls[t]), ((int(cls[t]), 1.0),)) if cls[t] == 1 else ((int(cls[t]), 1.0),):
+            for k, share in ((0, 0.5), (1, 0.5)) if cls[t] == 1 else ((int(cls[t]), 1.0),):
                 want[s, k] += share
             slow[s] += p
     assert np.allclose(observed, want) and np.allclose(expected, slow, atol=1e-4)
