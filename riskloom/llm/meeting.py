@@ -18,6 +18,8 @@ from riskloom.llm.simhash import apart
 SQUARE = 20_000
 #: Rows that are grouped for one call.
 CALL = 50_000
+#: Rows of a square whose links are all handed on, being no more than a few each.
+FEW = 8
 #: Pairs compared at a time.
 STEP = 1 << 21
 
@@ -62,16 +64,36 @@ def dealt(rows: DataFrame, keys: list[str], salt: str, carry: list[str]) -> Data
     return at_home.unionByName(others).withColumn("cell", cell)
 
 
-def squares(pdf: pd.DataFrame, keys: list[str]) -> list[pd.DataFrame]:
-    """The squares of a cell."""
+def ordered(pdf: pd.DataFrame, keys: list[str]) -> tuple[pd.DataFrame, np.ndarray]:
+    """The rows of a cell, square by square, and where each square begins and the last one ends."""
     by = [*keys, "row", "column"]
     pdf = pdf.sort_values(by, kind="stable", ignore_index=True)
     new = np.zeros(len(pdf), bool)
     for c in by:
         v = pdf[c].to_numpy()
         new[1:] |= v[1:] != v[:-1]
-    cuts = np.flatnonzero(new)
-    return [pdf.iloc[i:j] for i, j in zip(np.r_[0, cuts], np.r_[cuts, len(pdf)])]
+    return pdf, np.r_[0, np.flatnonzero(new), len(pdf)]
+
+
+def squares(pdf: pd.DataFrame, keys: list[str]) -> list[pd.DataFrame]:
+    """The squares of a cell."""
+    pdf, cuts = ordered(pdf, keys)
+    return [pdf.iloc[i:j] for i, j in zip(cuts, cuts[1:])]
+
+
+def few(fp: np.ndarray, home: np.ndarray, cuts: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """All links within squares of at most FEW rows, of all such squares at once."""
+    size = np.diff(cuts)
+    square = np.repeat(np.arange(size.size), size)
+    small = np.repeat(size <= FEW, size)
+    out = []
+    for k in range(1, FEW):
+        near = small[k:] & (square[k:] == square[:-k]) & (home[k:] | home[:-k])
+        at = np.flatnonzero(near)
+        gap = apart(fp[at], fp[at + k])
+        at = at[(gap <= bits) & (gap > 0)]
+        out.append((fp[at], fp[at + k]))
+    return out
 
 
 def forest(home: np.ndarray, here: np.ndarray, bits: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -102,12 +124,14 @@ def spanning_links(visits: DataFrame, keys: list[str], bits: int) -> DataFrame:
     """
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        links = []
-        for sq in squares(pdf, keys):
-            fp, home = sq["fp"].to_numpy().view(np.uint64), sq["home"].to_numpy()
-            at_home, here = np.unique(fp[home]), np.unique(fp)
-            if at_home.size and here.size > 1:
-                links += forest(at_home, here, bits)
+        pdf, cuts = ordered(pdf, keys)
+        fp, home = pdf["fp"].to_numpy().view(np.uint64), pdf["home"].to_numpy()
+        links = few(fp, home, cuts, bits)
+        for i, j in zip(cuts, cuts[1:]):
+            if j - i > FEW:
+                at_home, here = np.unique(fp[i:j][home[i:j]]), np.unique(fp[i:j])
+                if at_home.size and here.size > 1:
+                    links += forest(at_home, here, bits)
         a = np.concatenate([x for x, _ in links]) if links else np.empty(0, np.uint64)
         b = np.concatenate([y for _, y in links]) if links else np.empty(0, np.uint64)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})

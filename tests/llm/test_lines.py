@@ -36,7 +36,9 @@ def test_prints():
     assert [int(x) for x in prints.of(lines)] == [slow_print(prints.table, x) for x in lines]
 
 
-def test_distance():
+@pytest.mark.parametrize("few", [-1, 1, 3, 64])
+def test_distance(monkeypatch, few):
+    monkeypatch.setattr(line_dedup, "FEW_EDITS", few)
     r = random.Random(5)
     for _ in range(2000):
         a, b = ("".join(r.choice("abc") for _ in range(r.randrange(11))) for _ in range(2))
