@@ -27,6 +27,8 @@ from riskloom.llm.simhash import apart
 
 LINK_BITS = 3
 MIN_SIMILARITY = 0.8
+#: Edits up to which the way by diagonals is taken.
+FEW_EDITS = 64
 #: Widths of the blocks; of five, at most three hold a differing bit.
 BLOCKS = (13, 13, 13, 13, 12)
 #: Characters of a run, and the factor that hashes them.
@@ -196,8 +198,38 @@ def _block_pairs(fps: DataFrame) -> DataFrame:
     )
 
 
+def _alike(a: str, i: int, b: str, j: int) -> int:
+    """How many characters from a[i] and b[j] on are the same."""
+    n, step = 0, 32
+    while (x := a[i + n : i + n + step]) == (y := b[j + n : j + n + step]) and x:
+        n, step = n + len(x), step * 2
+    low, high = 0, min(len(x), len(y))
+    while low < high:  # the first difference lies in these two
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if x[low:mid] == y[low:mid] else (low, mid - 1)
+    return n + low
+
+
+def few_edits(a: str, b: str, most: int) -> int | None:
+    """Edit distance if it is at most ``most``: how far so many edits reach on each diagonal."""
+    n, m = len(a), len(b)
+    if abs(n - m) > most:
+        return None
+    reach = {0: _alike(a, 0, b, 0)}
+    for edits in range(most + 1):
+        if reach.get(m - n, -1) >= n:
+            return edits
+        further = {}
+        for k in range(max(-n, -edits - 1), min(m, edits + 1) + 1):
+            i = max(reach.get(k, -2) + 1, reach.get(k - 1, -1), reach.get(k + 1, -2) + 1)
+            i = min(i, n, m - k)
+            further[k] = i + _alike(a, i, b, i + k) if i >= max(0, -k) else -1
+        reach = further
+    return None
+
+
 def distance(a: str, b: str) -> int:
-    """Edit distance, by bit vectors over the characters that differ in the middle."""
+    """Edit distance: by diagonals if it is small, else by bit vectors over the middle that differs."""
     n = 0
     while n < min(len(a), len(b)) and a[n] == b[n]:
         n += 1
@@ -208,6 +240,8 @@ def distance(a: str, b: str) -> int:
     a, b = a[: len(a) - n], b[: len(b) - n]
     if not a or not b:
         return len(a) + len(b)
+    if (few := few_edits(a, b, FEW_EDITS)) is not None:
+        return few
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
@@ -246,9 +280,12 @@ def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
         root = np.arange(len(sq))
         for k in range(0, len(sq), step := max(1, STEP // seats.size)):
             near = apart(fp[k : k + step, None], fp[None, seats]) <= LINK_BITS
-            for v in range(k, min(k + step, len(sq))):
-                for m in seats[near[v - k]]:
-                    if root[m] != root[v] and similar(lines[v], lines[m]):
+            for v in k + np.flatnonzero(near.any(axis=1)):
+                mates = seats[near[v - k]]
+                # only partners that are not in the same group yet are worth a look at their texts
+                while (mates := mates[root[mates] != root[v]]).size:
+                    m, mates = mates[0], mates[1:]
+                    if similar(lines[v], lines[m]):
                         links.append((keys[v], keys[m]))
                         root[root == root[v]] = root[m]
     return pd.DataFrame(links, columns=["a", "b"], dtype=object)
