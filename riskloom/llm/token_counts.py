@@ -10,17 +10,19 @@ Where no boundaries coincide, the text is taken again with a wider overlap.
 
 from __future__ import annotations
 
-import json
+import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-from riskloom.llm.common import pick, settle
+from riskloom.llm.common import pick, settle, small_batches
 from riskloom.llm.pretokens import Splitter
 
 #: Characters of a chunk; shorter texts are one.
@@ -30,7 +32,7 @@ OVERLAP = 1 << 8
 #: How much wider the next overlap is.
 WIDER = 4
 #: Distinct pre-tokens whose counts a task remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 100_000
 
 
 class Counter:
@@ -40,17 +42,18 @@ class Counter:
     """
 
     def __init__(self, model: str, pattern: str):
-        spec = json.loads(model)
-        added = spec["added_tokens"]
-        plain = {"single_word", "lstrip", "rstrip", "normalized"}
-        if spec["normalizer"] or spec["pre_tokenizer"]["type"] != "ByteLevel" or spec["pre_tokenizer"]["add_prefix_space"]:
-            raise ValueError("only byte-level tokenizers that take texts as they are can be cut")
-        if any(t[k] for t in added for k in plain):
-            raise ValueError("only special tokens that stand for themselves can be cut")
+        # one thread: the tasks are what runs side by side
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_str(model)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = {t["content"] for t in added}
+        splitter = self.tokenizer.pre_tokenizer
+        if self.tokenizer.normalizer or not isinstance(splitter, ByteLevel) or splitter.add_prefix_space:
+            raise ValueError("only byte-level tokenizers that take texts as they are can be cut")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added):
+            raise ValueError("only special tokens that stand for themselves can be cut")
+        self.special = {t.content for t in added}
         self.longest = max(map(len, self.special), default=0)
         ordered = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, ordered)) + ")") if ordered else None
@@ -77,6 +80,12 @@ class Counter:
         return list(map(known.__getitem__, pieces))
 
 
+@lru_cache(maxsize=1)
+def _counter(model: str, pattern: str) -> Counter:
+    """A Python worker builds its counter once and keeps it for its next tasks."""
+    return Counter(model, pattern)
+
+
 def token_counts(
     docs: DataFrame,
     model: str,
@@ -94,12 +103,14 @@ def token_counts(
     one. Null texts count as empty: no bytes, no tokens. Repeated rows and null ids each get their
     row; an empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
+    Counter(model, pattern)  # refuses what it cannot count, before any job
     own = pick(docs, doc_id=doc_id, text=text).withColumn("text", F.coalesce("text", F.lit("")))
     kind = own.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the vocabulary
 
     def whole(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value, pattern)
+        counter = _counter(shared.value, pattern)
         for b in it:
             n = [sum(counter.counts(counter.pieces(t.as_py()))) for t in b.column(1)]
             yield pa.RecordBatch.from_arrays(
@@ -184,7 +195,7 @@ def _cuts(chunks: DataFrame, shared, pattern: str, chunk: int, overlap: int) ->
     """Tokens of each chunk, and its boundaries in both overlaps with the tokens before them."""
 
     def batch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value, pattern)
+        counter = _counter(shared.value, pattern)
         for b in it:
             rows = []
             for row, k, last, start, text in zip(*(b.column(i).to_pylist() for i in range(5))):
