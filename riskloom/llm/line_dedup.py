@@ -27,8 +27,8 @@ from riskloom.llm.simhash import apart
 
 LINK_BITS = 3
 MIN_SIMILARITY = 0.8
-#: Edits up to which the way by diagonals is taken.
-FEW_EDITS = 64
+#: Characters from which, and edits up to which, the way by diagonals is taken.
+LONG, FEW_EDITS = 4096, 64
 #: Widths of the blocks; of five, at most three hold a differing bit.
 BLOCKS = (13, 13, 13, 13, 12)
 #: Characters of a run, and the factor that hashes them.
@@ -229,7 +229,7 @@ def few_edits(a: str, b: str, most: int) -> int | None:
 
 
 def distance(a: str, b: str) -> int:
-    """Edit distance: by diagonals if it is small, else by bit vectors over the middle that differs."""
+    """Edit distance: by diagonals if it is small for long texts, else by bit vectors over the middle that differs."""
     n = 0
     while n < min(len(a), len(b)) and a[n] == b[n]:
         n += 1
@@ -240,7 +240,7 @@ def distance(a: str, b: str) -> int:
     a, b = a[: len(a) - n], b[: len(b) - n]
     if not a or not b:
         return len(a) + len(b)
-    if (few := few_edits(a, b, FEW_EDITS)) is not None:
+    if max(len(a), len(b)) > LONG and (few := few_edits(a, b, FEW_EDITS)) is not None:
         return few
     places: dict[str, int] = {}
     for i, c in enumerate(a):
