@@ -29,6 +29,8 @@ LINK_BITS = 3
 MIN_SIMILARITY = 0.8
 #: Characters from which, and edits up to which, the way by diagonals is taken.
 LONG, FEW_EDITS = 4096, 64
+#: Lines that one call verifies, as texts take longer than fingerprints.
+VERIFIED = 2_000
 #: Widths of the blocks; of five, at most three hold a differing bit.
 BLOCKS = (13, 13, 13, 13, 12)
 #: Characters of a run, and the factor that hashes them.
@@ -307,7 +309,7 @@ def line_groups(lines: DataFrame, docs: DataFrame) -> DataFrame:
     groups = settle(groups, "groups")
     texts = _texts_of(docs).join(groups.select("key"), "key", "left_semi").dropDuplicates(["key"])
     rows = settle(groups.join(texts, "key"), "texts").withColumn("home", F.lit(True))
-    cells = dealt(rows, ["component"], "key", ["key", "fp", "line"])
+    cells = dealt(rows, ["component"], "key", ["key", "fp", "line"], call=VERIFIED)
     return components(cells.groupBy("cell").applyInPandas(_verify, "a binary, b binary")).select(
         F.col("node").alias("key"), "component"
     )

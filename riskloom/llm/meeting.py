@@ -24,13 +24,15 @@ FEW = 8
 STEP = 1 << 21
 
 
-def dealt(rows: DataFrame, keys: list[str], salt: str, carry: list[str]) -> DataFrame:
+def dealt(
+    rows: DataFrame, keys: list[str], salt: str, carry: list[str], call: int = CALL
+) -> DataFrame:
     """The rows of each key that has a pair to compare, in squares of at most about SQUARE.
 
     ``rows`` has ``keys``, ``home`` (whether it is compared with all others of the key, or only
     with those at home), ``salt`` and ``carry``. Adds row, column and cell; rows of one square have
     the same cell. Everybody at home is in all columns of one row, everybody in all rows of one
-    column.
+    column. A cell has about ``call`` rows.
     """
     counts = rows.groupBy(*keys).agg(F.count_if("home").alias("homes"), F.count(F.lit(1)).alias("all"))
     met = settle(
@@ -59,7 +61,7 @@ def dealt(rows: DataFrame, keys: list[str], salt: str, carry: list[str]) -> Data
     others = here.where(~(F.col("home") & alone)).select(
         *keys, F.lit(False).alias("home"), *carry, all_of("rows").alias("row"), part("columns", "c").alias("column")
     )
-    cells = max(1, -(-total // CALL))
+    cells = max(1, -(-total // call))
     cell = F.pmod(F.xxhash64(*keys, "row", "column"), F.lit(cells)).cast("long")
     return at_home.unionByName(others).withColumn("cell", cell)
 
