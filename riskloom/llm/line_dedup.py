@@ -279,11 +279,13 @@ def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
         seats = np.flatnonzero(home)
         if not seats.size:
             continue
-        root = np.arange(len(sq))
+        root, size = np.arange(len(sq)), np.fromiter(map(len, lines), np.int64, len(lines))
         for k in range(0, len(sq), step := max(1, STEP // seats.size)):
             near = apart(fp[k : k + step, None], fp[None, seats]) <= LINK_BITS
             for v in k + np.flatnonzero(near.any(axis=1)):
                 mates = seats[near[v - k]]
+                sizes, own = size[mates], size[v]
+                mates = mates[np.minimum(sizes, own) >= MIN_SIMILARITY * np.maximum(sizes, own)]
                 # only partners that are not in the same group yet are worth a look at their texts
                 while (mates := mates[root[mates] != root[v]]).size:
                     m, mates = mates[0], mates[1:]
