@@ -18,10 +18,6 @@ from riskloom.session import fresh_dir, settle
 # The signal in this table is stronger than the default gate lets through.
 WIDE_BAND = (0.02, 100.0)
 
-# Trees per trial are cut here, as boosting on one machine takes seconds per ten trees;
-# the library's defaults are the full search space.
-FEW_TREES = (3, 8)
-
 
 def fitted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, BinMap, DataFrame]:
     """Labelled documents, their bin map, and the transformed table."""
@@ -51,9 +47,7 @@ def train_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("hyper_search")
 def hyper_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bins, woe = fitted(spark, sf_dir)
-    trials = training.hyper_search(
-        woe, "doc_id", "TARGET", bins.features, trees=FEW_TREES
-    )
+    trials = training.hyper_search(woe, "doc_id", "TARGET", bins.features)
     best = training.best_trial(trials)
     rows = [
         (
@@ -115,7 +109,6 @@ def underwriting_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
         key="doc_id",
         iv_band=WIDE_BAND,
         k=5,
-        trees=FEW_TREES,
     )
     rows = [(result.run_name, name, value) for name, value in result.metrics.items()]
     return spark.createDataFrame(rows, "run_name string, metric string, value double")

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from riskloom import bindings as B
 from riskloom.operators.binning import fit_bins
 from riskloom.operators.evidence import woe_transform
-from riskloom.plans import scoring, store, training
+from riskloom.plans import flow, scoring, store, training
 from riskloom.plans.flow import prepare, underwriting_flow
+from riskloom.queries import models
 from riskloom.session import fresh_dir, settle
 from riskloom.sources import read_runs
 from riskloom.sources.writers import versioned_name
@@ -115,6 +116,23 @@ def test_search_is_seeded(fitted):
     assert runs[0] == runs[1] and len(runs[0]) == 2
 
 
+def test_registered_searches_draw_the_full_number_of_trees(spark, sf_dir, monkeypatch):
+    drawn = []
+
+    def fit(df, label, features, params, engine="xgb"):
+        drawn.append(params.n_estimators)
+        small = training.TreeParams(2, params.learning_rate, 2)
+        return one_fit(df, label, features, small, engine)
+
+    one_fit = training.train_boosted_trees
+    monkeypatch.setattr(training, "train_boosted_trees", fit)
+    monkeypatch.setattr(flow, "train_boosted_trees", fit)
+    trials = models.hyper_search(spark, sf_dir).collect()
+    models.underwriting_flow(spark, sf_dir)
+    assert len(trials) == training.TRIALS and len(drawn) == 2 * training.TRIALS + 1
+    assert all(100 <= n <= 300 for n in [*drawn, *(t.n_estimators for t in trials)])
+
+
 def test_gate_of_the_flow(fitted):
     docs, *_ = fitted
     prepared = prepare(docs, docs.drop("TARGET"), "doc_id", "TARGET", k=2, iv_band=(0.02, 100.0), prebins=5)
