@@ -2,21 +2,26 @@
 
 P(word | before) = P(class | before) * P(word | class). A word's class is the number of bits of its
 count in the training texts; class 0 is the one unseen word, and the end of a text has a class of
-its own. Within a class, words share by count. The class comes from a softmax over hashed features
-of what stands before: the last word, the last two, and the last but one (a skip). The weights are
-trained by full gradient updates: every task sums the observed and the expected features of its
-texts, chunks of these sums are added up, and each weight is moved by its scaled gradient. Scoring
-works on whole batches of texts with numpy, touching only the rows of features that occur.
+its own. The class comes from a softmax over hashed features of what stands before: the last word,
+the last two, and the last but one (a skip). Within a class, words are the leaves of a binary tree:
+first a half of the shards, then a half of a shard's words, down to the one word. Each turn has a
+probability of its own, from the counts below both branches and from weights of the same features,
+hashed together with the node; so P(word | class, before) sums to one over the words of a class.
+
+The weights are trained by full gradient updates: every task sums the observed and the expected
+features of its texts, chunks of these sums are added up, and each weight is moved by its scaled
+gradient. Scoring works on whole batches of texts with numpy, touching only features that occur.
 
 Words are counted over all training texts by one global exchange (see ``exchange``). Tables sent to
-all tasks have at most BUCKETS * CLASSES weights per kind of feature, whatever the data.
+all tasks have at most BUCKETS * CLASSES weights per kind of feature, INNER weights for the turns,
+whatever the data, and a row per shard.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +45,14 @@ ROUNDS = 4
 RATE = 1.0
 #: Weight of no change, in occurrences of a feature.
 DAMPING = 2.0
+#: Weights of the turns within classes.
+INNER = 1 << 20
 #: Tokens worked on at a time.
 STEP = 1 << 14
 #: Rows of weights that are added up together.
 CHUNK = 1 << 9
+#: Weights of turns that are added up together.
+INNER_CHUNK = 1 << 16
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _START = np.uint64(0x27D4EB2F)
@@ -80,34 +89,133 @@ class Totals:
         return np.where(alone, 0.0, np.log10(counts + 1.0) - np.log10(np.where(alone, 1.0, self.mass[cls])))
 
 
+@dataclass
+class Paths:
+    """Ways from the top of a tree to some leaves, one after another, as many turns as ``sizes`` says.
+
+    A turn is the hash of its node and, in the lowest bit, whether it goes right; ``odds`` is the log
+    of the mass on the way taken over that of the other.
+    """
+
+    sizes: np.ndarray
+    turns: np.ndarray
+    odds: np.ndarray
+
+    @staticmethod
+    def of(leaf: np.ndarray, begin: np.ndarray, end: np.ndarray, salt: np.ndarray, below) -> "Paths":
+        """To leaves of trees over ``begin`` to ``end``, of which both halves of any part are a branch.
+
+        ``below`` gives the mass before places, for the leaves of these numbers. A branch without
+        mass is no turn.
+        """
+        lo, hi, start = begin.copy(), end.copy(), salt.astype(np.uint64) * _MIX[1]
+        owner, turns, odds = [], [], []
+        while (at := np.flatnonzero(hi - lo > 1)).size:
+            mid = (lo[at] + hi[at]) // 2
+            right = leaf[at] >= mid
+            middle = below(mid, at)
+            left, rest = middle - below(lo[at], at), below(hi[at], at) - middle
+            node = ((lo - begin)[at].astype(np.uint64) << np.uint64(32)) + (hi - begin)[at].astype(np.uint64)
+            node = (node + np.uint64(1)) * _MIX[0] ^ start[at]
+            node = (node ^ node >> np.uint64(29)) * _MIX[2] >> np.uint64(33)
+            two = (left > 0) & (rest > 0)
+            owner.append(at[two])
+            turns.append(((node.astype(np.uint32) << np.uint32(1)) | right.astype(np.uint32))[two])
+            odds.append(np.log(rest[two] / left[two]) * np.where(right[two], 1.0, -1.0))
+            lo[at], hi[at] = np.where(right, mid, lo[at]), np.where(right, hi[at], mid)
+        if not owner:
+            return Paths(np.zeros(leaf.size, np.int64), np.empty(0, np.uint32), np.empty(0, np.float32))
+        who = np.concatenate(owner)
+        order = np.argsort(who, kind="stable")
+        sizes = np.bincount(who, minlength=leaf.size)
+        return Paths(sizes, np.concatenate(turns)[order], np.concatenate(odds)[order].astype(np.float32))
+
+    def seats(self, which: np.ndarray) -> np.ndarray:
+        """Where the turns of these paths stand."""
+        starts, sizes = (np.cumsum(self.sizes) - self.sizes)[which], self.sizes[which]
+        return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+    def take(self, which: np.ndarray) -> "Paths":
+        seats = self.seats(which)
+        return Paths(self.sizes[which], self.turns[seats], self.odds[seats])
+
+    def after(self, top: "Paths") -> "Paths":
+        """Each of these paths behind the one of ``top``."""
+        n = self.sizes.size
+        both = Paths(*(np.concatenate([getattr(x, k) for x in (top, self)]) for k in ("sizes", "turns", "odds")))
+        seats = both.seats(np.arange(2 * n).reshape(2, n).T.ravel())
+        return Paths(top.sizes + self.sizes, both.turns[seats], both.odds[seats])
+
+
+def ranked(total: dict[bytes, int]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+    """Leaves of the seen words of a shard, in order of their counts and so class by class; and the
+    counts that occur with the number of words that have them."""
+    seen = sorted((n, w) for w, n in total.items() if n and w != END)
+    values, often = np.unique(np.array([n for n, _ in seen], np.uint64), return_counts=True)
+    return {w: k for k, (_, w) in enumerate(seen)}, values, often.astype(np.uint32)
+
+
+def paths_to(cls: np.ndarray, reply: np.ndarray, leaf: np.ndarray, runs: tuple, masses: np.ndarray) -> Paths:
+    """From the top of their classes to words that are the given leaves of the shard of a reply.
+
+    ``runs`` has the shard and the number of runs of each reply, and the counts and numbers of
+    words of the runs; ``masses`` has a row for each shard.
+    """
+    shards, sizes, values, often = runs
+    of = np.repeat(np.arange(shards.size), sizes)
+    tree = of * CLASSES + classes_of(values.astype(np.int64))
+    stop = np.cumsum(often.astype(np.int64))
+    place, mass = np.r_[0, stop], np.r_[0.0, np.cumsum(often * (values + 1.0))]
+    # the runs of a tree stand together, and so do those of a reply
+    first = np.flatnonzero(np.diff(tree, prepend=-1))
+    begin = np.zeros(shards.size * CLASSES, np.int64)
+    end = begin.copy()
+    begin[tree[first]], end[tree[first]] = place[first], place[np.r_[first[1:], tree.size]]
+    before = place[np.cumsum(sizes) - sizes]
+    which = reply * CLASSES + cls
+    salt = (shards[reply].astype(np.int64) + 1) * CLASSES + cls
+    own = Paths.of(before[reply] + leaf, begin[which], end[which], salt, lambda x, at: np.interp(x, place, mass))
+    # from the top of a class to the shard, once for all words of both
+    met, back = np.unique(which, return_inverse=True)
+    shard, c = shards[met // CLASSES].astype(np.int64), met % CLASSES
+    below = np.concatenate([np.zeros((1, CLASSES)), np.cumsum(masses, axis=0)])
+    tops = Paths.of(shard, np.zeros_like(shard), np.full_like(shard, len(masses)), c, lambda x, at: below[x, c[at]])
+    return own.after(tops.take(back))
+
+
 def _counted(made: Exchange) -> DataFrame:
-    """(batch, places, counts, hashes, tokens, distinct, mass): replies to batches, and one row per
-    shard, with batch -1, that has the totals."""
+    """(batch, places, counts, hashes, leaves, values, often, shard, tokens, distinct, mass): replies to
+    batches, and one row per shard, with batch -1, that has the totals."""
 
     def count_shard(rows: pa.Table) -> pa.Table:
         total: dict[bytes, int] = {}
-        parts = []
+        parts, shard = [], rows["shard"][0].as_py()
         for r in range(rows.num_rows):
             words = unpack_words(rows["b"][r].as_py(), rows["c"][r].as_py())
             place, often = rows["a"][r].as_py(), unpacked(rows["d"][r].as_py(), "<u4")
             for w, n in zip(words, often.tolist()):
                 total[w] = total.get(w, 0) + n
             parts.append((rows["batch"][r].as_py(), place, words))
-        out = []
+        (leaf, *runs), out = ranked(total), []
+        runs = [packed(x) for x in runs]
         for batch, place, words in parts:
             counts = np.array([total[w] for w in words], np.uint64)
             hashes = np.array([xxhash.xxh32_intdigest(w) for w in words], np.uint32)
-            out.append((batch, place, packed(counts), packed(hashes), None, None, None))
+            leaves = np.array([leaf.get(w, 0) for w in words], np.uint32)
+            out.append((batch, place, packed(counts), packed(hashes), packed(leaves), *runs, shard, None, None, None))
         counts = np.array([n for w, n in total.items() if w != END and n], np.int64)
         mass = np.bincount(classes_of(counts), counts + 1.0, CLASSES)
         seen = counts.sum() + total.get(END, 0)
         distinct = counts.size + (total.get(END, 0) > 0)
-        out.append((-1, None, None, None, int(seen), int(distinct), mass.tolist()))
-        kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
-        names = ["batch", "places", "counts", "hashes", "tokens", "distinct", "mass"]
+        out.append((-1, *[None] * 6, shard, int(seen), int(distinct), mass.tolist()))
+        kinds = [pa.int64(), *[pa.binary()] * 6, pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
+        names = ["batch", "places", "counts", "hashes", "leaves", "values", "often", "shard", "tokens", "distinct", "mass"]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
-    schema = "batch long, places binary, counts binary, hashes binary, tokens long, distinct long, mass array<double>"
+    schema = (
+        "batch long, places binary, counts binary, hashes binary, leaves binary, values binary, often binary, "
+        "shard int, tokens long, distinct long, mass array<double>"
+    )
     return settle(made.tokens.groupBy("shard").applyInArrow(count_shard, schema), "counts")
 
 
@@ -120,36 +228,69 @@ def _totals(counted: DataFrame) -> Totals:
     return Totals(sums[0] or 0, sums[1] or 0, mass)
 
 
+def _masses(counted: DataFrame) -> np.ndarray:
+    """Each class's sum of count + 1, a row for each shard."""
+    found = counted.where("batch = -1").select("shard", "mass").collect()
+    out = np.zeros((max((r.shard for r in found), default=0) + 1, CLASSES))
+    for r in found:
+        out[r.shard] = r.mass
+    return out
+
+
+#: What a reply has for its places, and its shard's runs.
+COLUMNS = (
+    ("places", unpack_places),
+    ("counts", lambda x: unpacked(x, "<u8")),
+    ("hashes", lambda x: unpacked(x, "<u4")),
+    ("leaves", lambda x: unpacked(x, "<u4")),
+    ("values", lambda x: unpacked(x, "<u8")),
+    ("often", lambda x: unpacked(x, "<u4")),
+)
+
+
 def _corpus(made: Exchange, counted: DataFrame) -> DataFrame:
-    """A row per batch: its documents, with count, hash and whether it is the end for each place."""
+    """A row per batch: its documents, with count, hash, reply and leaf for each place, and the runs
+    of counts of the replies."""
     kind = made.id_type
 
     def assemble(key: tuple, documents: pa.Table, answers: pa.Table) -> pa.Table:
         parts = [
-            (unpack_places(p.as_py()), unpacked(c.as_py(), "<u8"), unpacked(h.as_py(), "<u4"))
-            for p, c, h in zip(answers["places"], answers["counts"], answers["hashes"])
+            tuple(f(answers[k][r].as_py()) for k, f in COLUMNS) for r in range(answers.num_rows)
         ]
-        n = sum(len(p) for p, _, _ in parts)
+        n = sum(len(p[0]) for p in parts)
         counts, hashes = np.zeros(n, np.uint64), np.zeros(n, np.uint32)
-        for place, c, h in parts:
-            counts[place], hashes[place] = c, h
+        leaves, reply = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
+        for k, (place, c, h, leaf, _, _) in enumerate(parts):
+            counts[place], hashes[place], leaves[place], reply[place] = c, h, leaf, k
+        shards = np.array(answers["shard"].to_pylist(), np.uint32)
+        sizes = np.array([len(p[4]) for p in parts], np.uint32)
+        values = np.concatenate([np.empty(0, np.uint64), *(p[4] for p in parts)])
+        often = np.concatenate([np.empty(0, np.uint32), *(p[5] for p in parts)])
         rows = documents.num_rows
         out = documents.select(["ids", "flags", "counts", "a"])
-        out = out.append_column("c", pa.array([packed(counts)] * rows, pa.binary()))
-        return out.append_column("h", pa.array([packed(hashes)] * rows, pa.binary()))
+        more = {"c": counts, "h": hashes, "l": leaves, "p": reply, "k": shards, "s": sizes, "v": values, "n": often}
+        for name, column in more.items():
+            out = out.append_column(name, pa.array([packed(column)] * rows, pa.binary()))
+        return out
 
     documents = made.documents.select("batch", "ids", "flags", "counts", "a")
-    replies = counted.where("batch >= 0").select("batch", "places", "counts", "hashes")
+    replies = counted.where("batch >= 0").drop("tokens", "distinct", "mass")
     return settle(
         documents.groupBy("batch")
         .cogroup(replies.groupBy("batch"))
         .applyInArrow(
-            assemble, f"ids array<{kind}>, flags array<boolean>, counts array<int>, a binary, c binary, h binary"
+            assemble,
+            f"ids array<{kind}>, flags array<boolean>, counts array<int>, a binary, c binary, h binary, "
+            "l binary, p binary, k binary, s binary, v binary, n binary",
         ),
         "corpus",
     )
 
 
+#: Columns of the corpus that a batch is made of.
+READ = ("flags", "counts", "a", "c", "h", "l", "p", "k", "s", "v", "n")
+
+
 class Batch:
     """The tokens of one batch of texts, with their features and the columns of their classes."""
 
@@ -165,9 +306,10 @@ class Batch:
             self.cls[self.sequence[self.starts + self.sizes - 1]] = END_CLASS
         self.column = columns[self.cls]
         self.hashes = unpacked(row["h"], "<u4").astype(np.uint64)
+        self.row = row
 
-    def features(self) -> np.ndarray:
-        """Buckets, KINDS by tokens."""
+    def contexts(self) -> np.ndarray:
+        """Hashes of the features, KINDS by tokens."""
         here = self.hashes[self.sequence]
         last, second = np.empty_like(here), np.empty_like(here)
         last[1:], second[2:] = here[:-1], here[:-2]
@@ -175,14 +317,51 @@ class Batch:
         second[self.starts] = _START
         follow = self.starts[self.sizes > 1] + 1
         second[follow] = _START
-        top = np.uint64(64 - int(math.log2(BUCKETS)))
         return np.stack(
             [
-                last * _MIX[0] >> top,
-                (last * _MIX[1] + (second + np.uint64(1)) * _MIX[2]) * _MIX[0] >> top,
-                (second + np.uint64(7)) * _MIX[1] >> top,
+                last * _MIX[0],
+                (last * _MIX[1] + (second + np.uint64(1)) * _MIX[2]) * _MIX[0],
+                (second + np.uint64(7)) * _MIX[1],
             ]
-        ).astype(np.uint16)
+        )
+
+    def features(self) -> np.ndarray:
+        """Buckets, KINDS by tokens."""
+        return (self.contexts() >> np.uint64(64 - int(math.log2(BUCKETS)))).astype(np.uint16)
+
+    def paths(self, masses: np.ndarray) -> Paths:
+        """For each place; unseen words and the end are alone in their class, and have no way to go."""
+        leaf, reply, shards, sizes = (unpacked(self.row[n], "<u4").astype(np.int64) for n in "lpks")
+        runs = (shards, sizes, unpacked(self.row["v"], "<u8"), unpacked(self.row["n"], "<u4"))
+        some = np.flatnonzero((self.cls != END_CLASS) & (self.cls != 0))
+        ways = paths_to(self.cls[some], reply[some], leaf[some], runs, masses)
+        out = np.zeros(self.cls.size, np.int64)
+        out[some] = ways.sizes
+        return Paths(out, ways.turns, ways.odds)
+
+    def turned(self, weights: Weights, some: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """For parts of the tokens numbered ``some``: their numbers, turns of each, seats of the
+        turns' weights by kind, their direction and their probability."""
+        paths, contexts, inner = self.paths(weights.masses), self.contexts(), weights.inner
+        shift = np.uint64(64 - int(math.log2(inner.size)))
+        for k in range(0, some.size, STEP):
+            part = some[k : k + STEP]
+            own = paths.take(self.sequence[part].astype(np.int64))
+            node = (own.turns >> np.uint32(1)).astype(np.uint64) * _MIX[1]
+            way = np.where(own.turns & np.uint32(1), np.float32(1), np.float32(-1))
+            seats = []
+            for kind in range(KINDS):
+                mixed = np.repeat(contexts[kind, part] + np.uint64(kind), own.sizes) ^ node
+                seats.append(((mixed ^ mixed >> np.uint64(31)) * _MIX[2] >> shift).astype(np.int64))
+            x = (own.odds + way * sum(np.take(inner, s) for s in seats)).astype(np.float64)
+            yield part, own.sizes, seats, way, 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+
+    def within(self, weights: Weights) -> np.ndarray:
+        """log10 of P(word | class, before) of each token."""
+        out = np.zeros(self.sequence.size)
+        for part, sizes, _, _, p in self.turned(weights, np.arange(out.size)):
+            out[part] = np.bincount(np.repeat(np.arange(part.size), sizes), np.log10(p), part.size)
+        return out
 
     def learned(self) -> tuple[np.ndarray, np.ndarray]:
         """Features and columns of the tokens of flagged texts."""
@@ -200,11 +379,16 @@ def columns_of(mass: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Weights:
-    """By kind of feature, bucket and column; and one of each column for all."""
+    """By kind of feature, bucket and column; one of each column for all; and those of the turns.
+
+    ``masses`` has the mass of each class in each shard, from which the odds of turns come.
+    """
 
     table: np.ndarray
     bias: np.ndarray
     columns: np.ndarray
+    inner: np.ndarray = field(default_factory=lambda: np.zeros(INNER, np.float32))
+    masses: np.ndarray = field(default_factory=lambda: np.zeros((1, CLASSES)))
 
     def softmax(self, features: np.ndarray) -> np.ndarray:
         """Probability of each column, for tokens that have one bucket of each kind."""
@@ -255,15 +439,30 @@ def _expected(rows: Iterator[dict], weights: Weights) -> np.ndarray:
     return out
 
 
-def _summed(texts: DataFrame, sums_of, width: int) -> np.ndarray:
+def _slopes(rows: Iterator[dict], weights: Weights) -> np.ndarray:
+    """Of each weight of the turns, the slope of the log probability and its curvature."""
+    out = np.zeros((2, weights.inner.size))
+    for row in rows:
+        batch = Batch(row, weights.columns)
+        learn = np.flatnonzero(np.repeat(batch.flags, batch.sizes))
+        for _, _, seats, way, p in batch.turned(weights, learn):
+            for s in seats:
+                np.add.at(out[0], s, way * (1 - p))
+                np.add.at(out[1], s, p * (1 - p))
+    return out.T
+
+
+def _summed(
+    texts: DataFrame, sums_of, width: int, height: int = KINDS * BUCKETS + 1, chunk: int = CHUNK
+) -> np.ndarray:
     """What ``sums_of`` makes of each task's rows, added up by chunks of weights."""
 
     def parts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = sums_of(row for b in it for row in b.to_pylist()).astype(np.float32)
-        for k in range(0, len(sums), CHUNK):
-            if sums[k : k + CHUNK].any():
+        for k in range(0, len(sums), chunk):
+            if sums[k : k + chunk].any():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([sums[k : k + CHUNK].tobytes()], pa.binary())],
+                    [pa.array([k], pa.int32()), pa.array([sums[k : k + chunk].tobytes()], pa.binary())],
                     names=["chunk", "sums"],
                 )
 
@@ -271,7 +470,7 @@ def _summed(texts: DataFrame, sums_of, width: int) -> np.ndarray:
         total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in rows["sums"])
         return pa.table({"chunk": rows["chunk"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
 
-    out = np.zeros((KINDS * BUCKETS + 1, width))
+    out = np.zeros((height, width))
     chunks = texts.mapInArrow(parts, "chunk int, sums binary").groupBy("chunk")
     for r in chunks.applyInArrow(add, "chunk int, sums binary").collect():
         part = np.frombuffer(r.sums, np.float64).reshape(-1, width)
@@ -279,24 +478,30 @@ def _summed(texts: DataFrame, sums_of, width: int) -> np.ndarray:
     return out
 
 
-def train(corpus: DataFrame, mass: np.ndarray, rounds: int = ROUNDS) -> Weights:
+def train(corpus: DataFrame, masses: np.ndarray, rounds: int = ROUNDS) -> Weights:
     """Weights after so many full gradient updates over all flagged documents."""
-    columns = columns_of(mass)
+    columns = columns_of(masses.sum(axis=0))
     width = int(columns.max()) + 1
     weights = Weights(
-        np.zeros((KINDS, BUCKETS, width), np.float32), np.zeros(width, np.float32), columns
+        np.zeros((KINDS, BUCKETS, width), np.float32), np.zeros(width, np.float32), columns, masses=masses
     )
     sc = corpus.sparkSession.sparkContext
     texts = corpus.select("flags", "counts", "a", "c", "h")
+    ways = corpus.select(*READ)
     observed = _summed(texts, lambda rows: _observed(rows, columns), width)
     for _ in range(rounds):
         shared = sc.broadcast(weights)
         expected = _summed(texts, lambda rows, shared=shared: _expected(rows, shared.value), width)
+        slope, curve = _summed(
+            ways, lambda rows, shared=shared: _slopes(rows, shared.value), 2, weights.inner.size, INNER_CHUNK
+        ).T
         step = RATE / (KINDS + 1) * (observed - expected) / ((observed + expected) / 2 + DAMPING)
         weights = Weights(
             weights.table + step[:-1].reshape(weights.table.shape).astype(np.float32),
             weights.bias + (step[-1] * (KINDS + 1)).astype(np.float32),
             columns,
+            weights.inner + (RATE / KINDS * slope / (curve + DAMPING)).astype(np.float32),
+            masses,
         )
     return weights
 
@@ -314,18 +519,18 @@ def lm_scores(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: s
     totals = _totals(counted)
     corpus = _corpus(made, counted)
     sc = docs.sparkSession.sparkContext
-    shared = sc.broadcast((train(corpus, totals.mass), totals))
+    shared = sc.broadcast((train(corpus, _masses(counted)), totals))
     kind = made.id_type
 
     def score(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, totals = shared.value
         for b in it:
             for r in range(b.num_rows):
-                row = {n: b.column(n)[r].as_py() for n in ("flags", "counts", "a", "c", "h")}
+                row = {n: b.column(n)[r].as_py() for n in READ}
                 batch = Batch(row, weights.columns)
                 features, sequence = batch.features(), batch.sequence
                 base = totals.base(batch.counts)[sequence]
-                within = totals.within(batch.counts, batch.cls)[sequence]
+                within = batch.within(weights)
                 column, model = batch.column[sequence], np.empty(sequence.size)
                 for k in range(0, sequence.size, STEP):
                     p = weights.softmax(features[:, k : k + STEP])

@@ -270,6 +270,51 @@ def test_lm_is_normalised():
     assert np.bincount(cls, share).tolist() == pytest.approx([1, 1, 1, 1])
 
 
+def test_lm_paths_are_normalised():
+    """Without weights, the turns give the share by counts; with any, they sum to one after a context."""
+    r = np.random.default_rng(14)
+    counts = {b"%d" % i: n for i, n in enumerate([1, 1, 0, 3, 2, 2, 3, 3, 2, 3, 3])}
+    names, masses = list(counts), np.zeros((6, maxent.CLASSES))
+    leaves, runs = [], []
+    for shard, own in ((3, names[:5]), (5, names[5:])):
+        seen = {w: counts[w] for w in own}
+        leaf, values, often = maxent.ranked(seen)
+        leaves += [leaf.get(w, 0) for w in own]
+        runs.append((shard, values.size, values, often))
+        masses[shard] = np.bincount(maxent.classes_of(values.astype(int)), often * (values + 1.0), maxent.CLASSES)
+    shards, sizes, values, often = zip(*runs)
+    cls = maxent.classes_of(np.array(list(counts.values())))
+    small = {"a": None, "h": range(12), "l": [*leaves, 0], "p": [0] * 5 + [1] * 7, "k": shards, "s": sizes, "n": np.concatenate(often)}
+    large = {"c": [*counts.values(), 1], "v": np.concatenate(values)}
+    # a text that has each word in turn, with the first two words before each of them
+    for inner in (np.zeros(1 << 10, np.float32), r.normal(size=1 << 10).astype(np.float32)):
+        weights, got = maxent.Weights(None, None, None, inner, masses), []
+        for w in range(11):
+            small["a"] = [0, 1, w, 11]
+            row = {n: exchange.packed(np.array(x, np.uint32)) for n, x in small.items()}
+            row |= {n: exchange.packed(np.array(x, np.uint64)) for n, x in large.items()}
+            batch = maxent.Batch(row | {"flags": [True], "counts": [4]}, np.arange(maxent.CLASSES))
+            got.append(10 ** batch.within(weights)[2])
+        assert np.bincount(cls, got)[1:] == pytest.approx([1, 1])
+        if not inner.any():
+            totals = maxent.Totals(18, 10, masses.sum(axis=0))
+            assert got == pytest.approx(10 ** totals.within(np.array(list(counts.values())), cls), rel=1e-5)
+
+
+def test_lm_tells_words_of_one_class_apart(rows, monkeypatch):
+    """Words of one count stand in fixed pairs; a text scores above the same one with the second words exchanged."""
+    monkeypatch.setattr(exchange, "SHARD_BYTES", 2000)
+    pairs = [(f"a{i}", f"b{i}") for i in range(40)]
+    r, data = random.Random(15), []
+    for i in range(16):
+        data.append((i, " ".join(w for p in r.sample(pairs, 40) for w in p)))
+    data.append((100, " ".join(w for p in pairs for w in p)))
+    data.append((101, " ".join(w for (a, _), (_, b) in zip(pairs, [*pairs[1:], pairs[0]]) for w in (a, b))))
+    got = maxent.lm_scores(rows(data, "doc_id long, text string"), F.col("doc_id") < 100).where("doc_id >= 100").collect()
+    score = {r.doc_id: r.score / r.n_tokens for r in got}
+    assert score[100] > score[101] + 0.3
+
+
 def test_lm_beats_the_base(spark):
     found = queries.op6_lm_scores(spark, "/root/testdata/sf0.001").where("held_out")
     sums = found.agg(F.sum("score").alias("model"), F.sum("base_score").alias("base")).first()
