@@ -81,18 +81,24 @@ class Cells:
         gap = lifted - self.pivots[cell]
         return cell, np.sqrt((gap * gap).sum(axis=1))
 
-    def reach(self, k: int, radius: dict[int, float], closest: dict[int, list[float]]) -> dict[int, np.ndarray]:
+    def reach(self, k: int, radius: dict[int, float], closest: dict[int, list[tuple]]) -> dict[int, np.ndarray]:
         """For each group of queries: per data cell, the distance from the pivot beyond which rows may matter.
 
         A row at distance d from pivot j is at least |p_i p_j| - U_i - d away from any query of
         group i (U_i: its radius), and at least d - |p_i p_j| - U_i. It is of no use if either
         exceeds the bound of the k-th distance. Given as the least and greatest useful d.
+        ``closest`` has distances and ids of rows near to each pivot; as a query may have any one id,
+        k + 1 different ids are within the bound.
         """
         gaps = np.sqrt(((self.pivots[:, None] - self.pivots[None]) ** 2).sum(axis=2))
         out = {}
         for i, u in radius.items():
-            ends = sorted(u + gaps[i, j] + d for j, some in closest.items() for d in some)
-            bound = ends[k - 1] if len(ends) >= k else np.inf
+            nearest: dict = {}
+            for j, some in closest.items():
+                for d, name in some:
+                    nearest[name] = min(nearest.get(name, np.inf), u + gaps[i, j] + d)
+            ends = sorted(nearest.values())
+            bound = ends[k] if len(ends) > k else np.inf
             slack = 1e-6 * (1 + np.where(np.isfinite(bound), bound, 0) + gaps[i].max() + u)
             out[i] = np.c_[gaps[i] - u - bound - slack, gaps[i] + u + bound + slack]
         return out
@@ -133,7 +139,6 @@ def top_k(
     # whole numbers travel in the smallest type that holds them
     number = "smallint" if facts.most < 1 << 15 else "int" if facts.most < 1 << 31 else "double"
     sent_type = pa.list_({"smallint": pa.int16(), "int": pa.int32(), "double": pa.float64()}[number])
-    same_id = data.groupBy("vec_id").count().agg(F.max("count")).first()[0]
     chosen = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).select("v").collect()
     if not chosen:
         return spark.createDataFrame([], out)
@@ -154,13 +159,15 @@ def top_k(
         return settle(df.mapInArrow(batch, f"vec_id {kind}, v array<{number}>, cell int, gap double"), "cells")
 
     groups, placed = assigned(queries, True), assigned(data, False)
-    # summaries: as many numbers as there are pivots, times k
+    # summaries: as many rows as there are pivots, times k + 1; of each id the closest row to a pivot
     radius = {r.cell: r.u for r in groups.groupBy("cell").agg(F.max("gap").alias("u")).collect()}
-    # a query is no candidate of its own, nor are the others with its id
-    most = k + same_id
+    most = max(k, 0)
+    ids = placed.groupBy("cell", "vec_id").agg(F.min("gap").alias("gap"))
     nth = F.row_number().over(Window.partitionBy("cell").orderBy("gap"))
-    few = placed.select("cell", "gap", nth.alias("nth")).where(F.col("nth") <= most)
-    closest = {r.cell: sorted(r.some) for r in few.groupBy("cell").agg(F.collect_list("gap").alias("some")).collect()}
+    few = ids.select("cell", "vec_id", "gap", nth.alias("nth")).where(F.col("nth") <= most + 1)
+    closest: dict[int, list[tuple]] = {}
+    for r in few.select("cell", "gap", "vec_id").collect():
+        closest.setdefault(r.cell, []).append((r.gap, r.vec_id))
     reach = cells.reach(most, radius, closest)
     low = {i: x[:, 0] for i, x in reach.items()}
     high = {i: x[:, 1] for i, x in reach.items()}

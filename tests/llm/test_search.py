@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,24 @@ def test_top_k(rows, monkeypatch, square, kind):
     assert {tuple(x) for x in got.collect()} == slow_top(data, 5)
 
 
+@pytest.mark.parametrize("often", [7, 50])
+def test_an_id_on_a_third_of_the_rows(rows, monkeypatch, often):
+    """Summaries stay small, and the bound holds, be the id a candidate or a query."""
+    r, seen, reach = random.Random(9), [], topk.Cells.reach
+
+    def watched(self, k, radius, closest):
+        out = reach(self, k, radius, closest)
+        seen.append((max(map(len, closest.values())), max(np.ptp(x, axis=1).max() for x in out.values())))
+        return out
+
+    monkeypatch.setattr(topk.Cells, "reach", watched)
+    data = [(often if i % 3 == 0 else i, [r.gauss(0, 1) for _ in range(6)]) for i in range(600)]
+    df = rows(data, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, F.col("vec_id") % 50 == 0, k=5)
+    assert {tuple(x) for x in got.collect()} == slow_top(data, 5)
+    assert seen[0][0] <= 6 and math.isfinite(seen[0][1])
+
+
 def test_few_rows(rows):
     schema = "vec_id long, embedding array<float>"
     one = F.col("vec_id") % 50 == 0
