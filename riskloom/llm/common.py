@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +37,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def stretches(text: bytes, cut: re.Pattern[bytes], step: int = 1 << 20) -> Iterator[bytes]:
+    """A text in turns of about ``step`` bytes, each ending just before a match of ``cut``."""
+    start = 0
+    while len(text) - start > step and (end := cut.search(text, start + step)):
+        yield text[start : end.start()]
+        start = end.start()
+    yield text[start:] if start else text
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
@@ -47,4 +58,5 @@ __all__ = [
     "settle",
     "sha256_hex",
     "small_batches",
+    "stretches",
 ]

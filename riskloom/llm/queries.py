@@ -10,15 +10,18 @@ from riskloom.bindings import table
 from riskloom.llm import (
     bpe,
     decontaminate,
+    filter_audit,
     language,
     line_dedup,
     maxent,
     near_dedup,
+    phrases,
     pretokens,
     token_counts,
     topk,
     toxicity,
     url_filter,
+    word_bpe,
 )
 from riskloom.llm.common import in_fold
 from riskloom.queries import query
@@ -137,3 +140,83 @@ def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = in_fold(F.col("doc_id"), 7, 2)
     scores = maxent.lm_scores(table(spark, sf_dir, "documents"), ~held_out)
     return scores.withColumn("held_out", held_out)
+
+
+_PIECES = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'), lambda x: x <> '')"
+
+
+@query(
+    "op11_phrases",
+    rf"""WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS p FROM documents),
+        w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM piece),
+        total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+        f AS (SELECT lang, size, phrase, count(*) AS f FROM (
+                SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase FROM (
+                  SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, (SELECT unnest([1, 2, 3]) AS size)
+                  WHERE len(w) >= size))
+              GROUP BY ALL HAVING count(*) >= 10),
+        c AS (SELECT lang, size, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1),
+        cut AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+                FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+        scored AS (SELECT cut.lang, cut.phrase, a, k, x.f AS l, y.f AS r,
+                          (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+                   FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = lp JOIN f y ON y.lang = cut.lang AND y.phrase = rp),
+        worst AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+        longer AS (SELECT lang, phrase, max(a) AS m FROM (
+                     SELECT lang, a, array_to_string(w[1:2], ' ') AS phrase FROM c WHERE size = 3
+                     UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM c WHERE size = 3) GROUP BY ALL),
+        own AS (SELECT worst.* FROM worst LEFT JOIN longer USING (lang, phrase) WHERE m IS NULL OR 100 * m < 50 * a)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+               a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+        FROM own JOIN total USING (lang) QUALIFY rank <= 2000""",
+)
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of two and three words of every language, over all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), min_count=10, max_words=3, top=2000)
+
+
+@query(
+    "op12_filter_audit",
+    r"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+                          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        x AS (SELECT doc_id, part,
+                     (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+                     + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT
+                     + 8 * regexp_matches(t, '[#$%&*|]')::INT
+                     + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS fails FROM d),
+        m AS (SELECT doc_id, coalesce(max(quality = 1), false) AS good, coalesce(max(toxic = 1), false) AS toxic
+              FROM labels GROUP BY doc_id),
+        g AS (SELECT part, fails, count(*) AS n, coalesce(sum(good::INT), 0) AS good, coalesce(sum(toxic::INT), 0) AS toxic
+              FROM x LEFT JOIN m USING (doc_id) GROUP BY ALL),
+        l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+        o AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM l a, l b, l c, l d, l e
+              WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+        s AS (SELECT filter_order, step, (1 << (ascii(filter_order[step]) - 65)) AS f,
+                     list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))) AS earlier
+              FROM o, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+        z AS (SELECT filter_order, step, f, coalesce(earlier, 0)::INT AS earlier FROM s),
+        r AS (SELECT part, filter_order, step, f,
+                     sum(CASE WHEN fails & (earlier | f) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+                     sum(CASE WHEN fails & earlier = 0 AND fails & f <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+                     sum(CASE WHEN fails & earlier <> 0 AND fails & f <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+                     sum(CASE WHEN fails = f THEN n ELSE 0 END)::BIGINT AS unique_fails,
+                     sum(CASE WHEN fails & earlier = 0 AND fails & f <> 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+                     sum(CASE WHEN fails & earlier = 0 AND fails & f <> 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost
+              FROM g, z GROUP BY ALL)
+        SELECT part, filter_order, step::INTEGER AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM r""",
+)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters do to each source, in every order."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op13_word_bpe")
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents in the vocabulary of words, and what they decode to, as digests."""
+    with open(WORD_MODEL, encoding="utf-8") as f:
+        model = word_bpe.WordModel(f.read())
+    return word_bpe.digests(word_bpe.encode(table(spark, sf_dir, "documents"), model), model)
