@@ -33,12 +33,15 @@ from riskloom.llm.common import pick, sha256_hex, small_batches, stretches
 
 #: Parts up to which a word is scanned.
 SHORT = 128
-#: Words a task remembers.
-REMEMBERED = 300_000
+#: Words a task remembers, besides those of a turn.
+REMEMBERED = 400_000
 #: Bytes of a text that are split into words at a time, and ids decoded at a time.
-STEP = 1 << 20
+STEP = 1 << 16
+#: Bytes of texts whose new words are encoded together.
+TURN = 4 << 20
 
 SPACE = re.compile(rb"[\x09-\x0D\x20]")
+_SPACE = re.compile(r"[\x09-\x0D\x20]+")
 
 NO_RANK = np.iinfo(np.int32).max
 
@@ -204,31 +207,32 @@ class WordModel:
             look(before[i])
         return np.array([p for p, x in zip(parts, gone) if not x], "<u4").tobytes()
 
-    def words(self, text: str) -> list[bytes]:
-        """The words of text without special tokens, in lower case, as bytes."""
+    def words(self, text: str) -> list[str]:
+        """The words of a text in lower case, and special tokens as they stand."""
+        if self.special and "<" in text:
+            sections = self.special_pattern.split(text)
+            return [w for x in sections for w in ([x] if x in self.special else self._words(x))]
+        return self._words(text)
+
+    def _words(self, text: str) -> list[str]:
+        if text.isascii():
+            return self.pattern.findall(text.lower())
         if _PLAIN.fullmatch(text) and "Σ" not in text:
-            return [w.encode() for w in self.pattern.findall(unicodedata.normalize("NFC", text).lower())]
+            return self.pattern.findall(unicodedata.normalize("NFC", text).lower())
+        units = _SPACE.split(text)
+        if len(units) > 1:
+            return [w for x in units for w in self._words(x)]
         # what tables of several ages may see differently is asked of the library
         back = byte_letters()
         normal = self.library.normalizer.normalize_str(text)
-        return [bytes(map(back.__getitem__, w)) for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
-
-    def encode_units(self, units: Iterable[bytes]) -> dict[bytes, bytes]:
-        """Ids of stretches of text without white space."""
-        rows: dict[bytes, list[bytes | int]] = {}
-        for unit in units:
-            row: list[bytes | int] = []
-            text = unit.decode()
-            sections = self.special_pattern.split(text) if self.special and "<" in text else [text]
-            for section in sections:
-                row.extend([self.special[section]] if section in self.special else self.words(section))
-            rows[unit] = row
-        distinct = list({w for row in rows.values() for w in row if isinstance(w, bytes)})
-        ids = dict(zip(distinct, self.encode_words(distinct)))
-        return {
-            unit: b"".join(ids[w] if isinstance(w, bytes) else w.to_bytes(4, "little") for w in row)
-            for unit, row in rows.items()
-        }
+        found = self.library.pre_tokenizer.pre_tokenize_str(normal)
+        return [bytes(map(back.__getitem__, w)).decode() for w, _ in found]
+
+    def ids_of(self, words: Iterable[str]) -> dict[str, bytes]:
+        """Ids of distinct words and special tokens."""
+        plain = [w for w in words if w not in self.special]
+        ids = dict(zip(plain, self.encode_words([w.encode() for w in plain])))
+        return ids | {w: i.to_bytes(4, "little") for w, i in self.special.items()}
 
 
 def byte_letters() -> dict[str, int]:
@@ -245,6 +249,20 @@ def _without(rows: np.ndarray, place: np.ndarray) -> np.ndarray:
     return rows[stay].reshape(len(rows), rows.shape[1] - 1)
 
 
+def _turns(texts: pa.Array) -> Iterator[list[tuple[int, bytes]]]:
+    """Stretches of texts with their rows, of about TURN bytes at a time."""
+    turn, size = [], 0
+    for row, cell in enumerate(texts):
+        for some in stretches(cell.as_py() or b"", SPACE, STEP):
+            turn.append((row, some))
+            size += len(some)
+            if size > TURN:
+                yield turn
+                turn, size = [], 0
+    if turn:
+        yield turn
+
+
 def encode(docs: DataFrame, model: WordModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids array<int>): the ids of each whole text, one row per row of ``docs``.
 
@@ -261,17 +279,16 @@ def encode(docs: DataFrame, model: WordModel, doc_id: str = "doc_id", text: str
     def batch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made, known = WordModel(shared.value), {}
         for b in it:
-            rows = []
-            for cell in b.column(1):
-                found = []
-                for some in stretches(cell.as_py() or b"", SPACE, STEP):
-                    units = some.split()
-                    if new := set(units).difference(known):
-                        if len(known) > REMEMBERED:
-                            known, new = {}, set(units)
-                        known.update(made.encode_units(new))
-                    found.append(b"".join(map(known.__getitem__, units)))
-                rows.append(b"".join(found))
+            found: list[list[bytes]] = [[] for _ in range(b.num_rows)]
+            for turn in _turns(b.column(1)):
+                words = [(row, made.words(text.decode())) for row, text in turn]
+                new = {w for _, some in words for w in some}
+                if len(known) > REMEMBERED:
+                    known = {}
+                known.update(made.ids_of(new.difference(known)))
+                for row, some in words:
+                    found[row].append(b"".join(map(known.__getitem__, some)))
+            rows = [b"".join(x) for x in found]
             ends = np.cumsum([0, *(len(r) // 4 for r in rows)])
             ids = pa.array(np.frombuffer(b"".join(rows), "<i4"))
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)

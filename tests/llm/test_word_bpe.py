@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -27,9 +28,7 @@ def wanted(text):
     return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
 
-@pytest.mark.parametrize("short,step,remembered", [(128, 1 << 20, 300_000), (4, 64, 5)])
-def test_encode_and_decode(rows, monkeypatch, short, step, remembered):
-    monkeypatch.setattr(word_bpe, "SHORT", short)
+def test_encode_and_decode(rows):
     data = [(i if i % 7 else None, t, i, "x") for i, t in enumerate(texts(2, 300, 30))]
     data += [data[3], data[3]]
     df = rows(data, "doc_id long, text string, ids int, decoded string")
@@ -48,11 +47,18 @@ def test_scan_and_heap_agree(monkeypatch):
     assert MODEL.encode_words(words) == scanned
 
 
-def test_small_turns_and_little_memory():
-    text = " ".join(t for t in texts(4, 200, 20) if t).encode()
-    known = MODEL.encode_units({u for s in word_bpe.stretches(text, word_bpe.SPACE, 50) for u in s.split()})
-    units = [u for s in word_bpe.stretches(text, word_bpe.SPACE, 50) for u in s.split()]
-    assert np.frombuffer(b"".join(map(known.__getitem__, units)), "<u4").tolist() == wanted(text.decode())
+@pytest.mark.parametrize("step,turn", [(50, 200), (1 << 16, 1)])
+def test_small_turns(monkeypatch, step, turn):
+    monkeypatch.setattr(word_bpe, "STEP", step)
+    monkeypatch.setattr(word_bpe, "TURN", turn)
+    some = texts(4, 100, 30)
+    got = [[] for _ in some]
+    for part in word_bpe._turns(pa.array([None if t is None else t.encode() for t in some], pa.binary())):
+        words = [(row, MODEL.words(text.decode())) for row, text in part]
+        known = MODEL.ids_of({w for _, x in words for w in x})
+        for row, x in words:
+            got[row] += np.frombuffer(b"".join(map(known.__getitem__, x)), "<u4").tolist()
+    assert got == [wanted(t) for t in some]
 
 
 def test_digests(rows):
