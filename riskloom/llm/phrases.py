@@ -7,11 +7,14 @@ words both of whose parts of k words are frequent.
 
 A row of a written relation holds a batch of pieces as sorted arrays, as one row per occurrence
 would be hundreds of bytes for each word of the text. Positions number the words of a batch; a
-break between pieces takes a position of its own, so adjacent positions lie in one piece. What is
-counted over all batches is each batch's distinct phrases, once per batch and with their numbers:
-a very common word or phrase is one row of a batch. First only hashes of phrases are added up, so
-that phrases that are not frequent never leave their batch as text; hashes that meet can only let
-too many through, and the numbers given are added up by the phrases themselves.
+break between pieces takes a position of its own, so adjacent positions lie in one piece.
+
+To be counted, a batch sends each of its distinct phrases once, with its number: a very common
+phrase is one entry of a batch. Phrases go as sorted hashes of 96 bits, of which two that differ
+agree about once in ten million times among a hundred billion phrases, and are dealt to shards by
+the upper bits, so that the steps between them are small numbers. A shard adds up and answers by
+place which phrases are frequent. Of the batches that have a frequent phrase the first writes its
+words down, so a phrase's text is written once.
 """
 
 from __future__ import annotations
@@ -38,10 +41,12 @@ from riskloom.session import fresh_dir
 
 #: Bytes of text in a batch, unless one piece has more.
 BATCH_BYTES = 16 << 20
+#: Bytes of text for which there is one shard of phrases.
+SHARD_BYTES = 8 << 20
 #: Rows that are handed on at a time.
 STEP = 1 << 16
 #: Parts in which the best phrases of a language are first looked for.
-TOP_PARTS = 64
+TOP_PARTS = 16
 
 # The language of texts without one.
 NO_LANGUAGE = "und"
@@ -61,9 +66,12 @@ def _translation() -> bytes:
 
 _TABLE = _translation()
 
+_FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
 #: A batch: its languages and the first word of each, its distinct words by language, the words of
 #: each distinct phrase, and the occurrences as positions and phrases. Rows with a phrase instead
-#: give a phrase of ``size`` words and how often it stands in the batch.
+#: give a phrase of ``size`` words and how often it stands in all batches, or, with size 0, the
+#: number of a language's words in the batch.
 SCHEMA = (
     "batch long, langs array<string>, starts array<int>, sizes binary, words binary, parts binary,"
     " at binary, which binary, lang string, size int, phrase string, n long"
@@ -110,23 +118,29 @@ class Relation:
         """The language of each phrase, which is that of its first word."""
         return np.searchsorted(self.starts, self.parts[:, 0], side="right") - 1
 
-    def hashes(self) -> np.ndarray:
+    def hashes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each phrase, 64 and 32 bits that depend on its words and its language."""
         seeds = [xxhash.xxh64_intdigest(x.encode()) for x in self.langs]
         ends = [*self.starts[1:].tolist(), len(self.words)]
-        each = np.fromiter(
-            (
-                xxhash.xxh64_intdigest(w, seed)
-                for seed, start, end in zip(seeds, self.starts.tolist(), ends)
-                for w in self.words[start:end]
-            ),
-            np.uint64,
-            len(self.words),
+        each = b"".join(
+            xxhash.xxh3_128_digest(w, seed)
+            for seed, start, end in zip(seeds, self.starts.tolist(), ends)
+            for w in self.words[start:end]
         )
-        mixed = np.zeros(len(self.parts), np.uint64)
-        for k in range(self.parts.shape[1]):
-            mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + each[self.parts[:, k]]
-            mixed ^= mixed >> np.uint64(29)
-        return mixed.view(np.int64)
+        lanes = np.frombuffer(each, "<u8").reshape(-1, 2)
+        mixed = []
+        for lane, factor in zip(lanes.T, _FACTORS):
+            x = np.zeros(len(self.parts), np.uint64)
+            for k in range(self.parts.shape[1]):
+                x = (x ^ x >> np.uint64(29)) * factor + lane[self.parts[:, k]]
+            mixed.append((x ^ x >> np.uint64(32)) * factor)
+        return mixed[0], (mixed[1] >> np.uint64(32)).astype(np.uint32)
+
+    def sorted_hashes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The phrases in order of their hashes, and the hashes."""
+        long, short = self.hashes()
+        order = np.lexsort((short, long))
+        return order, long[order], short[order]
 
     def only(self, alive: np.ndarray) -> Relation:
         """The relation of the phrases that ``alive`` marks, without words that stand in none of them."""
@@ -155,15 +169,15 @@ class Relation:
         parts = np.column_stack([self.parts[left], self.parts[right, -1:]])
         return Relation(self.langs, self.starts, self.words, parts, self.at[next_to], which.astype(np.uint32))
 
-    def phrases(self, batch: int) -> Iterator[pa.RecordBatch]:
-        """A row for each phrase, and how often it stands in the batch."""
+    def phrases(self, batch: int, which: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """A row for each of some phrases, and how often it stands in all batches."""
         texts = pa.array(self.words, pa.binary()).cast(pa.string())
-        langs, numbers, lang = pa.array(self.langs, pa.string()), self.counts(), self.languages()
-        for k in range(0, len(self.parts), STEP):
-            some = self.parts[k : k + STEP]
-            columns = [texts.take(pa.array(c)) for c in some.T]
+        langs, lang = pa.array(self.langs, pa.string()), self.languages()
+        for k in range(0, len(which), STEP):
+            some = which[k : k + STEP]
+            columns = [texts.take(pa.array(c)) for c in self.parts[some].T]
             phrase = pc.binary_join_element_wise(*columns, " ") if len(columns) > 1 else columns[0]
-            yield _phrase_rows(batch, langs.take(pa.array(lang[k : k + STEP])), some.shape[1], phrase, numbers[k : k + STEP])
+            yield _phrase_rows(batch, langs.take(pa.array(lang[some])), len(columns), phrase, n[k : k + STEP])
 
 
 def _phrase_rows(batch: int, lang: pa.Array, size: int, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
@@ -172,6 +186,68 @@ def _phrase_rows(batch: int, lang: pa.Array, size: int, phrase: pa.Array, n: np.
     return pa.RecordBatch.from_arrays([known.get(f.name, pa.nulls(m, f.type)) for f in _FIELDS], schema=_FIELDS)
 
 
+PACKET = "batch long, shard int, long binary, short binary, n binary"
+REPLY = "batch long, shard int, alive binary, first binary, n binary"
+
+
+def packets(batch: int, relation: Relation, shards: int) -> Iterator[pa.RecordBatch]:
+    """The batch's distinct phrases with their numbers, dealt to shards by the upper bits of their hashes."""
+    order, long, short = relation.sorted_hashes()
+    n = relation.counts()[order].astype(np.uint32)
+    bounds = np.array([(i << 64) // shards for i in range(1, shards)], np.uint64)
+    cuts = [0, *np.searchsorted(long, bounds).tolist(), len(long)]
+    for shard, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        if start < end:
+            columns = pack_places(long[start:end]), packed(short[start:end]), packed(n[start:end])
+            values = [pa.array([batch], pa.int64()), pa.array([shard], pa.int32()), *(pa.array([c], pa.binary()) for c in columns)]
+            yield pa.RecordBatch.from_arrays(values, names=["batch", "shard", "long", "short", "n"])
+
+
+def count_shard(rows: pa.Table, min_count: int) -> pa.Table:
+    """For each packet of a shard, as bits by place: whether a phrase is frequent, and whether this
+    packet is the first to have it, then with its number over all packets."""
+    rows = rows.sort_by("batch")
+    long = [np.cumsum(unpacked(x.as_py(), "<u8"), dtype=np.uint64) for x in rows["long"]]
+    short = np.concatenate([unpacked(x.as_py(), "<u4") for x in rows["short"]])
+    n = np.concatenate([unpacked(x.as_py(), "<u4") for x in rows["n"]]).astype(np.int64)
+    ends = np.cumsum([len(x) for x in long])
+    long = np.concatenate(long)
+    # stable, so that within a phrase the packets keep their order
+    order = np.lexsort((short, long))
+    long, short = long[order], short[order]
+    begins = np.flatnonzero(np.r_[True, (long[1:] != long[:-1]) | (short[1:] != short[:-1])])
+    total = np.add.reduceat(n[order], begins)
+    frequent = total >= min_count
+    alive, met = np.zeros(len(order), bool), np.zeros(len(order), np.int64)
+    alive[order] = np.repeat(frequent, np.diff(np.r_[begins, len(order)]))
+    met[order[begins]] = np.where(frequent, total, 0)
+    out = []
+    for at, start, end in zip(range(rows.num_rows), [0, *ends.tolist()], ends.tolist()):
+        own = met[start:end]
+        bits = [np.packbits(x).tobytes() for x in (alive[start:end], own > 0)]
+        out.append((rows["batch"][at].as_py(), rows["shard"][at].as_py(), *bits, packed(own[own > 0])))
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+    return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["batch", "shard", "alive", "first", "n"])
+
+
+def answered(relation: Relation, replies: pa.Table, shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which phrases of a batch are frequent, which of them it is the first to have, and their numbers."""
+    order, long, _ = relation.sorted_hashes()
+    bounds = np.array([(i << 64) // shards for i in range(1, shards)], np.uint64)
+    sizes = np.diff([0, *np.searchsorted(long, bounds).tolist(), len(long)])
+    replies = replies.sort_by("shard")
+
+    def bits(name: str) -> np.ndarray:
+        parts = zip(replies["shard"].to_pylist(), replies[name])
+        found = [np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=sizes[k]) for k, x in parts]
+        return np.concatenate(found).astype(bool) if found else np.empty(0, bool)
+
+    alive = np.zeros(len(order), bool)
+    alive[order] = bits("alive")
+    numbers = [unpacked(x.as_py(), "<i8") for x in replies["n"]]
+    return alive, order[bits("first")], np.concatenate(numbers) if numbers else np.empty(0, np.int64)
+
+
 class _Pile:
     """A batch in the making: each language has its own words, numbered in one row."""
 
@@ -252,6 +328,7 @@ def phrase_counts(
         F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"),
     )
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-total // SHARD_BYTES))
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BATCH_BYTES)
     steps = _Steps(spark, min(buckets, 100_000))
 
@@ -267,44 +344,34 @@ def phrase_counts(
         if pile.places:
             yield from pile.rows((part << 32) + nth)
 
-    def numbers(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sent(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
             for row in b.to_pylist():
-                own = Relation.read(row)
-                columns = own.hashes(), np.arange(len(own.parts), dtype=np.int32), own.counts()
-                for k in range(0, len(own.parts), STEP):
-                    hashed, place, n = (c[k : k + STEP] for c in columns)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(hashed), pa.array(np.full(len(n), row["batch"])), pa.array(place), pa.array(n)],
-                        names=["hashed", "batch", "place", "n"],
-                    )
+                yield from packets(row["batch"], Relation.read(row), shards)
 
     def reduced(size: int):
-        def batch(key: tuple, relation: pa.Table, frequent: pa.Table) -> pa.Table:
-            number = key[0].as_py()
-            made = []
+        def batch(key: tuple, relation: pa.Table, replies: pa.Table) -> pa.Table:
+            number, made = key[0].as_py(), []
             for row in relation.to_pylist():
                 own = Relation.read(row)
-                alive = np.zeros(len(own.parts), bool)
-                alive[frequent["place"].to_numpy()] = True
-                own = own.only(alive)
-                made.extend(own.phrases(number))
+                alive, first, n = answered(own, replies, shards)
+                made.extend(own.phrases(number, first, n))
                 if size < max_words:
-                    made.append(own.extended().row(number))
+                    made.append(own.only(alive).extended().row(number))
             return pa.Table.from_batches(made, schema=_FIELDS)
 
         return batch
 
     relation = steps.write(own.mapInArrow(first, SCHEMA))
     for size in range(1, max_words + 1):
-        counted = relation.mapInArrow(numbers, "hashed long, batch long, place int, n long")
-        met = F.sum("n").over(Window.partitionBy("hashed"))
-        frequent = counted.withColumn("met", met).where(F.col("met") >= min_count).select("batch", "place")
-        rows = relation.groupBy("batch").cogroup(frequent.groupBy("batch")).applyInArrow(reduced(size), SCHEMA)
+        counts = relation.mapInArrow(sent, PACKET).groupBy("shard")
+        replies = counts.applyInArrow(lambda rows: count_shard(rows, min_count), REPLY)
+        rows = relation.groupBy("batch").cogroup(replies.groupBy("batch")).applyInArrow(reduced(size), SCHEMA)
         relation = steps.write(rows)
     steps.drop()
-    counts = steps.phrases().groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f"))
-    return settle(counts.where((F.col("size") == 0) | (F.col("f") >= min_count)), "phrases")
+    found = steps.phrases()
+    whole = found.where("size = 0").groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f"))
+    return settle(whole.unionByName(found.where("size > 0").withColumnRenamed("n", "f")), "phrases")
 
 
 def collocations(

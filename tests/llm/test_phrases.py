@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from riskloom.llm import phrases
@@ -70,6 +72,7 @@ def documents(seed, n):
 def test_against_brute_force(rows, monkeypatch, batch, step):
     monkeypatch.setattr(phrases, "BATCH_BYTES", batch)
     monkeypatch.setattr(phrases, "STEP", step)
+    monkeypatch.setattr(phrases, "SHARD_BYTES", batch // 2)
     data = documents(3, 60)
     got = phrases.collocations(rows(data, SCHEMA), min_count=3, max_words=4, top=25)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -78,13 +81,40 @@ def test_against_brute_force(rows, monkeypatch, batch, step):
     assert any(r[1] == 25 for r in want)
 
 
-def test_counts_hold_when_hashes_meet(rows, monkeypatch):
-    monkeypatch.setattr(phrases.Relation, "hashes", lambda self: np.zeros(len(self.parts), np.int64))
+def test_counts_of_phrases(rows, monkeypatch):
+    monkeypatch.setattr(phrases, "BATCH_BYTES", 300)
+    monkeypatch.setattr(phrases, "SHARD_BYTES", 100)
     data = documents(4, 30)
     counts, total = brute_counts(data, 3)
-    got = {(r.lang, r.phrase): r.f for r in phrases.phrase_counts(rows(data, SCHEMA), 5, 3).collect()}
+    found = phrases.phrase_counts(rows(data, SCHEMA), 5, 3).collect()
+    got = {(r.lang, r.phrase): r.f for r in found}
     want = {(lang, " ".join(w)): a for (lang, w), a in counts.items() if a >= 5}
-    assert got == want | {(lang, ""): n for lang, n in total.items()}
+    assert got == want | {(lang, ""): n for lang, n in total.items()} and len(got) == len(found)
+
+
+def test_long_hashes_that_meet_are_told_apart(rows, monkeypatch):
+    own = phrases.Relation.hashes
+    monkeypatch.setattr(phrases.Relation, "hashes", lambda self: (own(self)[0] & np.uint64(3), own(self)[1]))
+    data = [("en", "a b c d e f g h a b"), ("en", "h g f e d a b")]
+    made = []
+    for lang, text in data:
+        pile = phrases._Pile()
+        pile.add(lang, text.encode())
+        rows_of = [r for b in pile.rows(len(made)) for r in b.to_pylist() if r["phrase"] is None]
+        made.append(phrases.Relation.read(rows_of[0]))
+    sent = [pa.Table.from_batches([p]) for k, r in enumerate(made) for p in phrases.packets(k, r, 2)]
+    whole = pa.concat_tables(sent)
+    replies = [
+        phrases.count_shard(whole.filter(pc.equal(whole["shard"], k)), 3)
+        for k in set(whole["shard"].to_pylist())
+    ]
+    replies = pa.concat_tables(replies)
+    found = []
+    for k, r in enumerate(made):
+        alive, first, n = phrases.answered(r, replies.filter(pc.equal(replies["batch"], k)), 2)
+        assert {r.words[i] for i in np.flatnonzero(alive)} == {b"a", b"b"}
+        found += [(r.words[i], m) for i, m in zip(first, n.tolist())]
+    assert sorted(found) == [(b"a", 3), (b"b", 3)]
 
 
 def test_products_beyond_64_bits(spark, monkeypatch):
