@@ -43,12 +43,12 @@ rows AS (SELECT *, CASE WHEN l_discount <> 0.0 THEN l_discount END AS discount_f
                 (l_returnflag = 'R')::INT AS target FROM lineitem)"""
 
 
-def _long_num(columns: list[str], keep: str = "target") -> str:
+def long_num(columns: list[str], keep: str = "target") -> str:
     parts = [f"SELECT {keep}, '{c}' AS feature, {c}::DOUBLE AS v FROM rows" for c in columns]
     return "nums AS (" + " UNION ALL ".join(parts) + ")"
 
 
-def _long_cat(columns: list[str], keep: str = "target") -> str:
+def long_cat(columns: list[str], keep: str = "target") -> str:
     parts = [f"SELECT {keep}, '{c}' AS feature, {c} AS v FROM rows" for c in columns]
     return "cats AS (" + " UNION ALL ".join(parts) + ")"
 
@@ -73,7 +73,7 @@ def contingency_sql(
     """
     edges, kept = EDGES_SQL.format(fitted_on=fitted_on), KEPT_SQL.format(fitted_on=fitted_on)
     # Per distinct value, so that edges are compared once per value.
-    return f"""{rows}, {_long_num(num, label)}, {_long_cat(cat, label)}, {edges}, {kept},
+    return f"""{rows}, {long_num(num, label)}, {long_cat(cat, label)}, {edges}, {kept},
 values_n AS (SELECT feature, v, count(*) FILTER ({label} = 0) AS good, count(*) FILTER ({label} = 1) AS bad
              FROM nums GROUP BY feature, v),
 marks AS (SELECT feature, list(edge) AS cuts FROM edges GROUP BY feature),
@@ -123,7 +123,7 @@ def class_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "prebin_numeric",
-    f"""WITH {ITEMS_SQL}, {_long_num(B.ITEM_NUM)}, {EDGES_SQL.format(fitted_on="true")}
+    f"""WITH {ITEMS_SQL}, {long_num(B.ITEM_NUM)}, {EDGES_SQL.format(fitted_on="true")}
         SELECT feature, (row_number() OVER (PARTITION BY feature ORDER BY edge))::INT AS edge_no,
                round(edge, 6) AS edge FROM edges""",
 )
@@ -136,7 +136,7 @@ def prebin_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "prebin_categorical",
-    f"""WITH {DOCS_SQL}, {_long_cat(B.DOC_CAT)},
+    f"""WITH {DOCS_SQL}, {long_cat(B.DOC_CAT)},
         sizes AS (SELECT feature, v, count(*) AS n FROM cats GROUP BY feature, v),
         flagged AS (SELECT *, sum(n) OVER (PARTITION BY feature) AS total FROM sizes)
         SELECT feature, CASE WHEN n >= 0.05 * total THEN v END AS category, sum(n)::BIGINT AS n,

@@ -13,15 +13,26 @@ from pyspark.sql import functions as F
 
 from riskloom import bindings as B
 from riskloom.functions.scores import rounded
-from riskloom.operators import alerts
+from riskloom.operators import alerts, drift
+from riskloom.operators.binning import fit_prebins
 from riskloom.plans import scoring, training
 from riskloom.queries import query
-from riskloom.queries.binning import SCORE_WEIGHTS, DOCS_SQL, WOE_SQL, doc_bins, contingency_sql
+from riskloom.queries.binning import (
+    DOCS_SQL,
+    EDGES_SQL,
+    KEPT_SQL,
+    SCORE_WEIGHTS,
+    WOE_SQL,
+    contingency_sql,
+    doc_bins,
+    long_cat,
+    long_num,
+)
 from riskloom.queries.models import fitted
 from riskloom.queries.monitoring import RULES_SQL, HOLD_S
 from riskloom.queries.quality import SCORED_SQL
 from riskloom.streaming import jobs
-from riskloom.streaming.alerts import stream_alerts as alert_stream
+from riskloom.streaming import alerts as timed
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -110,6 +121,10 @@ def stream_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_SILENCE_US = timed.SILENCE_S * 1_000_000
+_REPEAT_US = alerts.REPEAT_INTERVAL_S * 1_000_000
+
+
 @query(
     "stream_alerts",
     f"""WITH {SCORED_SQL}, {RULES_SQL},
@@ -118,26 +133,33 @@ def stream_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
         closed AS (SELECT * FROM windows WHERE ts + INTERVAL 15 MINUTES <= {_CLOSED_SQL}),
         readings AS (SELECT ts, job, 'api_prediction_entropy' AS metric, e AS value FROM closed
                      UNION ALL SELECT ts, job, 'api_avg_confidence', c FROM closed),
-        matched AS (SELECT r.*, a.* EXCLUDE (metric),
-                           CASE a.op WHEN '>' THEN value > threshold ELSE value < threshold END AS breach
-                    FROM readings r JOIN rules a USING (metric)),
-        islands AS (SELECT *, sum((NOT breach)::INT) OVER (PARTITION BY alert, job ORDER BY ts) AS island FROM matched),
-        runs AS (SELECT *, min(ts) OVER (PARTITION BY alert, job, island) AS run_start FROM islands WHERE breach)
-        SELECT alert, job, severity, run_start, (epoch_us(ts) - epoch_us(run_start)) // 10800000000 AS repeat_no,
-               min(ts) AS sent_at
-        FROM runs WHERE epoch_us(ts) - epoch_us(run_start) >= for_s * 1000000 GROUP BY ALL""",
+        matched AS (SELECT alert, job, severity, for_s * 1000000 AS held, epoch_us(ts) AS t,
+                           CASE op WHEN '>' THEN value > threshold ELSE value < threshold END AS breach
+                    FROM readings JOIN rules USING (metric)),
+        beside AS (SELECT *, lag(t) OVER w AS before, lag(breach) OVER w AS was, lead(t) OVER w AS after FROM matched
+                   WINDOW w AS (PARTITION BY alert, job ORDER BY t)),
+        numbered AS (SELECT *, sum((NOT coalesce(was AND t - before <= {_SILENCE_US}, false))::INT)
+                               OVER (PARTITION BY alert, job ORDER BY t) AS run FROM beside WHERE breach),
+        runs AS (SELECT alert, job, severity, held, min(t) AS start,
+                        least(max(t) + {_SILENCE_US}, max_by(coalesce(after, 9000000000000000), t)) AS ended
+                 FROM numbered GROUP BY alert, job, severity, held, run),
+        due AS (SELECT *, unnest(range(held // {_REPEAT_US}, (ended - start) // {_REPEAT_US} + 1)) AS no FROM runs),
+        sent AS (SELECT *, start + greatest(held, no * {_REPEAT_US}) AS due_at FROM due WHERE start + greatest(held, no * {_REPEAT_US}) < ended),
+        said AS (SELECT alert, job, severity, 'firing' AS status, start, no, due_at FROM sent
+                 UNION ALL SELECT alert, job, severity, 'resolved', start, max(no), ended FROM sent
+                 GROUP BY alert, job, severity, start, ended)
+        SELECT alert, job, severity, status, make_timestamp(start) AS run_start, no AS repeat_no, make_timestamp(due_at) AS sent_at
+        FROM said WHERE make_timestamp(due_at) + INTERVAL 15 MINUTES <= {_CLOSED_SQL}""",
 )
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is due up to the watermark, each series holding its last reading."""
     log = B.score_log(_stream(spark, sf_dir, "events"))
     windows = jobs.stream_gauges(log, "ts", "15 minutes", ["job"])
+    rules = alerts.alert_rules(spark, HOLD_S)
     sent = jobs.write_available(
-        alert_stream(windows, alerts.alert_rules(spark, HOLD_S), ["job"]),
-        "stream-alerts",
-        rocksdb=True,
-    )
-    return sent.withColumns(
-        {c: F.col(c).cast("timestamp_ntz") for c in ("run_start", "sent_at")}
+        timed.stream_alerts(windows, rules, ["job"], width_s=900), "stream-alerts", rocksdb=True
     )
+    return sent.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("run_start", "sent_at")})
 
 
 @query(
@@ -148,13 +170,82 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         numbered AS (SELECT *, sum(is_new::INT) OVER (PARTITION BY job ORDER BY ts) AS no FROM gaps),
         incidents AS (SELECT job, min(ts) AS first_ts, max(ts) AS last_ts, count(*) AS readings
                       FROM numbered GROUP BY job, no)
-        SELECT * FROM incidents WHERE last_ts + INTERVAL 30 MINUTES
+        SELECT * FROM incidents WHERE last_ts + INTERVAL 31 MINUTES
           <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM scored WHERE entropy > 0.7)""",
 )
 def stream_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a minute first, then the incidents they make."""
     log = B.score_log(_stream(spark, sf_dir, "events"))
     firing = log.where(F.col("entropy") > 0.7)
     closed = jobs.write_available(
-        jobs.stream_incidents(firing, ["job"], "ts", HOLD_S), "stream-incidents"
+        timed.stream_incidents(firing, ["job"], "ts", HOLD_S), "stream-incidents", rocksdb=True
     )
     return closed.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("first_ts", "last_ts")})
+
+
+@query(
+    "stream_alert_group",
+    f"""WITH {SCORED_SQL},
+        firing AS (SELECT *, time_bucket(INTERVAL 5 MINUTES, ts, TIMESTAMP '1970-01-01') AS window_start
+                   FROM scored WHERE entropy > 0.7),
+        grouped AS (SELECT job, window_start, min(ts) AS first_ts, count(*) AS n FROM firing GROUP BY ALL)
+        SELECT job, window_start, first_ts, n,
+               CASE WHEN lag(window_start) OVER (PARTITION BY job ORDER BY window_start) = window_start - INTERVAL 5 MINUTES
+                    THEN window_start + INTERVAL 5 MINUTES ELSE first_ts + INTERVAL 30 SECONDS END AS notify_at
+        FROM grouped
+        WHERE window_start + INTERVAL 5 MINUTES <= (SELECT max(ts) - INTERVAL 1 MINUTE FROM firing)""",
+)
+def stream_alert_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Notifications of closed intervals."""
+    log = B.score_log(_stream(spark, sf_dir, "events"))
+    groups = timed.stream_groups(log.where(F.col("entropy") > 0.7), ["job"])
+    sent = jobs.write_available(groups, "stream-groups", rocksdb=True)
+    return sent.withColumns(
+        {c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "first_ts", "notify_at")}
+    )
+
+
+#: Events before this moment are what later ones are compared with.
+REFERENCE_END = "2024-01-11"
+_EVENT_KEEP = "day, is_reference"
+
+
+@query(
+    "stream_drift",
+    f"""WITH rows AS (SELECT date_trunc('day', ts) AS day, ts < TIMESTAMP '{REFERENCE_END}' AS is_reference, event_type, value
+                      FROM events),
+        {long_num(["value"], _EVENT_KEEP)}, {long_cat(["event_type"], _EVENT_KEEP)},
+        {EDGES_SQL.format(fitted_on="is_reference")}, {KEPT_SQL.format(fitted_on="is_reference")},
+        marks AS (SELECT feature, list(edge) AS cuts FROM edges GROUP BY feature),
+        binned AS (SELECT {_EVENT_KEEP}, feature, CASE WHEN v IS NULL THEN -1 ELSE len(list_filter(cuts, lambda e: e <= v)) END AS bin_id
+                   FROM nums JOIN marks USING (feature)
+                   UNION ALL SELECT {_EVENT_KEEP}, c.feature, CASE WHEN c.v IS NULL THEN -1 ELSE coalesce(k.bin_id, -2) END
+                   FROM cats c LEFT JOIN kept k ON c.feature = k.feature AND c.v = k.v),
+        bins AS (SELECT feature, bin_id, count(*) FILTER (is_reference) AS r FROM binned GROUP BY ALL),
+        now AS (SELECT day, feature, bin_id, count(*) AS c FROM binned GROUP BY ALL),
+        cells AS (SELECT d.day, b.feature, r, coalesce(c, 0) AS c
+                  FROM (SELECT DISTINCT day FROM rows) d CROSS JOIN bins b LEFT JOIN now USING (day, feature, bin_id)),
+        shares AS (SELECT day, feature, c, r + c > 0 AS is_there,
+                          (CASE WHEN r = 0 THEN 0.5 ELSE r END) / sum(r) OVER w AS q,
+                          (CASE WHEN c = 0 THEN 0.5 ELSE c END) / sum(c) OVER w AS p
+                   FROM cells WINDOW w AS (PARTITION BY day, feature))
+        SELECT day AS window_start, feature, sum(c)::BIGINT AS n,
+               round(sum(CASE WHEN is_there THEN (p - q) * ln(p / q) ELSE 0 END), 6) + 0.0 AS psi
+        FROM shares WHERE day + INTERVAL 1 DAY <= {_CLOSED_SQL} GROUP BY day, feature""",
+)
+def stream_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drift of every closed day of events against the first days."""
+    columns = ["ts", "event_type", "value"]
+    reference = B.table(spark, sf_dir, "events").select(columns)
+    reference = reference.where(F.col("ts") < F.lit(REFERENCE_END).cast("timestamp_ntz"))
+    prebins = fit_prebins(reference, ["event_type"], ["value"], 10)
+    counts = drift.reference_counts(reference, prebins)
+    arriving = _stream(spark, sf_dir, "events").select(columns)
+    windows = jobs.stream_drift(arriving, "ts", "1 day", prebins, counts)
+    found = jobs.write_available(windows, "stream-drift")
+    return found.select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        "feature",
+        "n",
+        (rounded(F.col("psi")) + 0.0).alias("psi"),
+    )
