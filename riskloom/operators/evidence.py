@@ -107,9 +107,9 @@ def anova_f(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     One pass keeps count, mean and variance per class, which Spark merges
     without cancellation; the rest is arithmetic on one row per class and
     feature. Without spread inside the classes the score is infinite, without
-    any spread NULL. Rows without a label take no part.
+    any spread NULL. Rows whose label is neither 0 nor 1 take no part, as in ``bin_contingency``.
     """
-    moments = df.where(F.col(label).isNotNull()).groupBy(label).agg(
+    moments = df.where(F.col(label).isin(0, 1)).groupBy(label).agg(
         *[
             F.struct(
                 F.count(F.lit(1)).alias("n"), F.avg(x).alias("mean"), F.var_pop(x).alias("var")

@@ -51,7 +51,7 @@ def finite(value: str) -> str:
     return f"CASE WHEN {value} IS NULL OR isnan({value}) THEN NULL ELSE {within} END"
 
 
-def _interpolated(low: float, high: float, share: float) -> float:
+def interpolated(low: float, high: float, share: float) -> float:
     """Between two ranked values; the ends of the range stand for the infinities."""
     low, high = (math.copysign(math.inf, v) if abs(v) == _LARGEST else v for v in (low, high))
     if low == high or share == 0:
@@ -70,6 +70,42 @@ def long_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     return doubles.unpivot([], columns, "feature", "value").where(present)
 
 
+def quantile_sketches(df: DataFrame, columns: list[str], k: int = SKETCH_K) -> DataFrame:
+    """(feature, sketch, n, lo, hi): one quantile sketch per column, from one scan.
+
+    Every task folds its rows into one sketch per column, all columns in one row; merging the
+    tasks' sketches is salted. Missing values and NaN are left out, infinities stand at the ends
+    of the range. A column without values has n 0 and an empty sketch.
+    """
+    doubles = df.select(
+        (F.spark_partition_id() % SALT).alias("_salt"),
+        *[F.expr(finite(f"CAST({quoted(c)} AS DOUBLE)")).alias(f"c{i}") for i, c in enumerate(columns)],
+    )
+    stats = []
+    for i in range(len(columns)):
+        c = F.col(f"c{i}")
+        sketch = F.kll_sketch_agg_double(c, F.lit(k)).alias("sketch")
+        stats.append((sketch, F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi")))
+    wide = doubles.groupBy("_salt").agg(*[s.alias(f"s{i}_{j}") for i, four in enumerate(stats) for j, s in enumerate(four)])
+    each = F.array(
+        *[
+            F.struct(F.lit(c).alias("feature"), *[F.col(f"s{i}_{j}").alias(name) for j, name in enumerate(("sketch", "n", "lo", "hi"))])
+            for i, c in enumerate(columns)
+        ]
+    )
+    return merged_sketches(wide.select(F.inline(each)), k)
+
+
+def merged_sketches(sketches: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """One row per feature of what ``quantile_sketches`` gave for several loads or tasks."""
+    return sketches.groupBy("feature").agg(
+        F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"),
+        F.sum("n").alias("n"),
+        F.min("lo").alias("lo"),
+        F.max("hi").alias("hi"),
+    )
+
+
 def _sketched(long: DataFrame, keys: list[str], k: int) -> DataFrame:
     """One sketch per key, with exact count and range.
 
@@ -104,14 +140,16 @@ def sketch_quantiles(
     df: DataFrame, columns: list[str], probabilities: list[float], k: int = SKETCH_K
 ) -> dict[str, list[float]]:
     """Approximate quantiles from one scan."""
+    found = sketched_quantiles(quantile_sketches(df, columns, k), probabilities)
+    return {c: found.get(c, []) for c in columns}
+
+
+def sketched_quantiles(sketches: DataFrame, probabilities: list[float]) -> dict[str, list[float]]:
+    """Approximate quantiles by feature; no values, no quantiles. As small as the list of features."""
     probs = F.array(*[F.lit(float(p)) for p in probabilities])
-    rows = (
-        _sketched(long_numeric(df, columns), ["feature"], k)
-        .select("feature", F.kll_sketch_get_quantile_double("sketch", probs).alias("q"))
-        .collect()
-    )
-    found = {r["feature"]: list(r["q"]) for r in rows}
-    return {c: [_interpolated(q, q, 0) for q in found.get(c, [])] for c in columns}
+    q = F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", probs)).alias("q")
+    found = {r["feature"]: r["q"] or [] for r in sketches.select("feature", q).collect()}
+    return {c: [interpolated(x, x, 0) for x in values] for c, values in found.items()}
 
 
 def exact_quantiles(
@@ -121,6 +159,7 @@ def exact_quantiles(
     limit: int = RANK_ROWS,
     k: int = SKETCH_K,
     slack: float = SKETCH_SLACK,
+    sketches: DataFrame | None = None,
 ) -> dict[str, list[float]]:
     """Continuous quantiles with linear interpolation between the two ranks around each.
 
@@ -128,10 +167,12 @@ def exact_quantiles(
     every read; it is read three times, and twice more for every further round
     of narrowing. ``limit`` is how many rows of a bracket may be ranked in one
     task: a million takes one round up to about a hundred million rows, and two up to
-    ten billion. Infinite values are ranked as the outermost ones.
+    ten billion. Infinite values are ranked as the outermost ones. ``sketches`` (feature, sketch, n) of just
+    these rows, as ``sketches.quantile_sketches`` and ``merged_sketches`` give them, save the first reading;
+    sketches that do not fit the rows are an error.
     """
     whole = {c: [_Bracket(-math.inf, math.inf, 0, 0)] for c in columns}
-    grids, sizes = _propose(df, whole, k)
+    grids, sizes = _propose(df, whole, k) if sketches is None else _proposed(sketches, columns)
     ranks = {c: _ranks(n, probabilities) for c, n in sizes.items()}
     for c, n in sizes.items():
         whole[c][0].rows, whole[c][0].ranks = n, ranks[c]
@@ -141,7 +182,7 @@ def exact_quantiles(
 
     while True:
         edges = {c: _edges(bs, grids[c], limit, slack) for c, bs in brackets.items()}
-        brackets = _recount(df, edges, ranks)
+        brackets = _recount(df, edges, ranks, sizes)
         if not any(b.rows > limit and b.lo < b.hi for bs in brackets.values() for b in bs):
             break
         grids, _ = _propose(df, brackets, k)
@@ -152,7 +193,7 @@ def exact_quantiles(
         for p in probabilities:
             position = p * (n - 1)
             low, high = at_rank[c, math.floor(position)], at_rank[c, math.ceil(position)]
-            out[c].append(_interpolated(low, high, position - math.floor(position)))
+            out[c].append(interpolated(low, high, position - math.floor(position)))
     return out
 
 
@@ -206,9 +247,8 @@ def _propose(
 ) -> tuple[dict[str, dict[int, list[float]]], dict[str, int]]:
     """A grid of approximate quantiles inside every bracket, and row counts by column."""
     if all(b.lo == -math.inf for bs in brackets.values() for b in bs):
-        rows = long_numeric(df, list(brackets)).withColumn("bracket", F.lit(0))
-    else:
-        rows = _inside(df, brackets)
+        return _proposed(quantile_sketches(df, list(brackets), k), list(brackets))
+    rows = _inside(df, brackets)
     grids: dict[str, dict[int, list[float]]] = {}
     sizes: dict[str, int] = {}
     for r in (
@@ -223,6 +263,17 @@ def _propose(
     return grids, sizes
 
 
+def _proposed(
+    sketches: DataFrame, columns: list[str]
+) -> tuple[dict[str, dict[int, list[float]]], dict[str, int]]:
+    """The same for whole columns, from sketches that were made before."""
+    rows = sketches.where(F.col("feature").isin(columns) & (F.col("n") > 0)).select(
+        "feature", "n", F.kll_sketch_get_quantile_double("sketch", _grid()).alias("q")
+    )
+    found = rows.collect()
+    return {r["feature"]: {0: r["q"]} for r in found}, {r["feature"]: r["n"] for r in found}
+
+
 def _edges(
     brackets: list[_Bracket], grids: dict[int, list[float]], limit: int, slack: float
 ) -> list[float]:
@@ -242,7 +293,7 @@ def _edges(
 
 
 def _recount(
-    df: DataFrame, edges: dict[str, list[float]], ranks: dict[str, set[int]]
+    df: DataFrame, edges: dict[str, list[float]], ranks: dict[str, set[int]], sizes: dict[str, int]
 ) -> dict[str, list[_Bracket]]:
     """Exact counts between the cut points; the stretches holding a wanted rank stay."""
     counts = (
@@ -259,6 +310,8 @@ def _recount(
         held = {x for x in ranks[c] if before <= x < below[c]}
         if held:
             out[c].append(_Bracket(r["lo"], r["hi"], before, r["n"], held))
+    if odd := [c for c in edges if below[c] != sizes[c]]:
+        raise ValueError(f"the sketches are of other rows: {odd}")
     return out
 
 

@@ -21,6 +21,7 @@ from riskloom.operators.evidence import (
     select_k_best,
     woe_transform,
 )
+from riskloom.operators.importance import permutation_importance
 from riskloom.operators.profile import table_profile
 from riskloom.operators.shaping import KEY, LABEL, feature_lists
 from riskloom.plans.scoring import predicted_class, score_features
@@ -35,7 +36,6 @@ from riskloom.plans.training import (
     scorecard_weights,
     train_boosted_trees,
     train_scorecard,
-    tree_importances,
 )
 from riskloom.session import settle
 from riskloom.sources.writers import append_run, run_name, write_versioned
@@ -172,15 +172,17 @@ def underwriting_flow(
     # what a run leaves beside its scorer: class report, contributions and the columns it saw
     left = os.path.join(dest, "outputs", name, str(number))
     report.write.parquet(os.path.join(left, "report"))
-    contributions(model, prepared.train).write.parquet(os.path.join(left, "contributions"))
+    contributions(model, prepared.train, keys, label).write.parquet(os.path.join(left, "contributions"))
     table_profile(train).write.parquet(os.path.join(left, "profile"))
     append_run(spark, os.path.join(dest, "runs"), version, model_name, params, metrics)
     return FlowResult(name, number, prepared, model, metrics, report)
 
 
-def contributions(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """(feature, mean_abs_contribution): of a scorecard its effects, of trees their gain shares."""
+def contributions(model: PipelineModel, features: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """(feature, mean_abs_contribution): of a scorecard its effects, of trees the accuracy that is
+    lost when a feature's values are exchanged."""
     if isinstance(model.stages[-1], LogisticRegressionModel):
         return contribution_summary(features, scorecard_weights(model)[0])
-    rows = list(tree_importances(model).items())
-    return features.sparkSession.createDataFrame(rows, "feature string, mean_abs_contribution double")
+    names = model.stages[0].getInputCols()
+    found = permutation_importance(features, keys, label, names, model.transform)
+    return found.select("feature", F.col("importance").alias("mean_abs_contribution"))

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
+import threading
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,30 +31,53 @@ def save_scorer(spark: SparkSession, bins: BinMap, model: PipelineModel, path: s
 VERSIONS_SCHEMA = "name string, version bigint, stage string, ts timestamp, path string"
 
 
+#: Versions of one driver are claimed one at a time, as not every file system creates atomically.
+_CLAIMING = threading.Lock()
+
+
 def model_versions(spark: SparkSession, root: str) -> DataFrame:
-    """(name, version, stage, ts, path) of all models registered under ``root``."""
-    return spark.read.schema(VERSIONS_SCHEMA).parquet(f"{root}/model_versions")
+    """(name, version, stage, ts, path) of all models registered under ``root``.
+
+    Each version's row is a folder of its own, so that runs that register together do not
+    disturb each other's files.
+    """
+    reader = spark.read.schema(VERSIONS_SCHEMA).option("recursiveFileLookup", True)
+    return reader.parquet(f"{root}/model_versions")
+
+
+def claim_version(spark: SparkSession, root: str, name: str) -> int:
+    """The next version number of a name, which nobody else gets.
+
+    A number is taken by creating its file, which fails if the file is there; whoever comes second
+    tries the next number. A run that dies after that leaves a gap in the numbers, no more.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root}/version_claims/{name}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    taken = [int(f.getPath().getName()) for f in fs.listStatus(folder)]
+    version = max(taken, default=0) + 1
+    while True:
+        with _CLAIMING:
+            if fs.createNewFile(jvm.org.apache.hadoop.fs.Path(folder, str(version))):
+                return version
+        version += 1
 
 
 def register_scorer(
     spark: SparkSession, bins: BinMap, model: PipelineModel, root: str, name: str, stage: str = "None"
 ) -> int:
-    """Save a scorer under its own path and append it to the table as the name's next version.
+    """Save a scorer under its own path and add it to the table as the name's next version.
 
-    Earlier versions stay as they are. One run at a time registers a name.
+    Earlier versions stay as they are, and any number of runs may register a name at a time. A
+    version can be seen once its scorer is written.
     """
-    try:
-        last = model_versions(spark, root).where(F.col("name") == name).agg(F.max("version")).first()[0]
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        last = None
-    version = (last or 0) + 1
+    version = claim_version(spark, root, name)
     path = f"{root}/scorers/{name}/{version}"
     save_scorer(spark, bins, model, path)
     row = [(name, version, stage, datetime.now(timezone.utc), path)]
     table = spark.createDataFrame(row, VERSIONS_SCHEMA).coalesce(1)
-    table.write.mode("append").parquet(f"{root}/model_versions")
+    table.write.parquet(f"{root}/model_versions/{name}/{version}")
     return version
 
 

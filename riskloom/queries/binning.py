@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from riskloom import bindings as B
 from riskloom.functions.scores import rounded
-from riskloom.operators import binning, evidence, profile
+from riskloom.operators import binning, evidence, profile, quantiles, sketches
+from riskloom.operators.importance import permutation_importance as exchanged
 from riskloom.queries import query
+from riskloom.session import fresh_dir, settle
 
 _ITEM_KEY = ", ".join(B.ITEM_KEY)
 _DECILES = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]"
@@ -134,6 +136,35 @@ def prebin_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumn("edge", rounded(F.col("edge")))
 
 
+@query(
+    "sketch_refit",
+    f"""WITH {ITEMS_SQL}, {long_num(B.ITEM_NUM)}, {EDGES_SQL.format(fitted_on="true")}
+        SELECT feature, (row_number() OVER (PARTITION BY feature ORDER BY edge))::INT AS edge_no,
+               round(edge, 6) AS edge, true AS near FROM edges""",
+)
+def sketch_refit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges from the kept sketches of two loads, settled exactly; and whether the sketches alone
+    come near them, by the values around the wanted rank."""
+    items = B.lineitems(spark, sf_dir)
+    finished = F.coalesce(F.col("l_linestatus") == "F", F.lit(False))
+    path = fresh_dir(spark, "sketches")
+    for load, rows in (("finished", items.where(finished)), ("open", items.where(~finished))):
+        sketches.keep_load(sketches.quantile_sketches(rows, B.ITEM_NUM), path, load)
+    merged = settle(sketches.merged_sketches(sketches.kept_loads(spark, path)), "sketches")
+    probabilities = [i / BINS for i in range(1, BINS)]
+    exact = quantiles.exact_quantiles(items, B.ITEM_NUM, probabilities, sketches=merged)
+    slack = quantiles.SKETCH_SLACK
+    low, high = (
+        sketches.sketched_quantiles(merged, [p + sign * slack for p in probabilities]) for sign in (-1, 1)
+    )
+    rows = []
+    for feature, edges in exact.items():
+        near = {e: a <= e <= b for e, a, b in zip(edges, low[feature], high[feature])}
+        rows += [(feature, i, e, near[e]) for i, e in enumerate(sorted(set(edges)), 1)]
+    table = spark.createDataFrame(rows, "feature string, edge_no int, edge double, near boolean")
+    return table.withColumn("edge", rounded(F.col("edge")))
+
+
 @query(
     "prebin_categorical",
     f"""WITH {DOCS_SQL}, {long_cat(B.DOC_CAT)},
@@ -387,3 +418,34 @@ def contribution_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, bins = doc_bins(spark, sf_dir)
     summary = evidence.contribution_summary(evidence.woe_transform(docs, bins, []), SCORE_WEIGHTS)
     return summary.withColumn("mean_abs_contribution", rounded(F.col("mean_abs_contribution")))
+
+
+_LOGIT = " + ".join(["-2.0", *[f"({w}) * {f}" for f, w in SCORE_WEIGHTS.items()]])
+
+
+@query(
+    "permutation_importance",
+    f"""WITH {DOC_WIDE_SQL},
+        placed AS (SELECT *, md5('42:0|' || doc_id) AS place, (SELECT greatest(1, count(*) // 10000) FROM wide) AS buckets FROM wide),
+        dealt AS (SELECT *, ('0x' || place[1:8])::BIGINT % buckets AS bucket FROM placed),
+        donors AS (SELECT *, {", ".join(f"coalesce(lead({f}) OVER w, first_value({f}) OVER w) AS d_{f}" for f in _DOC_FEATURES)}
+                   FROM dealt WINDOW w AS (PARTITION BY bucket ORDER BY place)),
+        logits AS (SELECT *, {_LOGIT} AS z FROM donors),
+        judged AS ({" UNION ALL ".join(
+            f"SELECT '{f}' AS feature, avg(((z > 0)::INT = target)::INT) AS baseline, "
+            f"avg(((z + ({w}) * (d_{f} - {f}) > 0)::INT = target)::INT) AS permuted FROM logits"
+            for f, w in SCORE_WEIGHTS.items())})
+        SELECT feature, round(baseline, 6) AS baseline, round(permuted, 6) AS permuted,
+               round(baseline - permuted, 6) + 0.0 AS importance FROM judged""",
+)
+def permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a fixed scorecard loses when one feature's values change places."""
+    docs, bins = doc_bins(spark, sf_dir)
+    wide = settle(evidence.woe_transform(docs, bins, ["doc_id", "TARGET"]), "woe")
+    logit = F.lit(-2.0)
+    for f, w in SCORE_WEIGHTS.items():
+        logit = logit + F.lit(w) * F.col(f)
+    found = exchanged(
+        wide, ["doc_id"], "TARGET", _DOC_FEATURES, lambda t: t.withColumn("prediction", (logit > 0).cast("int"))
+    )
+    return found.select("feature", *[(rounded(F.col(c)) + 0.0).alias(c) for c in ("baseline", "permuted", "importance")])

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from riskloom import bindings as B
 from riskloom.functions.scores import rounded
-from riskloom.operators import profile, shaping
+from riskloom.operators import profile, shaping, sketches
 from riskloom.queries import query
 from riskloom.session import fresh_dir
 from riskloom.sources import (
@@ -116,7 +116,7 @@ def versioned_dataset_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_applications(spark, write_versioned(orders, dest, "v1"), _ORDERS)
 
 
-def _profile_sql(table: str, numbers: dict[str, str], texts: list[str]) -> str:
+def _profile_sql(table: str, numbers: dict[str, str], texts: dict[str, str]) -> str:
     parts = [
         f"""SELECT '{c}' AS column_name, '{t}' AS dtype, count(*)::BIGINT AS n_rows,
             (count(*) - count({c}))::BIGINT AS n_missing,
@@ -125,9 +125,9 @@ def _profile_sql(table: str, numbers: dict[str, str], texts: list[str]) -> str:
             FROM {table}"""
         for c, t in numbers.items()
     ] + [
-        f"""SELECT '{c}', 'string', count(*)::BIGINT, (count(*) - count({c}))::BIGINT,
-            NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, min({c}), max({c}) FROM {table}"""
-        for c in texts
+        f"""SELECT '{c}', '{t}', count(*)::BIGINT, (count(*) - count({c}))::BIGINT,
+            NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, min({c}::VARCHAR), max({c}::VARCHAR) FROM {table}"""
+        for c, t in texts.items()
     ]
     return " UNION ALL ".join(parts)
 
@@ -138,21 +138,49 @@ def _profile_sql(table: str, numbers: dict[str, str], texts: list[str]) -> str:
         "lineitem",
         {
             "l_orderkey": "bigint",
+            "l_partkey": "bigint",
+            "l_suppkey": "bigint",
             "l_linenumber": "int",
             "l_quantity": "double",
             "l_extendedprice": "double",
             "l_discount": "double",
             "l_tax": "double",
         },
-        ["l_returnflag", "l_linestatus"],
+        {"l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"},
     ),
 )
 def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ["l_orderkey", "l_linenumber", *B.ITEM_NUM, "l_returnflag", "l_linestatus"]
-    found = profile.table_profile(B.table(spark, sf_dir, "lineitem").select(columns))
+    found = profile.table_profile(B.table(spark, sf_dir, "lineitem"))
     return found.withColumn("mean", rounded(F.col("mean")))
 
 
+EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@query(
+    "profile_sketches",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, count(*)::BIGINT AS n_rows, (count(*) - count({c}))::BIGINT AS n_missing,
+            count(DISTINCT {c})::BIGINT AS n_distinct, true AS within FROM events"""
+        for c in EVENT_COLUMNS
+    ),
+)
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts over two loads whose sketches were kept apart, and whether they are within
+    the bound of the exact ones."""
+    events = B.table(spark, sf_dir, "events").select(EVENT_COLUMNS)
+    early = F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz")
+    path = fresh_dir(spark, "profile")
+    for load, rows in (("1", events.where(early)), ("2", events.where(~early))):
+        sketches.keep_load(sketches.distinct_sketches(rows), path, load)
+    found = sketches.distinct_counts(sketches.kept_loads(spark, path))
+    whole = events.agg(*[F.count_distinct(c).alias(c) for c in EVENT_COLUMNS])
+    exact = whole.unpivot([], EVENT_COLUMNS, "column_name", "n_distinct")
+    off = F.abs(F.col("approx_distinct") - F.col("n_distinct"))
+    within = off <= sketches.DISTINCT_ERROR * F.col("n_distinct")
+    return found.join(exact, "column_name").select("column_name", "n_rows", "n_missing", "n_distinct", within.alias("within"))
+
+
 @query(
     "model_input_projection",
     "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders",

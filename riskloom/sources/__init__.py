@@ -6,6 +6,7 @@ from riskloom.sources.readers import (
     read_object,
     read_records,
     rejected_records,
+    rejected_requests,
     rejected_rows,
 )
 from riskloom.sources.writers import append_run, read_runs, versioned_name, write_versioned
@@ -20,6 +21,7 @@ __all__ = [
     "read_records",
     "read_runs",
     "rejected_records",
+    "rejected_requests",
     "rejected_rows",
     "versioned_name",
     "write_versioned",

@@ -102,13 +102,28 @@ def read_records(
     path: str,
     schema: T.StructType = APPLICANT_SCHEMA,
     lines: bool = False,
+    bad: str = "fail",
 ) -> DataFrame:
     """JSON requests as a table: unlisted keys are dropped, absent ones are NULL.
 
-    A request is one JSON list per file. Large inputs should come as JSON
-    lines (``lines=True``), which Spark splits within a file.
+    A request is one JSON list (or single record) per file. Large inputs should come as JSON lines
+    (``lines=True``), which Spark splits within a file. A broken request, and a record with a value
+    of another type, fails the job, or with ``bad="drop"`` is left out (see ``rejected_requests``).
     """
-    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+    return parse_records(_requests(spark, path, lines), "value", schema, bad)
+
+
+def rejected_requests(
+    spark: SparkSession, path: str, schema: T.StructType = APPLICANT_SCHEMA, lines: bool = False
+) -> DataFrame:
+    """(file, rejected): what ``read_records`` cannot read, and where it stands."""
+    requests = _requests(spark, path, lines).withColumn("file", F.input_file_name())
+    return rejected_records(requests, "value", schema)
+
+
+def _requests(spark: SparkSession, path: str, lines: bool) -> DataFrame:
+    texts = spark.read.text(path, wholetext=not lines)
+    return texts.where(F.length(F.trim("value")) > 0)
 
 
 def parse_records(

@@ -166,3 +166,22 @@ def test_flow_without_survivors(spark, sf_dir):
     items = B.lineitems(spark, sf_dir).drop("l_linenumber", "l_partkey", "l_suppkey")
     with pytest.raises(ValueError, match="no feature"):
         underwriting_flow(items, None, fresh_dir(spark, "flow"), "l_orderkey", iv_band=(0.4, 0.5))
+
+
+def test_runs_that_register_together_get_their_own_versions(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from riskloom.plans import store
+
+    root = fresh_dir(spark, "registry")
+    with ThreadPoolExecutor(10) as pool:
+        claimed = list(pool.map(lambda _: store.claim_version(spark, root, "ci_XGB"), range(10)))
+    assert sorted(claimed) == list(range(1, 11))
+    assert store.claim_version(spark, root, "other") == 1
+    df = spark.createDataFrame([(i, i % 2, float(i % 5)) for i in range(40)], "id long, y int, x double")
+    bins = fit_bins(df, "y", [], ["x"], 4)
+    model = training.train_scorecard(woe_transform(df, bins, ["y"]), "y", ["x"])
+    with ThreadPoolExecutor(4) as pool:
+        made = list(pool.map(lambda _: store.register_scorer(spark, bins, model, root, "ci_XGB"), range(4)))
+    assert sorted(made) == [11, 12, 13, 14]
+    assert sorted(r["version"] for r in store.model_versions(spark, root).collect()) == [11, 12, 13, 14]

@@ -176,3 +176,29 @@ def test_damaged_records_are_kept_apart(spark):
     assert lost == {'{"k":"x"}', '[{"k": 2}', None, "7"}
     with pytest.raises(Exception, match="cannot be read"):
         parse_records(df, "body", schema).collect()
+
+
+def test_broken_requests_are_refused(spark):
+    from pyspark.sql import types as T
+
+    from riskloom.session import fresh_dir
+    from riskloom.sources.readers import read_records, rejected_requests
+
+    schema = T.StructType([T.StructField("SK_ID_CURR", T.LongType()), T.StructField("AMT_CREDIT", T.DoubleType())])
+    whole = fresh_dir(spark, "requests")
+    texts = ['[{"SK_ID_CURR": 1, "AMT_CREDIT": 2.5, "x": 1}, {"SK_ID_CURR": 2}]', '{"SK_ID_CURR": 3}', "[{broken", '[{"SK_ID_CURR": "four"}, {"SK_ID_CURR": 5}]']
+    for i, text in enumerate(texts):
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(f"{whole}/{i}")
+    with pytest.raises(Exception):
+        read_records(spark, f"{whole}/*", schema).collect()
+    kept = read_records(spark, f"{whole}/*", schema, bad="drop")
+    assert sorted(kept.collect()) == [(1, 2.5), (2, None), (3, None), (5, None)]
+    rejected = rejected_requests(spark, f"{whole}/*", schema)
+    assert sorted(r["rejected"].replace(" ", "").strip() for r in rejected.collect()) == sorted(["[{broken", '{"SK_ID_CURR":"four"}'])
+    assert sorted(read_records(spark, f"{whole}/[01]", schema).collect()) == [(1, 2.5), (2, None), (3, None)]
+
+    lined = fresh_dir(spark, "lines")
+    spark.createDataFrame([(t,) for t in (*texts, "")], "value string").write.text(lined)
+    again = read_records(spark, lined, schema, lines=True, bad="drop")
+    assert sorted(again.collect()) == sorted(kept.collect())
+    assert rejected_requests(spark, lined, schema, lines=True).count() == 2
