@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.trees import interval_case, number, quoted
 from riskloom.operators.binning import MISSING_BIN, BinMap, with_evidence
 
 # The gate's bounds, inclusive on both ends.
@@ -12,6 +15,9 @@ MIN_IV = 0.02
 MAX_IV = 0.5
 MAX_MISSING_RATE = 0.1
 
+#: Bins that a value is compared with in the range join.
+BUCKET_BINS = 64
+
 
 def woe_table(contingency: DataFrame) -> DataFrame:
     """(feature, bin_id, good, bad, woe, iv) per bin."""
@@ -101,6 +107,58 @@ def woe_long(df: DataFrame, bins: BinMap, keep: list[str]) -> DataFrame:
     )
 
 
+def woe_by_range(
+    df: DataFrame, bins: DataFrame, keep: list[str], missing: str = "zero", per_bucket: int = BUCKET_BINS
+) -> DataFrame:
+    """``woe_long`` for maps of very many bins: (keep..., feature, woe) by a range join.
+
+    ``bins`` is a table like ``BinMap.to_table``, of any size. Every ``per_bucket``-th edge of a numeric
+    feature begins a bucket; a value finds its bucket in a tree over those, is joined on feature and
+    bucket with at most ``per_bucket`` bins, and the one whose range holds it stays. Categories are
+    joined as they are, rare and missing values by marks of their own. Numeric bins must not
+    overlap; a value outside all of them, like an unseen category without pooled ones, is worth 0.
+    """
+    order = Window.partitionBy("feature").orderBy("lo")
+    numeric = bins.where("kind = 'num'").withColumn(
+        "bucket", F.floor((F.row_number().over(order) - 1) / F.lit(per_bucket)).cast("int")
+    )
+    # one edge for each per_bucket bins
+    starts: dict[str, list[float]] = {}
+    for r in numeric.groupBy("feature", "bucket").agg(F.min("lo").alias("lo")).orderBy("feature", "lo").collect():
+        starts.setdefault(r["feature"], []).append(r["lo"])
+    texts = [r["feature"] for r in bins.select("feature").distinct().collect() if r["feature"] not in starts]
+    texts.sort()
+    cells = []
+    for f, edges in starts.items():
+        value = f"CAST({quoted(f)} AS DOUBLE)"
+        leaves = [number(i) for i in (0, *range(len(edges)))]
+        place = F.expr(f"CASE WHEN {value} IS NULL OR isnan({value}) THEN -1 ELSE {interval_case(value, edges, leaves)} END")
+        cells.append(F.struct(F.lit(f).alias("feature"), place.alias("bucket"), F.expr(value).alias("value"), F.lit("").alias("category")))
+    for f in texts:
+        column = F.col(quoted(f)).cast("string")
+        place = F.when(column.isNull(), -1).otherwise(0)
+        category = F.coalesce(column, F.lit(""))
+        cells.append(F.struct(F.lit(f).alias("feature"), place.alias("bucket"), F.lit(0.0).alias("value"), category.alias("category")))
+    rows = df.select(*keep, F.inline(F.array(*cells)))
+    lost = F.lit(0.0) if missing == "zero" else F.col("woe")
+    anywhere = [F.lit(-math.inf).alias("lo"), F.lit(math.inf).alias("hi")]
+    absent = bins.where("kind = 'missing'").select("feature", F.lit(-1).alias("bucket"), F.lit("").alias("category"), *anywhere, lost.alias("woe"))
+    named = bins.where("kind IN ('cat', 'cat+other')").select("feature", F.lit(0).alias("bucket"), F.explode("categories").alias("category"), *anywhere, "woe")
+    ranges = numeric.select("feature", "bucket", F.lit("").alias("category"), "lo", "hi", "woe")
+    known = ranges.unionByName(named).unionByName(absent)
+    held = (F.col("b.lo") <= F.col("r.value")) & ((F.col("r.value") < F.col("b.hi")) | (F.col("b.hi") == math.inf))
+    # a missing value has no place in a range
+    held = held | (F.col("r.bucket") == -1)
+    same = [F.col(f"r.{c}") == F.col(f"b.{c}") for c in ("feature", "bucket", "category")]
+    found = rows.alias("r").join(known.alias("b"), [*same, held], "left")
+    pooled = bins.where("kind = 'cat+other'").select("feature", F.col("woe").alias("_pooled"))
+    # as small as the list of features
+    found = found.select(*[F.col(f"r.{k}").alias(k) for k in keep], F.col("r.feature").alias("feature"), F.col("r.bucket").alias("_at"), F.col("b.woe").alias("woe"), F.col("b.feature").isNotNull().alias("_found"))
+    found = found.join(F.broadcast(pooled), "feature", "left")
+    unseen = F.when(F.col("_at") >= 0, F.col("_pooled"))
+    return found.select(*keep, "feature", F.coalesce(F.when(F.col("_found"), F.col("woe")).otherwise(unseen), F.lit(0.0)).alias("woe"))
+
+
 def anova_f(df: DataFrame, label: str, features: list[str]) -> DataFrame:
     """(feature, f_score): one-way ANOVA of each feature against the label, missing as 0.
 

@@ -125,17 +125,8 @@ _SILENCE_US = timed.SILENCE_S * 1_000_000
 _REPEAT_US = alerts.REPEAT_INTERVAL_S * 1_000_000
 
 
-@query(
-    "stream_alerts",
-    f"""WITH {SCORED_SQL}, {RULES_SQL},
-        windows AS (SELECT time_bucket(INTERVAL 15 MINUTES, ts, TIMESTAMP '1970-01-01') AS ts, job,
-                           avg(entropy) AS e, avg(confidence) AS c FROM scored GROUP BY ALL),
-        closed AS (SELECT * FROM windows WHERE ts + INTERVAL 15 MINUTES <= {_CLOSED_SQL}),
-        readings AS (SELECT ts, job, 'api_prediction_entropy' AS metric, e AS value FROM closed
-                     UNION ALL SELECT ts, job, 'api_avg_confidence', c FROM closed),
-        matched AS (SELECT alert, job, severity, for_s * 1000000 AS held, epoch_us(ts) AS t,
-                           CASE op WHEN '>' THEN value > threshold ELSE value < threshold END AS breach
-                    FROM readings JOIN rules USING (metric)),
+# What is sent for matched(alert, job, severity, held, t, breach), in microseconds, up to the watermark.
+_SENT_SQL = f"""
         beside AS (SELECT *, lag(t) OVER w AS before, lag(breach) OVER w AS was, lead(t) OVER w AS after FROM matched
                    WINDOW w AS (PARTITION BY alert, job ORDER BY t)),
         numbered AS (SELECT *, sum((NOT coalesce(was AND t - before <= {_SILENCE_US}, false))::INT)
@@ -144,12 +135,27 @@ _REPEAT_US = alerts.REPEAT_INTERVAL_S * 1_000_000
                         least(max(t) + {_SILENCE_US}, max_by(coalesce(after, 9000000000000000), t)) AS ended
                  FROM numbered GROUP BY alert, job, severity, held, run),
         due AS (SELECT *, unnest(range(held // {_REPEAT_US}, (ended - start) // {_REPEAT_US} + 1)) AS no FROM runs),
-        sent AS (SELECT *, start + greatest(held, no * {_REPEAT_US}) AS due_at FROM due WHERE start + greatest(held, no * {_REPEAT_US}) < ended),
+        sent AS (SELECT *, start + greatest(held, no * {_REPEAT_US}) AS due_at FROM due
+                 WHERE start + greatest(held, no * {_REPEAT_US}) < ended),
         said AS (SELECT alert, job, severity, 'firing' AS status, start, no, due_at FROM sent
                  UNION ALL SELECT alert, job, severity, 'resolved', start, max(no), ended FROM sent
                  GROUP BY alert, job, severity, start, ended)
-        SELECT alert, job, severity, status, make_timestamp(start) AS run_start, no AS repeat_no, make_timestamp(due_at) AS sent_at
-        FROM said WHERE make_timestamp(due_at) + INTERVAL 15 MINUTES <= {_CLOSED_SQL}""",
+        SELECT alert, job, severity, status, make_timestamp(start) AS run_start, no AS repeat_no,
+               make_timestamp(due_at) AS sent_at
+        FROM said WHERE make_timestamp(due_at) + INTERVAL 15 MINUTES <= {_CLOSED_SQL}"""
+
+
+@query(
+    "stream_alerts",
+    f"""WITH {SCORED_SQL}, {RULES_SQL},
+        windows AS (SELECT time_bucket(INTERVAL 15 MINUTES, ts, TIMESTAMP '1970-01-01') AS ts, job,
+                           avg(entropy) AS e, avg(confidence) AS c FROM scored GROUP BY ALL),
+        closed AS (SELECT * FROM windows WHERE ts + INTERVAL 15 MINUTES <= {_CLOSED_SQL}),
+        readings AS (SELECT ts, job, 'api_prediction_entropy' AS metric, e AS value FROM closed
+                     UNION ALL SELECT ts, job, 'api_avg_confidence', c FROM closed),
+        matched AS (SELECT alert, job, severity, for_s * 1000000 AS held, epoch_us(ts) AS t,
+                           CASE op WHEN '>' THEN value > threshold ELSE value < threshold END AS breach
+                    FROM readings JOIN rules USING (metric)),{_SENT_SQL}""",
 )
 def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is due up to the watermark, each series holding its last reading."""
@@ -162,6 +168,32 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sent.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("run_start", "sent_at")})
 
 
+RATIO_RULE = ("EntropyShareTooHigh", "entropy_share", ">", 60.0, HOLD_S, "warning")
+
+
+@query(
+    "stream_ratio_rule",
+    f"""WITH {SCORED_SQL},
+        windows AS (SELECT time_bucket(INTERVAL 15 MINUTES, ts, TIMESTAMP '1970-01-01') AS w, job,
+                           max_by(entropy, ts) / max_by(confidence, ts) * 100 AS value FROM scored GROUP BY ALL),
+        matched AS (SELECT '{RATIO_RULE[0]}' AS alert, job, '{RATIO_RULE[5]}' AS severity, {HOLD_S * 1_000_000} AS held,
+                           epoch_us(w) AS t, value > {RATIO_RULE[3]} AS breach
+                    FROM windows WHERE w + INTERVAL 15 MINUTES <= {_CLOSED_SQL}),{_SENT_SQL}""",
+)
+def stream_ratio_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rule on the ratio of two streams of gauges."""
+    log = B.score_log(_stream(spark, sf_dir, "events"))
+    part = log.select("ts", "job", F.col("entropy").alias("value"))
+    other = B.score_log(_stream(spark, sf_dir, "events"))
+    whole = other.select("ts", "job", F.col("confidence").alias("value"))
+    readings = timed.stream_ratio(part, whole, ["job"], RATIO_RULE[1], width_s=900)
+    rules = spark.createDataFrame([RATIO_RULE], alerts.RULES_SCHEMA)
+    sent = jobs.write_available(
+        timed.alert_stream(readings, rules, ["job"], width_s=900), "stream-ratio", rocksdb=True
+    )
+    return sent.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("run_start", "sent_at")})
+
+
 @query(
     "stream_incidents",
     f"""WITH {SCORED_SQL},

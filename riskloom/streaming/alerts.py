@@ -203,6 +203,35 @@ def stream_alerts(
     return alert_stream(gauge_readings(windows, keys), rules, keys, repeat_s, silence_s, width_s)
 
 
+def stream_ratio(
+    part: DataFrame,
+    whole: DataFrame,
+    keys: list[str],
+    metric: str,
+    ts: str = "ts",
+    scale: float = 100.0,
+    delay: str = WATERMARK,
+    width_s: int = 15,
+) -> DataFrame:
+    """(ts, keys, metric, value): ``part / whole * scale`` of two streams of readings (ts, keys, value).
+
+    Each side's last value of a window stands for it; closed windows of both sides are then joined,
+    and the join keeps a window only until the watermark has passed it, so a series that one
+    side does not have leaves no state. A window that only one side has, and a whole of zero, gives no
+    reading or a NULL one. Of values at one time the largest counts.
+    """
+
+    def last(side: DataFrame, name: str) -> DataFrame:
+        timed = event_time(side, ts).withWatermark(ts, delay)
+        return timed.groupBy(F.window(ts, f"{width_s} seconds").alias("_w"), *keys).agg(
+            F.max(F.struct(ts, "value")).getField("value").alias(name)
+        )
+
+    both = last(part, "_part").join(last(whole, "_whole"), ["_w", *keys])
+    ratio = F.try_divide("_part", "_whole") * F.lit(float(scale))
+    return both.select(F.col("_w.start").alias("ts"), *keys, F.lit(metric).alias("metric"), ratio.alias("value"))
+
+
 class IncidentProcessor(StatefulProcessor):
     """Keeps the open incident of a series and closes it after its silence."""
 
