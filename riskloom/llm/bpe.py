@@ -127,7 +127,10 @@ def decode(tokens: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> Data
 
 
 def digests(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids): the ids, and what they decode to."""
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of (doc_id, ids): the ids, and what they decode to.
+
+    A null list counts as empty; null ids and repeated rows each get their row.
+    """
     kind = tokens.schema["doc_id"].dataType.simpleString()
     table = tokens.sparkSession.sparkContext.broadcast({i: b for b, i in ranks.items()})
 
@@ -137,7 +140,7 @@ def digests(tokens: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         for b in it:
             counts, marks, texts = [], [], []
             for x in b.column(1):
-                some = x.values.to_numpy().tolist()
+                some = x.values.to_numpy().tolist() if x.is_valid else []
                 counts.append(len(some))
                 marks.append(sha256_hex(" ".join(map(name.__getitem__, some)).encode()))
                 texts.append(sha256_hex(join(some)))

@@ -37,6 +37,14 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not have yet, whatever the case of its letters."""
+    known = {c.lower() for c in df.columns}
+    while name.lower() in known:
+        name += "_"
+    return name
+
+
 def stretches(text: bytes, cut: re.Pattern[bytes], step: int = 1 << 20) -> Iterator[bytes]:
     """A text in turns of about ``step`` bytes, each ending just before a match of ``cut``."""
     start = 0
@@ -53,6 +61,7 @@ def sha256_hex(data: bytes) -> str:
 __all__ = [
     "BATCH_BYTES",
     "ascii_lower",
+    "fresh_name",
     "in_fold",
     "pick",
     "settle",

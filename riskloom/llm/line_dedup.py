@@ -31,6 +31,8 @@ MIN_SIMILARITY = 0.8
 LONG, FEW_EDITS = 4096, 64
 #: Lines that one call verifies, as texts take longer than fingerprints.
 VERIFIED = 2_000
+#: Lines of their own that can each be more than one in so many.
+HEAVY_KEYS = 1000
 #: Widths of the blocks; of five, at most three hold a differing bit.
 BLOCKS = (13, 13, 13, 13, 12)
 #: Characters of a run, and the factor that hashes them.
@@ -328,8 +330,11 @@ def line_dedup(
     that go, ``text`` is the rest. A null text stays null with no lines; an empty text is one blank
     line. Rows that repeat both id and text count as one document, and each gets its result; of
     rows with equal id and unlike text the one with the lower text hash comes first. Null ids
-    come first. Columns named in ``carry`` come along; others stay out of it. An empty table gives no rows.
+    come first. Columns named in ``carry`` come along, but for names that the result has itself, which
+    are an error; others stay out of it. An empty table gives no rows.
     """
+    if clash := {c.lower() for c in carry} & {"doc_id", "text", "n_lines", "n_removed", "removed"}:
+        raise ValueError(f"names of the result: {sorted(clash)}")
     own = pick(docs, doc_id=doc_id, text=text, **{f"_{c}": c for c in carry})
     small_batches(docs.sparkSession)
     own = own.withColumn("text_hash", F.xxhash64("text"))
@@ -341,9 +346,13 @@ def line_dedup(
     firsts = firsts.join(groups, "key", "left").select("key", "n", "at", F.coalesce("component", "key").alias("component"))
     # one row per group, and back to its lines; a line that stands alone needs neither
     stays = firsts.groupBy("component").agg(F.min("at").alias("stay"), F.sum("n").alias("total")).where("total > 1")
-    several = firsts.join(stays, "component").select("key", "stay")
+    several = settle(firsts.join(stays, "component").select("key", "stay", "n"), "several")
+    # lines that stand very often are no more than HEAVY_KEYS, and are sent to the others
+    often = F.col("n") > F.lit(lines.count() // HEAVY_KEYS)
+    heavy = F.broadcast(several.where(often).select("key", "stay"))
+    seldom = lines.join(heavy.select("key"), "key", "left_anti").join(several.where(~often).select("key", "stay"), "key")
     gone = (
-        lines.join(several, "key")
+        lines.join(heavy, "key").unionByName(seldom)
         .where(~place.eqNullSafe(F.col("stay")))
         .groupBy("doc_id", "text_hash")
         .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import pick, settle, small_batches
+from riskloom.llm.common import fresh_name, pick, settle, small_batches
 from riskloom.llm.components import components
 from riskloom.llm.meeting import spanning_links
 from riskloom.llm.simhash import FOLD, fingerprint, shingle_hashes
@@ -156,13 +156,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, with all their columns, but of each group only the row with the lowest id.
 
-    Of several rows with that id one stays; a null id only where the group has no other.
+    Of several rows with that id one stays; a null id only where the group has no other. Null and
+    empty texts are one group. An empty table gives no rows. Columns of any name come along.
     """
     # written out, so that a number can tell rows apart
-    rows = settle(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    prints = settle(fingerprints(rows, "_row", text).withColumnRenamed("doc_id", "_row"), "prints")
+    row = fresh_name(docs, "_row")
+    rows = settle(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    prints = settle(fingerprints(rows, row, text).withColumnRenamed("doc_id", "_row"), "prints")
     groups = fingerprint_groups(prints)
-    first = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col("_row").alias("row"))
-    per_print = prints.join(rows.select("_row", doc_id), "_row").groupBy("fp").agg(F.min(first).alias("first"))
+    first = F.struct(F.col("id").isNull().alias("none"), "id", F.col("_row").alias("row"))
+    ids = pick(rows, _row=row, id=doc_id)
+    per_print = prints.join(ids, "_row").groupBy("fp").agg(F.min(first).alias("first"))
     kept = per_print.join(groups, "fp").groupBy("component").agg(F.min("first").alias("first"))
-    return rows.join(kept.select(F.col("first.row").alias("_row")), "_row", "left_semi").drop("_row")
+    return rows.join(kept.select(F.col("first.row").alias(row)), row, "left_semi").select(docs.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from riskloom.llm.common import pick, settle, small_batches
+from riskloom.llm.common import fresh_name, pick, settle, small_batches
 
 #: Labelled rows that are fitted on, at most.
 SAMPLE = 20_000
@@ -289,6 +289,11 @@ def toxicity(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents, with all their columns, whose score stays below THRESHOLD."""
-    scored = with_score(docs, fit(docs, labels), "_toxicity")
-    return scored.where(F.col("_toxicity") < THRESHOLD).drop("_toxicity")
+    """The documents, with all their columns, whose score stays below THRESHOLD.
+
+    Null and empty texts have the score of a text on which no voter fires; null ids and repeated
+    rows are judged like any other. An empty table gives no rows. Columns of any name come along.
+    """
+    name = fresh_name(docs, "_toxicity")
+    scored = with_score(docs, fit(docs, labels), name)
+    return scored.where(F.col(name) < THRESHOLD).drop(name)

@@ -334,3 +334,13 @@ def test_folds(rows):
     df = rows([(i,) for i in range(200)] + [(None,)], "doc_id long").select("doc_id", in_fold(F.col("doc_id"), 7, 2).alias("f"))
     for r in df.collect():
         assert r.f == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
+
+
+def test_drop_toxic_keeps_columns_of_any_name(rows):
+    bad, good = "you are a stupid idiot and a moron", "the river runs through the quiet town"
+    texts = [(i, bad if i % 2 else good, float(i), "x") for i in range(40)] + [(40, None, 0.0, "x"), (None, "", 1.0, "y")]
+    df = rows(texts, "doc_id long, text string, _toxicity double, score string")
+    labels = rows([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    kept = toxicity.drop_toxic(df, labels)
+    assert kept.columns == df.columns
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(t[0]) for t in texts if t[1] != bad)

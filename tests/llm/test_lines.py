@@ -120,8 +120,11 @@ def test_edges(rows):
         (5, "own words of five", "g"),
         (6, "y " * 40_000, "h"),
     ]
-    df = rows(data, "doc_id long, text string, n_lines string")
-    got = line_dedup.line_dedup(df, carry=("n_lines",)).toDF("doc_id", "text", "tag", "n", "gone", "removed").collect()
+    df = rows(data, "doc_id long, text string, tag string").selectExpr("*", "tag AS n_lines", "tag AS key", "1 AS stay")
+    got = line_dedup.line_dedup(df, carry=("tag",)).withColumnsRenamed({"n_lines": "n", "n_removed": "gone"})
+    got = got.select("doc_id", "text", "tag", "n", "gone", "removed").collect()
+    with pytest.raises(ValueError):
+        line_dedup.line_dedup(df, carry=("n_lines",))
     by = {r.tag: r for r in got}
     assert by["a"].gone == 0 and by["e"].text == "own words of four"
     assert (by["b"].text, by["b"].n) == (None, 0)
@@ -129,5 +132,13 @@ def test_edges(rows):
     assert by["f"][3:] == by["g"][3:] and by["f"].gone == 0 and by["h"].gone == 0
 
 
+def test_a_line_of_a_third_of_all_documents(rows, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HEAVY_KEYS", 5)
+    line = "this line stands in very many documents and is long enough"
+    docs = [(i, f"{line}\nwords of number {i} alone {'abcdefghij'[i % 10] * 9}\n{line if i % 2 else ''}") for i in range(40)]
+    got = {r.doc_id: r.removed for r in line_dedup.line_dedup(rows(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs)
+
+
 def test_empty_table(rows):
     assert line_dedup.line_dedup(rows([], "doc_id long, text string")).count() == 0

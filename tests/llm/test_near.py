@@ -125,3 +125,11 @@ def test_drop_copies_keeps_one(rows):
     kept = near_dedup.drop_copies(rows(data, "doc_id long, text string, other int")).collect()
     assert sorted(str(r.doc_id) for r in kept) == ["3", "9", "None"]
     assert [r.other for r in kept if r.doc_id is None] == [6]
+
+
+def test_drop_copies_keeps_columns_of_any_name(rows):
+    data = [(1, TEXTS[0], 7, "a", 0), (2, TEXTS[0], 8, "b", 1), (3, "lonely one", 9, None, 2)]
+    df = rows(data, "doc_id long, text string, _row int, component string, fp int")
+    kept = near_dedup.drop_copies(df)
+    assert kept.columns == df.columns
+    assert sorted(map(tuple, kept.collect())) == [data[0], data[2]]

@@ -58,6 +58,11 @@ def test_digests(rows):
     assert got[2].ids_sha256 == got[2].decoded_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_digests_of_null_lists(rows):
+    got = bpe.digests(rows([(1, None), (None, [])], "doc_id long, ids array<int>"), RANKS).collect()
+    assert {(r.n_tokens, r.ids_sha256) for r in got} == {(0, hashlib.sha256(b"").hexdigest())} and len(got) == 2
+
+
 def test_empty_tables(rows):
     empty = rows([], "doc_id long, text string")
     assert bpe.encode(empty, RANKS, P.PATTERN).count() == 0
