@@ -2,8 +2,9 @@
 
 Host names run words together. A unigram model of words, counted over all page texts, splits them
 by the Viterbi algorithm; a name only needs the counts of its own substrings, which a join brings.
-A multinomial naive Bayes model then scores the words of host and path. It is taught by the URLs
-whose words name what is unwanted (SEEDS), and spreads to the words that keep company with them.
+A multinomial naive Bayes model then scores the words of host and path. It learns from the URLs that
+a rule judges; words that name what is unwanted (SEEDS) come in as a prior, as if they had been seen
+in blocked URLs, and what is seen can overrule them.
 
 Hosts and paths are reduced to their distinct forms before anything is joined, so a host that
 holds a third of all pages costs one row.
@@ -33,6 +34,8 @@ NAME = 63
 #: Occurrences from which a word counts as one; seeds always do.
 MIN_COUNT = 3
 SMOOTHING = 1.0
+#: Words of the blocked URLs that the seeds together stand for, for each word that is seen there.
+SEED_SHARE = 0.25
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -123,29 +126,33 @@ def url_filter(
     page_id: str = "page_id",
     url: str = "url",
     text: str | None = "html",
+    held_out: Column | None = None,
 ) -> DataFrame:
     """(page_id, host, path, rule, verdict, score): one row per row of ``pages``.
 
     ``verdict`` is the rule's where one fits, else ``block`` if naive Bayes finds that likelier than
     ``allow``; ``score`` is its log odds of ``block``. A null url, or one without ``://``, has neither host
-    nor path and no words, so the classes' sizes decide. Null ids and repeated rows each get their
-    row; an empty table gives none. Without any URL of a class, nothing is blocked by words.
+    nor path and no words, so the classes' sizes decide; a tie allows. Null ids and repeated rows each get
+    their row; an empty table gives none. Where no rule judges any URL, only the seeds speak.
+    ``held_out``, a condition on page_id and url, names URLs whose rules teach nothing.
     """
     own = pick(pages, page_id=page_id, url=url)
     host, path = host_and_path(F.col("url"))
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     form = F.concat_ws(" ", _runs(F.col("path")))
-    judged = own.select("page_id", host.alias("host"), path.alias("path")).select(
-        "page_id", "host", "path", rule.alias("rule"), verdict.alias("said"), form.alias("form")
+    aside = F.lit(False) if held_out is None else F.coalesce(held_out, F.lit(False))
+    judged = own.select("page_id", host.alias("host"), path.alias("path"), aside.alias("aside")).select(
+        "page_id", "host", "path", "aside", rule.alias("rule"), verdict.alias("said"), form.alias("form")
     )
-    # distinct hosts with the words of their paths, and how many pages have them
-    shapes = settle(judged.groupBy("host", "form").agg(F.count(F.lit(1)).alias("n")), "shapes")
+    judged = judged.withColumn("teaches", F.when(~F.col("aside"), F.col("said")))
+    # distinct hosts with the words of their paths, and how many pages of them a rule blocks or allows
+    shapes = judged.groupBy("host", "form").agg(F.count_if(F.col("teaches") == "block").alias("b"), F.count_if(F.col("teaches") == "allow").alias("a"))
+    shapes = settle(shapes, "shapes")
     hosts = shapes.select("host").distinct()
     runs = hosts.select("host", F.posexplode(_runs(F.col("host"))).alias("at", "run"))
     names = runs.where(F.col("run").rlike("^[a-z]+$") & (F.length("run") <= NAME)).select(F.col("run").alias("name")).distinct()
     seeds = pages.sparkSession.createDataFrame([(w, MIN_COUNT) for w in SEEDS], "word string, n long")
     texts = word_counts(pages, text).unionByName(seeds) if text else seeds
-    # names that stand alone between dots and dashes are words too
     counts = texts.groupBy("word").agg(F.sum("n").alias("n"))
     split = settle(segmented(names, settle(counts, "words")), "names")
     host_words = (
@@ -156,7 +163,7 @@ def url_filter(
     )
     path_words = F.filter(F.split("form", " "), lambda x: x != "")
     tokens = F.concat(F.coalesce("host_words", F.array().cast("array<string>")), path_words)
-    words = settle(shapes.join(host_words, "host", "left").select("host", "form", "n", tokens.alias("words")), "shape-words")
+    words = settle(shapes.join(host_words, "host", "left").select("host", "form", "b", "a", tokens.alias("words")), "shape-words")
     shape_scores = naive_bayes(words)
     return judged.join(shape_scores, ["host", "form"]).select(
         "page_id",
@@ -169,25 +176,23 @@ def url_filter(
 
 
 def naive_bayes(shapes: DataFrame) -> DataFrame:
-    """(host, form, score): log odds of ``block`` for each distinct form, which stands for n pages."""
-    bad = F.arrays_overlap("words", F.array(*[F.lit(w) for w in SEEDS]))
-    marked = shapes.select("host", "form", "n", "words", F.coalesce(bad, F.lit(False)).alias("bad"))
-    seen = (
-        marked.select("n", "bad", F.explode("words").alias("word"))
-        .groupBy("word")
-        .agg(F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("b"), F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("a"))
-    )
+    """(host, form, score): log odds of ``block`` for each distinct form.
+
+    ``b`` and ``a`` say how many pages of a form are known to be blocked and allowed. A word that is
+    neither in those nor a seed says nothing.
+    """
+    judged = shapes.where("b > 0 OR a > 0")
+    seen = judged.select("b", "a", F.explode("words").alias("word")).groupBy("word").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
     seen = settle(seen, "word-classes")
-    sizes = marked.agg(
-        F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("b"), F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n"))).alias("a")
-    ).first()
-    sums = seen.agg(F.sum("b").alias("b"), F.sum("a").alias("a"), F.count(F.lit(1)).alias("v")).first()
-    blocked, allowed = sizes.b or 0, sizes.a or 0
-    if not blocked or not allowed:
-        return shapes.select("host", "form", F.lit(-1.0).alias("score"))
-    prior = math.log(blocked / allowed)
-    total_b, total_a = (sums.b or 0) + SMOOTHING * sums.v, (sums.a or 0) + SMOOTHING * sums.v
+    sums = seen.agg(F.sum("b").alias("b"), F.sum("a").alias("a")).first()
+    pages = judged.agg(F.sum("b").alias("b"), F.sum("a").alias("a")).first()
+    each = max(1.0, SEED_SHARE * (sums.b or 0) / len(SEEDS))
+    seeds = shapes.sparkSession.createDataFrame([(w, each, 0.0) for w in SEEDS], "word string, b double, a double")
+    both = seen.unionByName(seeds).groupBy("word").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
+    size = both.count()
+    prior = math.log(((pages.b or 0) + 1) / ((pages.a or 0) + 1))
+    total_b, total_a = (sums.b or 0) + each * len(SEEDS) + SMOOTHING * size, (sums.a or 0) + SMOOTHING * size
     says = F.log((F.col("b") + SMOOTHING) / total_b) - F.log((F.col("a") + SMOOTHING) / total_a)
     exploded = shapes.select("host", "form", F.explode_outer("words").alias("word"))
-    scored = exploded.join(seen.select("word", says.alias("says")), "word", "left")
+    scored = exploded.join(both.select("word", says.alias("says")), "word", "left")
     return scored.groupBy("host", "form").agg((F.coalesce(F.sum("says"), F.lit(0.0)) + F.lit(prior)).alias("score"))

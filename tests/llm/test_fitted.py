@@ -64,21 +64,45 @@ def test_segmentation(spark):
 
 
 def test_naive_bayes(spark):
-    shapes = [("a", "", 3, ["casino", "play", "www"]), ("b", "", 2, ["the", "news", "www"]), ("c", "", 1, ["play", "win"]), ("d", "", 1, [])]
-    df = spark.createDataFrame(shapes, "host string, form string, n long, words array<string>")
+    shapes = [("a", "", 3, 0, ["casino", "play", "www"]), ("b", "", 0, 2, ["the", "news", "www"]), ("c", "", 1, 1, ["play", "win"]), ("d", "", 0, 0, ["odd", "play"]), ("e", "", 0, 0, [])]
+    df = spark.createDataFrame(shapes, "host string, form string, b long, a long, words array<string>")
     got = {r.host: r.score for r in url_filter.naive_bayes(df).collect()}
     bad, good = Counter(), Counter()
-    for _, _, n, words in shapes:
-        for w in words:
-            (bad if "casino" in words else good)[w] += n
-    v = len(set(bad) | set(good))
-    for host, _, _, words in shapes:
-        want = math.log(3 / 4) + sum(
-            math.log((bad[w] + 1) / (sum(bad.values()) + v)) - math.log((good[w] + 1) / (sum(good.values()) + v)) for w in words
+    for _, _, b, a, words in shapes:
+        for w in words if b + a else []:
+            bad[w] += b
+            good[w] += a
+    bad.update(dict.fromkeys(url_filter.SEEDS, max(1.0, url_filter.SEED_SHARE * sum(bad.values()) / len(url_filter.SEEDS))))
+    known = set(bad) | set(good)
+    for host, _, _, _, words in shapes:
+        want = math.log(5 / 4) + sum(
+            math.log((bad[w] + 1) / (sum(bad.values()) + len(known))) - math.log((good[w] + 1) / (sum(good.values()) + len(known)))
+            for w in words
+            if w in known
         )
         assert got[host] == pytest.approx(want)
 
 
+def test_rules_teach_other_hosts(rows):
+    """Verdicts where no rule fits follow words that only the rules' URLs teach; no seed is among them."""
+    rules = [("bad.net/", "block"), ("good.net/", "allow")]
+    urls = [f"http://{'bad' if i % 2 else 'good'}.net/{'prize/claim' if i % 2 else 'recipes/soup'}/{i}" for i in range(60)]
+    urls += ["http://x.org/claim/1", "http://x.org/soup/1", "http://y.org/prize", "http://y.org/recipes"]
+    got = url_filter.url_filter(rows(list(enumerate(urls)), "page_id long, url string"), rules, text=None)
+    says = {r.page_id: (r.rule, r.verdict) for r in got.where("page_id >= 60").collect()}
+    assert says == {60: (None, "block"), 61: (None, "allow"), 62: (None, "block"), 63: (None, "allow")}
+
+
+def test_naive_bayes_held_out(spark):
+    """Rules learned on one half of the hosts and paths are found again by words on the other half."""
+    pages = table(spark, "/root/testdata/sf0.1", "pages")
+    held_out = F.xxhash64("url") % 2 == 0
+    got = url_filter.url_filter(pages, queries.RULES, held_out=held_out).join(pages.select("page_id", "url"), "page_id")
+    right = F.avg(((F.col("score") > 0) == (F.col("verdict") == "block")).cast("int"))
+    found = got.where(held_out & F.col("rule").isNotNull()).agg(right, F.count("*")).first()
+    assert found[1] > 500 and found[0] >= 0.9
+
+
 def test_url_filter_edges(rows):
     data = [(None, "http://casinowin.org/a", None), (1, "http://news.org/" + "x" * 5000, "<p>casino win</p> news " * 5), (1, "http://news.org/1", None), (2, "http://casinowin.org/b", "")]
     got = url_filter.url_filter(rows(data, "page_id long, url string, html string"), RULES).collect()
