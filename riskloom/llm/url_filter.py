@@ -36,6 +36,8 @@ MIN_COUNT = 3
 SMOOTHING = 1.0
 #: Words of the blocked URLs that the seeds together stand for, for each word that is seen there.
 SEED_SHARE = 0.25
+#: A form that more than one page in so many has is sent to the pages; at most so many are.
+HEAVY = 1000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -144,9 +146,11 @@ def url_filter(
     judged = own.select("page_id", host.alias("host"), path.alias("path"), aside.alias("aside")).select(
         "page_id", "host", "path", "aside", rule.alias("rule"), verdict.alias("said"), form.alias("form")
     )
-    judged = judged.withColumn("teaches", F.when(~F.col("aside"), F.col("said")))
+    # forms hold no line ends
+    key = F.sha2(F.concat_ws("\n", "form", "host"), 256)
+    judged = judged.withColumns({"teaches": F.when(~F.col("aside"), F.col("said")), "key": key})
     # distinct hosts with the words of their paths, and how many pages of them a rule blocks or allows
-    shapes = judged.groupBy("host", "form").agg(F.count_if(F.col("teaches") == "block").alias("b"), F.count_if(F.col("teaches") == "allow").alias("a"))
+    shapes = judged.groupBy("host", "form").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("teaches") == "block").alias("b"), F.count_if(F.col("teaches") == "allow").alias("a"))
     shapes = settle(shapes, "shapes")
     hosts = shapes.select("host").distinct()
     runs = hosts.select("host", F.posexplode(_runs(F.col("host"))).alias("at", "run"))
@@ -163,9 +167,13 @@ def url_filter(
     )
     path_words = F.filter(F.split("form", " "), lambda x: x != "")
     tokens = F.concat(F.coalesce("host_words", F.array().cast("array<string>")), path_words)
-    words = settle(shapes.join(host_words, "host", "left").select("host", "form", "b", "a", tokens.alias("words")), "shape-words")
-    shape_scores = naive_bayes(words)
-    return judged.join(shape_scores, ["host", "form"]).select(
+    words = settle(shapes.join(host_words, "host", "left").select("host", "form", "n", "b", "a", tokens.alias("words")), "shape-words")
+    scores = settle(naive_bayes(words).withColumn("key", key).select("key", "n", "score"), "shape-scores")
+    pages_in_all = scores.agg(F.sum("n")).first()[0] or 0
+    heavy = scores.where(F.col("n") * HEAVY > pages_in_all).select("key", "score")
+    lighter = judged.join(F.broadcast(heavy.select("key")), "key", "left_anti").join(scores.select("key", "score"), "key")
+    scored = judged.join(F.broadcast(heavy), "key").unionByName(lighter)
+    return scored.select(
         "page_id",
         "host",
         "path",
@@ -176,16 +184,15 @@ def url_filter(
 
 
 def naive_bayes(shapes: DataFrame) -> DataFrame:
-    """(host, form, score): log odds of ``block`` for each distinct form.
+    """(host, form, n, score): log odds of ``block`` for each distinct form.
 
-    ``b`` and ``a`` say how many pages of a form are known to be blocked and allowed. A word that is
-    neither in those nor a seed says nothing.
+    ``b`` and ``a`` say how many of its n pages are known to be blocked and allowed. A word that is
+    neither in those nor a seed says nothing, but belongs to the words that smoothing counts.
     """
-    judged = shapes.where("b > 0 OR a > 0")
-    seen = judged.select("b", "a", F.explode("words").alias("word")).groupBy("word").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
+    seen = shapes.select("b", "a", F.explode("words").alias("word")).groupBy("word").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
     seen = settle(seen, "word-classes")
     sums = seen.agg(F.sum("b").alias("b"), F.sum("a").alias("a")).first()
-    pages = judged.agg(F.sum("b").alias("b"), F.sum("a").alias("a")).first()
+    pages = shapes.agg(F.sum("b").alias("b"), F.sum("a").alias("a")).first()
     each = max(1.0, SEED_SHARE * (sums.b or 0) / len(SEEDS))
     seeds = shapes.sparkSession.createDataFrame([(w, each, 0.0) for w in SEEDS], "word string, b double, a double")
     both = seen.unionByName(seeds).groupBy("word").agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
@@ -193,6 +200,6 @@ def naive_bayes(shapes: DataFrame) -> DataFrame:
     prior = math.log(((pages.b or 0) + 1) / ((pages.a or 0) + 1))
     total_b, total_a = (sums.b or 0) + each * len(SEEDS) + SMOOTHING * size, (sums.a or 0) + SMOOTHING * size
     says = F.log((F.col("b") + SMOOTHING) / total_b) - F.log((F.col("a") + SMOOTHING) / total_a)
-    exploded = shapes.select("host", "form", F.explode_outer("words").alias("word"))
-    scored = exploded.join(both.select("word", says.alias("says")), "word", "left")
-    return scored.groupBy("host", "form").agg((F.coalesce(F.sum("says"), F.lit(0.0)) + F.lit(prior)).alias("score"))
+    exploded = shapes.select("host", "form", "n", F.explode_outer("words").alias("word"))
+    scored = exploded.join(both.where("b > 0 OR a > 0").select("word", says.alias("says")), "word", "left")
+    return scored.groupBy("host", "form", "n").agg((F.coalesce(F.sum("says"), F.lit(0.0)) + F.lit(prior)).alias("score"))

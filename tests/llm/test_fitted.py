@@ -65,20 +65,20 @@ def test_segmentation(spark):
 
 def test_naive_bayes(spark):
     shapes = [("a", "", 3, 0, ["casino", "play", "www"]), ("b", "", 0, 2, ["the", "news", "www"]), ("c", "", 1, 1, ["play", "win"]), ("d", "", 0, 0, ["odd", "play"]), ("e", "", 0, 0, [])]
-    df = spark.createDataFrame(shapes, "host string, form string, b long, a long, words array<string>")
+    df = spark.createDataFrame(shapes, "host string, form string, b long, a long, words array<string>").withColumn("n", F.lit(2))
     got = {r.host: r.score for r in url_filter.naive_bayes(df).collect()}
     bad, good = Counter(), Counter()
     for _, _, b, a, words in shapes:
-        for w in words if b + a else []:
+        for w in words:
             bad[w] += b
             good[w] += a
     bad.update(dict.fromkeys(url_filter.SEEDS, max(1.0, url_filter.SEED_SHARE * sum(bad.values()) / len(url_filter.SEEDS))))
-    known = set(bad) | set(good)
+    size = len(set(bad) | set(good))
     for host, _, _, _, words in shapes:
         want = math.log(5 / 4) + sum(
-            math.log((bad[w] + 1) / (sum(bad.values()) + len(known))) - math.log((good[w] + 1) / (sum(good.values()) + len(known)))
+            math.log((bad[w] + 1) / (sum(bad.values()) + size)) - math.log((good[w] + 1) / (sum(good.values()) + size))
             for w in words
-            if w in known
+            if bad[w] + good[w] > 0
         )
         assert got[host] == pytest.approx(want)
 
