@@ -218,8 +218,66 @@ def woe_table_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumns({"woe": rounded(F.col("woe")), "iv": rounded(F.col("iv"))})
 
 
-@query("merge_bins")
+_CAT_NAMES_SQL = ", ".join(f"'{c}'" for c in B.DOC_CAT)
+# Pooling as a formula: the rate of a pool is, over the stretches that begin at or before a bin, the
+# highest of the lowest rates of those that end at or after it (and the other way round for falling
+# rates). Pools that are too small then join a neighbour, one a step.
+POOLS_SQL = f"""
+placed AS (SELECT *, row_number() OVER (PARTITION BY feature
+             ORDER BY CASE WHEN feature IN ({_CAT_NAMES_SQL}) THEN bad / (good + bad) ELSE bin_id END, bin_id) AS i
+           FROM contingency WHERE bin_id <> -1),
+spans AS (SELECT a.feature, a.i AS first, z.i AS last, sum(m.bad) / sum(m.good + m.bad) AS rate
+          FROM placed a JOIN placed z ON z.feature = a.feature AND z.i >= a.i
+          JOIN placed m ON m.feature = a.feature AND m.i BETWEEN a.i AND z.i GROUP BY ALL),
+ends AS (SELECT p.feature, p.i, s.first, min(rate) AS low, max(rate) AS high
+         FROM placed p JOIN spans s ON s.feature = p.feature AND p.i BETWEEN s.first AND s.last GROUP BY ALL),
+pooled AS (SELECT feature, i, 1 AS way, max(low) AS rate FROM ends GROUP BY ALL
+           UNION ALL SELECT feature, i, 2, min(high) FROM ends GROUP BY ALL),
+pools AS (SELECT way, feature, min(i) AS first, max(i) AS last, sum(good) AS good, sum(bad) AS bad
+          FROM pooled JOIN placed USING (feature, i) GROUP BY way, feature, rate),
+sides AS (SELECT *, greatest(good, 0.5) / greatest(sum(good) OVER w, 1) AS g, greatest(bad, 0.5) / greatest(sum(bad) OVER w, 1) AS b
+          FROM pools WINDOW w AS (PARTITION BY way, feature)),
+worth AS (SELECT feature, way, sum((g - b) * ln(g / b)) AS iv FROM sides GROUP BY feature, way),
+ways AS (SELECT feature, way FROM worth QUALIFY row_number() OVER (PARTITION BY feature ORDER BY iv DESC, way) = 1),
+least AS (SELECT feature, 0.05::DOUBLE * sum(good + bad) AS least FROM contingency GROUP BY feature),
+steps(feature, least, p) AS (
+  SELECT feature, any_value(least), list({{'first': first, 'last': last, 'good': good::DOUBLE, 'bad': bad::DOUBLE}} ORDER BY first)
+  FROM pools JOIN ways USING (feature, way) JOIN least USING (feature) GROUP BY feature
+  UNION ALL
+  SELECT feature, least,
+         p[1:k - 1] || [{{'first': p[k].first, 'last': p[k + 1].last, 'good': p[k].good + p[k + 1].good, 'bad': p[k].bad + p[k + 1].bad}}]
+           || p[k + 2:]
+  FROM (SELECT feature, least, p,
+               CASE WHEN i = 1 THEN 1 WHEN i = len(p) THEN i - 1
+                    WHEN abs(p[i - 1].bad / (p[i - 1].good + p[i - 1].bad) - p[i].bad / (p[i].good + p[i].bad))
+                      <= abs(p[i + 1].bad / (p[i + 1].good + p[i + 1].bad) - p[i].bad / (p[i].good + p[i].bad)) THEN i - 1
+                    ELSE i END AS k
+        FROM (SELECT *, list_transform(p, lambda x: x.good + x.bad) AS n, list_position(n, list_min(n)) AS i
+              FROM steps WHERE len(p) > 1)
+        WHERE n[i] < least)),
+final AS (SELECT feature, unnest(p) AS own, generate_subscripts(p, 1) - 1 AS merged_id
+          FROM (SELECT * FROM steps QUALIFY row_number() OVER (PARTITION BY feature ORDER BY len(p)) = 1))"""
+
+
+@query(
+    "merge_bins",
+    f"""WITH RECURSIVE {contingency_sql(DOCS_SQL, B.DOC_NUM, B.DOC_CAT)}, {POOLS_SQL}
+        SELECT feature, bin_id, merged_id::INT AS merged_id, p.good, p.bad
+        FROM placed p JOIN final f USING (feature) WHERE p.i BETWEEN f.own.first AND f.own.last
+        UNION ALL SELECT feature, bin_id, -1, good, bad FROM contingency WHERE bin_id = -1""",
+)
 def merge_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prebins of labelled documents and the bin that each was pooled into."""
+    docs = B.labelled_documents(spark, sf_dir, "toxic")
+    prebins = binning.fit_prebins(docs, B.DOC_CAT, B.DOC_NUM, BINS)
+    counts = binning.bin_contingency(docs, "TARGET", prebins)
+    kind = F.when(F.col("feature").isin(B.DOC_CAT), "cat").otherwise("num")
+    return binning.merge_bins(counts.withColumn("kind", kind))
+
+
+@query("bin_map")
+def bin_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole map of bins as it is stored."""
     docs = B.labelled_documents(spark, sf_dir, "quality")
     bins = binning.fit_bins(docs, "TARGET", B.DOC_CAT, B.DOC_NUM, BINS)
     return bins.to_table(spark)
