@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import bindings as B
 from riskloom.functions.scores import rounded
 from riskloom.operators.binning import BinMap, fit_bins
-from riskloom.operators.evidence import woe_transform
+from riskloom.operators.evidence import woe_long, woe_transform
 from riskloom.plans import scoring, store, training
 from riskloom.plans.flow import underwriting_flow as run_flow
 from riskloom.queries import query
@@ -34,8 +35,31 @@ def train_boosted_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "feature string, importance double")
 
 
-@query("train_scorecard")
+REGULARISATION = 1e-4
+
+
+@query(
+    "train_scorecard",
+    f"""SELECT unnest([{", ".join(f"'{f}'" for f in [*B.DOC_CAT, *B.DOC_NUM, "(intercept)"])}]) AS feature,
+               0.0::DOUBLE AS slope, (SELECT count(*) FROM labels JOIN documents USING (doc_id)) AS n""",
+)
 def train_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slope of the regularised loss at each weight that was found, by plain arithmetic: none is left."""
+    _, bins, woe = fitted(spark, sf_dir)
+    model = training.train_scorecard(woe, "TARGET", bins.features, REGULARISATION)
+    weights, intercept = training.scorecard_weights(model)
+    logit = F.lit(intercept)
+    for f, w in weights.items():
+        logit = logit + F.lit(w) * F.col(f)
+    miss = 1 / (1 + F.exp(-logit)) - F.col("TARGET")
+    slopes = [(F.avg(miss * F.col(f)) + F.lit(REGULARISATION * w)).alias(f) for f, w in weights.items()]
+    sums = woe.agg(F.count(F.lit(1)).alias("n"), F.avg(miss).alias("(intercept)"), *slopes)
+    rows = sums.unpivot(["n"], ["`(intercept)`", *weights], "feature", "slope")
+    return rows.select("feature", (F.round("slope", 3) + F.lit(0.0)).alias("slope"), "n")
+
+
+@query("scorecard_weights")
+def scorecard_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bins, woe = fitted(spark, sf_dir)
     weights, intercept = training.scorecard_weights(
         training.train_scorecard(woe, "TARGET", bins.features)
@@ -69,9 +93,38 @@ def hyper_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("batch_score")
+SCORED_RIGHT_SQL = """SELECT doc_id, 0.0::DOUBLE AS score_off, 0.0::DOUBLE AS entropy_off, true AS decided_right
+                      FROM documents"""
+
+
+def beside_plain(scored: DataFrame, documents: DataFrame, bins: BinMap, model: PipelineModel) -> DataFrame:
+    """What scores differ by from sums of weight times evidence over joined rows of the stored map."""
+    weights, intercept = training.scorecard_weights(model)
+    each = documents.sparkSession.createDataFrame(list(weights.items()), "feature string, weight double")
+    rows = woe_long(documents, bins, ["doc_id"]).join(F.broadcast(each), "feature")
+    plain = rows.groupBy("doc_id").agg((1 / (1 + F.exp(-(F.sum(F.col("weight") * F.col("woe")) + intercept)))).alias("p"))
+    p, q = F.col("prob_decline"), F.col("prob_accept")
+    bits = -(F.col("p") * F.log2(F.col("p") + 1e-10) + (1 - F.col("p")) * F.log2(1 - F.col("p") + 1e-10))
+    return scored.join(plain, "doc_id").select(
+        "doc_id",
+        rounded(F.abs(p - F.col("p")) + F.abs(q - (1 - F.col("p")))).alias("score_off"),
+        rounded(F.abs(F.col("entropy") - bits)).alias("entropy_off"),
+        (F.col("result") == F.when(p > q, "Decline").otherwise("Accept")).alias("decided_right"),
+    )
+
+
+@query("batch_score", SCORED_RIGHT_SQL)
 def batch_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model fitted on the labelled documents, scores for all documents."""
+    """Scores of all documents by a model of the labelled ones, beside plain arithmetic."""
+    _, bins, woe = fitted(spark, sf_dir)
+    model = training.train_scorecard(woe, "TARGET", bins.features)
+    documents = B.text_features(B.table(spark, sf_dir, "documents"))
+    return beside_plain(scoring.batch_score(documents, bins, model, ["doc_id"]), documents, bins, model)
+
+
+@query("batch_answers")
+def batch_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model fitted on the labelled documents, answers for all documents."""
     _, bins, woe = fitted(spark, sf_dir)
     model = training.train_scorecard(woe, "TARGET", bins.features)
     documents = B.text_features(B.table(spark, sf_dir, "documents"))

@@ -28,7 +28,7 @@ from riskloom.queries.binning import (
     long_cat,
     long_num,
 )
-from riskloom.queries.models import fitted
+from riskloom.queries.models import SCORED_RIGHT_SQL, beside_plain, fitted
 from riskloom.queries.monitoring import RULES_SQL, HOLD_S
 from riskloom.queries.quality import SCORED_SQL
 from riskloom.streaming import jobs
@@ -41,8 +41,18 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return jobs.read_stream(spark, os.path.join(sf_dir, f"{name}.parquet*"), schema)
 
 
-@query("stream_score")
+@query("stream_score", SCORED_RIGHT_SQL)
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents as they arrive, beside plain arithmetic over the table."""
+    _, bins, woe = fitted(spark, sf_dir)
+    model = training.train_scorecard(woe, "TARGET", bins.features)
+    arriving = B.text_features(_stream(spark, sf_dir, "documents"))
+    scored = jobs.write_available(jobs.stream_score(arriving, bins, model, ["doc_id"]), "stream-score")
+    return beside_plain(scored, B.text_features(B.table(spark, sf_dir, "documents")), bins, model)
+
+
+@query("stream_answers")
+def stream_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, bins, woe = fitted(spark, sf_dir)
     model = training.train_scorecard(woe, "TARGET", bins.features)
     arriving = B.text_features(_stream(spark, sf_dir, "documents"))
