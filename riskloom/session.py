@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths, and the tables that stand for them, of the scope that is open.
+_kept: ContextVar[list[tuple[str, str | None]] | None] = ContextVar("kept", default=None)
+
 
 def build_session(cpus: str = "*", app: str = "riskloom", **conf: str) -> SparkSession:
     """Local session for tests and bench; a cluster supplies its own."""
@@ -56,5 +62,33 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_dir(spark, tag)
+    note_scratch(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def note_scratch(path: str, table: str | None = None) -> None:
+    """Let the open ``scratch`` scope, if any, delete this path and drop this table."""
+    if (kept := _kept.get()) is not None:
+        kept.append((path, table))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end, failed or not, what was settled inside by the thread that opened it.
+
+    Results are lazy and read those files: write them out before the end. A scope within another
+    deletes its own. Nothing else in the shared folder is touched.
+    """
+    kept: list[tuple[str, str | None]] = []
+    token = _kept.set(kept)
+    try:
+        yield
+    finally:
+        _kept.reset(token)
+        hadoop, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+        for path, table in kept:
+            if table:
+                spark.sql(f"DROP TABLE IF EXISTS {table}")
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(hadoop).delete(at, True)
