@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import pick, small_batches
-from riskloom.session import fresh_dir
+from riskloom.session import fresh_dir, note_scratch
 
 #: Bytes of text in a batch, unless one document has more.
 BATCH_BYTES = 16 << 20
@@ -108,7 +108,9 @@ class Exchange:
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BATCH_BYTES)
         name = f"batches_{uuid.uuid4().hex}"
         written = own.mapInArrow(batches, schema).write.bucketBy(min(buckets, 100_000), "batch")
-        written.option("path", fresh_dir(spark, "batches")).saveAsTable(name)
+        path = fresh_dir(spark, "batches")
+        note_scratch(path, name)
+        written.option("path", path).saveAsTable(name)
         self.table = spark.table(name)
         self.documents = self.table.where(F.col("shard") == DOCUMENTS)
         self.tokens = self.table.where(F.col("shard") != DOCUMENTS)
