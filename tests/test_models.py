@@ -33,6 +33,17 @@ def test_scores_are_probabilities(fitted):
         assert r["confidence"] == max(r["prob_accept"], r["prob_decline"])
 
 
+def test_a_wrong_score_shows_beside_plain_arithmetic(fitted):
+    docs, bins, _, model = fitted
+    scored = scoring.batch_score(docs, bins, model, ["doc_id"])
+    right = models.beside_plain(scored, docs, bins, model).collect()
+    assert len(right) == docs.count()
+    assert {(r.score_off, r.entropy_off, r.decided_right) for r in right} == {(0.0, 0.0, True)}
+    wrong = scored.withColumns({"prob_decline": F.col("prob_decline") + 0.01, "entropy": F.lit(2.0), "result": F.lit("?")})
+    off = models.beside_plain(wrong, docs, bins, model).collect()
+    assert all(r.score_off == pytest.approx(0.01) and r.entropy_off > 0.9 and not r.decided_right for r in off)
+
+
 def test_plain_arithmetic_scores_like_the_model(fitted):
     docs, bins, _, model = fitted
     weights, intercept = training.scorecard_weights(model)
