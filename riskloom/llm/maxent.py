@@ -8,9 +8,11 @@ first a half of the shards, then a half of a shard's words, down to the one word
 probability of its own, from the counts below both branches and from weights of the same features,
 hashed together with the node; so P(word | class, before) sums to one over the words of a class.
 
-The weights are trained by full gradient updates: every task sums the observed and the expected
-features of its texts, chunks of these sums are added up, and each weight is moved by its scaled
-gradient. Scoring works on whole batches of texts with numpy, touching only features that occur.
+The weights are trained by distributed gradient updates, each over its stretch of every batch, so
+that each text is learned from once: every task sums the observed and the expected features of its
+texts, chunks of these sums are added up in two steps, and each weight is moved by its scaled
+gradient. Training and scoring work on steps of tokens with numpy, touching only features that
+occur; the ways to words are found for the words of some steps at a time.
 
 Words are counted over all training texts by one global exchange (see ``exchange``). Tables sent to
 all tasks have at most BUCKETS * CLASSES weights per kind of feature, INNER weights for the turns,
@@ -20,12 +22,14 @@ whatever the data, and a row per shard.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field, replace
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +45,7 @@ CLASSES = 33
 BUCKETS = 1 << 12
 #: Kinds of features: last word, last two words, last but one.
 KINDS = 3
+#: Updates, and so stretches of a batch.
 ROUNDS = 4
 RATE = 1.0
 #: Weight of no change, in occurrences of a feature.
@@ -49,10 +54,14 @@ DAMPING = 2.0
 INNER = 1 << 20
 #: Tokens worked on at a time.
 STEP = 1 << 14
+#: Such steps for which the ways to their words are found at once, and words of these at a time.
+PARTS, WORDS = 32, 1 << 15
 #: Rows of weights that are added up together.
 CHUNK = 1 << 9
 #: Weights of turns that are added up together.
-INNER_CHUNK = 1 << 16
+INNER_CHUNK = 1 << 14
+#: Tasks whose sums are added up first.
+FAN = 32
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 _START = np.uint64(0x27D4EB2F)
@@ -108,21 +117,30 @@ class Paths:
         ``below`` gives the mass before places, for the leaves of these numbers. A branch without
         mass is no turn.
         """
-        lo, hi, start = begin.copy(), end.copy(), salt.astype(np.uint64) * _MIX[1]
         owner, turns, odds = [], [], []
-        while (at := np.flatnonzero(hi - lo > 1)).size:
-            mid = (lo[at] + hi[at]) // 2
-            right = leaf[at] >= mid
-            middle = below(mid, at)
-            left, rest = middle - below(lo[at], at), below(hi[at], at) - middle
-            node = ((lo - begin)[at].astype(np.uint64) << np.uint64(32)) + (hi - begin)[at].astype(np.uint64)
-            node = (node + np.uint64(1)) * _MIX[0] ^ start[at]
+        at = np.flatnonzero(end - begin > 1)
+        first, lo, hi = begin[at], begin[at], end[at]
+        under, upto = below(lo, at), below(hi, at)
+        goal, start = leaf[at], salt[at].astype(np.uint64) * _MIX[1]
+        while at.size:
+            mid = (lo + hi) // 2
+            right, middle = goal >= mid, below(mid, at)
+            left, rest = middle - under, upto - middle
+            node = ((lo - first).astype(np.uint64) << np.uint64(32)) + (hi - first).astype(np.uint64)
+            node = (node + np.uint64(1)) * _MIX[0] ^ start
             node = (node ^ node >> np.uint64(29)) * _MIX[2] >> np.uint64(33)
             two = (left > 0) & (rest > 0)
             owner.append(at[two])
-            turns.append(((node.astype(np.uint32) << np.uint32(1)) | right.astype(np.uint32))[two])
-            odds.append(np.log(rest[two] / left[two]) * np.where(right[two], 1.0, -1.0))
-            lo[at], hi[at] = np.where(right, mid, lo[at]), np.where(right, hi[at], mid)
+            turns.append(((node.astype(np.uint32) << np.uint32(1)) | right)[two])
+            ratio = np.log((rest[two] / left[two]).astype(np.float32))
+            odds.append(np.where(right[two], ratio, -ratio))
+            lo, hi = np.where(right, mid, lo), np.where(right, hi, mid)
+            under, upto = np.where(right, middle, under), np.where(right, upto, middle)
+            if (more := hi - lo > 1).all():
+                continue
+            at, first, lo, hi, under, upto, goal, start = (
+                x[more] for x in (at, first, lo, hi, under, upto, goal, start)
+            )
         if not owner:
             return Paths(np.zeros(leaf.size, np.int64), np.empty(0, np.uint32), np.empty(0, np.float32))
         who = np.concatenate(owner)
@@ -155,32 +173,44 @@ def ranked(total: dict[bytes, int]) -> tuple[dict[bytes, int], np.ndarray, np.nd
     return {w: k for k, (_, w) in enumerate(seen)}, values, often.astype(np.uint32)
 
 
-def paths_to(cls: np.ndarray, reply: np.ndarray, leaf: np.ndarray, runs: tuple, masses: np.ndarray) -> Paths:
-    """From the top of their classes to words that are the given leaves of the shard of a reply.
+class Forest:
+    """The trees of the shards that answered a batch, below those of the classes over all shards.
 
-    ``runs`` has the shard and the number of runs of each reply, and the counts and numbers of
-    words of the runs; ``masses`` has a row for each shard.
+    ``shards`` and ``sizes`` are the shard and the number of runs of each reply, ``values`` and
+    ``often`` the counts and numbers of words of the runs; ``masses`` has a row for each shard.
     """
-    shards, sizes, values, often = runs
-    of = np.repeat(np.arange(shards.size), sizes)
-    tree = of * CLASSES + classes_of(values.astype(np.int64))
-    stop = np.cumsum(often.astype(np.int64))
-    place, mass = np.r_[0, stop], np.r_[0.0, np.cumsum(often * (values + 1.0))]
-    # the runs of a tree stand together, and so do those of a reply
-    first = np.flatnonzero(np.diff(tree, prepend=-1))
-    begin = np.zeros(shards.size * CLASSES, np.int64)
-    end = begin.copy()
-    begin[tree[first]], end[tree[first]] = place[first], place[np.r_[first[1:], tree.size]]
-    before = place[np.cumsum(sizes) - sizes]
-    which = reply * CLASSES + cls
-    salt = (shards[reply].astype(np.int64) + 1) * CLASSES + cls
-    own = Paths.of(before[reply] + leaf, begin[which], end[which], salt, lambda x, at: np.interp(x, place, mass))
-    # from the top of a class to the shard, once for all words of both
-    met, back = np.unique(which, return_inverse=True)
-    shard, c = shards[met // CLASSES].astype(np.int64), met % CLASSES
-    below = np.concatenate([np.zeros((1, CLASSES)), np.cumsum(masses, axis=0)])
-    tops = Paths.of(shard, np.zeros_like(shard), np.full_like(shard, len(masses)), c, lambda x, at: below[x, c[at]])
-    return own.after(tops.take(back))
+
+    def __init__(self, shards: np.ndarray, sizes: np.ndarray, values: np.ndarray, often: np.ndarray, masses: np.ndarray):
+        self.shards, self.height = shards, len(masses)
+        tree = np.repeat(np.arange(shards.size), sizes) * CLASSES + classes_of(values.astype(np.int64))
+        stop = np.cumsum(often.astype(np.int64))
+        self.place, self.mass = np.r_[0, stop], np.r_[0.0, np.cumsum(often * (values + 1.0))]
+        # the runs of a tree stand together, and so do those of a reply
+        first = np.flatnonzero(np.diff(tree, prepend=-1))
+        self.begin = np.zeros(shards.size * CLASSES, np.int64)
+        self.end = self.begin.copy()
+        self.begin[tree[first]], self.end[tree[first]] = self.place[first], self.place[np.r_[first[1:], tree.size]]
+        self.before = self.place[np.cumsum(sizes) - sizes]
+        self.below = np.concatenate([np.zeros((1, CLASSES)), np.cumsum(masses, axis=0)])
+
+    def paths(self, cls: np.ndarray, reply: np.ndarray, leaf: np.ndarray) -> Paths:
+        """From the top of their classes to words that are the given leaves of the shard of a reply."""
+        which = reply * CLASSES + cls
+        salt = (self.shards[reply].astype(np.int64) + 1) * CLASSES + cls
+        own = Paths.of(
+            self.before[reply] + leaf,
+            self.begin[which],
+            self.end[which],
+            salt,
+            lambda x, at: np.interp(x, self.place, self.mass),
+        )
+        # from the top of a class to the shard, once for all words of both
+        met, back = np.unique(which, return_inverse=True)
+        shard, c = self.shards[met // CLASSES].astype(np.int64), met % CLASSES
+        tops = Paths.of(
+            shard, np.zeros_like(shard), np.full_like(shard, self.height), c, lambda x, at: self.below[x, c[at]]
+        )
+        return own.after(tops.take(back))
 
 
 def _counted(made: Exchange) -> DataFrame:
@@ -306,17 +336,34 @@ class Batch:
             self.cls[self.sequence[self.starts + self.sizes - 1]] = END_CLASS
         self.column = columns[self.cls]
         self.hashes = unpacked(row["h"], "<u4").astype(np.uint64)
+        self.learn = np.repeat(self.flags, self.sizes)
+        # whether a token is the first or second of its text, or a later one
+        self.nth = np.full(self.sequence.size, 2, np.uint8)
+        self.nth[self.starts[self.sizes > 1] + 1] = 1
+        self.nth[self.starts] = 0
         self.row = row
 
-    def contexts(self) -> np.ndarray:
-        """Hashes of the features, KINDS by tokens."""
-        here = self.hashes[self.sequence]
-        last, second = np.empty_like(here), np.empty_like(here)
-        last[1:], second[2:] = here[:-1], here[:-2]
-        last[self.starts] = _START
-        second[self.starts] = _START
-        follow = self.starts[self.sizes > 1] + 1
-        second[follow] = _START
+    @cached_property
+    def leaf(self) -> np.ndarray:
+        return unpacked(self.row["l"], "<u4")
+
+    @cached_property
+    def reply(self) -> np.ndarray:
+        return unpacked(self.row["p"], "<u4")
+
+    def parts(self, turn: tuple[int, int] = (0, 1)) -> Iterator[tuple[int, int]]:
+        """Begin and end of at most STEP tokens each, for the given one of so many stretches."""
+        nth, of = turn
+        n = self.sequence.size
+        lo, hi = n * nth // of, n * (nth + 1) // of
+        for k in range(lo, hi, STEP):
+            yield k, min(k + STEP, hi)
+
+    def contexts(self, lo: int, hi: int) -> np.ndarray:
+        """Hashes of the features, KINDS by tokens from ``lo`` to ``hi``."""
+        at, nth = np.arange(lo, hi), self.nth[lo:hi]
+        last, second = (self.hashes[np.take(self.sequence, at - k, mode="wrap")] for k in (1, 2))
+        last, second = np.where(nth > 0, last, _START), np.where(nth > 1, second, _START)
         return np.stack(
             [
                 last * _MIX[0],
@@ -325,49 +372,70 @@ class Batch:
             ]
         )
 
-    def features(self) -> np.ndarray:
-        """Buckets, KINDS by tokens."""
-        return (self.contexts() >> np.uint64(64 - int(math.log2(BUCKETS)))).astype(np.uint16)
-
-    def paths(self, masses: np.ndarray) -> Paths:
-        """For each place; unseen words and the end are alone in their class, and have no way to go."""
-        leaf, reply, shards, sizes = (unpacked(self.row[n], "<u4").astype(np.int64) for n in "lpks")
-        runs = (shards, sizes, unpacked(self.row["v"], "<u8"), unpacked(self.row["n"], "<u4"))
-        some = np.flatnonzero((self.cls != END_CLASS) & (self.cls != 0))
-        ways = paths_to(self.cls[some], reply[some], leaf[some], runs, masses)
-        out = np.zeros(self.cls.size, np.int64)
-        out[some] = ways.sizes
-        return Paths(out, ways.turns, ways.odds)
-
-    def turned(self, weights: Weights, some: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-        """For parts of the tokens numbered ``some``: their numbers, turns of each, seats of the
-        turns' weights by kind, their direction and their probability."""
-        paths, contexts, inner = self.paths(weights.masses), self.contexts(), weights.inner
+    def features(self, lo: int, hi: int) -> np.ndarray:
+        """Buckets, KINDS by tokens from ``lo`` to ``hi``."""
+        return (self.contexts(lo, hi) >> np.uint64(64 - int(math.log2(BUCKETS)))).astype(np.uint16)
+
+    def learned(self, turn: tuple[int, int] = (0, 1)) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Features and columns of the tokens of flagged texts, in parts."""
+        for lo, hi in self.parts(turn):
+            learn = self.learn[lo:hi]
+            yield self.features(lo, hi)[:, learn], self.column[self.sequence[lo:hi]][learn]
+
+    def paths(self, forest: Forest, places: np.ndarray) -> Paths:
+        """For these places; unseen words and the end are alone in their class, and have no way to go."""
+        cls, found = self.cls[places], []
+        for k in range(0, places.size, WORDS):
+            some = np.flatnonzero((cls[k : k + WORDS] != END_CLASS) & (cls[k : k + WORDS] != 0)) + k
+            at = places[some]
+            ways = forest.paths(cls[some], self.reply[at].astype(np.int64), self.leaf[at].astype(np.int64))
+            sizes = np.zeros(min(WORDS, places.size - k), np.int64)
+            sizes[some - k] = ways.sizes
+            found.append(Paths(sizes, ways.turns, ways.odds))
+        return Paths(*(np.concatenate([getattr(x, k) for x in found]) for k in ("sizes", "turns", "odds")))
+
+    def turned(self, weights: Weights, turn: tuple[int, int] = (0, 1)) -> Iterator[tuple]:
+        """For parts of the tokens: the first one's number, how many turns each has, the seats of
+        the turns' weights by kind, their direction and their probability."""
+        shards, sizes, often = (unpacked(self.row[n], "<u4").astype(np.int64) for n in "ksn")
+        forest = Forest(shards, sizes, unpacked(self.row["v"], "<u8"), often, weights.masses)
+        inner = weights.inner
         shift = np.uint64(64 - int(math.log2(inner.size)))
-        for k in range(0, some.size, STEP):
-            part = some[k : k + STEP]
-            own = paths.take(self.sequence[part].astype(np.int64))
-            node = (own.turns >> np.uint32(1)).astype(np.uint64) * _MIX[1]
-            way = np.where(own.turns & np.uint32(1), np.float32(1), np.float32(-1))
-            seats = []
-            for kind in range(KINDS):
-                mixed = np.repeat(contexts[kind, part] + np.uint64(kind), own.sizes) ^ node
-                seats.append(((mixed ^ mixed >> np.uint64(31)) * _MIX[2] >> shift).astype(np.int64))
-            x = (own.odds + way * sum(np.take(inner, s) for s in seats)).astype(np.float64)
-            yield part, own.sizes, seats, way, 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+        parts = list(self.parts(turn))
+        for k in range(0, len(parts), PARTS):
+            # the ways to the words of some parts at a time
+            here = self.sequence[parts[k][0] : parts[min(k + PARTS, len(parts)) - 1][1]]
+            met = np.zeros(self.cls.size, bool)
+            met[here] = True
+            places = np.flatnonzero(met)
+            # words of a tree one after another
+            places = places[np.lexsort((self.leaf[places], self.reply[places]))]
+            paths = self.paths(forest, places)
+            seat = np.empty(self.cls.size, np.int64)
+            seat[places] = np.arange(places.size)
+            for lo, hi in parts[k : k + PARTS]:
+                own = paths.take(seat[self.sequence[lo:hi]])
+                node = (own.turns >> np.uint32(1)).astype(np.uint64) * _MIX[1]
+                way = np.where(own.turns & np.uint32(1), np.float32(1), np.float32(-1))
+                seats, contexts = [], self.contexts(lo, hi)
+                for kind in range(KINDS):
+                    mixed = np.repeat(contexts[kind] + np.uint64(kind), own.sizes)
+                    mixed ^= node
+                    mixed ^= mixed >> np.uint64(31)
+                    mixed *= _MIX[2]
+                    mixed >>= shift
+                    seats.append(mixed.view(np.int64))
+                x = own.odds + way * sum(np.take(inner, s) for s in seats)
+                yield lo, own.sizes, seats, way, 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
     def within(self, weights: Weights) -> np.ndarray:
         """log10 of P(word | class, before) of each token."""
         out = np.zeros(self.sequence.size)
-        for part, sizes, _, _, p in self.turned(weights, np.arange(out.size)):
-            out[part] = np.bincount(np.repeat(np.arange(part.size), sizes), np.log10(p), part.size)
+        for lo, sizes, _, _, p in self.turned(weights):
+            of = np.repeat(np.arange(sizes.size), sizes)
+            out[lo : lo + sizes.size] = np.bincount(of, np.log(p), sizes.size) / math.log(10)
         return out
 
-    def learned(self) -> tuple[np.ndarray, np.ndarray]:
-        """Features and columns of the tokens of flagged texts."""
-        learn = np.repeat(self.flags, self.sizes)
-        return self.features()[:, learn], self.column[self.sequence][learn]
-
 
 def columns_of(mass: np.ndarray) -> np.ndarray:
     """Column of each class in the weights: classes up to the highest that occurs, then the end."""
@@ -401,8 +469,18 @@ class Weights:
         p /= p.sum(axis=1, keepdims=True)
         return p
 
+    def moved(self, observed: np.ndarray, expected: np.ndarray, slope: np.ndarray, curve: np.ndarray) -> "Weights":
+        """After one update by these sums."""
+        step = RATE / (KINDS + 1) * (observed - expected) / ((observed + expected) / 2 + DAMPING)
+        return replace(
+            self,
+            table=self.table + step[:-1].reshape(self.table.shape).astype(np.float32),
+            bias=self.bias + (step[-1] * (KINDS + 1)).astype(np.float32),
+            inner=self.inner + (RATE / KINDS * slope / (curve + DAMPING)).astype(np.float32),
+        )
 
-def _observed(rows: Iterator[dict], columns: np.ndarray) -> np.ndarray:
+
+def _observed(rows: Iterable[dict], columns: np.ndarray, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
     """How often each feature stands before each column; the last row, the bias, counts all.
 
     A word seen once counts half as the unseen word, which it was before it came.
@@ -410,76 +488,85 @@ def _observed(rows: Iterator[dict], columns: np.ndarray) -> np.ndarray:
     width = int(columns.max()) + 1
     out = np.zeros((KINDS * BUCKETS + 1) * width)
     for row in rows:
-        features, column = Batch(row, columns).learned()
-        for kind in range(KINDS):
-            at = (kind * BUCKETS + features[kind].astype(np.int64)) * width + column
-            out += np.bincount(at, minlength=out.size)
-        out[-width:] += np.bincount(column, minlength=width)
+        for features, column in Batch(row, columns).learned(turn):
+            for kind in range(KINDS):
+                at = (kind * BUCKETS + features[kind].astype(np.int64)) * width + column
+                np.add.at(out, at, 1.0)
+            out[-width:] += np.bincount(column, minlength=width)
     out = out.reshape(-1, width)
     once = out[:, 1] / 2
     out[:, 0], out[:, 1] = once, once
     return out
 
 
-def _expected(rows: Iterator[dict], weights: Weights) -> np.ndarray:
+def _expected(rows: Iterable[dict], weights: Weights, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
     """The same, as the weights would have it."""
     out = np.zeros((KINDS * BUCKETS + 1, weights.bias.size))
     for row in rows:
-        features, column = Batch(row, weights.columns).learned()
-        for k in range(0, column.size, STEP):
-            some = features[:, k : k + STEP]
+        for some, _ in Batch(row, weights.columns).learned(turn):
             p = weights.softmax(some)
             out[-1] += p.sum(axis=0, dtype=np.float64)
             for kind in range(KINDS):
                 order = np.argsort(some[kind], kind="stable")
                 buckets = some[kind][order]
-                first = np.flatnonzero(np.r_[True, buckets[1:] != buckets[:-1]])
-                seats = kind * BUCKETS + buckets[first].astype(np.int64)
-                out[seats] += np.add.reduceat(np.take(p, order, axis=0), first, axis=0)
+                first = np.flatnonzero(np.diff(buckets.astype(np.int64), prepend=-1))
+                if first.size:
+                    seats = kind * BUCKETS + buckets[first].astype(np.int64)
+                    out[seats] += np.add.reduceat(np.take(p, order, axis=0), first, axis=0)
     return out
 
 
-def _slopes(rows: Iterator[dict], weights: Weights) -> np.ndarray:
+def _slopes(rows: Iterable[dict], weights: Weights, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
     """Of each weight of the turns, the slope of the log probability and its curvature."""
     out = np.zeros((2, weights.inner.size))
     for row in rows:
         batch = Batch(row, weights.columns)
-        learn = np.flatnonzero(np.repeat(batch.flags, batch.sizes))
-        for _, _, seats, way, p in batch.turned(weights, learn):
+        for lo, sizes, seats, way, p in batch.turned(weights, turn):
+            learn = np.repeat(batch.learn[lo : lo + sizes.size], sizes)
+            slope = np.where(learn, way * (1 - p), 0).astype(np.float64)
+            curve = np.where(learn, p * (1 - p), 0).astype(np.float64)
             for s in seats:
-                np.add.at(out[0], s, way * (1 - p))
-                np.add.at(out[1], s, p * (1 - p))
+                np.add.at(out[0], s, slope)
+                np.add.at(out[1], s, curve)
     return out.T
 
 
 def _summed(
     texts: DataFrame, sums_of, width: int, height: int = KINDS * BUCKETS + 1, chunk: int = CHUNK
 ) -> np.ndarray:
-    """What ``sums_of`` makes of each task's rows, added up by chunks of weights."""
+    """What ``sums_of`` makes of each task's rows, added up by chunks of weights: first those of
+    FAN tasks each, then all."""
+    schema = "chunk int, part int, sums binary"
 
     def parts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() // FAN
         sums = sums_of(row for b in it for row in b.to_pylist()).astype(np.float32)
         for k in range(0, len(sums), chunk):
             if sums[k : k + chunk].any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k], pa.int32()), pa.array([sums[k : k + chunk].tobytes()], pa.binary())],
-                    names=["chunk", "sums"],
+                yield pa.RecordBatch.from_pylist(
+                    [{"chunk": k, "part": part, "sums": sums[k : k + chunk].tobytes()}],
+                    pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("sums", pa.binary())]),
                 )
 
     def add(rows: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(x.as_py(), np.float32).astype(np.float64) for x in rows["sums"])
-        return pa.table({"chunk": rows["chunk"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
-
+        total = 0
+        for x in rows["sums"]:
+            total = total + np.frombuffer(x.as_py(), np.float32).astype(np.float64)
+        sums = pa.array([total.astype(np.float32).tobytes()], pa.binary())
+        return rows.slice(0, 1).select(["chunk", "part"]).append_column("sums", sums)
+
+    found = texts.mapInArrow(parts, schema)
+    for keys in (("chunk", "part"), ("chunk",)):
+        found = found.groupBy(*keys).applyInArrow(add, schema)
     out = np.zeros((height, width))
-    chunks = texts.mapInArrow(parts, "chunk int, sums binary").groupBy("chunk")
-    for r in chunks.applyInArrow(add, "chunk int, sums binary").collect():
-        part = np.frombuffer(r.sums, np.float64).reshape(-1, width)
+    for r in found.collect():
+        part = np.frombuffer(r.sums, np.float32).reshape(-1, width)
         out[r.chunk : r.chunk + len(part)] = part
     return out
 
 
 def train(corpus: DataFrame, masses: np.ndarray, rounds: int = ROUNDS) -> Weights:
-    """Weights after so many full gradient updates over all flagged documents."""
+    """Weights after so many gradient updates, each over its stretch of every batch of documents."""
     columns = columns_of(masses.sum(axis=0))
     width = int(columns.max()) + 1
     weights = Weights(
@@ -488,21 +575,23 @@ def train(corpus: DataFrame, masses: np.ndarray, rounds: int = ROUNDS) -> Weight
     sc = corpus.sparkSession.sparkContext
     texts = corpus.select("flags", "counts", "a", "c", "h")
     ways = corpus.select(*READ)
-    observed = _summed(texts, lambda rows: _observed(rows, columns), width)
-    for _ in range(rounds):
-        shared = sc.broadcast(weights)
-        expected = _summed(texts, lambda rows, shared=shared: _expected(rows, shared.value), width)
-        slope, curve = _summed(
-            ways, lambda rows, shared=shared: _slopes(rows, shared.value), 2, weights.inner.size, INNER_CHUNK
-        ).T
-        step = RATE / (KINDS + 1) * (observed - expected) / ((observed + expected) / 2 + DAMPING)
-        weights = Weights(
-            weights.table + step[:-1].reshape(weights.table.shape).astype(np.float32),
-            weights.bias + (step[-1] * (KINDS + 1)).astype(np.float32),
-            columns,
-            weights.inner + (RATE / KINDS * slope / (curve + DAMPING)).astype(np.float32),
-            masses,
-        )
+    for nth in range(rounds):
+        shared, turn = sc.broadcast(weights), (nth, rounds)
+
+        def both(rows: Iterator[dict], shared=shared, turn=turn) -> np.ndarray:
+            out = np.zeros((KINDS * BUCKETS + 1, 2 * width))
+            for row in rows:
+                out[:, :width] += _observed([row], columns, turn)
+                out[:, width:] += _expected([row], shared.value, turn)
+            return out
+
+        def slopes(rows: Iterator[dict], shared=shared, turn=turn) -> np.ndarray:
+            return _slopes(rows, shared.value, turn)
+
+        observed, expected = np.split(_summed(texts, both, 2 * width), 2, axis=1)
+        slope, curve = _summed(ways, slopes, 2, weights.inner.size, INNER_CHUNK).T
+        weights = weights.moved(observed, expected, slope, curve)
+        shared.unpersist()
     return weights
 
 
@@ -528,14 +617,13 @@ def lm_scores(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: s
             for r in range(b.num_rows):
                 row = {n: b.column(n)[r].as_py() for n in READ}
                 batch = Batch(row, weights.columns)
-                features, sequence = batch.features(), batch.sequence
+                sequence = batch.sequence
                 base = totals.base(batch.counts)[sequence]
                 within = batch.within(weights)
                 column, model = batch.column[sequence], np.empty(sequence.size)
-                for k in range(0, sequence.size, STEP):
-                    p = weights.softmax(features[:, k : k + STEP])
-                    part = column[k : k + STEP]
-                    model[k : k + STEP] = p[np.arange(part.size), part]
+                for lo, hi in batch.parts():
+                    p = weights.softmax(batch.features(lo, hi))
+                    model[lo:hi] = p[np.arange(hi - lo), column[lo:hi]]
                 # far below what training can reach, so that no text is impossible
                 model = np.log10(np.maximum(model, 1e-30)) + within
                 known = (batch.counts > 0)[sequence].astype(np.int64)

@@ -270,7 +270,7 @@ def test_lm_gradient():
     weights = maxent.Weights(r.normal(size=shape).astype(np.float32), r.normal(size=4).astype(np.float32), columns)
     observed, expected = maxent._observed(iter([row]), columns), maxent._expected(iter([row]), weights)
     batch = maxent.Batch(row, columns)
-    features, cls = batch.features(), batch.column[batch.sequence]
+    features, cls = batch.features(0, 9), batch.column[batch.sequence]
     assert cls.tolist() == [2, 1, 2, 1, 3, 3, 1, 1, 3]
     want, slow = np.zeros_like(observed), np.zeros_like(observed)
     for t in range(6):  # tokens of the flagged texts
@@ -282,6 +282,10 @@ def test_lm_gradient():
                 want[s, k] += share
             slow[s] += p
     assert np.allclose(observed, want) and np.allclose(expected, slow, atol=1e-4)
+    # stretches add up to the whole, and steps change nothing
+    stretches = [maxent._observed([row], columns, (k, 4)) for k in range(4)]
+    assert np.allclose(sum(stretches), want)
+    assert np.allclose(sum(maxent._expected([row], weights, (k, 4)) for k in range(4)), slow, atol=1e-4)
     # the first token of a text sees no other text
     assert (features[:, 5] == features[:, 0]).all() and (features[:, 6] == features[:, 0]).all()
 
