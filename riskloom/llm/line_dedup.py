@@ -29,6 +29,8 @@ LINK_BITS = 3
 MIN_SIMILARITY = 0.8
 #: Characters from which, and edits up to which, the way by diagonals is taken.
 LONG, FEW_EDITS = 4096, 64
+#: Characters that must agree where a walk goes on, and most that it skips at a time.
+PROBE, SKIP = 12, 48
 #: Lines that one call verifies, as texts take longer than fingerprints.
 VERIFIED = 2_000
 #: Lines of their own that can each be more than one in so many.
@@ -232,16 +234,39 @@ def few_edits(a: str, b: str, most: int) -> int | None:
     return None
 
 
+def middles(a: str, b: str) -> tuple[str, str]:
+    """What is left of two texts without their common beginning and end."""
+    n = _alike(a, 0, b, 0)
+    a, b = a[n:], b[n:]
+    n = _alike(a[::-1], 0, b[::-1], 0)
+    return a[: len(a) - n], b[: len(b) - n]
+
+
+def within(a: str, b: str, most: int) -> bool:
+    """Whether one walk through both texts, a few characters skipped where they differ, needs at most
+    ``most`` edits. The walk need not be the best one: a no leaves the edit distance open."""
+    i = j = edits = 0
+    while True:
+        n = _alike(a, i, b, j)
+        i, j = i + n, j + n
+        rest = len(a) - i + len(b) - j
+        if i == len(a) or j == len(b):
+            return edits + rest <= most
+        best, to = SKIP + 1, None
+        for skip in range(min(SKIP, len(a) - i) + 1):
+            if skip >= best:
+                break
+            at = b.find(a[i + skip : i + skip + PROBE], j, j + best - 1 + PROBE)
+            if at >= 0 and max(skip, at - j) < best:
+                best, to = max(skip, at - j), (i + skip, at)
+        if to is None or (edits := edits + best) > most:
+            return False
+        i, j = to
+
+
 def distance(a: str, b: str) -> int:
     """Edit distance: by diagonals if it is small for long texts, else by bit vectors over the middle that differs."""
-    n = 0
-    while n < min(len(a), len(b)) and a[n] == b[n]:
-        n += 1
-    a, b = a[n:], b[n:]
-    n = 0
-    while n < min(len(a), len(b)) and a[-1 - n] == b[-1 - n]:
-        n += 1
-    a, b = a[: len(a) - n], b[: len(b) - n]
+    a, b = middles(a, b)
     if not a or not b:
         return len(a) + len(b)
     if max(len(a), len(b)) > LONG and (few := few_edits(a, b, FEW_EDITS)) is not None:
@@ -268,6 +293,10 @@ def similar(a: str, b: str) -> bool:
     longer, shorter = max(len(a), len(b)), min(len(a), len(b))
     if longer == 0 or shorter < MIN_SIMILARITY * longer:
         return longer == 0
+    a, b = middles(a, b)
+    # a walk that needs few enough edits proves it; else the distance tells
+    if within(a, b, int((1 - MIN_SIMILARITY) * longer * (1 - 1e-9))):
+        return True
     return 1 - distance(a, b) / longer >= MIN_SIMILARITY
 
 

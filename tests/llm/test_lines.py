@@ -46,6 +46,26 @@ def test_distance(monkeypatch, few):
         assert distance(a, b) == slow_distance(a, b)
 
 
+def test_walk_proves():
+    """A walk never finds fewer edits than there are, and similarity is that of the plain distance."""
+    r, proved = random.Random(6), 0
+    for n in range(600):
+        a = "".join(r.choice("ab" if n % 2 else "abcdefgh ") for _ in range(r.randrange(120)))
+        b = list(a)
+        for _ in range(r.randrange(1 + len(a) // 4)):
+            k = r.randrange(len(b) + 1)
+            b[k : k + r.randrange(3)] = r.choices("ab xy", k=r.randrange(3))
+        b = "".join(b)
+        d, long = slow_distance(a, b), max(len(a), len(b))
+        assert distance(a, b) == d and sum(map(len, line_dedup.middles(a, b))) <= len(a) + len(b)
+        for most in (d - 1, d, d + 3, long):
+            yes = line_dedup.within(a, b, most)
+            proved += yes
+            assert not (yes and d > most)
+        assert similar(a, b) == (long == 0 or 1 - d / long >= 0.8)
+    assert proved > 600
+
+
 def test_normalised():
     assert normalised(" Ab,  cD_7!\n\n--\nÉß 42 ½") == ["ab cd 0", "", "", "éß 00 ½"]
 
