@@ -53,7 +53,7 @@ DAMPING = 2.0
 #: Weights of the turns within classes.
 INNER = 1 << 20
 #: Tokens worked on at a time.
-STEP = 1 << 14
+STEP = 1 << 15
 #: Such steps for which the ways to their words are found at once, and words of these at a time.
 PARTS, WORDS = 32, 1 << 15
 #: Rows of weights that are added up together.
@@ -385,7 +385,7 @@ class Batch:
     def paths(self, forest: Forest, places: np.ndarray) -> Paths:
         """For these places; unseen words and the end are alone in their class, and have no way to go."""
         cls, found = self.cls[places], []
-        for k in range(0, places.size, WORDS):
+        for k in range(0, max(1, places.size), WORDS):
             some = np.flatnonzero((cls[k : k + WORDS] != END_CLASS) & (cls[k : k + WORDS] != 0)) + k
             at = places[some]
             ways = forest.paths(cls[some], self.reply[at].astype(np.int64), self.leaf[at].astype(np.int64))
@@ -394,9 +394,9 @@ class Batch:
             found.append(Paths(sizes, ways.turns, ways.odds))
         return Paths(*(np.concatenate([getattr(x, k) for x in found]) for k in ("sizes", "turns", "odds")))
 
-    def turned(self, weights: Weights, turn: tuple[int, int] = (0, 1)) -> Iterator[tuple]:
-        """For parts of the tokens: the first one's number, how many turns each has, the seats of
-        the turns' weights by kind, their direction and their probability."""
+    def turned(self, weights: Weights, some: np.ndarray, turn: tuple[int, int] = (0, 1)) -> Iterator[tuple]:
+        """For parts of the tokens that ``some`` marks: their numbers, how many turns each has, the
+        seats of the turns' weights by kind, their direction and their probability."""
         shards, sizes, often = (unpacked(self.row[n], "<u4").astype(np.int64) for n in "ksn")
         forest = Forest(shards, sizes, unpacked(self.row["v"], "<u8"), often, weights.masses)
         inner = weights.inner
@@ -404,9 +404,9 @@ class Batch:
         parts = list(self.parts(turn))
         for k in range(0, len(parts), PARTS):
             # the ways to the words of some parts at a time
-            here = self.sequence[parts[k][0] : parts[min(k + PARTS, len(parts)) - 1][1]]
+            here = slice(parts[k][0], parts[min(k + PARTS, len(parts)) - 1][1])
             met = np.zeros(self.cls.size, bool)
-            met[here] = True
+            met[self.sequence[here][some[here]]] = True
             places = np.flatnonzero(met)
             # words of a tree one after another
             places = places[np.lexsort((self.leaf[places], self.reply[places]))]
@@ -414,10 +414,11 @@ class Batch:
             seat = np.empty(self.cls.size, np.int64)
             seat[places] = np.arange(places.size)
             for lo, hi in parts[k : k + PARTS]:
-                own = paths.take(seat[self.sequence[lo:hi]])
+                which = np.flatnonzero(some[lo:hi])
+                own = paths.take(seat[self.sequence[lo:hi][which]])
                 node = (own.turns >> np.uint32(1)).astype(np.uint64) * _MIX[1]
                 way = np.where(own.turns & np.uint32(1), np.float32(1), np.float32(-1))
-                seats, contexts = [], self.contexts(lo, hi)
+                seats, contexts = [], self.contexts(lo, hi)[:, which]
                 for kind in range(KINDS):
                     mixed = np.repeat(contexts[kind] + np.uint64(kind), own.sizes)
                     mixed ^= node
@@ -426,14 +427,14 @@ class Batch:
                     mixed >>= shift
                     seats.append(mixed.view(np.int64))
                 x = own.odds + way * sum(np.take(inner, s) for s in seats)
-                yield lo, own.sizes, seats, way, 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+                yield lo + which, own.sizes, seats, way, 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
     def within(self, weights: Weights) -> np.ndarray:
         """log10 of P(word | class, before) of each token."""
         out = np.zeros(self.sequence.size)
-        for lo, sizes, _, _, p in self.turned(weights):
+        for at, sizes, _, _, p in self.turned(weights, np.ones(out.size, bool)):
             of = np.repeat(np.arange(sizes.size), sizes)
-            out[lo : lo + sizes.size] = np.bincount(of, np.log(p), sizes.size) / math.log(10)
+            out[at] = np.bincount(of, np.log(p), sizes.size) / math.log(10)
         return out
 
 
@@ -460,14 +461,22 @@ class Weights:
 
     def softmax(self, features: np.ndarray) -> np.ndarray:
         """Probability of each column, for tokens that have one bucket of each kind."""
+        p = self._raised(features)
+        p /= p.sum(axis=1, keepdims=True)
+        return p
+
+    def share(self, features: np.ndarray, column: np.ndarray) -> np.ndarray:
+        """Probability of one column for each token."""
+        p = self._raised(features)
+        return p[np.arange(column.size), column] / p.sum(axis=1)
+
+    def _raised(self, features: np.ndarray) -> np.ndarray:
         p = np.take(self.table[0], features[0], axis=0)
         for k in range(1, KINDS):
             p += np.take(self.table[k], features[k], axis=0)
         p += self.bias
         p -= p.max(axis=1, keepdims=True)
-        np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        return p
+        return np.exp(p, out=p)
 
     def moved(self, observed: np.ndarray, expected: np.ndarray, slope: np.ndarray, curve: np.ndarray) -> "Weights":
         """After one update by these sums."""
@@ -488,11 +497,14 @@ def _observed(rows: Iterable[dict], columns: np.ndarray, turn: tuple[int, int] =
     width = int(columns.max()) + 1
     out = np.zeros((KINDS * BUCKETS + 1) * width)
     for row in rows:
-        for features, column in Batch(row, columns).learned(turn):
-            for kind in range(KINDS):
-                at = (kind * BUCKETS + features[kind].astype(np.int64)) * width + column
-                np.add.at(out, at, 1.0)
-            out[-width:] += np.bincount(column, minlength=width)
+        found = list(Batch(row, columns).learned(turn))
+        if not found:
+            continue
+        features, column = (np.concatenate(x, axis=-1) for x in zip(*found))
+        for kind in range(KINDS):
+            at = (kind * BUCKETS + features[kind].astype(np.int64)) * width + column
+            out += np.bincount(at, minlength=out.size)
+        out[-width:] += np.bincount(column, minlength=width)
     out = out.reshape(-1, width)
     once = out[:, 1] / 2
     out[:, 0], out[:, 1] = once, once
@@ -501,19 +513,16 @@ def _observed(rows: Iterable[dict], columns: np.ndarray, turn: tuple[int, int] =
 
 def _expected(rows: Iterable[dict], weights: Weights, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
     """The same, as the weights would have it."""
-    out = np.zeros((KINDS * BUCKETS + 1, weights.bias.size))
+    out = np.zeros((weights.bias.size, KINDS * BUCKETS + 1))
     for row in rows:
         for some, _ in Batch(row, weights.columns).learned(turn):
-            p = weights.softmax(some)
-            out[-1] += p.sum(axis=0, dtype=np.float64)
-            for kind in range(KINDS):
-                order = np.argsort(some[kind], kind="stable")
-                buckets = some[kind][order]
-                first = np.flatnonzero(np.diff(buckets.astype(np.int64), prepend=-1))
-                if first.size:
-                    seats = kind * BUCKETS + buckets[first].astype(np.int64)
-                    out[seats] += np.add.reduceat(np.take(p, order, axis=0), first, axis=0)
-    return out
+            some = some.astype(np.int64)
+            shares = np.ascontiguousarray(weights.softmax(some).T, np.float64)
+            for total, share in zip(out, shares):
+                for kind in range(KINDS):
+                    total[kind * BUCKETS :][:BUCKETS] += np.bincount(some[kind], share, BUCKETS)
+                total[-1] += share.sum()
+    return out.T
 
 
 def _slopes(rows: Iterable[dict], weights: Weights, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
@@ -521,16 +530,20 @@ def _slopes(rows: Iterable[dict], weights: Weights, turn: tuple[int, int] = (0,
     out = np.zeros((2, weights.inner.size))
     for row in rows:
         batch = Batch(row, weights.columns)
-        for lo, sizes, seats, way, p in batch.turned(weights, turn):
-            learn = np.repeat(batch.learn[lo : lo + sizes.size], sizes)
-            slope = np.where(learn, way * (1 - p), 0).astype(np.float64)
-            curve = np.where(learn, p * (1 - p), 0).astype(np.float64)
+        for _, _, seats, way, p in batch.turned(weights, batch.learn, turn):
+            slope, curve = (way * (1 - p)).astype(np.float64), (p * (1 - p)).astype(np.float64)
             for s in seats:
                 np.add.at(out[0], s, slope)
                 np.add.at(out[1], s, curve)
     return out.T
 
 
+def _short(sums: np.ndarray) -> bytes:
+    """Sums in 15 bits behind the point, compressed: most are zero after few texts."""
+    bits = np.ascontiguousarray(sums).view(np.uint32)
+    return packed(((bits + np.uint32(0x80)) & np.uint32(0xFFFFFF00)).ravel())
+
+
 def _summed(
     texts: DataFrame, sums_of, width: int, height: int = KINDS * BUCKETS + 1, chunk: int = CHUNK
 ) -> np.ndarray:
@@ -544,15 +557,15 @@ def _summed(
         for k in range(0, len(sums), chunk):
             if sums[k : k + chunk].any():
                 yield pa.RecordBatch.from_pylist(
-                    [{"chunk": k, "part": part, "sums": sums[k : k + chunk].tobytes()}],
+                    [{"chunk": k, "part": part, "sums": _short(sums[k : k + chunk])}],
                     pa.schema([("chunk", pa.int32()), ("part", pa.int32()), ("sums", pa.binary())]),
                 )
 
     def add(rows: pa.Table) -> pa.Table:
         total = 0
         for x in rows["sums"]:
-            total = total + np.frombuffer(x.as_py(), np.float32).astype(np.float64)
-        sums = pa.array([total.astype(np.float32).tobytes()], pa.binary())
+            total = total + unpacked(x.as_py(), "<f4").astype(np.float64)
+        sums = pa.array([_short(total.astype(np.float32))], pa.binary())
         return rows.slice(0, 1).select(["chunk", "part"]).append_column("sums", sums)
 
     found = texts.mapInArrow(parts, schema)
@@ -560,7 +573,7 @@ def _summed(
         found = found.groupBy(*keys).applyInArrow(add, schema)
     out = np.zeros((height, width))
     for r in found.collect():
-        part = np.frombuffer(r.sums, np.float32).reshape(-1, width)
+        part = unpacked(r.sums, "<f4").reshape(-1, width)
         out[r.chunk : r.chunk + len(part)] = part
     return out
 
@@ -622,8 +635,7 @@ def lm_scores(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: s
                 within = batch.within(weights)
                 column, model = batch.column[sequence], np.empty(sequence.size)
                 for lo, hi in batch.parts():
-                    p = weights.softmax(batch.features(lo, hi))
-                    model[lo:hi] = p[np.arange(hi - lo), column[lo:hi]]
+                    model[lo:hi] = weights.share(batch.features(lo, hi), column[lo:hi])
                 # far below what training can reach, so that no text is impossible
                 model = np.log10(np.maximum(model, 1e-30)) + within
                 known = (batch.counts > 0)[sequence].astype(np.int64)
