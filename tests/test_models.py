@@ -104,6 +104,48 @@ def test_boosted_trees(fitted):
         training.train_boosted_trees(woe, "TARGET", bins.features, small, "other")
 
 
+def test_equal_rows_stand_together_and_none_is_lost(spark, monkeypatch):
+    rows = [(i % 3 == 0, float(i % 2), float(i % 5)) for i in range(1003)]
+    df = spark.createDataFrame([(int(y), a, b) for y, a, b in rows], "y int, `a b` double, c double").repartition(7)
+    single = training.bunched(df, "y", ["a b", "c"]).collect()
+    assert sorted(map(tuple, single)) == sorted((int(y), a, b, 1.0) for y, a, b in rows)
+    assert training.bunched(df, "y", ["a b", "c"]).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(training, "SINGLE_ROWS", 100)
+    bunches = training.bunched(df, "y", ["a b", "c"]).collect()
+    kinds = {}
+    for r in rows:
+        kinds[r] = kinds.get(r, 0) + 1
+    found = {}
+    for y, a, b, w in bunches:
+        assert 1 <= w <= 11
+        found[bool(y), a, b] = found.get((bool(y), a, b), 0) + w
+    assert found == kinds
+    assert len(bunches) <= 100 + len(kinds) < len(rows)
+    assert training.bunched(df.limit(0), "y", ["a b", "c"]).count() == 0
+
+
+def test_trees_do_not_depend_on_how_rows_are_dealt(fitted):
+    _, bins, woe, _ = fitted
+    small = training.TreeParams(max_depth=3, learning_rate=0.3, n_estimators=4, subsample=0.7, colsample_bytree=0.6)
+    texts = {
+        training.train_boosted_trees(woe.repartition(n), "TARGET", bins.features, small).stages[-1].toDebugString.split("\n", 1)[1]
+        for n in (1, 5)
+    }
+    assert len(texts) == 1
+
+
+def test_bunches_teach_what_their_rows_teach(fitted, monkeypatch):
+    _, bins, woe, _ = fitted
+    many = woe.crossJoin(woe.sparkSession.range(5).select())
+    whole = training.TreeParams(max_depth=3, learning_rate=0.3, n_estimators=4)
+    p = {}
+    for single in (100_000, 20):
+        monkeypatch.setattr(training, "SINGLE_ROWS", single)
+        model = training.train_boosted_trees(many, "TARGET", bins.features, whole)
+        p[single] = {r.doc_id: r.probability[1] for r in model.transform(woe).collect()}
+    assert p[20] == pytest.approx(p[100_000])
+
+
 def test_draws_stay_inside_the_search_space():
     rng = random.Random(1)
     for _ in range(200):
