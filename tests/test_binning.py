@@ -187,6 +187,19 @@ def test_wide_and_long_transform_agree(spark, sf_dir):
         assert wide.exceptAll(long).count() == 0 and long.exceptAll(wide).count() == 0
 
 
+def test_long_transform_joins_nothing(spark, sf_dir):
+    from riskloom import bindings as B
+
+    items = B.lineitems_with_gaps(spark, sf_dir)
+    features = ["l_quantity", "discount_few_gaps", "discount_many_gaps"]
+    rows = N.fit_bins(items, "TARGET", B.ITEM_CAT, features, bins=10).rows
+    for missing in ("zero", "empirical"):
+        bins = N.BinMap(rows, missing)
+        long, joined = E.woe_long(items, bins, B.ITEM_KEY), E.woe_joined(items, bins, B.ITEM_KEY)
+        assert "Join" not in long._jdf.queryExecution().executedPlan().toString()
+        assert long.exceptAll(joined).count() == 0 and joined.exceptAll(long).count() == 0
+
+
 def test_fit_does_not_depend_on_partitioning(spark, sf_dir):
     from riskloom import bindings as B
 

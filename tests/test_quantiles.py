@@ -66,3 +66,16 @@ def test_infinite_values(spark):
         assert found[0] == -inf and 0 < found[1] < 19 and found[2:] == [inf, inf]
     bins = fit_prebins(df, [], ["x"], 10)
     assert bin_contingency(df.withColumn("y", F.lit(1)), "y", bins).agg(F.sum("bad")).first()[0] > 0
+
+
+def test_code_of_a_count_does_not_grow_with_its_edges(spark):
+    from riskloom.operators.quantiles import _segments
+
+    df = spark.createDataFrame([(-0.0,), (0.0,), (0.5,), (7.0,), (None,), (float("nan"),), (float("inf"),)], "x double")
+    few, many = [0.0, 1.0], [i / 10 for i in range(300)]
+    sizes = [len(_segments(df, {"x": e})._jdf.queryExecution().optimizedPlan().toString()) for e in (few, many)]
+    assert sizes[1] < 1.5 * sizes[0]
+    got = sorted((r["value"], r["segment"]) for r in _segments(df, {"x": few}).collect())
+    assert [s for _, s in got] == [1, 1, 1, 2, 2] and got[0][0] == 0.0
+    numbered = _segments(df, {"x": few}, {"x": [None, 4, None]}).collect()
+    assert sorted((r["value"], r["segment"]) for r in numbered) == [(0.0, 4), (0.0, 4), (0.5, 4)]
