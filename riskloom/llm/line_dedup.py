@@ -19,10 +19,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.llm import meeting
 from riskloom.llm.common import pick, settle, small_batches
 from riskloom.llm.components import components
 from riskloom.llm.letters import FEED, as_text, codes, fold_table, single_spaces
-from riskloom.llm.meeting import STEP, dealt, spanning_links, squares
+from riskloom.llm.meeting import STEP, dealt, met_links, ordered, spanning_links
 from riskloom.llm.simhash import apart
 
 LINK_BITS = 3
@@ -31,6 +32,10 @@ MIN_SIMILARITY = 0.8
 LONG, FEW_EDITS = 4096, 64
 #: Characters that must agree where a walk goes on, and most that it skips at a time.
 PROBE, SKIP = 12, 48
+#: Characters of a block that is set against the other text, and such blocks worked on at a time.
+BLOCK, LANES = 64, 4096
+#: Characters from which blocks are tried before the distance.
+BLOCKED = 192
 #: Lines that one call verifies, as texts take longer than fingerprints.
 VERIFIED = 2_000
 #: Lines of their own that can each be more than one in so many.
@@ -188,20 +193,45 @@ def _texts_of(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(joined_batches(batch), "key binary, line string")
 
 
-def _block_pairs(fps: DataFrame) -> DataFrame:
-    """(pair, value, home, fp): each fingerprint at each pair of its blocks."""
-    shift, blocks = 0, []
-    for width in BLOCKS:
-        block = F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit((1 << width) - 1))
-        blocks.append((block, width))
-        shift += width
+def _block_pairs(fps: DataFrame, crowds: list[list[int]]) -> DataFrame:
+    """(key, crowd, home, fp): each fingerprint at each pair of its blocks; ``crowd`` if both have a
+    value named in ``crowds``, a list per block."""
+    blocks = list(zip(_blocks(), BLOCKS, crowds))
     at = [
-        F.struct(F.lit(n).alias("pair"), F.shiftleft(x, w).bitwiseOR(y).cast("int").alias("value"))
-        for n, ((x, _), (y, w)) in enumerate(combinations(blocks, 2))
+        F.struct(
+            F.lit(n << 26).bitwiseOR(F.shiftleft(x, w)).bitwiseOR(y).alias("key"),
+            (x.isin(many) & y.isin(more) if many and more else F.lit(False)).alias("crowd"),
+        )
+        for n, ((x, _, many), (y, w, more)) in enumerate(combinations(blocks, 2))
     ]
-    return fps.select("fp", F.explode(F.array(*at)).alias("at")).select(
-        "at.pair", "at.value", F.lit(True).alias("home"), "fp"
-    )
+    return fps.select("fp", F.explode(F.array(*at)).alias("at")).select("at.key", "at.crowd", F.lit(True).alias("home"), "fp")
+
+
+def _blocks() -> list[Column]:
+    """The blocks of a fingerprint."""
+    start = np.cumsum((0, *BLOCKS)).tolist()
+    return [
+        F.shiftrightunsigned("fp", k).bitwiseAND(F.lit((1 << width) - 1).cast("long")) for k, width in zip(start, BLOCKS)
+    ]
+
+
+def fingerprint_links(fps: DataFrame) -> DataFrame:
+    """(a, b): links that connect what all links within LINK_BITS of distinct fingerprints connect.
+
+    Fingerprints that share a pair of blocks meet in one call. Only where both blocks have values of
+    more than SQUARE fingerprints can the pair have so many; those are counted and dealt out.
+    """
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), x.alias("value")) for n, x in enumerate(_blocks())]))
+    counts = fps.select(each.alias("at")).groupBy("at.n", "at.value").agg(F.count(F.lit(1)).alias("rows"))
+    crowds: list[list[int]] = [[] for _ in BLOCKS]  # a block has at most 2^13 values
+    for r in counts.where(F.col("rows") > meeting.SQUARE).collect():
+        crowds[r.n].append(r.value)
+    visits = _block_pairs(fps, crowds)
+    pairs = len(BLOCKS) * (len(BLOCKS) - 1) // 2
+    links = met_links(visits.where(~F.col("crowd")), "key", fps.count() * pairs, LINK_BITS)
+    if sum(map(bool, crowds)) < 2:
+        return links
+    return links.unionByName(spanning_links(visits.where("crowd"), ["key"], LINK_BITS))
 
 
 def _alike(a: str, i: int, b: str, j: int) -> int:
@@ -288,60 +318,139 @@ def distance(a: str, b: str) -> int:
     return score
 
 
+def _edits(longer: int) -> int:
+    """Edits within which a walk proves texts similar."""
+    return int((1 - MIN_SIMILARITY) * longer * (1 - 1e-9))
+
+
+def close(a: str, b: str) -> bool:
+    """Whether a walk proves two texts similar; a no leaves it open."""
+    return within(*middles(a, b), _edits(max(len(a), len(b))))
+
+
+def far_apart(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """Whether blocks prove two texts not to be similar; a no leaves it open.
+
+    Blocks of the first text are set against the stretch of the second that they can stand against
+    if so few edits lead from text to text. What edits they need at least, added up, is no more than the
+    distance. Characters are taken modulo 64, which can only lower it. All blocks go through the bit
+    vectors of Myers' search at once.
+    """
+    proved = np.zeros(len(pairs), bool)
+    if not pairs:
+        return proved
+    n, m = (np.fromiter((len(p[k]) for p in pairs), np.int64, len(pairs)) for k in (0, 1))
+    chars = [(codes("".join(p[k] for p in pairs)) & np.uint32(63)).astype(np.uint8) for k in (0, 1)]
+    first, second = np.cumsum(n) - n, np.cumsum(m) - m
+    allowed = ((1 - MIN_SIMILARITY) * np.maximum(n, m)).astype(np.int64) + 1
+    # as many edits as the texts are shifted at a place stand before it, or bring the ends back after it
+    low, high = (m - n - allowed) // 2, (m - n + allowed + 1) // 2
+    per = n // BLOCK
+    owner = np.repeat(np.arange(n.size), per)
+    start = (np.arange(owner.size) - np.repeat(np.cumsum(per) - per, per)) * BLOCK
+    order = np.argsort((high - low)[owner], kind="stable")
+    least = np.zeros(owner.size, np.int64)
+    for k in range(0, owner.size, LANES):
+        lanes = order[k : k + LANES]
+        own, at = owner[lanes], start[lanes]
+        row, equal = np.arange(lanes.size), np.zeros((lanes.size, 65), np.uint64)
+        for i in range(BLOCK):
+            equal[row, chars[0][first[own] + at + i]] |= np.uint64(1 << i)
+        plus, minus = np.full(lanes.size, ~np.uint64(0)), np.zeros(lanes.size, np.uint64)
+        score, best = np.full(lanes.size, BLOCK), np.full(lanes.size, BLOCK)
+        place, one, top = at + low[own], np.uint64(1), np.uint64(BLOCK - 1)
+        for _ in range(BLOCK + int((high - low)[own].max())):
+            inside = (place >= 0) & (place < m[own])
+            c = np.where(inside, chars[1][np.where(inside, second[own] + place, 0)], 64)
+            same = equal[row, c]
+            across = (((same & plus) + plus) ^ plus) | same
+            up, down = minus | ~(across | plus), plus & across
+            score += (up >> top).astype(np.int64) - (down >> top).astype(np.int64)
+            np.minimum(best, score, out=best)
+            up, down, same = up << one, down << one, same | minus
+            plus, minus = down | ~(same | up), up & same
+            place += 1
+        least[lanes] = best
+    return np.bincount(owner, least, n.size) > allowed
+
+
 def similar(a: str, b: str) -> bool:
     """Edit similarity, one minus distance over the longer length, is at least MIN_SIMILARITY."""
     longer, shorter = max(len(a), len(b)), min(len(a), len(b))
     if longer == 0 or shorter < MIN_SIMILARITY * longer:
         return longer == 0
-    a, b = middles(a, b)
     # a walk that needs few enough edits proves it; else the distance tells
-    if within(a, b, int((1 - MIN_SIMILARITY) * longer * (1 - 1e-9))):
-        return True
-    return 1 - distance(a, b) / longer >= MIN_SIMILARITY
+    return close(a, b) or 1 - distance(a, b) / longer >= MIN_SIMILARITY
 
 
 def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Links (a, b) of line keys, verified on their texts, that span what all such links span."""
+    """Links (a, b) of line keys, verified on their texts, that span what all such links span.
+
+    Of a pair, the higher key is at home in the square that looks at it.
+    """
     links: list[tuple[bytes, bytes]] = []
-    for sq in squares(pdf, ["component"]):
-        sq = sq.sort_values("home", ascending=False, kind="stable").drop_duplicates("key")
-        fp, home = sq["fp"].to_numpy().view(np.uint64), sq["home"].to_numpy()
-        keys, lines = sq["key"].to_list(), sq["line"].to_list()
-        seats = np.flatnonzero(home)
-        if not seats.size:
-            continue
-        root, size = np.arange(len(sq)), np.fromiter(map(len, lines), np.int64, len(lines))
-        for k in range(0, len(sq), step := max(1, STEP // seats.size)):
-            near = apart(fp[k : k + step, None], fp[None, seats]) <= LINK_BITS
-            for v in k + np.flatnonzero(near.any(axis=1)):
-                mates = seats[near[v - k]]
-                sizes, own = size[mates], size[v]
-                mates = mates[np.minimum(sizes, own) >= MIN_SIMILARITY * np.maximum(sizes, own)]
-                # only partners that are not in the same group yet are worth a look at their texts
-                while (mates := mates[root[mates] != root[v]]).size:
-                    m, mates = mates[0], mates[1:]
-                    if similar(lines[v], lines[m]):
-                        links.append((keys[v], keys[m]))
-                        root[root == root[v]] = root[m]
+    pdf, cuts = ordered(pdf, ["component"])
+    fp, home = pdf["fp"].to_numpy().view(np.uint64), pdf["home"].to_numpy()
+    keys, lines = pdf["key"].to_list(), pdf["line"].to_list()
+    number = np.frombuffer(b"".join(keys), ">u8").astype(np.uint64)
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    for i, j in zip(cuts, cuts[1:]):
+        seats = i + np.flatnonzero(home[i:j])
+        # a single square has only those at home
+        here = i + np.flatnonzero(~home[i:j]) if seats.size < j - i else seats
+        if seats.size:
+            _, root = np.unique(number[i:j], return_inverse=True)
+            for k in range(0, here.size, step := max(1, STEP // seats.size)):
+                some = here[k : k + step]
+                near = apart(fp[some, None], fp[None, seats]) <= LINK_BITS
+                near &= number[some, None] < number[None, seats]
+                links += [(keys[v], keys[m]) for v, m in _tied(some, seats, near, root, i, size, lines)]
     return pd.DataFrame(links, columns=["a", "b"], dtype=object)
 
 
-def line_groups(lines: DataFrame, docs: DataFrame) -> DataFrame:
-    """(key, component): the groups of linked lines, for the lines that have a link."""
-    distinct = settle(lines.groupBy("key").agg(F.first("fp").alias("fp")), "lines")
-    fps = settle(distinct.select("fp").distinct(), "fps")
-    tied = components(spanning_links(_block_pairs(fps), ["pair", "value"], LINK_BITS))
+def _tied(some, seats, near, root, first, size, lines) -> list[tuple[int, int]]:
+    """Pairs of similar lines that span what all such pairs of ``near`` span; ``root``, of the rows from
+    ``first`` on, names the groups that rows are in, and is kept."""
+    out, left = [], []
+
+    def tie(v: int, m: int) -> None:
+        out.append((v, m))
+        root[root == root[v - first]] = root[m - first]
+
+    for v, row in zip(some[near.any(axis=1)].tolist(), near[near.any(axis=1)]):
+        mates = seats[row]
+        mates = mates[np.minimum(size[mates], size[v]) >= MIN_SIMILARITY * np.maximum(size[mates], size[v])]
+        # only partners that are not in the same group yet are worth a look at their texts
+        while (mates := mates[root[mates - first] != root[v - first]]).size:
+            m, mates = int(mates[0]), mates[1:]
+            if close(lines[v], lines[m]):
+                tie(v, m)
+            else:
+                left.append((v, m))
+    # what walks leave open goes by blocks and, where they do not tell, by the distance
+    left = [(v, m) for v, m in left if root[v - first] != root[m - first]]
+    long = [p for p in left if size[p[0]] >= BLOCKED]
+    far = {p for p, no in zip(long, far_apart([(lines[v], lines[m]) for v, m in long])) if no}
+    for v, m in left:
+        if (v, m) not in far and root[v - first] != root[m - first]:
+            if 1 - distance(lines[v], lines[m]) / max(size[v], size[m]) >= MIN_SIMILARITY:
+                tie(v, m)
+    return out
+
+
+def line_groups(distinct: DataFrame, docs: DataFrame) -> DataFrame:
+    """(key, component): the groups of linked lines, for the lines that have a link.
+
+    ``distinct`` has a row (key, fp) for each line.
+    """
+    fps = settle(distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("n")), "fps")
+    tied = components(fingerprint_links(fps))
     # fingerprints with a partner, or with several lines of their own, have texts to compare
-    shared = distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("n"))
-    groups = (
-        distinct.join(shared, "fp")
-        .join(tied, F.col("fp") == F.col("node"), "left")
-        .where((F.col("n") > 1) | F.col("component").isNotNull())
-        .select("key", "fp", F.coalesce("component", "fp").alias("component"))
-    )
-    groups = settle(groups, "groups")
-    texts = _texts_of(docs).join(groups.select("key"), "key", "left_semi").dropDuplicates(["key"])
-    rows = settle(groups.join(texts, "key"), "texts").withColumn("home", F.lit(True))
+    shared = fps.where("n > 1").select(F.col("fp").alias("node"), F.col("fp").alias("component"))
+    spots = tied.unionByName(shared).groupBy("node").agg(F.min("component").alias("component"))
+    groups = distinct.join(spots, F.col("fp") == F.col("node")).select("key", "fp", "component")
+    texts = _texts_of(docs).join(settle(groups, "groups"), "key").dropDuplicates(["key"])
+    rows = settle(texts, "texts").withColumn("home", F.lit(True))
     cells = dealt(rows, ["component"], "key", ["key", "fp", "line"], call=VERIFIED)
     return components(cells.groupBy("cell").applyInPandas(_verify, "a binary, b binary")).select(
         F.col("node").alias("key"), "component"
@@ -369,22 +478,30 @@ def line_dedup(
     own = own.withColumn("text_hash", F.xxhash64("text"))
     carried = [F.col(f"_{c}").alias(c) for c in carry]
     lines = settle(lines_of(own.select("doc_id", "text_hash", "text")), "lines")
-    place = F.struct("doc_id", "text_hash", "line_no")
-    groups = line_groups(lines, own)
-    firsts = settle(lines.groupBy("key").agg(F.min(place).alias("at"), F.count(F.lit(1)).alias("n")), "firsts")
-    firsts = firsts.join(groups, "key", "left").select("key", "n", "at", F.coalesce("component", "key").alias("component"))
-    # one row per group, and back to its lines; a line that stands alone needs neither
-    stays = firsts.groupBy("component").agg(F.min("at").alias("stay"), F.sum("n").alias("total")).where("total > 1")
-    several = settle(firsts.join(stays, "component").select("key", "stay", "n"), "several")
+    distinct = settle(lines.groupBy("key").agg(F.first("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "distinct")
+    groups = line_groups(distinct.select("key", "fp"), own)
+    component = F.coalesce("component", "key").alias("component")
+    # a line that stands alone needs no look at where it stands
+    several = distinct.join(groups, "key", "left").where("n > 1 OR component IS NOT NULL").select("key", "n", component)
+    several = settle(several, "several")
     # lines that stand very often are no more than HEAVY_KEYS, and are sent to the others
     often = F.col("n") > F.lit(lines.count() // HEAVY_KEYS)
-    heavy = F.broadcast(several.where(often).select("key", "stay"))
-    seldom = lines.join(heavy.select("key"), "key", "left_anti").join(several.where(~often).select("key", "stay"), "key")
+    heavy = F.broadcast(several.where(often).select("key", "component"))
+    seldom = lines.join(heavy.select("key"), "key", "left_anti").join(several.where(~often).drop("n"), "key")
+    places = settle(
+        lines.join(heavy, "key").unionByName(seldom.select("key", *lines.columns[:3], "fp", "component"))
+        .select("component", "doc_id", "text_hash", "line_no"),
+        "places",
+    )
+    # all lines of a group go but the first, and a place is of one group only
+    stays = places.groupBy("component").agg(F.min(F.struct("doc_id", "text_hash", "line_no")).alias("at"))
+    marks = places.select("doc_id", "text_hash", "line_no", F.lit(None).cast("int").alias("stay")).unionByName(
+        stays.select("at.doc_id", "at.text_hash", F.lit(None).cast("int").alias("line_no"), F.col("at.line_no").alias("stay"))
+    )
     gone = (
-        lines.join(heavy, "key").unionByName(seldom)
-        .where(~place.eqNullSafe(F.col("stay")))
-        .groupBy("doc_id", "text_hash")
-        .agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
+        marks.groupBy("doc_id", "text_hash")
+        .agg(F.sort_array(F.array_except(F.collect_set("line_no"), F.collect_set("stay"))).alias("removed"))
+        .where(F.size("removed") > 0)
     )
     found = own.alias("d").join(
         gone.alias("g"),
@@ -392,16 +509,18 @@ def line_dedup(
         "left",
     )
     none = F.array().cast("array<int>")
-    parts = F.split(F.col("text"), "\n", -1)
-    numbers = F.sequence(F.lit(0), F.array_size(parts) - 1)
-    kept = F.transform(F.array_except(numbers, "removed"), lambda i: F.get(parts, i))
-    found = found.select("d.*", F.coalesce("g.removed", none).alias("removed"))
+    # a column of its own that is read twice, so that a text is split once and not for each of its lines
+    parts = F.when(F.col("removed").isNotNull(), F.split("text", "\n", -1))
+    found = found.select("d.*", "g.removed").withColumn("parts", parts)
+    numbers = F.sequence(F.lit(0), F.array_size("parts") - 1)
+    kept = F.transform(F.array_except(numbers, "removed"), lambda i: F.get("parts", i))
+    n_lines = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
     return found.select(
         "doc_id",
-        F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
         *carried,
-        F.coalesce(F.array_size(parts), F.lit(0)).cast("long").alias("n_lines"),
-        F.size("removed").cast("long").alias("n_removed"),
-        "removed",
+        F.coalesce(n_lines, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce("removed", none).alias("removed"),
     )
 

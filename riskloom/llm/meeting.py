@@ -140,3 +140,28 @@ def spanning_links(visits: DataFrame, keys: list[str], bits: int) -> DataFrame:
 
     cells = dealt(visits.select(*keys, "home", "fp"), keys, "fp", ["fp"])
     return cells.groupBy("cell").applyInPandas(meet, "a long, b long")
+
+
+def met_links(visits: DataFrame, key: str, rows: int, bits: int) -> DataFrame:
+    """The same for about ``rows`` visits of distinct fingerprints, all at home, at a column ``key`` of
+    longs. Nothing is counted before, so that no key may have much more than SQUARE rows."""
+
+    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
+        at, fp = pdf["key"].to_numpy(), pdf["fp"].to_numpy().view(np.uint64)
+        order = np.argsort(at, kind="stable")
+        at, fp = at[order], fp[order]
+        same = at[1:] == at[:-1]
+        met = np.r_[False, same] | np.r_[same, False]
+        at, fp = at[met], fp[met]
+        cuts = np.r_[0, 1 + np.flatnonzero(at[1:] != at[:-1]), at.size] if at.size else np.zeros(1, np.int64)
+        links = few(fp, np.ones(fp.size, bool), cuts, bits)
+        for i in np.flatnonzero(np.diff(cuts) > FEW):
+            fps = fp[cuts[i] : cuts[i + 1]]
+            links += forest(fps, fps, bits)
+        a, b = (np.concatenate([x[k] for x in links]).view(np.int64) for k in (0, 1))
+        return pd.DataFrame({"a": a, "b": b})
+
+    cells = max(1, -(-rows // CALL))
+    cell = F.pmod(F.xxhash64(key), F.lit(cells)).cast("long")
+    dealt_out = visits.select(F.col(key).alias("key"), "fp", cell.alias("cell"))
+    return dealt_out.groupBy("cell").applyInPandas(meet, "a long, b long")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from riskloom.llm import line_dedup, meeting
@@ -66,6 +67,48 @@ def test_walk_proves():
     assert proved > 600
 
 
+def test_blocks_prove():
+    """Blocks never part similar lines, and part lines of the same syllables in another order."""
+    r, parted = random.Random(7), 0
+    syllables = ["".join(r.choice("abcdefghéñ") for _ in range(r.randrange(1, 4))) for _ in range(40)]
+    pairs = []
+    for n in range(300):
+        a = "".join(r.choice([*syllables, " "]) for _ in range(r.choice([60, 130, 400])))
+        b = list(a if n % 3 else "".join(r.choice([*syllables, " "]) for _ in range(len(a) // 2)))
+        for _ in range(int(len(b) * r.choice([0, 0.02, 0.1, 0.2, 0.25]))):
+            k = r.randrange(len(b) + 1)
+            b[k : k + r.randrange(2)] = r.choices("abc ", k=r.randrange(2))
+        if n % 5 == 0:
+            b = b[len(b) // 6 :]
+        pairs.append((a, "".join(b)))
+    pairs += [("", ""), ("a" * 64, ""), ("", "b" * 200)]
+    for (a, b), far in zip(pairs, line_dedup.far_apart(pairs)):
+        parted += far
+        assert not (far and 1 - slow_distance(a, b) / max(len(a), len(b), 1) >= 0.8)
+    assert parted > 60
+    assert line_dedup.far_apart([]).size == 0
+
+
+def test_pairs_are_looked_at_once(monkeypatch):
+    """Unlike lines of one fingerprint: each pair is compared once, and blocks spare the long ones the distance."""
+    r, seen, measured = random.Random(8), [], []
+    lines = ["".join(r.choice("abcdefghij ") for _ in range(200 + i % 3)) for i in range(20)] + ["q" * 50, "w" * 51]
+    walk, far = line_dedup.within, line_dedup.distance
+    monkeypatch.setattr(line_dedup, "within", lambda a, b, n: seen.append((a, b)) or walk(a, b, n))
+    monkeypatch.setattr(line_dedup, "distance", lambda a, b: measured.append((a, b)) or far(a, b))
+    rows = {"component": 0, "row": 0, "column": 0, "home": True, "fp": np.int64(5), "line": lines}
+    pdf = pd.DataFrame({**rows, "key": [line_dedup._key(x) for x in lines]})
+    assert line_dedup._verify(pdf).empty
+    assert len(seen) <= 20 * 19 // 2 + 1 and len(measured) <= 1
+
+
+def test_a_text_is_split_once(rows):
+    """Not once more for each of its lines, which takes a time that grows with their square."""
+    found = line_dedup.line_dedup(rows([(1, "a line\na line\nb")], "doc_id long, text string"))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+    assert found.first().text == "a line\nb"
+
+
 def test_normalised():
     assert normalised(" Ab,  cD_7!\n\n--\nÉß 42 ½") == ["ab cd 0", "", "", "éß 00 ½"]
 

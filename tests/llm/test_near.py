@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from riskloom.llm import components as rounds
 from riskloom.llm import meeting, near_dedup
 from riskloom.llm.components import components
 
@@ -44,6 +45,20 @@ def test_components(spark, seed):
     assert {(x.node, x.component) for x in got.collect()} == {(x, want[x]) for x in linked}
 
 
+@pytest.mark.parametrize("most", [30, 500_000])
+def test_components_of_bytes(spark, monkeypatch, most):
+    """A long chain takes no rounds where a task can hold its links, and rounds where not."""
+    monkeypatch.setattr(rounds, "LINKS", most)
+    written, settle = [], rounds.settle
+    monkeypatch.setattr(rounds, "settle", lambda df, tag: written.append(tag) or settle(df, tag))
+    links = [(i, i + 1) for i in range(90)] + [(i, i - 1) for i in range(201, 300)] + [(7, 7)]
+    named = [(bytes([a % 251, a // 251]), bytes([b % 251, b // 251])) for a, b in links]
+    got = components(spark.createDataFrame(named, "a binary, b binary"))
+    want = brute_components({x for p in named for x in p}, named)
+    assert {(bytes(x.node), bytes(x.component)) for x in got.collect()} == set(want.items())
+    assert (len(written) == 2) == (most > 30)
+
+
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
