@@ -52,10 +52,10 @@ RATE = 1.0
 DAMPING = 2.0
 #: Weights of the turns within classes.
 INNER = 1 << 20
-#: Tokens worked on at a time.
-STEP = 1 << 15
+#: Tokens worked on at a time: few enough that what they need stays in a core's cache.
+STEP = 1 << 13
 #: Such steps for which the ways to their words are found at once, and words of these at a time.
-PARTS, WORDS = 32, 1 << 15
+PARTS, WORDS = 128, 1 << 15
 #: Rows of weights that are added up together.
 CHUNK = 1 << 9
 #: Weights of turns that are added up together.
@@ -148,9 +148,13 @@ class Paths:
         sizes = np.bincount(who, minlength=leaf.size)
         return Paths(sizes, np.concatenate(turns)[order], np.concatenate(odds)[order].astype(np.float32))
 
+    @cached_property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.sizes) - self.sizes
+
     def seats(self, which: np.ndarray) -> np.ndarray:
         """Where the turns of these paths stand."""
-        starts, sizes = (np.cumsum(self.sizes) - self.sizes)[which], self.sizes[which]
+        starts, sizes = self.starts[which], self.sizes[which]
         return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
     def take(self, which: np.ndarray) -> "Paths":
@@ -411,23 +415,25 @@ class Batch:
             # words of a tree one after another
             places = places[np.lexsort((self.leaf[places], self.reply[places]))]
             paths = self.paths(forest, places)
+            nodes = (paths.turns >> np.uint32(1)).astype(np.uint64) * _MIX[1]
+            ways = np.where(paths.turns & np.uint32(1), np.float32(1), np.float32(-1))
             seat = np.empty(self.cls.size, np.int64)
             seat[places] = np.arange(places.size)
             for lo, hi in parts[k : k + PARTS]:
                 which = np.flatnonzero(some[lo:hi])
-                own = paths.take(seat[self.sequence[lo:hi][which]])
-                node = (own.turns >> np.uint32(1)).astype(np.uint64) * _MIX[1]
-                way = np.where(own.turns & np.uint32(1), np.float32(1), np.float32(-1))
+                own = seat[self.sequence[lo:hi][which]]
+                at, turns = paths.seats(own), paths.sizes[own]
+                node, way, odds = np.take(nodes, at), np.take(ways, at), np.take(paths.odds, at)
                 seats, contexts = [], self.contexts(lo, hi)[:, which]
                 for kind in range(KINDS):
-                    mixed = np.repeat(contexts[kind] + np.uint64(kind), own.sizes)
+                    mixed = np.repeat(contexts[kind] + np.uint64(kind), turns)
                     mixed ^= node
                     mixed ^= mixed >> np.uint64(31)
                     mixed *= _MIX[2]
                     mixed >>= shift
                     seats.append(mixed.view(np.int64))
-                x = own.odds + way * sum(np.take(inner, s) for s in seats)
-                yield lo + which, own.sizes, seats, way, 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+                x = odds + way * sum(np.take(inner, s) for s in seats)
+                yield lo + which, turns, seats, way, 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 
     def within(self, weights: Weights) -> np.ndarray:
         """log10 of P(word | class, before) of each token."""
@@ -446,6 +452,14 @@ def columns_of(mass: np.ndarray) -> np.ndarray:
     return columns
 
 
+def _over_columns(of: np.ufunc, p: np.ndarray) -> np.ndarray:
+    """What ``of`` makes of each row; faster than along an axis of a few columns."""
+    out = p[:, 0].copy()
+    for k in range(1, p.shape[1]):
+        of(out, p[:, k], out=out)
+    return out
+
+
 @dataclass
 class Weights:
     """By kind of feature, bucket and column; one of each column for all; and those of the turns.
@@ -462,20 +476,20 @@ class Weights:
     def softmax(self, features: np.ndarray) -> np.ndarray:
         """Probability of each column, for tokens that have one bucket of each kind."""
         p = self._raised(features)
-        p /= p.sum(axis=1, keepdims=True)
+        p /= _over_columns(np.add, p)[:, None]
         return p
 
     def share(self, features: np.ndarray, column: np.ndarray) -> np.ndarray:
         """Probability of one column for each token."""
         p = self._raised(features)
-        return p[np.arange(column.size), column] / p.sum(axis=1)
+        return p[np.arange(column.size), column] / _over_columns(np.add, p)
 
     def _raised(self, features: np.ndarray) -> np.ndarray:
         p = np.take(self.table[0], features[0], axis=0)
         for k in range(1, KINDS):
             p += np.take(self.table[k], features[k], axis=0)
         p += self.bias
-        p -= p.max(axis=1, keepdims=True)
+        p -= _over_columns(np.maximum, p)[:, None]
         return np.exp(p, out=p)
 
     def moved(self, observed: np.ndarray, expected: np.ndarray, slope: np.ndarray, curve: np.ndarray) -> "Weights":
@@ -527,15 +541,16 @@ def _expected(rows: Iterable[dict], weights: Weights, turn: tuple[int, int] = (0
 
 def _slopes(rows: Iterable[dict], weights: Weights, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
     """Of each weight of the turns, the slope of the log probability and its curvature."""
-    out = np.zeros((2, weights.inner.size))
+    out = np.zeros(weights.inner.size, np.complex128)
     for row in rows:
         batch = Batch(row, weights.columns)
         for _, _, seats, way, p in batch.turned(weights, batch.learn, turn):
-            slope, curve = (way * (1 - p)).astype(np.float64), (p * (1 - p)).astype(np.float64)
+            # both sums in one pass: the slope as the real part, the curvature as the other
+            both = np.empty(p.size, np.complex128)
+            both.real, both.imag = way * (1 - p), p * (1 - p)
             for s in seats:
-                np.add.at(out[0], s, slope)
-                np.add.at(out[1], s, curve)
-    return out.T
+                np.add.at(out, s, both)
+    return out.view(np.float64).reshape(-1, 2)
 
 
 def _short(sums: np.ndarray) -> bytes:

@@ -171,3 +171,28 @@ def test_lm_slopes_are_differences(monkeypatch):
         up, down, here = loss(up), loss(down), loss(inner)
         assert (up - down) / (2 * h) == pytest.approx(slope[s], abs=0.02 + 0.01 * abs(slope[s]))
         assert (2 * here - up - down) / h**2 == pytest.approx(curve[s], abs=0.02 + 0.05 * curve[s])
+
+
+def test_sums_over_columns_and_turns():
+    """Softmax and slopes against plain sums, one token after another."""
+    r = np.random.default_rng(9)
+    w = maxent.Weights(r.normal(0, 3, (3, maxent.BUCKETS, 7)).astype(np.float32), r.normal(size=7).astype(np.float32), np.arange(7))
+    some = r.integers(0, maxent.BUCKETS, (3, 50))
+    raw = np.exp(sum(w.table[k][some[k]].astype(float) for k in range(3)) + w.bias)
+    assert np.allclose(w.softmax(some), raw / raw.sum(axis=1, keepdims=True), atol=1e-5)
+    assert np.allclose(w.share(some, some[0] % 7), (raw / raw.sum(axis=1, keepdims=True))[np.arange(50), some[0] % 7], atol=1e-5)
+    # two tokens at one seat: slope way * (1 - p), curvature p * (1 - p)
+    way, p = np.array([1, -1], np.float32), np.array([0.25, 0.5], np.float32)
+
+    class Two:
+        learn = None
+
+        def turned(self, *_):
+            yield np.arange(2), np.ones(2, int), [np.array([5, 5]), np.array([6, 7])], way, p
+
+    before, maxent.Batch = maxent.Batch, lambda row, columns: Two()
+    try:
+        got = maxent._slopes([{}], w)
+    finally:
+        maxent.Batch = before
+    assert got.shape == (maxent.INNER, 2) and np.allclose(got[5:8], [[0.25, 0.4375], [0.75, 0.1875], [-0.5, 0.25]])
