@@ -22,6 +22,7 @@ whatever the data, and a row per shard.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field, replace
 from functools import cached_property
@@ -54,8 +55,10 @@ DAMPING = 2.0
 INNER = 1 << 20
 #: Tokens worked on at a time: few enough that what they need stays in a core's cache.
 STEP = 1 << 13
-#: Such steps for which the ways to their words are found at once, and words of these at a time.
-PARTS, WORDS = 128, 1 << 15
+#: Such steps whose first, second and further turns are taken together.
+STEPS = 4
+#: Such parts for which the ways to their words are found at once, and words of these at a time.
+PARTS, WORDS = 32, 1 << 13
 #: Rows of weights that are added up together.
 CHUNK = 1 << 9
 #: Weights of turns that are added up together.
@@ -102,13 +105,12 @@ class Totals:
 class Paths:
     """Ways from the top of a tree to some leaves, one after another, as many turns as ``sizes`` says.
 
-    A turn is the hash of its node and, in the lowest bit, whether it goes right; ``odds`` is the log
-    of the mass on the way taken over that of the other.
+    A turn has the hash of its node in the upper 31 bits, then one whether it goes right; the lower
+    half is, as a float, the log of the mass on the way taken over that of the other.
     """
 
     sizes: np.ndarray
     turns: np.ndarray
-    odds: np.ndarray
 
     @staticmethod
     def of(leaf: np.ndarray, begin: np.ndarray, end: np.ndarray, salt: np.ndarray, below) -> "Paths":
@@ -117,7 +119,7 @@ class Paths:
         ``below`` gives the mass before places, for the leaves of these numbers. A branch without
         mass is no turn.
         """
-        owner, turns, odds = [], [], []
+        owner, turns = [], []
         at = np.flatnonzero(end - begin > 1)
         first, lo, hi = begin[at], begin[at], end[at]
         under, upto = below(lo, at), below(hi, at)
@@ -129,11 +131,15 @@ class Paths:
             node = ((lo - first).astype(np.uint64) << np.uint64(32)) + (hi - first).astype(np.uint64)
             node = (node + np.uint64(1)) * _MIX[0] ^ start
             node = (node ^ node >> np.uint64(29)) * _MIX[2] >> np.uint64(33)
+            node <<= np.uint64(33)
+            node |= right.astype(np.uint64) << np.uint64(32)
             two = (left > 0) & (rest > 0)
+            if two.all():
+                two = slice(None)
+            odds = np.log((rest[two] / left[two]).astype(np.float32))
+            np.negative(odds, out=odds, where=~right[two])
             owner.append(at[two])
-            turns.append(((node.astype(np.uint32) << np.uint32(1)) | right)[two])
-            ratio = np.log((rest[two] / left[two]).astype(np.float32))
-            odds.append(np.where(right[two], ratio, -ratio))
+            turns.append(node[two] | odds.view(np.uint32))
             lo, hi = np.where(right, mid, lo), np.where(right, hi, mid)
             under, upto = np.where(right, middle, under), np.where(right, upto, middle)
             if (more := hi - lo > 1).all():
@@ -142,11 +148,11 @@ class Paths:
                 x[more] for x in (at, first, lo, hi, under, upto, goal, start)
             )
         if not owner:
-            return Paths(np.zeros(leaf.size, np.int64), np.empty(0, np.uint32), np.empty(0, np.float32))
-        who = np.concatenate(owner)
+            return Paths(np.zeros(leaf.size, np.int64), np.empty(0, np.uint64))
+        # numbers of 16 bits are sorted by counting
+        who = np.concatenate(owner).astype(np.uint16 if leaf.size <= 1 << 16 else np.int64)
         order = np.argsort(who, kind="stable")
-        sizes = np.bincount(who, minlength=leaf.size)
-        return Paths(sizes, np.concatenate(turns)[order], np.concatenate(odds)[order].astype(np.float32))
+        return Paths(np.bincount(who, minlength=leaf.size), np.concatenate(turns)[order])
 
     @cached_property
     def starts(self) -> np.ndarray:
@@ -158,15 +164,17 @@ class Paths:
         return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
     def take(self, which: np.ndarray) -> "Paths":
-        seats = self.seats(which)
-        return Paths(self.sizes[which], self.turns[seats], self.odds[seats])
+        return Paths(self.sizes[which], self.turns[self.seats(which)])
 
     def after(self, top: "Paths") -> "Paths":
         """Each of these paths behind the one of ``top``."""
         n = self.sizes.size
-        both = Paths(*(np.concatenate([getattr(x, k) for x in (top, self)]) for k in ("sizes", "turns", "odds")))
-        seats = both.seats(np.arange(2 * n).reshape(2, n).T.ravel())
-        return Paths(top.sizes + self.sizes, both.turns[seats], both.odds[seats])
+        both = Paths.joined([top, self])
+        return Paths(top.sizes + self.sizes, both.turns[both.seats(np.arange(2 * n).reshape(2, n).T.ravel())])
+
+    @staticmethod
+    def joined(some: list["Paths"]) -> "Paths":
+        return Paths(np.concatenate([x.sizes for x in some]), np.concatenate([x.turns for x in some]))
 
 
 def ranked(total: dict[bytes, int]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
@@ -222,26 +230,31 @@ def _counted(made: Exchange) -> DataFrame:
     batches, and one row per shard, with batch -1, that has the totals."""
 
     def count_shard(rows: pa.Table) -> pa.Table:
-        total: dict[bytes, int] = {}
+        # distinct words of the shard, numbered as they come
+        number: defaultdict[bytes, int] = defaultdict()
+        number.default_factory = number.__len__
         parts, shard = [], rows["shard"][0].as_py()
         for r in range(rows.num_rows):
             words = unpack_words(rows["b"][r].as_py(), rows["c"][r].as_py())
-            place, often = rows["a"][r].as_py(), unpacked(rows["d"][r].as_py(), "<u4")
-            for w, n in zip(words, often.tolist()):
-                total[w] = total.get(w, 0) + n
-            parts.append((rows["batch"][r].as_py(), place, words))
+            at = np.fromiter(map(number.__getitem__, words), np.uint32, len(words))
+            parts.append((r, at))
+        seen = np.zeros(len(number), np.uint64)
+        for r, at in parts:
+            # a batch has a word once
+            seen[at] += unpacked(rows["d"][r].as_py(), "<u4")
+        total = dict(zip(number, seen.tolist()))
         (leaf, *runs), out = ranked(total), []
         runs = [packed(x) for x in runs]
-        for batch, place, words in parts:
-            counts = np.array([total[w] for w in words], np.uint64)
-            hashes = np.array([xxhash.xxh32_intdigest(w) for w in words], np.uint32)
-            leaves = np.array([leaf.get(w, 0) for w in words], np.uint32)
-            out.append((batch, place, packed(counts), packed(hashes), packed(leaves), *runs, shard, None, None, None))
+        hashes = np.fromiter(map(xxhash.xxh32_intdigest, number), np.uint32, len(number))
+        leaves = np.fromiter((leaf.get(w, 0) for w in number), np.uint32, len(number))
+        for r, at in parts:
+            replies = [packed(x[at]) for x in (seen, hashes, leaves)]
+            out.append((rows["batch"][r].as_py(), rows["a"][r].as_py(), *replies, *runs, shard, None, None, None))
         counts = np.array([n for w, n in total.items() if w != END and n], np.int64)
         mass = np.bincount(classes_of(counts), counts + 1.0, CLASSES)
-        seen = counts.sum() + total.get(END, 0)
+        tokens = counts.sum() + total.get(END, 0)
         distinct = counts.size + (total.get(END, 0) > 0)
-        out.append((-1, *[None] * 6, shard, int(seen), int(distinct), mass.tolist()))
+        out.append((-1, *[None] * 6, shard, int(tokens), int(distinct), mass.tolist()))
         kinds = [pa.int64(), *[pa.binary()] * 6, pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
         names = ["batch", "places", "counts", "hashes", "leaves", "values", "often", "shard", "tokens", "distinct", "mass"]
         return pa.table([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
@@ -355,13 +368,13 @@ class Batch:
     def reply(self) -> np.ndarray:
         return unpacked(self.row["p"], "<u4")
 
-    def parts(self, turn: tuple[int, int] = (0, 1)) -> Iterator[tuple[int, int]]:
-        """Begin and end of at most STEP tokens each, for the given one of so many stretches."""
+    def parts(self, turn: tuple[int, int] = (0, 1), steps: int = 1) -> Iterator[tuple[int, int]]:
+        """Begin and end of at most so many STEPs of tokens each, for the given one of so many stretches."""
         nth, of = turn
         n = self.sequence.size
         lo, hi = n * nth // of, n * (nth + 1) // of
-        for k in range(lo, hi, STEP):
-            yield k, min(k + STEP, hi)
+        for k in range(lo, hi, steps * STEP):
+            yield k, min(k + steps * STEP, hi)
 
     def contexts(self, lo: int, hi: int) -> np.ndarray:
         """Hashes of the features, KINDS by tokens from ``lo`` to ``hi``."""
@@ -395,17 +408,19 @@ class Batch:
             ways = forest.paths(cls[some], self.reply[at].astype(np.int64), self.leaf[at].astype(np.int64))
             sizes = np.zeros(min(WORDS, places.size - k), np.int64)
             sizes[some - k] = ways.sizes
-            found.append(Paths(sizes, ways.turns, ways.odds))
-        return Paths(*(np.concatenate([getattr(x, k) for x in found]) for k in ("sizes", "turns", "odds")))
+            found.append(Paths(sizes, ways.turns))
+        return Paths.joined(found)
 
     def turned(self, weights: Weights, some: np.ndarray, turn: tuple[int, int] = (0, 1)) -> Iterator[tuple]:
-        """For parts of the tokens that ``some`` marks: their numbers, how many turns each has, the
-        seats of the turns' weights by kind, their direction and their probability."""
+        """Of parts of the tokens that ``some`` marks, all first turns, then all second ones and so on:
+        the numbers of the tokens that have one, which one it is, the seats of the turns' weights by
+        kind, their direction and their probability."""
         shards, sizes, often = (unpacked(self.row[n], "<u4").astype(np.int64) for n in "ksn")
         forest = Forest(shards, sizes, unpacked(self.row["v"], "<u8"), often, weights.masses)
         inner = weights.inner
         shift = np.uint64(64 - int(math.log2(inner.size)))
-        parts = list(self.parts(turn))
+        kinds = np.arange(KINDS, dtype=np.uint64)[:, None]
+        parts = list(self.parts(turn, STEPS))
         for k in range(0, len(parts), PARTS):
             # the ways to the words of some parts at a time
             here = slice(parts[k][0], parts[min(k + PARTS, len(parts)) - 1][1])
@@ -415,32 +430,49 @@ class Batch:
             # words of a tree one after another
             places = places[np.lexsort((self.leaf[places], self.reply[places]))]
             paths = self.paths(forest, places)
-            nodes = (paths.turns >> np.uint32(1)).astype(np.uint64) * _MIX[1]
-            ways = np.where(paths.turns & np.uint32(1), np.float32(1), np.float32(-1))
             seat = np.empty(self.cls.size, np.int64)
             seat[places] = np.arange(places.size)
             for lo, hi in parts[k : k + PARTS]:
                 which = np.flatnonzero(some[lo:hi])
                 own = seat[self.sequence[lo:hi][which]]
-                at, turns = paths.seats(own), paths.sizes[own]
-                node, way, odds = np.take(nodes, at), np.take(ways, at), np.take(paths.odds, at)
-                seats, contexts = [], self.contexts(lo, hi)[:, which]
-                for kind in range(KINDS):
-                    mixed = np.repeat(contexts[kind] + np.uint64(kind), turns)
-                    mixed ^= node
-                    mixed ^= mixed >> np.uint64(31)
-                    mixed *= _MIX[2]
-                    mixed >>= shift
-                    seats.append(mixed.view(np.int64))
-                x = odds + way * sum(np.take(inner, s) for s in seats)
-                yield lo + which, turns, seats, way, 1 / (1 + np.exp(-np.clip(x, -60, 60)))
+                # longest ways first, so that the tokens with an nth turn stand together
+                sizes = paths.sizes[own].astype(np.uint16)
+                order = np.argsort(~sizes, kind="stable")
+                which, at = which[order], paths.starts[own[order]]
+                # shifts work on context and node apart, as the two are mixed by xor
+                contexts = self.contexts(lo, hi)[:, which] + kinds
+                contexts ^= contexts >> np.uint64(31)
+                which += lo
+                for nth, n in enumerate((which.size - np.cumsum(np.bincount(sizes)))[:-1].tolist()):
+                    turns = np.take(paths.turns, at[:n] + nth)
+                    halves = turns.view(np.uint32)
+                    odds = halves[::2].copy().view(np.float32)
+                    way = (halves[1::2] & np.uint32(1)).astype(np.float32)
+                    way += way
+                    way -= np.float32(1)
+                    turns >>= np.uint64(33)
+                    turns *= _MIX[1]
+                    turns ^= turns >> np.uint64(31)
+                    seats, x = [], np.zeros(n, np.float32)
+                    for context in contexts:
+                        mixed = context[:n] ^ turns
+                        mixed *= _MIX[2]
+                        mixed >>= shift
+                        seats.append(mixed.view(np.int64))
+                        x += np.take(inner, seats[-1])
+                    x *= way
+                    x += odds
+                    np.clip(x, -60, 60, out=x)
+                    p = np.exp(np.negative(x, out=x), out=x)
+                    p += np.float32(1)
+                    yield which[:n], nth, seats, way, np.divide(np.float32(1), p, out=p)
 
     def within(self, weights: Weights) -> np.ndarray:
         """log10 of P(word | class, before) of each token."""
         out = np.zeros(self.sequence.size)
-        for at, sizes, _, _, p in self.turned(weights, np.ones(out.size, bool)):
-            of = np.repeat(np.arange(sizes.size), sizes)
-            out[at] = np.bincount(of, np.log(p), sizes.size) / math.log(10)
+        for at, _, _, _, p in self.turned(weights, np.ones(out.size, bool)):
+            out[at] += np.log(p)
+        out /= math.log(10)
         return out
 
 
@@ -452,14 +484,6 @@ def columns_of(mass: np.ndarray) -> np.ndarray:
     return columns
 
 
-def _over_columns(of: np.ufunc, p: np.ndarray) -> np.ndarray:
-    """What ``of`` makes of each row; faster than along an axis of a few columns."""
-    out = p[:, 0].copy()
-    for k in range(1, p.shape[1]):
-        of(out, p[:, k], out=out)
-    return out
-
-
 @dataclass
 class Weights:
     """By kind of feature, bucket and column; one of each column for all; and those of the turns.
@@ -476,20 +500,34 @@ class Weights:
     def softmax(self, features: np.ndarray) -> np.ndarray:
         """Probability of each column, for tokens that have one bucket of each kind."""
         p = self._raised(features)
-        p /= _over_columns(np.add, p)[:, None]
+        p /= np.einsum("ij->i", p)[:, None]
         return p
 
     def share(self, features: np.ndarray, column: np.ndarray) -> np.ndarray:
         """Probability of one column for each token."""
         p = self._raised(features)
-        return p[np.arange(column.size), column] / _over_columns(np.add, p)
+        return p[np.arange(column.size), column] / np.einsum("ij->i", p)
+
+    @cached_property
+    def factors(self) -> np.ndarray | None:
+        """e to the weights of each bucket less their greatest, so that tokens need products only; the
+        bias is in the first kind. None where a product might be too small for a float."""
+        table = self.table.copy()
+        table[0] += self.bias
+        table -= table.max(axis=2, keepdims=True)
+        return np.exp(table, out=table) if table.min(axis=(1, 2)).sum() > -80 else None
 
     def _raised(self, features: np.ndarray) -> np.ndarray:
+        if self.factors is not None:
+            p = np.take(self.factors[0], features[0], axis=0)
+            for k in range(1, KINDS):
+                p *= np.take(self.factors[k], features[k], axis=0)
+            return p
         p = np.take(self.table[0], features[0], axis=0)
         for k in range(1, KINDS):
             p += np.take(self.table[k], features[k], axis=0)
         p += self.bias
-        p -= _over_columns(np.maximum, p)[:, None]
+        p -= p.max(axis=1, keepdims=True)
         return np.exp(p, out=p)
 
     def moved(self, observed: np.ndarray, expected: np.ndarray, slope: np.ndarray, curve: np.ndarray) -> "Weights":
@@ -503,15 +541,19 @@ class Weights:
         )
 
 
-def _observed(rows: Iterable[dict], columns: np.ndarray, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
+def _batches(rows: Iterable[dict | Batch], columns: np.ndarray) -> Iterator[Batch]:
+    return (row if isinstance(row, Batch) else Batch(row, columns) for row in rows)
+
+
+def _observed(rows: Iterable[dict | Batch], columns: np.ndarray, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
     """How often each feature stands before each column; the last row, the bias, counts all.
 
     A word seen once counts half as the unseen word, which it was before it came.
     """
     width = int(columns.max()) + 1
     out = np.zeros((KINDS * BUCKETS + 1) * width)
-    for row in rows:
-        found = list(Batch(row, columns).learned(turn))
+    for batch in _batches(rows, columns):
+        found = list(batch.learned(turn))
         if not found:
             continue
         features, column = (np.concatenate(x, axis=-1) for x in zip(*found))
@@ -525,18 +567,21 @@ def _observed(rows: Iterable[dict], columns: np.ndarray, turn: tuple[int, int] =
     return out
 
 
-def _expected(rows: Iterable[dict], weights: Weights, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
+def _expected(rows: Iterable[dict | Batch], weights: Weights, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
     """The same, as the weights would have it."""
-    out = np.zeros((weights.bias.size, KINDS * BUCKETS + 1))
-    for row in rows:
-        for some, _ in Batch(row, weights.columns).learned(turn):
+    width = weights.bias.size
+    # two columns in one pass: one as the real part, the next as the other
+    out = np.zeros(((width + 1) // 2, KINDS * BUCKETS + 1), np.complex128)
+    for batch in _batches(rows, weights.columns):
+        for some, column in batch.learned(turn):
             some = some.astype(np.int64)
-            shares = np.ascontiguousarray(weights.softmax(some).T, np.float64)
-            for total, share in zip(out, shares):
+            shares = np.zeros((column.size, 2 * len(out)))
+            shares[:, :width] = weights.softmax(some)
+            for total, share in zip(out, np.ascontiguousarray(shares.view(np.complex128).T)):
                 for kind in range(KINDS):
-                    total[kind * BUCKETS :][:BUCKETS] += np.bincount(some[kind], share, BUCKETS)
+                    np.add.at(total[kind * BUCKETS :][:BUCKETS], some[kind], share)
                 total[-1] += share.sum()
-    return out.T
+    return np.ascontiguousarray(out.T).view(np.float64)[:, :width]
 
 
 def _slopes(rows: Iterable[dict], weights: Weights, turn: tuple[int, int] = (0, 1)) -> np.ndarray:
@@ -608,9 +653,9 @@ def train(corpus: DataFrame, masses: np.ndarray, rounds: int = ROUNDS) -> Weight
 
         def both(rows: Iterator[dict], shared=shared, turn=turn) -> np.ndarray:
             out = np.zeros((KINDS * BUCKETS + 1, 2 * width))
-            for row in rows:
-                out[:, :width] += _observed([row], columns, turn)
-                out[:, width:] += _expected([row], shared.value, turn)
+            for batch in _batches(rows, columns):
+                out[:, :width] += _observed([batch], columns, turn)
+                out[:, width:] += _expected([batch], shared.value, turn)
             return out
 
         def slopes(rows: Iterator[dict], shared=shared, turn=turn) -> np.ndarray:
@@ -646,15 +691,16 @@ def lm_scores(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: s
                 row = {n: b.column(n)[r].as_py() for n in READ}
                 batch = Batch(row, weights.columns)
                 sequence = batch.sequence
-                base = totals.base(batch.counts)[sequence]
-                within = batch.within(weights)
-                column, model = batch.column[sequence], np.empty(sequence.size)
+                sums = [
+                    np.add.reduceat((batch.counts > 0)[sequence], batch.starts, dtype=np.int64),
+                    np.add.reduceat(totals.base(batch.counts)[sequence], batch.starts),
+                ]
+                model = batch.within(weights)
                 for lo, hi in batch.parts():
-                    model[lo:hi] = weights.share(batch.features(lo, hi), column[lo:hi])
-                # far below what training can reach, so that no text is impossible
-                model = np.log10(np.maximum(model, 1e-30)) + within
-                known = (batch.counts > 0)[sequence].astype(np.int64)
-                sums = [np.add.reduceat(x, batch.starts) for x in (known, base, model)]
+                    share = weights.share(batch.features(lo, hi), batch.column[sequence[lo:hi]])
+                    # far below what training can reach, so that no text is impossible
+                    model[lo:hi] += np.log10(np.maximum(share.astype(np.float64), 1e-30))
+                sums.append(np.add.reduceat(model, batch.starts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         b.column("ids")[r].values,

@@ -196,3 +196,23 @@ def test_sums_over_columns_and_turns():
     finally:
         maxent.Batch = before
     assert got.shape == (maxent.INNER, 2) and np.allclose(got[5:8], [[0.25, 0.4375], [0.75, 0.1875], [-0.5, 0.25]])
+
+
+def test_softmax_takes_products(monkeypatch):
+    """However many tokens, no more exponentials than weights; weights too far apart for products too."""
+    r = np.random.default_rng(23)
+    some = r.integers(0, maxent.BUCKETS, (3, 60_000))
+    taken, exp = [], np.exp
+    for spread, most in ((1, maxent.KINDS * maxent.BUCKETS * 6), (40, some[0].size * 6)):
+        table = r.normal(0, spread, (3, maxent.BUCKETS, 6)).astype(np.float32)
+        w = maxent.Weights(table, r.normal(size=6).astype(np.float32), np.arange(6))
+        raw = sum(w.table[k][some[k]].astype(float) for k in range(3)) + w.bias
+        raw = exp(raw - raw.max(axis=1, keepdims=True))
+        raw /= raw.sum(axis=1, keepdims=True)
+        with monkeypatch.context() as counted:
+            counted.setattr(np, "exp", lambda x, *a, **b: taken.append(x.size) or exp(x, *a, **b))
+            p, share = w.softmax(some), w.share(some, some[0] % 6)
+        assert np.allclose(p, raw, atol=1e-5) and np.allclose(share, raw[np.arange(60_000), some[0] % 6], atol=1e-5)
+        assert sum(taken) == (most if spread == 1 else 2 * most)
+        assert (w.factors is None) == (spread == 40)
+        taken.clear()
