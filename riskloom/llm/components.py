@@ -16,7 +16,7 @@ from riskloom.session import settle
 LINKS = 500_000
 
 
-def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
     """For each of the nodes 0 to n - 1 the lowest that the links reach."""
     root, before = np.arange(n), None
     while before is None or (root != before).any():
@@ -39,7 +39,7 @@ def _stars(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rank = np.empty(len(order), np.int64)
     rank[order.to_numpy()] = np.arange(len(order))
     a, b = np.split(rank[ends.indices.to_numpy()], 2)
-    root, nodes = _roots(a, b, rank.size), ends.dictionary.take(order)
+    root, nodes = roots(a, b, rank.size), ends.dictionary.take(order)
     tied = np.flatnonzero(root != np.arange(rank.size))
     pair = [nodes.take(pa.array(tied)), nodes.take(pa.array(root[tied]))]
     yield pa.RecordBatch.from_arrays(pair, names=["a", "b"])

@@ -2,9 +2,10 @@
 
 Lines are normalised and get a SimHash over their runs of GRAM characters, each counted as often
 as it occurs. Fingerprints within LINK_BITS bits share at least two of five blocks
-(pigeonhole), so they are compared where a pair of blocks is equal. Groups of fingerprints then
-get their normalised texts, and two lines are linked if also their edit similarity is at least
-MIN_SIMILARITY. Of each connected group the first occurrence, by doc_id and line number, stays.
+(pigeonhole), so they are compared where a pair of blocks is equal. Those tied together there are a
+group; groups get their normalised texts, and two lines are linked if also their edit similarity
+is at least MIN_SIMILARITY. Of each connected set of links the first occurrence, by doc_id and line
+number, stays.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from riskloom.llm import meeting
 from riskloom.llm.common import pick, settle, small_batches
 from riskloom.llm.components import components
 from riskloom.llm.letters import FEED, as_text, codes, fold_table, single_spaces
-from riskloom.llm.meeting import STEP, dealt, met_links, ordered, spanning_links
+from riskloom.llm.meeting import STEP, dealt, ordered, tied
 from riskloom.llm.simhash import apart
 
 LINK_BITS = 3
@@ -34,14 +35,23 @@ LONG, FEW_EDITS = 4096, 64
 PROBE, SKIP = 12, 48
 #: Characters of a block that is set against the other text, and such blocks worked on at a time.
 BLOCK, LANES = 64, 4096
+#: Turns in which the blocks of a text are taken.
+TURNS = 3
 #: Characters from which blocks are tried before the distance.
 BLOCKED = 192
+#: Characters of pairs whose blocks are set against each other at a time, and pairs that may wait for it.
+TOLD, WAITING = 1 << 23, 1 << 17
 #: Lines that one call verifies, as texts take longer than fingerprints.
 VERIFIED = 2_000
 #: Lines of their own that can each be more than one in so many.
 HEAVY_KEYS = 1000
 #: Widths of the blocks; of five, at most three hold a differing bit.
 BLOCKS = (13, 13, 13, 13, 12)
+PAIRS = list(combinations(range(len(BLOCKS)), 2))
+#: Bits of a size, and the mark of a fingerprint that several lines have.
+SIZE, SHARED = (1 << 31) - 1, 1 << 62
+#: Factors that hash the place of a group.
+PLACE = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 #: Characters of a run, and the factor that hashes them.
 GRAM = 4
 MIX = np.uint32(0x9E3779B1)
@@ -128,9 +138,9 @@ def _key(line: str) -> bytes:
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, line_no, key, fp) of all lines that are not blank once normalised."""
+    """(doc_id, text_hash, line_no, key, fp, size) of all lines that are not blank once normalised."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {id_type}, text_hash long, line_no int, key binary, fp long"
+    schema = f"doc_id {id_type}, text_hash long, line_no int, key binary, fp long, size int"
 
     def batch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         prints = LinePrints()
@@ -151,8 +161,9 @@ def lines_of(docs: DataFrame) -> DataFrame:
                             pa.array(at, pa.int32()),
                             pa.array([_key(x) for x in lines], pa.binary()),
                             pa.array(prints.of(lines).view(np.int64)),
+                            pa.array(map(len, lines), pa.int32()),
                         ],
-                        names=["doc_id", "text_hash", "line_no", "key", "fp"],
+                        names=["doc_id", "text_hash", "line_no", "key", "fp", "size"],
                     )
                     rows, at, lines, size = [], [], [], 0
 
@@ -194,7 +205,7 @@ def _texts_of(docs: DataFrame) -> DataFrame:
 
 
 def _block_pairs(fps: DataFrame, crowds: list[list[int]]) -> DataFrame:
-    """(key, crowd, home, fp): each fingerprint at each pair of its blocks; ``crowd`` if both have a
+    """(key, crowd, home, fp, sizes): each fingerprint at each pair of its blocks; ``crowd`` if both have a
     value named in ``crowds``, a list per block."""
     blocks = list(zip(_blocks(), BLOCKS, crowds))
     at = [
@@ -204,7 +215,8 @@ def _block_pairs(fps: DataFrame, crowds: list[list[int]]) -> DataFrame:
         )
         for n, ((x, _, many), (y, w, more)) in enumerate(combinations(blocks, 2))
     ]
-    return fps.select("fp", F.explode(F.array(*at)).alias("at")).select("at.key", "at.crowd", F.lit(True).alias("home"), "fp")
+    visits = fps.select("fp", "sizes", F.explode(F.array(*at)).alias("at"))
+    return visits.select("at.key", "at.crowd", F.lit(True).alias("home"), "fp", "sizes")
 
 
 def _blocks() -> list[Column]:
@@ -215,8 +227,64 @@ def _blocks() -> list[Column]:
     ]
 
 
-def fingerprint_links(fps: DataFrame) -> DataFrame:
-    """(a, b): links that connect what all links within LINK_BITS of distinct fingerprints connect.
+def _first_masks() -> np.ndarray:
+    """For each pair of blocks the bits of every block that must differ if this is the first pair of equal ones."""
+    start = np.cumsum((0, *BLOCKS)).tolist()
+    out = np.zeros((16, len(BLOCKS) - 2), np.uint64)
+    for n, (i, j) in enumerate(PAIRS):
+        for m, k in enumerate(k for k in range(j) if k != i):
+            out[n, m] = ((1 << BLOCKS[k]) - 1) << start[k]
+    return out
+
+
+MUST_DIFFER = _first_masks()
+
+
+def first_pair(differ: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    """Whether, of the pairs of blocks in which no bits of ``differ`` are set, ``pair`` is the first."""
+    masks = MUST_DIFFER[pair]
+    return ((differ[..., None] & masks != 0) | (masks == 0)).all(axis=-1)
+
+
+def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
+    """(fp, component) of the fingerprints that are tied to another, or stand for several lines, in the
+    squares of a cell. Of all pairs of blocks that two fingerprints share, they are tied in the first."""
+    at, fp, sizes = pdf["key"].to_numpy(), pdf["fp"].to_numpy().view(np.uint64), pdf["sizes"].to_numpy()
+    home = pdf["home"].to_numpy() if "home" in pdf else np.ones(len(pdf), bool)
+    spot = np.zeros(len(pdf), np.int64)
+    if "row" in pdf:
+        spot += pdf["row"].to_numpy().astype(np.int64) << 31 | pdf["column"].to_numpy()
+    order = np.lexsort((~home, fp, spot, at))
+    at, fp, sizes, home, spot = (x[order] for x in (at, fp, sizes, home, spot))
+    new = np.r_[True, (at[1:] != at[:-1]) | (spot[1:] != spot[:-1])]
+    keep = new | np.r_[True, fp[1:] != fp[:-1]]
+    at, fp, sizes, home, spot, new = (x[keep] for x in (at, fp, sizes, home, spot, new))
+    pair, low, high = at >> 26, sizes >> 31 & SIZE, sizes & SIZE
+
+    def fits(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        near = (MIN_SIMILARITY * low[i] <= high[j]) & (MIN_SIMILARITY * low[j] <= high[i])
+        near[near] = first_pair((fp[i] ^ fp[j])[near], pair[i][near])
+        return near
+
+    root = tied(np.r_[np.flatnonzero(new), at.size], fp, home, LINK_BITS, fits)
+    several = np.bincount(root, minlength=root.size)[root] > 1
+    lone = ~several & (sizes >> 62 > 0) & (pair == 0)
+    spot[lone] = 0
+    place = (at.view(np.uint64) * PLACE[0] ^ spot.view(np.uint64) * PLACE[1] ^ fp[root]) * PLACE[1]
+    place = (place ^ place >> np.uint64(29)) * PLACE[0]
+    rows = several | lone
+    component = place.view(np.int64) & ~15 | pair
+    return pd.DataFrame({"fp": fp[rows].view(np.int64), "component": component[rows]})
+
+
+def fingerprint_groups(fps: DataFrame) -> DataFrame:
+    """(fp, component): groups in which any two lines meet whose fingerprints are within LINK_BITS.
+
+    ``fps`` has a row (fp, sizes) for each fingerprint: SHARED if several lines have it, and the lowest
+    and highest size of its lines. A fingerprint is in a group for each pair of its blocks at most, where
+    it is tied to others that the sizes let be similar. The number of that pair is ``component & 15``;
+    a pair of lines is to be looked at where it is the first in which their fingerprints agree. All
+    links taken together would join most long lines of a language, if there are many, in one group.
 
     Fingerprints that share a pair of blocks meet in one call. Only where both blocks have values of
     more than SQUARE fingerprints can the pair have so many; those are counted and dealt out.
@@ -227,11 +295,14 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     for r in counts.where(F.col("rows") > meeting.SQUARE).collect():
         crowds[r.n].append(r.value)
     visits = _block_pairs(fps, crowds)
-    pairs = len(BLOCKS) * (len(BLOCKS) - 1) // 2
-    links = met_links(visits.where(~F.col("crowd")), "key", fps.count() * pairs, LINK_BITS)
+    cells = max(1, -(-fps.count() * len(PAIRS) // meeting.CALL))
+    cell = F.pmod(F.xxhash64("key"), F.lit(cells)).cast("long").alias("cell")
+    schema = "fp long, component long"
+    groups = visits.where(~F.col("crowd")).select("key", "fp", "sizes", cell).groupBy("cell").applyInPandas(_meet, schema)
     if sum(map(bool, crowds)) < 2:
-        return links
-    return links.unionByName(spanning_links(visits.where("crowd"), ["key"], LINK_BITS))
+        return groups
+    crowd = dealt(visits.where("crowd").drop("crowd"), ["key"], "fp", ["fp", "sizes"])
+    return groups.unionByName(crowd.groupBy("cell").applyInPandas(_meet, schema).distinct())
 
 
 def _alike(a: str, i: int, b: str, j: int) -> int:
@@ -350,7 +421,18 @@ def far_apart(pairs: list[tuple[str, str]]) -> np.ndarray:
     start = (np.arange(owner.size) - np.repeat(np.cumsum(per) - per, per)) * BLOCK
     order = np.argsort((high - low)[owner], kind="stable")
     least = np.zeros(owner.size, np.int64)
-    for k in range(0, owner.size, LANES):
+    # unlike texts need so many edits that a part of the blocks tells of most
+    turn = (start[order] // BLOCK % TURNS).astype(np.int64)
+    for n_th in range(TURNS):
+        proved = np.bincount(owner, least, n.size) > allowed
+        now = order[(turn == n_th) & ~proved[owner[order]]]
+        _set_against(now, owner, start, first, second, low, high, m, chars, least)
+    return np.bincount(owner, least, n.size) > allowed
+
+
+def _set_against(order, owner, start, first, second, low, high, m, chars, least) -> None:
+    """Puts into ``least`` the edits that each block of ``order`` needs at least."""
+    for k in range(0, order.size, LANES):
         lanes = order[k : k + LANES]
         own, at = owner[lanes], start[lanes]
         row, equal = np.arange(lanes.size), np.zeros((lanes.size, 65), np.uint64)
@@ -371,7 +453,6 @@ def far_apart(pairs: list[tuple[str, str]]) -> np.ndarray:
             plus, minus = down | ~(same | up), up & same
             place += 1
         least[lanes] = best
-    return np.bincount(owner, least, n.size) > allowed
 
 
 def similar(a: str, b: str) -> bool:
@@ -386,7 +467,8 @@ def similar(a: str, b: str) -> bool:
 def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
     """Links (a, b) of line keys, verified on their texts, that span what all such links span.
 
-    Of a pair, the higher key is at home in the square that looks at it.
+    Of a pair, the higher key is at home in the square that looks at it, and the group is that of the
+    first pair of blocks in which they agree.
     """
     links: list[tuple[bytes, bytes]] = []
     pdf, cuts = ordered(pdf, ["component"])
@@ -394,64 +476,95 @@ def _verify(pdf: pd.DataFrame) -> pd.DataFrame:
     keys, lines = pdf["key"].to_list(), pdf["line"].to_list()
     number = np.frombuffer(b"".join(keys), ">u8").astype(np.uint64)
     size = np.fromiter(map(len, lines), np.int64, len(lines))
+    ties = _Ties(number)
+    left: list[tuple[int, int]] = []
     for i, j in zip(cuts, cuts[1:]):
         seats = i + np.flatnonzero(home[i:j])
         # a single square has only those at home
         here = i + np.flatnonzero(~home[i:j]) if seats.size < j - i else seats
         if seats.size:
-            _, root = np.unique(number[i:j], return_inverse=True)
+            pair = pdf["component"].iat[i] & 15
             for k in range(0, here.size, step := max(1, STEP // seats.size)):
                 some = here[k : k + step]
                 near = apart(fp[some, None], fp[None, seats]) <= LINK_BITS
                 near &= number[some, None] < number[None, seats]
-                links += [(keys[v], keys[m]) for v, m in _tied(some, seats, near, root, i, size, lines)]
+                v, m = np.nonzero(near)
+                near[v, m] = first_pair(fp[some[v]] ^ fp[seats[m]], pair)
+                left += _walked(some, seats, near, ties, size, lines)
+                if len(left) > WAITING:
+                    _measured(left, ties, size, lines)
+                    left.clear()
+    _measured(left, ties, size, lines)
+    links = [(keys[v], keys[m]) for v, m in ties.links]
     return pd.DataFrame(links, columns=["a", "b"], dtype=object)
 
 
-def _tied(some, seats, near, root, first, size, lines) -> list[tuple[int, int]]:
-    """Pairs of similar lines that span what all such pairs of ``near`` span; ``root``, of the rows from
-    ``first`` on, names the groups that rows are in, and is kept."""
-    out, left = [], []
+class _Ties:
+    """Links found so far, and for each row which group of tied lines it is in."""
+
+    def __init__(self, number: np.ndarray) -> None:
+        # rows of one line are one from the start, whatever their squares
+        _, self.root = np.unique(number, return_inverse=True)
+        self.links: list[tuple[int, int]] = []
+
+    def tie(self, v: int, m: int) -> None:
+        self.links.append((v, m))
+        self.root[self.root == self.root[v]] = self.root[m]
 
-    def tie(v: int, m: int) -> None:
-        out.append((v, m))
-        root[root == root[v - first]] = root[m - first]
+    def apart(self, pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        return [(v, m) for v, m in pairs if self.root[v] != self.root[m]]
 
+
+def _walked(some, seats, near, ties, size, lines) -> list[tuple[int, int]]:
+    """Ties pairs of ``near`` that walks prove similar, as many as span them all; gives those left open."""
+    left = []
+    root = ties.root
     for v, row in zip(some[near.any(axis=1)].tolist(), near[near.any(axis=1)]):
         mates = seats[row]
         mates = mates[np.minimum(size[mates], size[v]) >= MIN_SIMILARITY * np.maximum(size[mates], size[v])]
         # only partners that are not in the same group yet are worth a look at their texts
-        while (mates := mates[root[mates - first] != root[v - first]]).size:
+        while (mates := mates[root[mates] != root[v]]).size:
             m, mates = int(mates[0]), mates[1:]
             if close(lines[v], lines[m]):
-                tie(v, m)
+                ties.tie(v, m)
             else:
                 left.append((v, m))
-    # what walks leave open goes by blocks and, where they do not tell, by the distance
-    left = [(v, m) for v, m in left if root[v - first] != root[m - first]]
-    long = [p for p in left if size[p[0]] >= BLOCKED]
-    far = {p for p, no in zip(long, far_apart([(lines[v], lines[m]) for v, m in long])) if no}
-    for v, m in left:
-        if (v, m) not in far and root[v - first] != root[m - first]:
-            if 1 - distance(lines[v], lines[m]) / max(size[v], size[m]) >= MIN_SIMILARITY:
-                tie(v, m)
-    return out
+    return left
+
+
+def _measured(left, ties, size, lines) -> None:
+    """Ties those of the pairs that are similar: what walks leave open goes by blocks, of many pairs
+    at a time, and, where they do not tell, by the distance."""
+    at = 0
+    while at < len(left):
+        some, chars = [], 0
+        while at < len(left) and chars < TOLD:
+            some.append(left[at])
+            chars += int(size[left[at][0]] + size[left[at][1]])
+            at += 1
+        some = ties.apart(some)
+        long = [p for p in some if size[p[0]] >= BLOCKED]
+        far = {p for p, no in zip(long, far_apart([(lines[v], lines[m]) for v, m in long])) if no}
+        for v, m in some:
+            if (v, m) not in far and ties.root[v] != ties.root[m]:
+                if 1 - distance(lines[v], lines[m]) / max(size[v], size[m]) >= MIN_SIMILARITY:
+                    ties.tie(v, m)
 
 
 def line_groups(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """(key, component): the groups of linked lines, for the lines that have a link.
 
-    ``distinct`` has a row (key, fp) for each line.
+    ``distinct`` has a row (key, fp, size) for each line.
     """
-    fps = settle(distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("n")), "fps")
-    tied = components(fingerprint_links(fps))
+    several = F.when(F.count(F.lit(1)) > 1, SHARED).otherwise(0)
+    bounds = F.shiftleft(F.min("size").cast("long"), 31).bitwiseOR(F.max("size").cast("long"))
+    fps = settle(distinct.groupBy("fp").agg(several.bitwiseOR(bounds).alias("sizes")), "fps")
     # fingerprints with a partner, or with several lines of their own, have texts to compare
-    shared = fps.where("n > 1").select(F.col("fp").alias("node"), F.col("fp").alias("component"))
-    spots = tied.unionByName(shared).groupBy("node").agg(F.min("component").alias("component"))
-    groups = distinct.join(spots, F.col("fp") == F.col("node")).select("key", "fp", "component")
-    texts = _texts_of(docs).join(settle(groups, "groups"), "key").dropDuplicates(["key"])
-    rows = settle(texts, "texts").withColumn("home", F.lit(True))
-    cells = dealt(rows, ["component"], "key", ["key", "fp", "line"], call=VERIFIED)
+    groups = settle(distinct.join(fingerprint_groups(fps), "fp").select("key", "fp", "component"), "groups")
+    texts = settle(_texts_of(docs).join(groups.select("key").distinct(), "key").dropDuplicates(["key"]), "texts")
+    cells = dealt(groups.withColumn("home", F.lit(True)), ["component"], "key", ["key", "fp"], call=VERIFIED)
+    # a text goes along with its line only now, once for each square that the line is in
+    cells = cells.join(texts, "key")
     return components(cells.groupBy("cell").applyInPandas(_verify, "a binary, b binary")).select(
         F.col("node").alias("key"), "component"
     )
@@ -478,8 +591,9 @@ def line_dedup(
     own = own.withColumn("text_hash", F.xxhash64("text"))
     carried = [F.col(f"_{c}").alias(c) for c in carry]
     lines = settle(lines_of(own.select("doc_id", "text_hash", "text")), "lines")
-    distinct = settle(lines.groupBy("key").agg(F.first("fp").alias("fp"), F.count(F.lit(1)).alias("n")), "distinct")
-    groups = line_groups(distinct.select("key", "fp"), own)
+    each = lines.groupBy("key").agg(F.first("fp").alias("fp"), F.first("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    distinct = settle(each, "distinct")
+    groups = line_groups(distinct.select("key", "fp", "size"), own)
     component = F.coalesce("component", "key").alias("component")
     # a line that stands alone needs no look at where it stands
     several = distinct.join(groups, "key", "left").where("n > 1 OR component IS NOT NULL").select("key", "n", component)
@@ -487,9 +601,10 @@ def line_dedup(
     # lines that stand very often are no more than HEAVY_KEYS, and are sent to the others
     often = F.col("n") > F.lit(lines.count() // HEAVY_KEYS)
     heavy = F.broadcast(several.where(often).select("key", "component"))
-    seldom = lines.join(heavy.select("key"), "key", "left_anti").join(several.where(~often).drop("n"), "key")
+    stands = lines.drop("fp", "size")
+    seldom = stands.join(heavy.select("key"), "key", "left_anti").join(several.where(~often).drop("n"), "key")
     places = settle(
-        lines.join(heavy, "key").unionByName(seldom.select("key", *lines.columns[:3], "fp", "component"))
+        stands.join(heavy, "key").unionByName(seldom)
         .select("component", "doc_id", "text_hash", "line_no"),
         "places",
     )

@@ -6,14 +6,20 @@ no task hands on more links than it has rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import settle
+from riskloom.llm.components import roots
 from riskloom.llm.simhash import apart
 
+#: Which pairs of rows count.
+Fits = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
 #: Rows of one kind that one square of the grid takes.
 SQUARE = 20_000
 #: Rows that are grouped for one call.
@@ -142,26 +148,45 @@ def spanning_links(visits: DataFrame, keys: list[str], bits: int) -> DataFrame:
     return cells.groupBy("cell").applyInPandas(meet, "a long, b long")
 
 
-def met_links(visits: DataFrame, key: str, rows: int, bits: int) -> DataFrame:
-    """The same for about ``rows`` visits of distinct fingerprints, all at home, at a column ``key`` of
-    longs. Nothing is counted before, so that no key may have much more than SQUARE rows."""
-
-    def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        at, fp = pdf["key"].to_numpy(), pdf["fp"].to_numpy().view(np.uint64)
-        order = np.argsort(at, kind="stable")
-        at, fp = at[order], fp[order]
-        same = at[1:] == at[:-1]
-        met = np.r_[False, same] | np.r_[same, False]
-        at, fp = at[met], fp[met]
-        cuts = np.r_[0, 1 + np.flatnonzero(at[1:] != at[:-1]), at.size] if at.size else np.zeros(1, np.int64)
-        links = few(fp, np.ones(fp.size, bool), cuts, bits)
-        for i in np.flatnonzero(np.diff(cuts) > FEW):
-            fps = fp[cuts[i] : cuts[i + 1]]
-            links += forest(fps, fps, bits)
-        a, b = (np.concatenate([x[k] for x in links]).view(np.int64) for k in (0, 1))
-        return pd.DataFrame({"a": a, "b": b})
-
-    cells = max(1, -(-rows // CALL))
-    cell = F.pmod(F.xxhash64(key), F.lit(cells)).cast("long")
-    dealt_out = visits.select(F.col(key).alias("key"), "fp", cell.alias("cell"))
-    return dealt_out.groupBy("cell").applyInPandas(meet, "a long, b long")
+def _near(cuts: np.ndarray, fp: np.ndarray, home: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one square within ``bits``, one of them at home, each pair once."""
+    size = np.diff(cuts)
+    square, small = np.repeat(np.arange(size.size), size), np.repeat(size <= FEW, size)
+    for k in range(1, FEW):
+        at = np.flatnonzero(small[k:] & (square[k:] == square[:-k]) & (home[k:] | home[:-k]))
+        at = at[apart(fp[at], fp[at + k]) <= bits]
+        yield at, at + k
+    for n in np.flatnonzero(size > FEW):
+        here = np.arange(cuts[n], cuts[n + 1])
+        seats = here[home[here]]
+        for k in range(0, here.size if seats.size else 0, step := max(1, STEP // max(1, seats.size))):
+            some = here[k : k + step]
+            near = apart(fp[some, None], fp[None, seats]) <= bits
+            near &= (some[:, None] > seats) | ~home[some, None]
+            i, j = np.nonzero(near)
+            yield some[i], seats[j]
+
+
+def tied(cuts: np.ndarray, fp: np.ndarray, home: np.ndarray, bits: int, fits: Fits) -> np.ndarray:
+    """For each row the lowest that it is tied to by pairs of one square within ``bits`` that ``fits`` lets count.
+
+    ``cuts`` tells where each square begins and the last one ends; in one, fingerprints are distinct.
+    Pairs are not kept: a square of near copies has many more of them than rows.
+    """
+    root, some, held = np.arange(fp.size), [], 0
+
+    def tie() -> None:
+        a, b = (root[np.concatenate(x)] for x in zip(*some))
+        root[:] = roots(a, b, root.size)[root]
+        some.clear()
+
+    for i, j in _near(cuts, fp, home, bits):
+        counts = fits(i, j)
+        some.append((i[counts], j[counts]))
+        held += some[-1][0].size
+        if held > STEP:
+            tie()
+            held = 0
+    if some:
+        tie()
+    return root

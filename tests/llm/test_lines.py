@@ -205,3 +205,35 @@ def test_a_line_of_a_third_of_all_documents(rows, monkeypatch):
 
 def test_empty_table(rows):
     assert line_dedup.line_dedup(rows([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("square", [4, 20_000])
+def test_a_pair_meets_in_one_group(spark, monkeypatch, square):
+    """Fingerprints within 3 bits meet in the group of the first pair of blocks in which they agree,
+    and what is tied to others only there, or cannot be similar by its size, is in no larger group."""
+    monkeypatch.setattr(meeting, "SQUARE", square)
+    r = random.Random(9)
+    # a chain of steps of 2 bits: all links taken together tie it to one
+    chain = [r.getrandbits(64)]
+    for k in range(300):
+        chain.append(chain[-1] ^ 1 << (7 * k) % 64 ^ 1 << (7 * k + 31) % 64)
+    prints = sorted({*chain, *(chain[0] ^ 1 << k for k in range(64)), *(r.getrandbits(64) for _ in range(200))})
+    size = {x: 100 + 40 * (n % 2) for n, x in enumerate(prints)}
+    own = {x for n, x in enumerate(prints) if n % 9 == 0}
+    signed = [(x - (x >> 63 << 64), (x in own) << 62 | size[x] << 31 | size[x]) for x in prints]
+    found = line_dedup.fingerprint_groups(spark.createDataFrame(signed, "fp long, sizes long")).collect()
+    groups = {}
+    for x in found:
+        groups.setdefault(x.component, set()).add(x.fp % 2**64)
+    blocks = lambda x: [x >> k & (1 << w) - 1 for k, w in zip((0, 13, 26, 39, 52), line_dedup.BLOCKS)]
+    near = 0
+    for i, x in enumerate(prints):
+        for y in prints[: i + 1]:
+            if (x ^ y).bit_count() <= 3 and size[x] == size[y] and (x != y or x in own):
+                near += x != y
+                same = [a == b for a, b in zip(blocks(x), blocks(y))]
+                first = next(n for n, (a, b) in enumerate(line_dedup.PAIRS) if same[a] and same[b])
+                assert any({x, y} <= g for c, g in groups.items() if c & 15 == first)
+    assert near > 300 and max(map(len, groups.values())) < 100
+    for g in groups.values():
+        assert len({size[x] for x in g}) == 1
