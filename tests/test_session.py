@@ -1,8 +1,10 @@
 """Scratch tables of a scope."""
 
 import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from riskloom.session import fresh_dir, note_scratch, scratch, settle
 
@@ -34,3 +36,26 @@ def test_scratch_deletes_after_a_failure(spark):
         gone = place(settle(spark.range(5).toDF("x"), "inner"))
         raise ValueError("stop")
     assert not os.path.exists(gone)
+
+
+def test_settle_leaves_no_shuffle_files(spark):
+    """They go with the write, not when the driver happens to collect its garbage."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        every, out = disk.getAllFiles(), set()
+        for i in range(every.size()):
+            name = every.apply(i).getName()
+            if name.startswith("shuffle_"):
+                out.add(name)
+        return out
+
+    before = files()
+    df = spark.range(100).groupBy((F.col("id") % 7).alias("b")).count()
+    kept = settle(df, "tidy")
+    until = time.time() + 20
+    while (left := files() - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left
+    # what was settled, and what it was settled from, can be read again
+    assert sorted(kept.collect()) == sorted(df.collect()) == sorted(df.collect()) and kept.count() == 7
